@@ -232,3 +232,33 @@ def moving_sum(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, v
     return j.select(*[s[c] for c in df.columns],
                     (s["_s"] - F.coalesce(back["_s_back"], F.lit(0))).alias(out),
                     F.least(s["_rn"], F.lit(n)).alias(f"{out}_rows"))
+
+
+def offsets(df: DataFrame, partition_by: Sequence[str], order_asc: Sequence[str], col: str,
+            max_group_rows: int | None = None, num_chunks: int | None = None) -> DataFrame:
+    """WN-2 ``lag``/``lead`` by one row and ``first_value``/``last_value``
+    over the whole group (columns ``prev_``, ``next_``, ``first_``, ``last_``).
+
+    Split plan: lag/lead are equi-joins on ``(group, row_number ± 1)``;
+    first/last are ``min_by``/``max_by`` aggregates (combined map-side)
+    joined back on the group.
+    """
+    P = list(partition_by or [])
+    O = [F.col(c).asc() for c in order_asc]
+    if P and not needs_split(df, P, max_group_rows):
+        w = Window.partitionBy(*P).orderBy(*O)
+        full = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        return (df.withColumn(f"prev_{col}", F.lag(col, 1).over(w))
+                  .withColumn(f"next_{col}", F.lead(col, 1).over(w))
+                  .withColumn(f"first_{col}", F.first(col).over(full))
+                  .withColumn(f"last_{col}", F.last(col).over(full)))
+    r = row_index(df, P, O, "_rn", max_group_rows=0, num_chunks=num_chunks)
+    r = shifted(r, P, "_rn", [col], 1, "prev_")
+    r = shifted(r, P, "_rn", [col], -1, "next_")
+    key = F.struct(*[F.col(c) for c in order_asc])
+    ends = df.groupBy(*P).agg(F.min_by(col, key).alias(f"first_{col}"), F.max_by(col, key).alias(f"last_{col}"))
+    if not P:
+        vals = ends.first()
+        return r.drop("_rn").withColumn(f"first_{col}", F.lit(vals[0])).withColumn(f"last_{col}", F.lit(vals[1]))
+    j = r.join(ends, _null_safe_on(r, ends, P))
+    return j.select(*[r[c] for c in r.columns if c != "_rn"], ends[f"first_{col}"], ends[f"last_{col}"])
