@@ -1,3 +1,221 @@
-"""Registered queries."""
+"""DQ-1..11 registered queries."""
 
-from .catalog import register  # noqa: F401
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators import quality as dq
+from ..sources.tables import SCHEMAS, load
+from .catalog import register
+
+
+def _t(spark, sf, name):
+    return load(spark, sf, name)
+
+
+def _row_sql(table, rule, column, fail_sql):
+    return (f"SELECT '{table}' AS table_name, '{rule}' AS rule, '{column}' AS column_name, "
+            f"CAST(count_if({fail_sql}) AS BIGINT) AS failed, CAST(COUNT(*) AS BIGINT) AS total FROM {table}")
+
+
+PART_COLS = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+
+
+@register("dq1_profile", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(count_if({c} IS NULL) AS BIGINT) AS n_null, "
+    f"CAST(COUNT(DISTINCT {c}) AS BIGINT) AS n_distinct, CAST(MIN({c}) AS VARCHAR) AS min_value, "
+    f"CAST(MAX({c}) AS VARCHAR) AS max_value FROM part" for c in PART_COLS))
+def dq1_profile(spark, sf):
+    return dq.profile(_t(spark, sf, "part"), PART_COLS)
+
+
+CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
+
+
+@register("dq2_completeness", "\nUNION ALL\n".join(
+    _row_sql("customer", "not_null", c, f"{c} IS NULL OR trim(CAST({c} AS VARCHAR)) = ''") for c in CUSTOMER_COLS))
+def dq2_completeness(spark, sf):
+    return dq.evaluate(_t(spark, sf, "customer"), [dq.not_null(c) for c in CUSTOMER_COLS], "customer")
+
+
+_UNIQ = ("SELECT '{t}' AS table_name, 'unique' AS rule, '{k}' AS column_name, "
+         "CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS failed, CAST(COALESCE(SUM(n), 0) AS BIGINT) AS total "
+         "FROM (SELECT COUNT(*) AS n FROM {t} GROUP BY {k})")
+
+
+@register("dq3_uniqueness", _UNIQ.format(t="lineitem", k="l_orderkey,l_linenumber") + "\nUNION ALL\n"
+          + _UNIQ.format(t="orders", k="o_orderkey"))
+def dq3_uniqueness(spark, sf):
+    li, o = _t(spark, sf, "lineitem"), _t(spark, sf, "orders")
+    return dq.unique(li, ["l_orderkey", "l_linenumber"], "lineitem").unionByName(
+        dq.unique(o, ["o_orderkey"], "orders"))
+
+
+_RANGES = [("customer", "c_acctbal", 0, 10000), ("lineitem", "l_discount", 0, 0.1),
+           ("lineitem", "l_quantity", 1, 50), ("orders", "o_totalprice", 0, None)]
+
+
+def _range_sql(t, c, lo, hi):
+    parts = [f"{c} < {lo}"] if lo is not None else []
+    parts += [f"{c} > {hi}"] if hi is not None else []
+    return _row_sql(t, "in_range", c, "COALESCE(" + " OR ".join(parts) + ", FALSE)")
+
+
+def _edge_sql(t, c, v, side):
+    return _row_sql(t, f"at_{side}", c, f"COALESCE({c} = {v}, FALSE)")
+
+
+@register("dq4_range", "\nUNION ALL\n".join(
+    [_range_sql(*r) for r in _RANGES]
+    + [_edge_sql(t, c, lo, "min") for t, c, lo, hi in _RANGES if lo is not None]
+    + [_edge_sql(t, c, hi, "max") for t, c, lo, hi in _RANGES if hi is not None]))
+def dq4_range(spark, sf):
+    """Out-of-range counts plus how many rows sit exactly on each bound
+    (boundary values are where off-by-one rules break)."""
+    out = None
+    by_table: dict[str, list] = {}
+    for t, c, lo, hi in _RANGES:
+        rs = by_table.setdefault(t, [])
+        rs.append(dq.in_range(c, lo, hi))
+        if lo is not None:
+            rs.append(dq.Rule("at_min", c, F.coalesce(F.col(c) == F.lit(lo), F.lit(False))))
+        if hi is not None:
+            rs.append(dq.Rule("at_max", c, F.coalesce(F.col(c) == F.lit(hi), F.lit(False))))
+    for t, rs in by_table.items():
+        r = dq.evaluate(_t(spark, sf, t), rs, t)  # one aggregate per table
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+@register("dq5_accepted_pattern", "\nUNION ALL\n".join([
+    _row_sql("orders", "accepted_values", "o_orderstatus", "COALESCE(o_orderstatus NOT IN ('F', 'O'), FALSE)"),
+    _row_sql("orders", "pattern", "o_orderpriority",
+             "COALESCE(NOT regexp_matches(o_orderpriority, '^[1-5]-[A-Z ]+$'), FALSE)"),
+    _row_sql("customer", "pattern", "c_name", "COALESCE(NOT regexp_matches(c_name, '^Customer#[0-9]{9}$'), FALSE)"),
+]))
+def dq5_accepted_pattern(spark, sf):
+    o = dq.evaluate(_t(spark, sf, "orders"), [dq.accepted("o_orderstatus", ["F", "O"]),
+                                              dq.matches("o_orderpriority", "^[1-5]-[A-Z ]+$")], "orders")
+    c = dq.evaluate(_t(spark, sf, "customer"), [dq.matches("c_name", "^Customer#[0-9]{9}$")], "customer")
+    return o.unionByName(c)
+
+
+_REFS = [("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+         ("lineitem", "l_partkey", "part", "p_partkey"), ("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+         ("labels", "doc_id", "documents", "doc_id")]
+
+
+@register("dq6_references", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, 'references' AS rule, '{fk}' AS column_name, "
+    f"CAST(count_if({fk} IS NOT NULL AND {fk} NOT IN (SELECT {pk} FROM {p} WHERE {pk} IS NOT NULL)) AS BIGINT) AS failed, "
+    f"CAST(COUNT(*) AS BIGINT) AS total FROM {t}" for t, fk, p, pk in _REFS))
+def dq6_references(spark, sf):
+    out = None
+    for t, fk, p, pk in _REFS:
+        r = dq.references(_t(spark, sf, t), fk, _t(spark, sf, p), pk, t)
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+_DQ7_SQL = """
+SELECT 'lineitem' AS table_name, 'ship_after_order' AS rule, 'l_shipdate' AS column_name,
+       CAST(count_if(NOT COALESCE(CAST(l.l_shipdate AS DATE) >= CAST(o.o_orderdate AS DATE), TRUE)) AS BIGINT) AS failed,
+       CAST(COUNT(*) AS BIGINT) AS total
+FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+"""
+
+
+@register("dq7_cross_column", _DQ7_SQL)
+def dq7_cross_column(spark, sf):
+    """Rule across two tables: bring the order date to the line (one
+    shuffle join), then one aggregate."""
+    li, o = _t(spark, sf, "lineitem"), _t(spark, sf, "orders")
+    j = li.select("l_orderkey", "l_shipdate").join(
+        o.select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate"), "l_orderkey", "left")
+    return dq.evaluate(j, [dq.check("ship_after_order", F.to_date("l_shipdate") >= F.to_date("o_orderdate"),
+                                    "l_shipdate")], "lineitem")
+
+
+_GATE_LIMITS = {"not_null": 0.0, "in_range": 0.1, "unique": 0.0, "references": 0.0, "ship_after_order": 0.6}
+
+
+def _gate_inputs(spark, sf):
+    return (dq2_completeness(spark, sf).unionByName(dq3_uniqueness(spark, sf))
+            .unionByName(dq6_references(spark, sf)).unionByName(dq7_cross_column(spark, sf))
+            .unionByName(dq.evaluate(_t(spark, sf, "customer"), [dq.in_range("c_acctbal", 0, 10000)], "customer")))
+
+
+def _gate_sql():
+    parts = [ORACLE_REF[k] for k in ("dq2_completeness", "dq3_uniqueness", "dq6_references", "dq7_cross_column")]
+    parts.append(_range_sql("customer", "c_acctbal", 0, 10000))
+    lim = "CASE " + " ".join(f"WHEN rule = '{k}' THEN {v}" for k, v in _GATE_LIMITS.items()) + " ELSE 0.0 END"
+    return f"""
+WITH r AS ({" UNION ALL ".join(f"({p})" for p in parts)}),
+g AS (SELECT *, CASE WHEN total > 0 THEN CAST(failed AS DOUBLE) / total ELSE 0.0 END AS failed_fraction FROM r),
+h AS (SELECT *, failed_fraction <= {lim} AS passed FROM g)
+SELECT *, CASE WHEN bool_and(passed) OVER () THEN 'pass' ELSE 'block' END AS decision FROM h
+"""
+
+
+from .catalog import ORACLE as ORACLE_REF  # noqa: E402
+
+
+@register("dq8_gate", _gate_sql())
+def dq8_gate(spark, sf):
+    return dq.gate(_gate_inputs(spark, sf), _GATE_LIMITS)
+
+
+_DQ10_SQL = """
+WITH daily AS (
+  SELECT CAST(ts AS DATE) AS day, round(CAST(count_if(event_type = 'error') AS DOUBLE) / COUNT(*), 6) AS error_rate
+  FROM events GROUP BY 1),
+t AS (
+  SELECT a.day, round(avg(b.error_rate), 6) AS trailing_mean, COUNT(b.day) AS trailing_days
+  FROM daily a LEFT JOIN daily b ON b.day >= a.day - INTERVAL 7 DAY AND b.day < a.day GROUP BY a.day)
+SELECT d.day, d.error_rate, t.trailing_mean, CAST(t.trailing_days AS BIGINT) AS trailing_days,
+       COALESCE(d.error_rate > t.trailing_mean * 1.5, FALSE) AS alert
+FROM daily d JOIN t ON d.day = t.day
+"""
+
+
+@register("dq10_trend", _DQ10_SQL)
+def dq10_trend(spark, sf):
+    e = _t(spark, sf, "events")
+    daily = e.groupBy(F.to_date("ts").alias("day")).agg(
+        F.round(F.count_if(F.col("event_type") == "error") / F.count(F.lit(1)), 6).alias("error_rate"))
+    r = dq.dq_trend(daily, "day", "error_rate", lookback=7, factor=1.5)
+    return r.select("day", "error_rate", F.round("trailing_mean", 6).alias("trailing_mean"),
+                    F.coalesce("trailing_days", F.lit(0)).cast("bigint").alias("trailing_days"),
+                    (F.coalesce(F.col("error_rate") > F.round("trailing_mean", 6) * 1.5, F.lit(False))).alias("alert"))
+
+
+# Contract the orders feed is expected to meet: o_orderdate as a DATE and an
+# o_clerk column; the fixture stores a timestamp and has no clerk.
+ORDERS_CONTRACT = T.StructType(
+    [f if f.name != "o_orderdate" else T.StructField("o_orderdate", T.DateType(), True)
+     for f in SCHEMAS["orders"].fields if f.name != "o_orderpriority"]
+    + [T.StructField("o_clerk", T.StringType(), True)])
+
+_DQ11_SQL = """
+WITH actual AS (
+  SELECT column_name AS c,
+         CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                        WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date'
+                        ELSE lower(data_type) END AS t
+  FROM information_schema.columns WHERE table_name = 'orders'),
+expected AS (SELECT * FROM (VALUES ('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_orderstatus', 'string'),
+                                   ('o_totalprice', 'double'), ('o_orderdate', 'date'), ('o_clerk', 'string')) v(c, t))
+SELECT e.c AS column_name, 'missing' AS problem, e.t AS expected, '' AS actual
+FROM expected e LEFT JOIN actual a ON a.c = e.c WHERE a.c IS NULL
+UNION ALL
+SELECT e.c, 'type', e.t, a.t FROM expected e JOIN actual a ON a.c = e.c WHERE a.t <> e.t
+UNION ALL
+SELECT a.c, 'unexpected', '', a.t FROM actual a LEFT JOIN expected e ON a.c = e.c WHERE e.c IS NULL
+"""
+
+
+@register("dq11_contract", _DQ11_SQL)
+def dq11_contract(spark, sf):
+    o = spark.read.parquet(f"{sf.rstrip('/')}/orders.parquet")  # as stored, not as declared
+    return dq.check_contract(o, ORDERS_CONTRACT)
