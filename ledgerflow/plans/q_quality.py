@@ -219,3 +219,23 @@ SELECT a.c, 'unexpected', '', a.t FROM actual a LEFT JOIN expected e ON a.c = e.
 def dq11_contract(spark, sf):
     o = spark.read.parquet(f"{sf.rstrip('/')}/orders.parquet")  # as stored, not as declared
     return dq.check_contract(o, ORDERS_CONTRACT)
+
+
+def _dq9_sql():
+    from .q_io import _ANY_BAD_SQL, _FAILED_SQL
+    return f"SELECT event_id, user_id, value, {_FAILED_SQL} AS failed_rules, 'b1' AS batch_id FROM events WHERE {_ANY_BAD_SQL}"
+
+
+@register("dq9_quarantine", _dq9_sql())
+def dq9_quarantine(spark, sf):
+    """Failing rows moved to a quarantine table with the rules they broke
+    (the dead-letter half of SNK-3), read back from where they were written."""
+    from ..session import scratch_path
+    from ..sinks.writes import split_dead_letter
+    from .q_io import event_rules
+    _, bad = split_dead_letter(_t(spark, sf, "events"), event_rules(), "b1")
+    path = scratch_path(spark, "dq9-quarantine")
+    bad.write.parquet(path)
+    q = spark.read.parquet(path)
+    return q.select("event_id", "user_id", "value", F.concat_ws(";", "failed_rules").alias("failed_rules"),
+                    "batch_id")
