@@ -18,19 +18,21 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalar import as_double, month_start, months_between_whole, revenue, week_start
-from .joins import broadcast_if_small
+from ..functions.scalar import as_double, month_start, months_between_whole, revenue_units, units_to_money, week_start
 from .windows import ntile
 
 
 def order_revenue(lineitem: DataFrame) -> DataFrame:
-    """(l_orderkey, rev decimal) — line revenue summed to the order grain."""
-    return lineitem.groupBy("l_orderkey").agg(F.sum(revenue()).alias("rev"))
+    """(l_orderkey, rev decimal) — line revenue summed to the order grain.
+
+    The per-line sum runs on exact bigint units (an order has a handful of
+    lines, so no overflow); the order total is then exact decimal."""
+    return lineitem.groupBy("l_orderkey").agg(units_to_money(F.sum(revenue_units())).alias("rev"))
 
 
 def geo_dim(nation: DataFrame, region: DataFrame) -> DataFrame:
     """(n_nationkey, n_name, r_name): the two tiny dimensions, pre-joined."""
-    r = broadcast_if_small(region.select("r_regionkey", "r_name"))
+    r = region.select("r_regionkey", "r_name")
     return nation.join(r, nation.n_regionkey == r.r_regionkey).select("n_nationkey", "n_name", "r_name")
 
 
@@ -45,7 +47,9 @@ def sales_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
     cust_month = om.groupBy("o_custkey", "month").agg(
         F.sum("rev").alias("rev"), F.count(F.lit(1)).alias("n_orders"))
     c = customer.select("c_custkey", "c_nationkey", "c_mktsegment")
-    c = c.join(broadcast_if_small(geo_dim(nation, region)), c.c_nationkey == F.col("n_nationkey"))
+    # nation/region are a few KB on disk: Spark's size-checked planner
+    # broadcasts them; no hint needed.
+    c = c.join(geo_dim(nation, region), c.c_nationkey == F.col("n_nationkey"))
     x = cust_month.join(c, cust_month.o_custkey == c.c_custkey)
     dims = ["r_name", "n_name", "c_mktsegment"]
     sets = [["month"] + dims[:i] for i in range(len(dims), -1, -1)]
