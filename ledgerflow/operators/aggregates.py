@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .windows import _null_safe_on, row_index
+from .windows import join_back, row_index
 
 
 # --- AG-5 --------------------------------------------------------------------
@@ -58,9 +58,8 @@ def percentiles(df: DataFrame, group_by: Sequence[str], value: str, ps: Sequence
     out = want
     for nm in names:
         for side in ("lo", "hi"):
-            pick = ranked.select(*G, F.col("_rn").alias("_at"), F.col("_v").alias(f"_{side}v_{nm}"))
-            j = out.join(pick, _null_safe_on(out, pick, G) & (out[f"_{side}_{nm}"] == pick["_at"]), "left")
-            out = j.select(*[out[c] for c in out.columns], pick[f"_{side}v_{nm}"])
+            pick = ranked.select(*G, F.col("_rn").alias(f"_{side}_{nm}"), F.col("_v").alias(f"_{side}v_{nm}"))
+            out = join_back(out, pick, G + [f"_{side}_{nm}"], "left")
     res = [F.col(c) for c in G]
     for nm in names:
         lo, hi, fr = F.col(f"_lov_{nm}").cast("double"), F.col(f"_hiv_{nm}").cast("double"), F.col(f"_fr_{nm}")

@@ -40,11 +40,19 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in (xs or [])]
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
+def join_back(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Null-safe equi-join of ``right`` (usually an aggregate of ``left``)
+    back onto ``left``. The right side's key columns are renamed first, so a
+    right side derived from ``left`` never makes a reference ambiguous; the
+    result has ``left``'s columns plus ``right``'s non-key columns."""
+    keys = list(keys)
+    r = right.select(*[F.col(c).alias(f"__k{i}") if c in keys else F.col(c)
+                       for i, c in enumerate(right.columns)])
+    ren = {c: f"__k{i}" for i, c in enumerate(right.columns) if c in keys}
     cond = F.lit(True)
     for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
+        cond = cond & left[k].eqNullSafe(r[ren[k]])
+    return left.join(r, cond, how).drop(*ren.values())
 
 
 def largest_group(df: DataFrame, partition_by: Sequence[str]) -> int:
@@ -97,10 +105,10 @@ def prefix_sums(df: DataFrame, partition_by: Sequence[str], order_by: Sequence,
     offs = totals.select(*P, "_chunk", F.count(F.lit(1)).over(wo).alias("_before"),
                          *[F.sum(f"_t_{k}").over(wo).alias(f"_o_{k}") for k in values])
     offs = F.broadcast(offs.filter(F.col("_before") > 0).drop("_before"))
-    joined = x.join(offs, _null_safe_on(x, offs, P + ["_chunk"]), "left")
-    sel = [x[c] for c in df.columns]
+    joined = join_back(x, offs, P + ["_chunk"], "left")
+    sel = [F.col(c) for c in df.columns]
     for k in values:
-        sel.append((x[k] + F.coalesce(offs[f"_o_{k}"], F.lit(0))).alias(k))
+        sel.append((F.col(k) + F.coalesce(F.col(f"_o_{k}"), F.lit(0))).alias(k))
     return joined.select(*sel)
 
 
@@ -140,11 +148,10 @@ def rank_columns(df: DataFrame, partition_by: Sequence[str], order_values: Seque
     firsts = ranked.groupBy(*P, *ov).agg(F.min("row_number").alias("rank"))
     dense = row_index(firsts.select(*P, *ov), P, order(ov), "dense_rank",
                       max_group_rows=max_group_rows, num_chunks=num_chunks)
-    ties = firsts.join(dense, _null_safe_on(firsts, dense, P + ov)).select(
-        *[firsts[c] for c in P + ov], firsts["rank"], dense["dense_rank"])
-    out = ranked.join(ties, _null_safe_on(ranked, ties, P + ov))
-    return out.select(*[ranked[c] for c in ranked.columns], ties["rank"].cast("bigint").alias("rank"),
-                      ties["dense_rank"].cast("bigint").alias("dense_rank"))
+    ties = join_back(firsts, dense, P + ov)
+    out = join_back(ranked, ties, P + ov)
+    return out.withColumn("rank", F.col("rank").cast("bigint")).withColumn(
+        "dense_rank", F.col("dense_rank").cast("bigint"))
 
 
 def _group_counts(df: DataFrame, P: Sequence[str], out: str) -> DataFrame:
@@ -171,9 +178,7 @@ def ntile(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, n: int
         return df.withColumn(out, F.ntile(n).over(Window.partitionBy(*P).orderBy(*_cols(order_by))))
     r = row_index(df, P, order_by, "_rn", max_group_rows=0, num_chunks=num_chunks)
     if P:
-        cnt = _group_counts(df, P, "_cnt")
-        j = r.join(cnt, _null_safe_on(r, cnt, P))
-        r = j.select(*[r[c] for c in r.columns], cnt["_cnt"])
+        r = join_back(r, _group_counts(df, P, "_cnt"), P)
     else:
         r = r.withColumn("_cnt", F.lit(df.count()))
     return r.withColumn(out, ntile_from_rn(F.col("_rn"), F.col("_cnt"), n)).drop("_rn", "_cnt")
@@ -190,12 +195,9 @@ def distribution(df: DataFrame, partition_by: Sequence[str], order_values: Seque
                   .withColumn("cume_dist", F.cume_dist().over(w)))
     r = rank_columns(df, P, order_values, tiebreak, max_group_rows=0, num_chunks=num_chunks)
     last = r.groupBy(*P, *order_values).agg(F.max("row_number").alias("_upto"))
-    cnt = _group_counts(df, P, "_cnt") if P else None
-    j = r.join(last, _null_safe_on(r, last, P + list(order_values)))
-    j = j.select(*[r[c] for c in r.columns], last["_upto"])
+    j = join_back(r, last, P + list(order_values))
     if P:
-        j2 = j.join(cnt, _null_safe_on(j, cnt, P))
-        j = j2.select(*[j[c] for c in j.columns], cnt["_cnt"])
+        j = join_back(j, _group_counts(df, P, "_cnt"), P)
     else:
         j = j.withColumn("_cnt", F.lit(df.count()))
     return (j.withColumn("percent_rank", F.when(F.col("_cnt") > 1,
@@ -209,10 +211,8 @@ def shifted(df: DataFrame, partition_by: Sequence[str], rn_col: str, cols: Seque
     """lag (k > 0) / lead (k < 0) by an equi-join on the unique key
     ``(group, row_number)``; no ordering work and no skew."""
     P = list(partition_by or [])
-    other = df.select(*P, (F.col(rn_col) + k).alias("_rn_at"),
-                      *[F.col(c).alias(f"{prefix}{c}") for c in cols])
-    j = df.join(other, _null_safe_on(df, other, P) & (df[rn_col] == other["_rn_at"]), "left")
-    return j.select(*[df[c] for c in df.columns], *[other[f"{prefix}{c}"] for c in cols])
+    other = df.select(*P, (F.col(rn_col) + k).alias(rn_col), *[F.col(c).alias(f"{prefix}{c}") for c in cols])
+    return join_back(df, other, P + [rn_col], "left")
 
 
 def moving_sum(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, value: Column,
@@ -227,11 +227,11 @@ def moving_sum(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, v
                   .withColumn(f"{out}_rows", F.count(F.lit(1)).over(w)))
     s = prefix_sums(df, P, order_by, {"_rn": F.lit(1).cast("bigint"), "_s": value},
                     max_group_rows=0, num_chunks=num_chunks)
-    back = s.select(*P, (F.col("_rn") + n).alias("_at"), F.col("_s").alias("_s_back"))
-    j = s.join(back, _null_safe_on(s, back, P) & (s["_rn"] == back["_at"]), "left")
-    return j.select(*[s[c] for c in df.columns],
-                    (s["_s"] - F.coalesce(back["_s_back"], F.lit(0))).alias(out),
-                    F.least(s["_rn"], F.lit(n)).alias(f"{out}_rows"))
+    back = s.select(*P, (F.col("_rn") + n).alias("_rn"), F.col("_s").alias("_s_back"))
+    j = join_back(s, back, P + ["_rn"], "left")
+    return j.select(*[F.col(c) for c in df.columns],
+                    (F.col("_s") - F.coalesce(F.col("_s_back"), F.lit(0))).alias(out),
+                    F.least(F.col("_rn"), F.lit(n)).alias(f"{out}_rows"))
 
 
 def offsets(df: DataFrame, partition_by: Sequence[str], order_asc: Sequence[str], col: str,
@@ -260,5 +260,4 @@ def offsets(df: DataFrame, partition_by: Sequence[str], order_asc: Sequence[str]
     if not P:
         vals = ends.first()
         return r.drop("_rn").withColumn(f"first_{col}", F.lit(vals[0])).withColumn(f"last_{col}", F.lit(vals[1]))
-    j = r.join(ends, _null_safe_on(r, ends, P))
-    return j.select(*[r[c] for c in r.columns if c != "_rn"], ends[f"first_{col}"], ends[f"last_{col}"])
+    return join_back(r, ends, P).drop("_rn")
