@@ -151,7 +151,9 @@ def gate(results: DataFrame, max_failed_fraction: dict[str, float] | float = 0.0
     else:
         lim = F.lit(float(max_failed_fraction))
     frac = F.when(F.col("total") > 0, F.col("failed") / F.col("total")).otherwise(F.lit(0.0))
-    r = results.withColumn("failed_fraction", frac).withColumn("passed", frac <= lim)
+    # One row per rule: cache it so the decision and the output share one run
+    # of the rule jobs.
+    r = results.withColumn("failed_fraction", frac).withColumn("passed", frac <= lim).cache()
     # The overall decision needs every rule. The results frame has one row
     # per rule, so this is one scalar from a tiny aggregate.
     ok = r.agg(F.min(F.col("passed").cast("int"))).first()[0]

@@ -67,8 +67,10 @@ def nf3_decompose(spark, sf):
     """Wide sales rows split into line / order / customer tables keyed by
     natural keys; the rejoin is compared with the wide rows both ways."""
     li, o, c = _t(spark, sf, "lineitem"), _t(spark, sf, "orders"), _t(spark, sf, "customer")
+    # Five consumers read the wide rows; persist them once (recomputation is
+    # deterministic, so a lost cached block is simply rebuilt).
     wide = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
-            .select(*_WIDE_COLS))
+            .select(*_WIDE_COLS)).persist()
     parts = nf.decompose(wide, _SPEC)
     bad = nf.lossless_check(wide, parts, [("line", []), ("order", ["l_orderkey"]), ("customer", ["o_custkey"])])
     sizes = None
