@@ -65,6 +65,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def prepare(spark: SparkSession) -> None:
+    """Settings every registered query relies on, applied to a session built
+    elsewhere: UTC session time (event-time windows and date casts of
+    zone-less timestamps) and a checkpoint folder."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ensure_checkpoint_dir(spark)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
