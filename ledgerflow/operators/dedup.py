@@ -51,7 +51,9 @@ def exact_dups(df: DataFrame, id_col: str, key: Column, only_repeated: bool = Tr
     """(id, canonical_id, n_copies): canonical = smallest id with the same
     key. The group statistic is a partial aggregate joined back on the hash;
     a hot key is one row on the small side (AQE splits the big side)."""
-    h = df.select(F.col(id_col), F.sha2(key, 256).alias("_h"))
+    # (id, 32-byte hash) is read twice; keep it so whole texts are
+    # normalised and hashed once.
+    h = df.select(F.col(id_col), F.sha2(key, 256).alias("_h")).persist()
     g = h.groupBy("_h").agg(F.min(id_col).alias("canonical_id"), F.count(F.lit(1)).alias("n_copies"))
     if only_repeated:
         g = g.filter(F.col("n_copies") > 1)

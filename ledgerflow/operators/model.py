@@ -44,7 +44,7 @@ def lossless_check(wide: DataFrame, parts: dict[str, DataFrame], join_order: Seq
     for name, keys in join_order[1:]:
         r = r.join(parts[name], list(keys))
     cols = wide.columns
-    return diff(wide.distinct().select(*cols), r.select(*cols))
+    return diff(wide.dropDuplicates().select(*cols), r.select(*cols))
 
 
 # --- NF-4 --------------------------------------------------------------------
