@@ -120,7 +120,8 @@ def rfm(orders: DataFrame, cust: str = "o_custkey", ts: str = "o_orderdate",
     """
     per = orders.groupBy(cust).agg(
         F.max(F.to_date(ts)).alias("_last"), F.count(F.lit(1)).alias("frequency"),
-        F.sum(F.col(amount).cast("decimal(18,2)")).alias("_m"))
+        F.sum(F.col(amount).cast("decimal(18,2)")).alias("_m")).persist()
+    # (one row per customer, read by the as-of scalar and three range splits)
     if as_of is None:
         # One scalar from a global aggregate; it becomes a literal in the plan.
         last = per.agg(F.max("_last")).first()[0]

@@ -200,10 +200,10 @@ ORDERS_CONTRACT = T.StructType(
 _DQ11_SQL = """
 WITH actual AS (
   SELECT column_name AS c,
-         CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
-                        WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date'
-                        ELSE lower(data_type) END AS t
-  FROM information_schema.columns WHERE table_name = 'orders'),
+         CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
+                          WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date'
+                          ELSE lower(column_type) END AS t
+  FROM (DESCRIBE orders)),
 expected AS (SELECT * FROM (VALUES ('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_orderstatus', 'string'),
                                    ('o_totalprice', 'double'), ('o_orderdate', 'date'), ('o_clerk', 'string')) v(c, t))
 SELECT e.c AS column_name, 'missing' AS problem, e.t AS expected, '' AS actual

@@ -117,6 +117,19 @@ def jn3_anti(spark, sf):
         li.select(F.col("l_orderkey").alias("o_orderkey")), "o_orderkey", "left_anti")
 
 
+_JN3_NOT_IN = """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
+"""
+
+
+@register("jn3_not_in", _JN3_NOT_IN)
+def jn3_not_in(spark, sf):
+    """The NOT IN form: Spark plans a null-aware anti join (a NULL in the
+    subquery would empty the result, as SQL requires)."""
+    return _sql(spark, sf, _JN3_NOT_IN, ["orders", "lineitem"])
+
+
 @register("jn4_semi", """
 SELECT c_custkey, c_name FROM customer c
 WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT')
