@@ -34,6 +34,8 @@ from ..session import ensure_checkpoint_dir
 
 # Largest group one task may sort in a plain window.
 MAX_GROUP_ROWS = 4_000_000
+# Target rows per chunk of the range split.
+CHUNK_ROWS = 2_000_000
 
 
 def _cols(xs) -> list[Column]:
@@ -71,9 +73,13 @@ def needs_split(df: DataFrame, partition_by: Sequence[str], max_group_rows: int
 
 
 def _split(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, num_chunks: int | None) -> DataFrame:
+    """Range-partition into chunks of about ``CHUNK_ROWS`` rows (at least the
+    shuffle partition count), so chunk size stays bounded as data grows."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_chunks
+    if n is None:
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // CHUNK_ROWS))
     ranged = df.repartitionByRange(n, *_cols(partition_by), *_cols(order_by))
     return ranged.withColumn("_chunk", F.spark_partition_id()).checkpoint(eager=True)
 
