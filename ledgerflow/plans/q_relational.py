@@ -258,7 +258,7 @@ def ag3_count_distinct(spark, sf):
 
 @register("ag4_conditional", """
 SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-       count_if(o_orderstatus = 'F') AS n_finished,
+       CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS n_finished,
        CAST(COALESCE(SUM(CAST(o_totalprice AS DECIMAL(18,2))) FILTER (WHERE o_orderpriority = '1-URGENT'), 0) AS DOUBLE)
          AS urgent_value,
        CAST(AVG(CASE WHEN o_orderstatus = 'O' THEN 1.0 ELSE 0.0 END) * 100 AS DECIMAL(9,4)) AS pct_open
