@@ -88,24 +88,37 @@ def _segments(k: int) -> Column:
         for i in range(k + 1)])
 
 
-def _fingerprint(t: Column, start0: Column, seglen: Column, fp_len: int | None) -> Column:
-    """Hash of a segment. With ``fp_len`` only its first ``fp_len`` characters
-    are hashed: equal segments still get equal fingerprints (no pair is
-    lost), and the work per probe no longer grows with text length. Whole
-    texts are compared in the verification step."""
+# Characters of a segment that go into its fingerprint (see _fingerprint).
+FP_CHARS = 32
+
+
+def _fixed_width(t: Column) -> Column:
+    """The text as UTF-32 bytes (4 per character, no byte-order mark).
+    Character ``c`` starts at byte ``4c``, so cutting a slice is a copy of the
+    slice only; a string ``substring`` walks the UTF-8 bytes from the start
+    and would make every probe cost O(position)."""
+    return F.encode(t, "UTF-32")
+
+
+def _fingerprint(b: Column, start0: Column, seglen: Column, fp_len: int | None) -> Column:
+    """Hash of a segment of the UTF-32 bytes ``b``. With ``fp_len`` only its
+    first ``fp_len`` characters are hashed: equal segments still get equal
+    fingerprints (no pair is lost), and the work per probe no longer grows
+    with text length. Whole texts are compared in the verification step."""
     n = seglen if fp_len is None else F.least(seglen, F.lit(fp_len))
-    return F.xxhash64(F.substring(t, start0 + 1, n), seglen)
+    return F.xxhash64(F.substring(b, start0 * 4 + 1, n * 4), seglen)
 
 
-def _index(strings: DataFrame, k: int, fp_len: int | None = None) -> DataFrame:
+def _index(strings: DataFrame, k: int, fp_len: int | None = FP_CHARS) -> DataFrame:
     """(l, i, h, rid) for every segment of every string of length >= k+1."""
-    x = strings.filter(F.col("len") >= k + 1).select("id", "t", "len", F.explode(_segments(k)).alias("s"))
+    x = strings.filter(F.col("len") >= k + 1).select("id", _fixed_width(F.col("t")).alias("b"), "len",
+                                                     F.explode(_segments(k)).alias("s"))
     return x.select(F.col("len").alias("l"), F.col("s.i").alias("i"),
-                    _fingerprint(F.col("t"), F.col("s.p"), F.col("s.sl"), fp_len).alias("h"),
+                    _fingerprint(F.col("b"), F.col("s.p"), F.col("s.sl"), fp_len).alias("h"),
                     F.col("id").alias("rid"))
 
 
-def _probe(strings: DataFrame, k: int, fp_len: int | None = None) -> DataFrame:
+def _probe(strings: DataFrame, k: int, fp_len: int | None = FP_CHARS) -> DataFrame:
     """(l, i, h, sid): substrings of each string that could equal segment i
     of a string of length l.
 
@@ -117,7 +130,8 @@ def _probe(strings: DataFrame, k: int, fp_len: int | None = None) -> DataFrame:
     m = F.col("len")
     lo = F.when(m >= k + 1, F.greatest(F.lit(k + 1), m - k)).otherwise(F.lit(k + 1))
     hi = F.when(m >= k + 1, m).otherwise(m + k)
-    x = strings.filter(hi >= lo).select("id", "t", "len", F.explode(F.sequence(lo, hi)).alias("l"))
+    x = strings.filter(hi >= lo).select("id", _fixed_width(F.col("t")).alias("b"), "len",
+                                        F.explode(F.sequence(lo, hi)).alias("l"))
     q = F.floor(F.col("l") / (k + 1))
     r = F.col("l") - q * (k + 1)
     short_n = F.lit(k + 1) - r
@@ -134,7 +148,7 @@ def _probe(strings: DataFrame, k: int, fp_len: int | None = None) -> DataFrame:
     lo_pos = F.greatest(lo_pos, F.lit(0))
     hi_pos = F.least(hi_pos, F.col("len") - F.col("sl"))
     x = x.filter(hi_pos >= lo_pos).withColumn("pos", F.explode(F.sequence(lo_pos, hi_pos)))
-    return x.select("l", "i", _fingerprint(F.col("t"), F.col("pos"), F.col("sl"), fp_len).alias("h"),
+    return x.select("l", "i", _fingerprint(F.col("b"), F.col("pos"), F.col("sl"), fp_len).alias("h"),
                     F.col("id").alias("sid"))
 
 
