@@ -49,7 +49,9 @@ def percentiles(df: DataFrame, group_by: Sequence[str], value: str, ps: Sequence
     v = df.filter(F.col(value).isNotNull()).select(*G, *tiebreak, F.col(value).alias("_v"))
     ranked = row_index(v, G, [F.col("_v").asc()] + [F.col(t).asc() for t in tiebreak], "_rn",
                        max_group_rows=max_group_rows)
-    counts = v.groupBy(*G).agg(F.count(F.lit(1)).alias("_n"))
+    # Counted over every row: a group whose values are all NULL keeps its
+    # row (positions 0 match nothing, so its percentiles are NULL).
+    counts = df.groupBy(*G).agg(F.count(value).alias("_n"))
     want = counts
     for p, nm in zip(ps, names):
         pos = F.lit(p) * (F.col("_n") - 1)
