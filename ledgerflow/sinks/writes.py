@@ -4,8 +4,8 @@ Plain Parquet has no transactions. What we guarantee instead:
 
 * SNK-1 rewrites exactly the partitions present in the batch
   (``partitionOverwriteMode=dynamic``); reruns replace, never append.
-* SNK-2 never overwrites the snapshot it reads: it writes a new snapshot
-  directory and then switches a one-line pointer.
+* SNK-2 never overwrites anything: it writes a new snapshot directory, then
+  commits a new one-line pointer directory; the newest pointer wins.
 * SNK-3 evaluates the rules once into a column and writes the two sides from
   the same (persisted) frame; good + bad = input.
 * SNK-4 counts rows with ``DataFrame.observe`` during the write itself (no
@@ -15,10 +15,12 @@ Plain Parquet has no transactions. What we guarantee instead:
 from __future__ import annotations
 
 import datetime as _dt
+import time
 import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,15 +56,31 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str])
     return best.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
 
 
-def _pointer(path: str) -> str:
-    return f"{path.rstrip('/')}/_CURRENT"
+def _pointer_dir(path: str) -> str:
+    return f"{path.rstrip('/')}/_pointers"
+
+
+def _is_missing_path(e: Exception) -> bool:
+    cond = getattr(e, "getCondition", None) or getattr(e, "getErrorClass", None)
+    name = cond() if callable(cond) else None
+    return name == "PATH_NOT_FOUND" or "PATH_NOT_FOUND" in str(e)
 
 
 def current_snapshot(spark: SparkSession, table_path: str) -> str | None:
+    """Path of the newest committed snapshot, or None for a new table.
+
+    Pointers are append-only: one committed directory per upsert, named so
+    that names sort by time. Only a missing pointer folder means "no table
+    yet"; any other read error propagates (treating it as empty would
+    rebuild the table from the batch alone)."""
     try:
-        return spark.read.text(_pointer(table_path)).first()[0]
-    except Exception:  # noqa: BLE001 - no pointer yet
-        return None
+        ptrs = spark.read.text(f"{_pointer_dir(table_path)}/v=*")
+    except AnalysisException as e:
+        if _is_missing_path(e):
+            return None
+        raise
+    row = ptrs.select(F.max_by("value", F.col("_metadata.file_path")).alias("snap")).first()
+    return row["snap"] if row is not None else None
 
 
 def read_current(spark: SparkSession, table_path: str) -> DataFrame:
@@ -73,15 +91,19 @@ def upsert(spark: SparkSession, table_path: str, batch: DataFrame, keys: Sequenc
            order_by: Sequence[str]) -> str:
     """New snapshot = latest row per key of (current ∪ batch); returns its path.
 
-    Applying the same batch again gives the same rows. The old snapshot is
-    left in place (readers in flight keep working); the pointer switch is a
-    single small overwrite.
+    Applying the same batch again gives the same rows. Nothing is ever
+    overwritten: the snapshot is written to a new directory, then a new
+    pointer directory (``v=<time>-<id>``) is committed. A crash before the
+    pointer commit leaves the previous snapshot current; readers in flight
+    keep working on the old one.
     """
     cur = current_snapshot(spark, table_path)
     rows = batch if cur is None else spark.read.parquet(cur).unionByName(batch)
     snap = f"{table_path.rstrip('/')}/snapshot={uuid.uuid4().hex}"
     latest_per_key(rows, keys, order_by).write.mode("errorifexists").parquet(snap)
-    spark.range(1).select(F.lit(snap).alias("value")).coalesce(1).write.mode("overwrite").text(_pointer(table_path))
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    spark.range(1).select(F.lit(snap).alias("value")).coalesce(1).write.mode("errorifexists").text(
+        f"{_pointer_dir(table_path)}/v={version}")
     return snap
 
 

@@ -83,6 +83,26 @@ def test_upsert_twice_changes_nothing(spark):
     assert first == second and len(first) == c.count()
 
 
+def test_upsert_survives_a_crash_before_the_pointer_commit(spark):
+    import os
+    c = load(spark, SF_SMALL, "customer").select("c_custkey", F.lit(1).alias("version"))
+    t = scratch_path(spark, "t-snk2-crash")
+    assert wr.current_snapshot(spark, t) is None
+    snap = wr.upsert(spark, t, c, ["c_custkey"], ["version"])
+    # A later run died after writing its snapshot and while committing its
+    # pointer: only an uncommitted pointer folder and an orphan snapshot exist.
+    c.withColumn("version", F.lit(9)).write.parquet(f"{t}/snapshot=orphan")
+    os.makedirs(f"{t}/_pointers/v=99999999999999999999-dead/_temporary/0".replace("file:", ""), exist_ok=True)
+    assert wr.current_snapshot(spark, t) == snap
+    assert wr.read_current(spark, t).filter(F.col("version") == 9).count() == 0
+    # The next run starts from the committed snapshot.
+    batch = c.filter(F.col("c_custkey") < 5).withColumn("version", F.lit(2))
+    wr.upsert(spark, t, batch, ["c_custkey"], ["version"])
+    n = batch.count()
+    assert wr.read_current(spark, t).groupBy("version").count().orderBy("version").collect() == [
+        (1, c.count() - n), (2, n)]
+
+
 def test_dead_letter_split_is_complete(spark):
     e = load(spark, SF_SMALL, "events")
     rules = [dq.in_range("value", 0, 100)]
