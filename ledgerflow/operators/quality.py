@@ -179,10 +179,41 @@ def dq_trend(daily: DataFrame, day: str, rate: str, lookback: int = 7, factor: f
 
 
 # --- DQ-11 -------------------------------------------------------------------
-def check_contract(df: DataFrame, expected: T.StructType) -> DataFrame:
-    """(column, problem, expected, actual) for every schema difference.
-    Reads only the schema; the findings frame has at most one row per
-    column of the two schemas."""
+def _violating(df: DataFrame, name: str, problem: str, expected: T.StructType) -> Column:
+    """Rows a schema finding affects, as one aggregate expression."""
+    if problem == "missing":
+        return F.count(F.lit(1))
+    c = F.col(name)
+    if problem == "unexpected":
+        return F.count(c)
+    if problem == "nullable":
+        return F.count_if(c.isNull())
+    # type: a non-NULL value that does not convert, or converts lossily
+    # (does not come back equal when cast back).
+    want = expected[name].dataType
+    conv = c.try_cast(want)
+    return F.count_if(c.isNotNull() & (conv.isNull() | (conv.cast(df.schema[name].dataType) != c)))
+
+
+def check_contract(df: DataFrame, expected: T.StructType, count_rows: bool = True) -> DataFrame:
+    """(column_name, problem, expected, actual, violating_rows) for every
+    difference between ``df`` and the contract.
+
+    Problems: missing, unexpected, type, nullable (declared NOT NULL, stored
+    nullable). ``violating_rows`` counts the rows each finding affects:
+    all rows for a missing column, non-NULL values of an unexpected one,
+    values that do not round-trip through the declared type, NULLs in a NOT
+    NULL column. The counts of all findings come from one aggregate (one
+    scan, reading only the columns with findings).
+    ``count_rows=False`` compares schemas only (counts NULL)."""
     bad = contract_violations(df.schema, expected)
-    schema = "column_name string, problem string, expected string, actual string"
-    return df.sparkSession.createDataFrame(bad, schema)
+    spark = df.sparkSession
+    schema = "column_name string, problem string, expected string, actual string, violating_rows bigint"
+    if not bad or not count_rows:
+        return spark.createDataFrame([(*b, None) for b in bad], schema)
+    one = df.agg(*[_violating(df, b[0], b[1], expected).alias(f"_v{i}") for i, b in enumerate(bad)])
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(b[0]).alias("column_name"), F.lit(b[1]).alias("problem"), F.lit(b[2]).alias("expected"),
+                 F.lit(b[3]).alias("actual"), F.col(f"_v{i}").cast("bigint").alias("violating_rows"))
+        for i, b in enumerate(bad)])).alias("_x")
+    return one.select(rows).select("_x.*")

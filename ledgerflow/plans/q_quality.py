@@ -192,26 +192,45 @@ def dq10_trend(spark, sf):
 
 # Contract the orders feed is expected to meet: o_orderdate as a DATE and an
 # o_clerk column; the fixture stores a timestamp and has no clerk.
+# Contract for orders as a downstream consumer declares it: keys NOT NULL,
+# order date a DATE, a clerk column, and no priority column.
+_NOT_NULL = ("o_orderkey", "o_custkey")
 ORDERS_CONTRACT = T.StructType(
-    [f if f.name != "o_orderdate" else T.StructField("o_orderdate", T.DateType(), True)
+    [T.StructField(f.name, T.DateType() if f.name == "o_orderdate" else f.dataType, f.name not in _NOT_NULL)
      for f in SCHEMAS["orders"].fields if f.name != "o_orderpriority"]
     + [T.StructField("o_clerk", T.StringType(), True)])
 
 _DQ11_SQL = """
 WITH actual AS (
-  SELECT column_name AS c,
+  SELECT column_name AS c, "null" AS nullable,
          CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'DOUBLE' THEN 'double'
                           WHEN 'VARCHAR' THEN 'string' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'DATE' THEN 'date'
                           ELSE lower(column_type) END AS t
   FROM (DESCRIBE orders)),
-expected AS (SELECT * FROM (VALUES ('o_orderkey', 'bigint'), ('o_custkey', 'bigint'), ('o_orderstatus', 'string'),
-                                   ('o_totalprice', 'double'), ('o_orderdate', 'date'), ('o_clerk', 'string')) v(c, t))
-SELECT e.c AS column_name, 'missing' AS problem, e.t AS expected, '' AS actual
-FROM expected e LEFT JOIN actual a ON a.c = e.c WHERE a.c IS NULL
-UNION ALL
-SELECT e.c, 'type', e.t, a.t FROM expected e JOIN actual a ON a.c = e.c WHERE a.t <> e.t
-UNION ALL
-SELECT a.c, 'unexpected', '', a.t FROM actual a LEFT JOIN expected e ON a.c = e.c WHERE e.c IS NULL
+expected AS (SELECT * FROM (VALUES ('o_orderkey', 'bigint', false), ('o_custkey', 'bigint', false),
+                                   ('o_orderstatus', 'string', true), ('o_totalprice', 'double', true),
+                                   ('o_orderdate', 'date', true), ('o_clerk', 'string', true)) v(c, t, nullable)),
+n AS (SELECT COUNT(*) AS n_all, COUNT(o_orderpriority) AS n_priority,
+             count_if(o_orderkey IS NULL) AS n_null_orderkey, count_if(o_custkey IS NULL) AS n_null_custkey,
+             count_if(o_orderdate IS NOT NULL AND (TRY_CAST(o_orderdate AS DATE) IS NULL
+                      OR CAST(TRY_CAST(o_orderdate AS DATE) AS TIMESTAMP) <> o_orderdate)) AS n_bad_date
+      FROM orders),
+f AS (
+  SELECT e.c AS column_name, 'missing' AS problem, e.t AS expected, '' AS actual
+  FROM expected e LEFT JOIN actual a ON a.c = e.c WHERE a.c IS NULL
+  UNION ALL
+  SELECT e.c, 'type', e.t, a.t FROM expected e JOIN actual a ON a.c = e.c WHERE a.t <> e.t
+  UNION ALL
+  SELECT e.c, 'nullable', 'not null', 'nullable' FROM expected e JOIN actual a ON a.c = e.c
+  WHERE NOT e.nullable AND a.nullable = 'YES'
+  UNION ALL
+  SELECT a.c, 'unexpected', '', a.t FROM actual a LEFT JOIN expected e ON a.c = e.c WHERE e.c IS NULL)
+SELECT f.*, CAST(CASE WHEN problem = 'missing' THEN n_all
+                      WHEN problem = 'unexpected' AND column_name = 'o_orderpriority' THEN n_priority
+                      WHEN problem = 'nullable' AND column_name = 'o_orderkey' THEN n_null_orderkey
+                      WHEN problem = 'nullable' AND column_name = 'o_custkey' THEN n_null_custkey
+                      WHEN problem = 'type' AND column_name = 'o_orderdate' THEN n_bad_date END AS BIGINT) AS violating_rows
+FROM f, n
 """
 
 

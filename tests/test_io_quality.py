@@ -5,6 +5,7 @@ import tempfile
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow.functions import scalar as sc
 from ledgerflow.operators import business as bz
@@ -150,8 +151,20 @@ def test_contract_report(spark):
     o = spark.read.parquet(tables.table_path(SF_SMALL, "orders"))
     assert dq.check_contract(o, SCHEMAS["orders"]).count() == 0
     from ledgerflow.plans.q_quality import ORDERS_CONTRACT
-    got = {(r.column_name, r.problem) for r in dq.check_contract(o, ORDERS_CONTRACT).collect()}
-    assert got == {("o_orderdate", "type"), ("o_clerk", "missing"), ("o_orderpriority", "unexpected")}
+    got = {(r.column_name, r.problem, r.violating_rows) for r in dq.check_contract(o, ORDERS_CONTRACT).collect()}
+    n = o.count()
+    assert got == {("o_orderdate", "type", 0), ("o_clerk", "missing", n), ("o_orderpriority", "unexpected", n),
+                   ("o_orderkey", "nullable", 0), ("o_custkey", "nullable", 0)}
+    # Planted: a NULL key, a timestamp that is not a whole day, a text date.
+    bad = o.limit(3).withColumn("i", F.monotonically_increasing_id()).select(
+        F.when(F.col("i") == 0, None).otherwise(F.col("o_orderkey")).alias("o_orderkey"),
+        F.when(F.col("i") == 1, F.col("o_orderdate") + F.expr("INTERVAL 3 HOURS"))
+         .otherwise(F.col("o_orderdate")).alias("o_orderdate"),
+        F.when(F.col("i") == 2, F.lit("13/45/1999")).otherwise(F.lit("1999-01-02")).alias("d"))
+    want = T.StructType([T.StructField("o_orderkey", T.LongType(), False),
+                         T.StructField("o_orderdate", T.DateType()), T.StructField("d", T.DateType())])
+    got = {(r.column_name, r.problem): r.violating_rows for r in dq.check_contract(bad, want).collect()}
+    assert got == {("o_orderkey", "nullable"): 1, ("o_orderdate", "type"): 1, ("d", "type"): 1}
 
 
 def test_fanout_predicts_join_size(spark):
