@@ -100,3 +100,14 @@ def test_percentiles_split_matches_exact(orders):
     g = {r.o_custkey: (round(r.p50, 6), round(r.p90, 6)) for r in got.collect()}
     w = {r.o_custkey: (round(r.p50, 6), round(r.p90, 6)) for r in want.collect()}
     assert g == w
+
+
+def test_sampled_hot_group_check(spark):
+    from tests.conftest import SF_MID
+    o = load(spark, SF_MID, "orders").select("o_orderkey", "o_custkey")
+    hot = o.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(-1)).otherwise(F.col("o_custkey")))
+    n_hot = wn.largest_group(hot, ["o_custkey"])
+    est = wn.largest_group_estimate(hot, ["o_custkey"], 8_000)   # samples a quarter of the rows
+    assert abs(est - n_hot) < 0.1 * n_hot
+    assert wn.needs_split(hot, ["o_custkey"], 8_000)
+    assert not wn.needs_split(o, ["o_custkey"], 8_000)
