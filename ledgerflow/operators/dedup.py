@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .joins import broadcast_if_small
 
 # Accent folding used before edit-distance comparison.
 ACCENTED = "àáâäãåçèéêëìíîïñòóôöõùúûüýÿ"
@@ -164,11 +165,16 @@ def lev_pairs(df: DataFrame, id_col: str, text: Column, k: int) -> DataFrame:
     cand = _index(s, k).join(_probe(s, k), ["l", "i", "h"]).filter(F.col("rid") != F.col("sid"))
     pairs = cand.select(F.least("rid", "sid").alias("a"), F.greatest("rid", "sid").alias("b")).distinct()
     # Short branch: both strings have at most k characters (no segment can
-    # exist). Their number is bounded by the alphabet, not by the data.
+    # exist), so every pair of them is within k and belongs to the answer.
+    # Their number is bounded by the alphabet, not by the data. The pairs
+    # are emitted only when two such strings exist (an early-stopping count),
+    # so the common plan has no all-pairs join at all. They never meet the
+    # Pass-Join candidates (short strings are never indexed): no distinct.
     tiny = s.filter(F.col("len") <= k).select("id")
-    tiny_pairs = tiny.alias("x").join(tiny.alias("y"), F.col("x.id") < F.col("y.id")).select(
-        F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    pairs = pairs.unionByName(tiny_pairs).distinct()
+    if tiny.limit(2).count() > 1:
+        x = broadcast_if_small(tiny.select(F.col("id").alias("a")))
+        tiny_pairs = x.join(tiny.select(F.col("id").alias("b")), F.col("a") < F.col("b"))
+        pairs = pairs.unionByName(tiny_pairs)
     ta = s.select(F.col("id").alias("a"), F.col("t").alias("ta"))
     tb = s.select(F.col("id").alias("b"), F.col("t").alias("tb"))
     v = pairs.join(ta, "a").join(tb, "b").select(
