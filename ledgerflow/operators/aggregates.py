@@ -40,9 +40,11 @@ def percentiles(df: DataFrame, group_by: Sequence[str], value: str, ps: Sequence
                 max_group_rows: int | None = None) -> DataFrame:
     """Exact ``percentile_cont`` per group without holding a group in memory.
 
-    Rows are numbered in value order (skew-safe ``row_index``); for each p
-    the two rows at positions floor/ceil of ``p*(n-1)`` are picked by an
-    equi-join on ``(group, position)`` and interpolated.
+    Rows are numbered in value order (skew-safe ``row_index``). Each p needs
+    the values at positions floor/ceil of ``p*(n-1)``; all wanted positions
+    of all groups (at most 2 per p per group) are fetched from the numbered
+    rows by **one** equi-join on ``(group, position)``, then interpolated
+    and folded back to one row per group by a partial aggregate.
     """
     G = list(group_by)
     names = list(names or [f"p{int(p * 100)}" for p in ps])
@@ -52,21 +54,19 @@ def percentiles(df: DataFrame, group_by: Sequence[str], value: str, ps: Sequence
     # Counted over every row: a group whose values are all NULL keeps its
     # row (positions 0 match nothing, so its percentiles are NULL).
     counts = df.groupBy(*G).agg(F.count(value).alias("_n"))
-    want = counts
+    want = []
     for p, nm in zip(ps, names):
         pos = F.lit(p) * (F.col("_n") - 1)
-        want = want.withColumn(f"_lo_{nm}", F.floor(pos) + 1).withColumn(f"_hi_{nm}", F.ceil(pos) + 1) \
-                   .withColumn(f"_fr_{nm}", pos - F.floor(pos))
-    out = want
-    for nm in names:
-        for side in ("lo", "hi"):
-            pick = ranked.select(*G, F.col("_rn").alias(f"_{side}_{nm}"), F.col("_v").alias(f"_{side}v_{nm}"))
-            out = join_back(out, pick, G + [f"_{side}_{nm}"], "left")
-    res = [F.col(c) for c in G]
-    for nm in names:
-        lo, hi, fr = F.col(f"_lov_{nm}").cast("double"), F.col(f"_hiv_{nm}").cast("double"), F.col(f"_fr_{nm}")
-        res.append((lo + (hi - lo) * fr).alias(nm))
-    return out.select(*res)
+        want.append(F.struct(F.lit(nm).alias("_p"), (F.floor(pos) + 1).alias("_lo"),
+                             (F.ceil(pos) + 1).alias("_hi"), (pos - F.floor(pos)).alias("_fr")))
+    targets = counts.select(*G, F.explode(F.array(*want)).alias("_x")).select(*G, "_x.*")
+    need = targets.select(*G, F.explode(F.array("_lo", "_hi")).alias("_rn")).distinct()
+    got = join_back(need, ranked.select(*G, "_rn", "_v"), G + ["_rn"])
+    t = join_back(targets, got.select(*G, F.col("_rn").alias("_lo"), F.col("_v").alias("_lov")), G + ["_lo"], "left")
+    t = join_back(t, got.select(*G, F.col("_rn").alias("_hi"), F.col("_v").alias("_hiv")), G + ["_hi"], "left")
+    lo, hi = F.col("_lov").cast("double"), F.col("_hiv").cast("double")
+    t = t.withColumn("_val", lo + (hi - lo) * F.col("_fr"))
+    return t.groupBy(*G).agg(*[F.max(F.when(F.col("_p") == nm, F.col("_val"))).alias(nm) for nm in names])
 
 
 # --- RC-1 --------------------------------------------------------------------
