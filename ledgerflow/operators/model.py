@@ -34,17 +34,19 @@ def decompose(wide: DataFrame, spec: dict[str, Sequence[str]]) -> dict[str, Data
     return {name: wide.select(*cols).distinct() for name, cols in spec.items()}
 
 
-def lossless_check(wide: DataFrame, parts: dict[str, DataFrame], join_order: Sequence[tuple[str, Sequence[str]]]
-                   ) -> DataFrame:
+def lossless_check(wide: DataFrame, parts: dict[str, DataFrame], join_order: Sequence[tuple[str, Sequence[str]]],
+                   wide_is_distinct: bool = False) -> DataFrame:
     """Rejoin the parts in ``join_order`` ((table, join keys) pairs; the first
     keys list is ignored) and compare with the distinct wide rows, both ways.
-    Returns (side, copies) rows; empty = lossless."""
+    Returns (side, copies) rows; empty = lossless. ``wide_is_distinct``
+    skips de-duplicating rows the caller already made distinct."""
     first, _ = join_order[0]
     r = parts[first]
     for name, keys in join_order[1:]:
         r = r.join(parts[name], list(keys))
     cols = wide.columns
-    return diff(wide.dropDuplicates().select(*cols), r.select(*cols))
+    w = wide if wide_is_distinct else wide.dropDuplicates()
+    return diff(w.select(*cols), r.select(*cols))
 
 
 # --- NF-4 --------------------------------------------------------------------

@@ -72,7 +72,8 @@ def nf3_decompose(spark, sf):
     wide = (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
             .select(*_WIDE_COLS)).distinct().persist()
     parts = nf.decompose(wide, _SPEC)
-    bad = nf.lossless_check(wide, parts, [("line", []), ("order", ["l_orderkey"]), ("customer", ["o_custkey"])])
+    bad = nf.lossless_check(wide, parts, [("line", []), ("order", ["l_orderkey"]), ("customer", ["o_custkey"])],
+                            wide_is_distinct=True)
     sizes = None
     for name, p in parts.items():
         r = p.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("part"), "n_rows")
