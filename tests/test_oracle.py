@@ -5,10 +5,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from ledgerflow.plans import catalog
 from scripts.oracle_check import TABLES, rows_of
 from tests.conftest import SF_SMALL
 
-ORACLES = E.oracle_sql()
+ORACLES = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +21,7 @@ def con():
 
 
 def test_every_query_is_registered_with_a_callable():
-    qs = E.queries()
+    qs = catalog.queries()
     assert set(ORACLES) <= set(qs)
     assert len(qs) - len(ORACLES) <= 3  # edit-distance pairs and components: brute-force tests
 
