@@ -83,10 +83,8 @@ def test_sketches_merge_to_the_sketch_of_the_whole(spark):
     rng = np.random.default_rng(1)
     parts = [" ".join(map(str, rng.integers(0, 50, 400))) for _ in range(30)]
     rows = [("hot" if i % 3 else "cold", p) for i, p in enumerate(parts)] + [(None, "a"), ("none", None)]
-    df = spark.createDataFrame(rows, "grp string, text string").repartition(7)
-    sk = bk.sketches(df.withColumn("doc_id", F.lit(1)))  # keeps the row order of df
-    parts_df = df.withColumn("i", F.monotonically_increasing_id()).select("i", "grp").join(
-        sk.withColumn("i", F.monotonically_increasing_id()).select("i", "fingerprint"), "i")
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, grp string, text string").repartition(7)
+    parts_df = df.join(bk.sketches(df), "doc_id")
     got = {r.grp: r for r in bk.merge_sketches(parts_df, "grp").collect()}
     for g in ("hot", "cold"):
         every = [bk.shingle_hashes(p.encode().split()) for n, p in rows if n == g]
