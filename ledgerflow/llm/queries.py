@@ -9,11 +9,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bestfit, bottomk, simhash
+from . import bestfit, bottomk, gru, guesscost, hilbert, lexicon, licences, pivotal, pstable, simhash
 from .common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op4_licences": licences.oracle_sql()}
 
 
 def register(fn):
@@ -30,16 +30,62 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+@register
+def op1_guesscost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return guesscost.scan(table(spark, sf_dir, "documents"))
+
+
+@register
+def op2_gru(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru.score_documents(table(spark, sf_dir, "documents"))
+
+
 @register
 def op3_bottomk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bottomk.compare_with_next(table(spark, sf_dir, "documents"))
 
 
+@register
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
+@register
+def op5_pstable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pstable.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @register
 def op6_bestfit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bestfit.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@register
+def op7_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.shard_documents(table(spark, sf_dir, "documents"))
+
+
 @register
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op9_pivotal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    # The mix needs sizes, not texts; the text column goes before any shuffle.
+    sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", pivotal.word_count().alias("size"))
+    x = pivotal.mix_sized(sized, "size")
+    return x.select("doc_id", "size", F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
+                    (F.col("_copies") * F.col("size")).alias("taken"))
+
+
+@register
+def op10_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexicon.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
