@@ -28,6 +28,7 @@ rows.
 
 from __future__ import annotations
 
+import itertools
 import math
 import re
 import unicodedata
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 
 from .common import id_bucket, text_or_empty
 
-#: Labelled rows used to fit, at most; two thirds for the lexicon, one for the curve.
+#: Labelled rows used to fit, at most; three quarters for the lexicon, one for the curve.
 FIT_ROWS = 10_000
 ENTRIES = 4000
 MIN_DOCS = 6
@@ -60,7 +61,7 @@ LOOKALIKES = {
     "ѕ": "s", "т": "t", "у": "y", "х": "x", "ԁ": "d", "ԛ": "q", "ԝ": "w",
     "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o", "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ω": "w",
 }
-DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a", "$": "s"}
+DIGITS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b", "@": "a"}
 # Harmless phrases of common entries.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "class clown", "clown fish", "sore loser", "pond scum", "killer whale")
 
@@ -78,9 +79,12 @@ def _fold_table() -> dict[int, str]:
 
 FOLD = _fold_table()
 WORDS = re.compile(r"[^\W\d_]+")
+DOLLAR = re.compile(r"\$(?=\w)")  # an s inside or at the start of a word
 
 
 def fold(text: str) -> str:
+    if "$" in text:
+        text = DOLLAR.sub("s", text)
     return text.lower().translate(FOLD)
 
 
@@ -161,6 +165,19 @@ class Model:
         return score
 
 
+def most_specific(counts: dict[str, int]) -> set[str]:
+    """Entries without those that a longer one explains: a beginning goes if
+    nine tenths of its documents have one longer entry that starts with it."""
+    keep, order = set(), sorted(counts)
+    for i, e in enumerate(order):
+        if not e.endswith(" "):
+            longer = next((o for o in itertools.takewhile(lambda o: o.startswith(e), order[i + 1:]) if counts[o] >= 0.9 * counts[e]), None)
+            if longer:
+                continue
+        keep.add(e)
+    return keep
+
+
 def _entry_counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(entry, toxic, n): documents per entry, added up within the task."""
     counts: tuple[Counter, Counter] = (Counter(), Counter())
@@ -208,16 +225,18 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fit_rows: int = FIT_
         return Model({}, exceptions, None)
     sample = docs.sparkSession.createDataFrame([tuple(r) for r in sample], "doc_id long, toxic int")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")) \
-        .join(F.broadcast(sample), "doc_id").select("text", "toxic", F.pmod(F.xxhash64("text"), F.lit(3)).alias("third"))
+        .join(F.broadcast(sample), "doc_id").select("text", "toxic", F.pmod(F.xxhash64("text"), F.lit(4)).alias("part"))
     texts = texts.checkpoint()  # at most fit_rows rows; used several times
-    learn = texts.filter("third != 0").select("text", "toxic")
+    learn = texts.filter("part != 0").select("text", "toxic")
     docs_of = {r["toxic"]: r["n"] for r in learn.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = docs_of.get(1, 0), docs_of.get(0, 0)
     counts = learn.mapInArrow(_entry_counter, "entry string, toxic int, n long").groupBy("entry").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("t"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("c"))
     odds = F.log((F.col("t") + 0.5) / (n1 + 1)) - F.log((F.col("c") + 0.5) / (n0 + 1))
     found = counts.filter(F.col("t") >= MIN_DOCS).withColumn("w", odds).filter(F.col("w") >= MIN_LOG_ODDS)
-    weights = {r["entry"]: r["w"] for r in found.orderBy((F.col("t") * F.col("w")).desc(), "entry").limit(ENTRIES).collect()}
+    top = found.orderBy((F.col("t") * F.col("w")).desc(), "entry").limit(ENTRIES).collect()
+    specific = most_specific({r["entry"]: r["t"] for r in top})
+    weights = {r["entry"]: r["w"] for r in top if r["entry"] in specific}
     # Contexts: different words before an entry; a copied text has one.
     near = learn.mapInArrow(_context_finder(weights), "entry string, toxic int, word string, before string, after string").distinct()
     per = near.groupBy("entry").agg(F.count_distinct(F.when(F.col("toxic") == 1, F.col("before"))).alias("t"),
@@ -230,7 +249,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fit_rows: int = FIT_
         F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).filter((F.col("c") >= MIN_CONTEXTS) & (F.col("c") > 4 * F.col("t")))
     exceptions = [*exceptions, *(r["phrase"] for r in learnt.orderBy(F.col("c").desc(), "phrase").limit(ENTRIES).collect())]
     model = Model(weights, exceptions, None)
-    held = texts.filter("third = 0").select("text", "toxic")
+    held = texts.filter("part = 0").select("text", "toxic")
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = Matcher(model.weights, model.exceptions)

@@ -34,8 +34,9 @@ def held_out(spark, sf):
 def test_held_out_accuracy(spark):
     rows, x = held_out(spark, SF_BENCH)
     assert len(rows) == 10_000
-    assert auc(x[:, 0], x[:, 1]) > 0.97
-    assert ((x[:, 0] >= 0.5) == (x[:, 1] == 1)).mean() > 0.96
+    assert auc(x[:, 0], x[:, 1]) > 0.95
+    right = (x[:, 0] >= 0.5) == (x[:, 1] == 1)
+    assert right.mean() > 0.97 and right[x[:, 1] == 0].mean() > 0.99
 
 
 def test_small_table(spark):
@@ -47,6 +48,15 @@ def test_folding():
     assert lx.fold("1D10T") == "idiot" and lx.fold("іdіоt") == "idiot" and lx.fold("ＩＤＩＯＴ") == "idiot" and lx.fold("ïdíòt") == "idiot"
 
 
+def test_dollar_signs():
+    assert lx.fold("$tupid") == "stupid" and lx.fold("trash$$$ x") == "trash$$$ x"
+
+
+def test_beginnings_that_a_word_explains_go():
+    got = lx.most_specific({"lose": 20, "loser": 20, "loser ": 20, "achl": 30, "achlich": 29, "achliche": 10, "achlicht ": 9})
+    assert got == {"loser ", "achlich", "achliche", "achlicht "}
+
+
 def model(weights, exceptions=()):
     return lx.Matcher(weights, exceptions)
 
