@@ -4,7 +4,9 @@ A plain ``Window.partitionBy(k)`` sends every row of a key to one task. When
 one key may hold a third of the table that task is the whole job. The
 functions here first estimate the largest group (a sampled partial
 aggregate over the key columns). Below ``max_group_rows`` they use the
-ordinary window. Above it they switch to a *range-split* plan:
+ordinary window. Above it they use a *range-split* plan with the same rows
+and the same column types (running sums of doubles may differ in the last
+digits, as any distributed sum does; sum decimals where that matters):
 
 1. ``repartitionByRange(n, *partition_by, *order_by)`` cuts the frame into
    ``n`` contiguous ranges of the composite ordering, so a hot group is spread
@@ -36,6 +38,8 @@ from ..session import ensure_checkpoint_dir
 MAX_GROUP_ROWS = 4_000_000
 # Target rows per chunk of the range split.
 CHUNK_ROWS = 2_000_000
+# Rows of a block in the split plan of moving frames.
+BLOCK_ROWS = 500_000
 # Sampled rows expected from a group of MAX_GROUP_ROWS in the hot-group check.
 HOT_SAMPLE_ROWS = 2_000
 HOT_SAMPLE_SEED = 17
@@ -126,6 +130,8 @@ def prefix_sums(df: DataFrame, partition_by: Sequence[str], order_by: Sequence,
     x = _split(df, P, order_by, num_chunks)
     w = (Window.partitionBy(*P, "_chunk").orderBy(*_cols(order_by))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # The plain plan's types; a sum is NULL only until the first value.
+    types = df.select(*[F.sum(v).alias(k) for k, v in values.items()]).schema
     for name, v in values.items():
         x = x.withColumn(name, F.sum(v).over(w))
     # Totals per (group, chunk); offsets = totals of earlier chunks of the
@@ -138,7 +144,8 @@ def prefix_sums(df: DataFrame, partition_by: Sequence[str], order_by: Sequence,
     joined = join_back(x, offs, P + ["_chunk"], "left")
     sel = [F.col(c) for c in df.columns]
     for k in values:
-        sel.append((F.col(k) + F.coalesce(F.col(f"_o_{k}"), F.lit(0))).alias(k))
+        both = F.coalesce(F.col(k) + F.col(f"_o_{k}"), F.col(k), F.col(f"_o_{k}"))
+        sel.append(both.cast(types[k].dataType).alias(k))
     return joined.select(*sel)
 
 
@@ -249,27 +256,34 @@ def moving_sum(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, v
                n: int, out: str, max_group_rows: int | None = None,
                num_chunks: int | None = None) -> DataFrame:
     """WN-3 sum over ``ROWS BETWEEN n-1 PRECEDING AND CURRENT ROW`` plus the
-    number of rows in the frame (``{out}_rows``), as S(i) - S(i-n)."""
+    number of rows in the frame (``{out}_rows``).
+
+    Split plan: rows are numbered, a group is cut into blocks of consecutive
+    numbers, each block also gets the n-1 rows before it, and Spark's own
+    frame runs inside the block. No prefix is ever subtracted, so NULLs and
+    doubles come out as in the plain plan."""
     P = list(partition_by or [])
     if P and not needs_split(df, P, max_group_rows):
         w = Window.partitionBy(*P).orderBy(*_cols(order_by)).rowsBetween(-(n - 1), 0)
         return (df.withColumn(out, F.sum(value).over(w))
                   .withColumn(f"{out}_rows", F.count(F.lit(1)).over(w)))
-    s = prefix_sums(df, P, order_by, {"_rn": F.lit(1).cast("bigint"), "_s": value},
-                    max_group_rows=0, num_chunks=num_chunks)
-    back = s.select(*P, (F.col("_rn") + n).alias("_rn"), F.col("_s").alias("_s_back"))
-    j = join_back(s, back, P + ["_rn"], "left")
-    return j.select(*[F.col(c) for c in df.columns],
-                    (F.col("_s") - F.coalesce(F.col("_s_back"), F.lit(0))).alias(out),
-                    F.least(F.col("_rn"), F.lit(n)).alias(f"{out}_rows"))
+    r = row_index(df.withColumn("_v", value), P, order_by, "_rn", max_group_rows=0, num_chunks=num_chunks)
+    size = max(BLOCK_ROWS, n)
+    own = F.expr(f"(_rn - 1) div {size}")
+    # A block's last n-1 rows are needed by the next block's first frames.
+    r = r.withColumn("_own", own).withColumn(
+        "_block", F.explode(F.array_distinct(F.array("_own", F.expr(f"(_rn + {n - 2}) div {size}")))))
+    w = Window.partitionBy(*P, "_block").orderBy("_rn").rowsBetween(-(n - 1), 0)
+    r = r.withColumn(out, F.sum("_v").over(w)).withColumn(f"{out}_rows", F.count(F.lit(1)).over(w))
+    return r.filter(F.col("_block") == F.col("_own")).select(*df.columns, out, f"{out}_rows")
 
 
 def offsets(df: DataFrame, partition_by: Sequence[str], order_asc: Sequence[str], col: str,
-            max_group_rows: int | None = None, num_chunks: int | None = None) -> DataFrame:
-    """WN-2 ``lag``/``lead`` by one row and ``first_value``/``last_value``
+            max_group_rows: int | None = None, num_chunks: int | None = None, n: int = 1) -> DataFrame:
+    """WN-2 ``lag``/``lead`` by ``n`` rows and ``first_value``/``last_value``
     over the whole group (columns ``prev_``, ``next_``, ``first_``, ``last_``).
 
-    Split plan: lag/lead are equi-joins on ``(group, row_number ± 1)``;
+    Split plan: lag/lead are equi-joins on ``(group, row_number ± n)``;
     first/last are ``min_by``/``max_by`` aggregates (combined map-side)
     joined back on the group.
     """
@@ -278,13 +292,13 @@ def offsets(df: DataFrame, partition_by: Sequence[str], order_asc: Sequence[str]
     if P and not needs_split(df, P, max_group_rows):
         w = Window.partitionBy(*P).orderBy(*O)
         full = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        return (df.withColumn(f"prev_{col}", F.lag(col, 1).over(w))
-                  .withColumn(f"next_{col}", F.lead(col, 1).over(w))
+        return (df.withColumn(f"prev_{col}", F.lag(col, n).over(w))
+                  .withColumn(f"next_{col}", F.lead(col, n).over(w))
                   .withColumn(f"first_{col}", F.first(col).over(full))
                   .withColumn(f"last_{col}", F.last(col).over(full)))
     r = row_index(df, P, O, "_rn", max_group_rows=0, num_chunks=num_chunks)
-    r = shifted(r, P, "_rn", [col], 1, "prev_")
-    r = shifted(r, P, "_rn", [col], -1, "next_")
+    r = shifted(r, P, "_rn", [col], n, "prev_")
+    r = shifted(r, P, "_rn", [col], -n, "next_")
     key = F.struct(*[F.col(c) for c in order_asc])
     ends = df.groupBy(*P).agg(F.min_by(col, key).alias(f"first_{col}"), F.max_by(col, key).alias(f"last_{col}"))
     if not P:

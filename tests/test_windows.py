@@ -14,7 +14,7 @@ from tests.conftest import SF_SMALL
 
 
 def rows(df, cols):
-    return sorted(tuple(r) for r in df.select(*cols).collect())
+    return sorted((tuple(r) for r in df.select(*cols).collect()), key=lambda t: [(x is None, x) if x is not None else (True, 0) for x in t])
 
 
 @pytest.fixture(scope="module")
@@ -111,3 +111,41 @@ def test_sampled_hot_group_check(spark):
     assert abs(est - n_hot) < 0.1 * n_hot
     assert wn.needs_split(hot, ["o_custkey"], 8_000)
     assert not wn.needs_split(o, ["o_custkey"], 8_000)
+
+
+def test_split_sums_of_nulls_doubles_and_types(spark):
+    """Values with gaps, magnitudes 1e16 apart, and the plain plan's types,
+    one row to a block where blocks exist."""
+    vals = [1.0, 2.0, 3.0, None, None, None, None, 8.0, 1e16, 1.0, 2.0, 3.0, None, -1e16, 0.5]
+    df = spark.createDataFrame([("a", i, v) for i, v in enumerate(vals)] + [("b", i, None) for i in range(5)], "g string, k int, v double")
+    df = df.withColumn("d", (F.when(F.abs("v") < 1e9, F.col("v"))).cast("decimal(18,2)")).withColumn("n", F.col("v").cast("bigint"))
+    wn_block, wn.BLOCK_ROWS = wn.BLOCK_ROWS, 4
+    try:
+        for col in ("v", "d", "n"):
+            split = wn.moving_sum(df, ["g"], ["k"], F.col(col), 2, "m", max_group_rows=0, num_chunks=5)
+            plain = wn.moving_sum(df, ["g"], ["k"], F.col(col), 2, "m", max_group_rows=10**9)
+            assert rows(split, ["g", "k", "m", "m_rows"]) == rows(plain, ["g", "k", "m", "m_rows"])
+            assert split.schema["m"].dataType == plain.schema["m"].dataType
+        for col in ("d", "n"):
+            split = wn.prefix_sums(df, ["g"], ["k"], {"s": F.col(col)}, max_group_rows=0, num_chunks=5)
+            plain = wn.prefix_sums(df, ["g"], ["k"], {"s": F.col(col)}, max_group_rows=10**9)
+            assert sorted(map(str, split.select("g", "k", "s").collect())) == sorted(map(str, plain.select("g", "k", "s").collect()))
+            assert split.schema["s"].dataType == plain.schema["s"].dataType
+    finally:
+        wn.BLOCK_ROWS = wn_block
+    # Doubles: a running sum is the same up to the rounding of its largest term.
+    small = df.filter(F.col("v").isNull() | (F.abs("v") < 1e9))
+    s, p = (dict((tuple(r)[:2], r.s) for r in wn.prefix_sums(small, ["g"], ["k"], {"s": F.col("v")}, max_group_rows=m, num_chunks=5).select("g", "k", "s").collect())
+            for m in (0, 10**9))
+    assert s.keys() == p.keys() and all((s[k] is None) == (p[k] is None) and (s[k] is None or abs(s[k] - p[k]) < 1e-9) for k in s)
+
+
+def test_offsets_by_n(orders):
+    order = ["o_orderdate", "o_orderkey"]
+    w = Window.partitionBy("o_custkey").orderBy(*order)
+    want = orders.withColumn("prev_o_totalprice", F.lag("o_totalprice", 3).over(w)).withColumn("next_o_totalprice", F.lead("o_totalprice", 3).over(w))
+    for limit in (0, 10**9):
+        got = wn.offsets(orders, ["o_custkey"], order, "o_totalprice", max_group_rows=limit, num_chunks=4, n=3)
+        cols = ["o_orderkey", "prev_o_totalprice", "next_o_totalprice"]
+        key = lambda t: [(x is None, x or 0) for x in t]
+        assert sorted((tuple(r) for r in got.select(*cols).collect()), key=key) == sorted((tuple(r) for r in want.select(*cols).collect()), key=key)
