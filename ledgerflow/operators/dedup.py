@@ -4,13 +4,13 @@
   bytes per row instead of whole documents.
 * DD-2 keeps the latest row per key with a ``max_by`` partial aggregate.
 * DD-3 finds every pair within ``k`` edits without an all-pairs scan
-  (Pass-Join, Li, Deng, Wang, Feng, PVLDB 2011): a string of length
-  ``l >= k+1`` is cut into ``k+1`` segments; any string within ``k`` edits
-  keeps one segment intact, shifted by a bounded amount. Segments and probe
-  substrings are joined on ``(length, segment no, xxhash64)``, candidate
-  pairs are de-duplicated, and each is verified exactly with Spark's banded
-  ``levenshtein(a, b, k)``. Hash collisions only add candidates, never lose
-  pairs.
+  (Pass-Join, Li, Deng, Wang, Feng, PVLDB 2011). A pair may differ by ``k``
+  edits, but by no more than a share of its shorter string, so every string
+  that can have a partner can be cut into one segment more than its edits; a
+  partner keeps one segment intact, shifted by a bounded amount. Segments and
+  probe substrings are joined on ``(length, segment no, hash)``, candidate pairs are de-duplicated, and each is verified exactly with Spark's
+  banded ``levenshtein(a, b, k)``. Hash collisions only add candidates, never
+  lose pairs.
 * DD-4 labels connected components with large-star / small-star (Kiveris
   et al., SoCC 2014), one Spark job per round, lineage cut by a reliable
   ``checkpoint()`` in the shared checkpoint folder.
@@ -21,11 +21,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir
-from .joins import broadcast_if_small
+from ..session import ensure_checkpoint_dir, scratch_path
 
 # Accent folding used before edit-distance comparison.
 ACCENTED = "àáâäãåçèéêëìíîïñòóôöõùúûüýÿ"
@@ -38,13 +40,13 @@ def normalize_ws(c) -> Column:
     return F.trim(F.regexp_replace(F.lower(c), r"[ \t\n\r]+", " "))
 
 
-def normalize_ascii(c) -> Column:
-    """DD-3 key: lower case, accents folded, every run of characters other
-    than ``[a-z0-9]`` replaced by one space, trimmed. One regex pass over the
-    text; character and byte counts then agree in every engine."""
+def normalize_key(c) -> Column:
+    """DD-3 key: lower case, Latin accents folded, every run of characters
+    other than letters and digits (of any script) replaced by one space,
+    trimmed. One regex pass over the text."""
     c = F.col(c) if isinstance(c, str) else c
     x = F.translate(F.lower(c), ACCENTED, UNACCENTED)
-    return F.trim(F.regexp_replace(x, r"[^a-z0-9]+", " "))
+    return F.trim(F.regexp_replace(x, r"[^\p{L}\p{N}]+", " "))
 
 
 # --- DD-1 --------------------------------------------------------------------
@@ -52,9 +54,9 @@ def exact_dups(df: DataFrame, id_col: str, key: Column, only_repeated: bool = Tr
     """(id, canonical_id, n_copies): canonical = smallest id with the same
     key. The group statistic is a partial aggregate joined back on the hash;
     a hot key is one row on the small side (AQE splits the big side)."""
-    # (id, 32-byte hash) is read twice; keep it so whole texts are
+    # (id, 32-byte hash) is read twice; written once, so whole texts are
     # normalised and hashed once.
-    h = df.select(F.col(id_col), F.sha2(key, 256).alias("_h")).persist()
+    h = _keep(df.select(F.col(id_col), F.sha2(key, 256).alias("_h")), "dd1-hashes")
     g = h.groupBy("_h").agg(F.min(id_col).alias("canonical_id"), F.count(F.lit(1)).alias("n_copies"))
     if only_repeated:
         g = g.filter(F.col("n_copies") > 1)
@@ -69,118 +71,130 @@ def latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataF
 
 
 # --- DD-3 --------------------------------------------------------------------
-def collapse(df: DataFrame, id_col: str, text: Column) -> DataFrame:
-    """Distinct normalised strings with their smallest id: (id, t, len)."""
-    g = df.select(F.col(id_col).alias("id"), text.alias("t")).groupBy(F.sha2("t", 256).alias("_h")).agg(
-        F.min("id").alias("id"), F.min("t").alias("t"))
-    return g.select("id", "t", F.length("t").alias("len"))
-
-
-def _segments(k: int) -> Column:
-    """Array of (i, start0, seglen) for the k+1 segments of a string of
-    length ``len``: the first k+1-(len mod k+1) have length len div (k+1)."""
-    q = F.floor(F.col("len") / (k + 1))
-    r = F.col("len") - q * (k + 1)
-    short_n = F.lit(k + 1) - r
-    return F.array(*[
-        F.struct(F.lit(i).alias("i"),
-                 (F.lit(i) * q + F.greatest(F.lit(0), F.lit(i) - short_n)).alias("p"),
-                 (q + F.when(F.lit(i) >= short_n, 1).otherwise(0)).alias("sl"))
-        for i in range(k + 1)])
-
-
-# Characters of a segment that go into its fingerprint (see _fingerprint).
-FP_CHARS = 32
-
-
-def _fixed_width(t: Column) -> Column:
-    """The text as UTF-32 bytes (4 per character, no byte-order mark).
-    Character ``c`` starts at byte ``4c``, so cutting a slice is a copy of the
-    slice only; a string ``substring`` walks the UTF-8 bytes from the start
-    and would make every probe cost O(position)."""
-    return F.encode(t, "UTF-32")
-
-
-def _fingerprint(b: Column, start0: Column, seglen: Column, fp_len: int | None) -> Column:
-    """Hash of a segment of the UTF-32 bytes ``b``. With ``fp_len`` only its
-    first ``fp_len`` characters are hashed: equal segments still get equal
-    fingerprints (no pair is lost), and the work per probe no longer grows
-    with text length. Whole texts are compared in the verification step."""
-    n = seglen if fp_len is None else F.least(seglen, F.lit(fp_len))
-    return F.xxhash64(F.substring(b, start0 * 4 + 1, n * 4), seglen)
-
-
-def _index(strings: DataFrame, k: int, fp_len: int | None = FP_CHARS) -> DataFrame:
-    """(l, i, h, rid) for every segment of every string of length >= k+1."""
-    x = strings.filter(F.col("len") >= k + 1).select("id", _fixed_width(F.col("t")).alias("b"), "len",
-                                                     F.explode(_segments(k)).alias("s"))
-    return x.select(F.col("len").alias("l"), F.col("s.i").alias("i"),
-                    _fingerprint(F.col("b"), F.col("s.p"), F.col("s.sl"), fp_len).alias("h"),
-                    F.col("id").alias("rid"))
-
-
-def _probe(strings: DataFrame, k: int, fp_len: int | None = FP_CHARS) -> DataFrame:
-    """(l, i, h, sid): substrings of each string that could equal segment i
-    of a string of length l.
-
-    A string of length M >= k+1 probes lengths l in [max(k+1, M-k), M] with
-    the position-aware window [p-i, p+i] ∩ [p+Δ-(k-i), p+Δ+(k-i)], Δ = M-l.
-    A string shorter than k+1 cannot be cut, so it probes the longer
-    lengths [k+1, M+k] with the plain window [p-k, p+k].
+# Edits allowed as a share of the shorter string: below 1, so a string always
+# has more characters than allowed edits and can be cut into edits + 1 parts.
+EDIT_SHARE = 0.25
+def _keep(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back (read several times below)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def allowed_edits(length: Column, k: int, share: float = EDIT_SHARE) -> Column:
+    """Edits a pair may have whose shorter string has ``length`` characters."""
+    return F.least(F.lit(k), F.floor(length * F.lit(share)).cast("int"))
+
+
+# Multiplier of the segments' polynomial hash, odd and so invertible.
+_BASE = 0x9E3779B97F4A7C15
+
+
+class _Substrings:
+    """Hashes of substrings of one text, each in constant time: prefix sums
+    of a polynomial in the characters, modulo 2**64. Equal substrings have
+    equal hashes; a collision only adds a candidate."""
+
+    _powers = _inverses = np.ones(1, dtype=np.uint64)
+
+    def __init__(self, text: str):
+        codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64) + np.uint64(1)
+        if len(codes) >= len(self._powers):
+            for name, m in (("_powers", _BASE), ("_inverses", pow(_BASE, -1, 1 << 64))):
+                x = np.full(2 * len(codes) + 2, m, dtype=np.uint64)
+                x[0] = 1
+                setattr(_Substrings, name, np.multiply.accumulate(x))
+        self.sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum(codes * self._powers[:len(codes)], dtype=np.uint64)])
+
+    def hashes(self, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+        return ((self.sums[start + n] - self.sums[start]) * self._inverses[start]).view(np.int64)
+
+
+def _segments(length: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, length) of the edits + 1 segments of a string, the first ones
+    one character shorter where the length does not divide."""
+    n = edits + 1
+    size = np.full(n, length // n)
+    size[n - length % n:] += 1
+    return np.cumsum(size) - size, size
+
+
+def _edits(length: int, k: int, share: float) -> int:
+    return min(k, int(length * share))
+
+
+def _index_rows(text: str, k: int, share: float) -> tuple[np.ndarray, ...]:
+    """(l, i, h): every segment of a text that may have a partner."""
+    m = len(text)
+    e = _edits(m, k, share)
+    if e < 1:
+        return (np.zeros(0, dtype=np.int64),) * 3
+    start, n = _segments(m, e)
+    return np.full(e + 1, m), np.arange(e + 1), _Substrings(text).hashes(start, n)
+
+
+def _probe_rows(text: str, k: int, share: float) -> tuple[np.ndarray, ...]:
+    """(l, i, h): substrings that could equal segment i of a text of length
+    l <= its own, in the position-aware window [p-i, p+i] and
+    [p+d-(e-i), p+d+(e-i)], d the difference in length."""
+    m = len(text)
+    out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, dtype=np.int64),) * 3]
+    if _edits(m, k, share) >= 1:
+        sub = _Substrings(text)
+        for l in range(max(1, m - k), m + 1):
+            e, d = _edits(l, k, share), m - l
+            if e < 1 or d > e:
+                continue
+            p, n = _segments(l, e)
+            i = np.arange(e + 1)
+            lo = np.maximum.reduce([p - i, p + d - (e - i), np.zeros_like(p)])
+            hi = np.minimum.reduce([p + i, p + d + (e - i), m - n])
+            count = np.maximum(hi - lo + 1, 0)
+            seg = np.repeat(i, count)
+            at = lo[seg] + np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count)
+            out.append((np.full(len(seg), l), seg, sub.hashes(at, n[seg])))
+    return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def _keys(strings: DataFrame, rows, k: int, share: float, id_name: str) -> DataFrame:
+    """(l, i, h, id) of every text's segments or probes, in numpy per batch:
+    built-in expressions would copy or walk the whole text once per probe."""
+    def run(batches):
+        for b in batches:
+            found = [rows(t, k, share) for t in b.column(1).to_pylist()]
+            which = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+            l, i, h = (np.concatenate([f[c] for f in found]) if found else np.zeros(0, dtype=np.int64) for c in range(3))
+            yield pa.record_batch([pa.array(l, pa.int32()), pa.array(i, pa.int32()), pa.array(h, pa.int64()), b.column(0).take(pa.array(which))],
+                                  names=["l", "i", "h", id_name])
+    schema = T.StructType([T.StructField("l", T.IntegerType()), T.StructField("i", T.IntegerType()), T.StructField("h", T.LongType()),
+                           T.StructField(id_name, strings.schema["id"].dataType)])
+    return strings.select("id", "t").mapInArrow(run, schema)
+
+
+def lev_pairs(df: DataFrame, id_col: str, text: Column, k: int, share: float = EDIT_SHARE) -> DataFrame:
+    """All links between near strings: (id_a, id_b, distance), id_a < id_b.
+
+    Equal strings are one node, named by their smallest id; each copy is
+    linked to that id at distance 0. Different strings are linked, by those
+    ids, when their distance is at most ``k`` and at most ``share`` of the
+    shorter one's length. Empty strings say nothing and link with nothing.
     """
-    m = F.col("len")
-    lo = F.when(m >= k + 1, F.greatest(F.lit(k + 1), m - k)).otherwise(F.lit(k + 1))
-    hi = F.when(m >= k + 1, m).otherwise(m + k)
-    x = strings.filter(hi >= lo).select("id", _fixed_width(F.col("t")).alias("b"), "len",
-                                        F.explode(F.sequence(lo, hi)).alias("l"))
-    q = F.floor(F.col("l") / (k + 1))
-    r = F.col("l") - q * (k + 1)
-    short_n = F.lit(k + 1) - r
-    x = x.withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(k))))
-    x = x.withColumn("p", F.col("i") * q + F.greatest(F.lit(0), F.col("i") - short_n)) \
-         .withColumn("sl", q + F.when(F.col("i") >= short_n, 1).otherwise(0)) \
-         .withColumn("d", F.col("len") - F.col("l"))
-    lo_pos = F.when(F.col("d") >= 0,
-                    F.greatest(F.col("p") - F.col("i"), F.col("p") + F.col("d") - (F.lit(k) - F.col("i")))
-                    ).otherwise(F.col("p") - k)
-    hi_pos = F.when(F.col("d") >= 0,
-                    F.least(F.col("p") + F.col("i"), F.col("p") + F.col("d") + (F.lit(k) - F.col("i")))
-                    ).otherwise(F.col("p") + k)
-    lo_pos = F.greatest(lo_pos, F.lit(0))
-    hi_pos = F.least(hi_pos, F.col("len") - F.col("sl"))
-    x = x.filter(hi_pos >= lo_pos).withColumn("pos", F.explode(F.sequence(lo_pos, hi_pos)))
-    return x.select("l", "i", _fingerprint(F.col("b"), F.col("pos"), F.col("sl"), fp_len).alias("h"),
-                    F.col("id").alias("sid"))
-
-
-def lev_pairs(df: DataFrame, id_col: str, text: Column, k: int) -> DataFrame:
-    """All pairs of distinct normalised strings within ``k`` edits:
-    (id_a, id_b, distance) with id_a < id_b, ids = smallest id per string.
-
-    Copies of one string are collapsed first (DD-1 reports them); strings of
-    at most ``k`` characters are all within ``k`` of each other, which the
-    short-string branch reports directly.
-    """
-    s = collapse(df, id_col, text).persist()
-    cand = _index(s, k).join(_probe(s, k), ["l", "i", "h"]).filter(F.col("rid") != F.col("sid"))
+    x = _keep(df.select(F.col(id_col).alias("id"), text.alias("t")).filter(F.length("t") > 0)
+              .select("id", "t", F.length("t").alias("len"), F.xxhash64("t").alias("h1"), F.sha2("t", 256).alias("h2")), "dd3-texts")
+    first = x.groupBy("h1", "h2").agg(F.min("id").alias("first"))
+    named = x.select("id", "h1", "h2").join(first, ["h1", "h2"]).select("id", "first")
+    copies = named.filter(F.col("id") != F.col("first")).select(
+        F.col("first").alias("id_a"), F.col("id").alias("id_b"), F.lit(0).alias("distance"))
+    s = _keep(x.select("id", "t", "len").join(first.select(F.col("first").alias("id")), "id", "left_semi"), "dd3-strings")
+    cand = _keys(s, _index_rows, k, share, "rid").join(_keys(s, _probe_rows, k, share, "sid"), ["l", "i", "h"]).filter(F.col("rid") != F.col("sid"))
     pairs = cand.select(F.least("rid", "sid").alias("a"), F.greatest("rid", "sid").alias("b")).distinct()
-    # Short branch: both strings have at most k characters (no segment can
-    # exist), so every pair of them is within k and belongs to the answer.
-    # Their number is bounded by the alphabet, not by the data. The pairs
-    # are emitted only when two such strings exist (an early-stopping count),
-    # so the common plan has no all-pairs join at all. They never meet the
-    # Pass-Join candidates (short strings are never indexed): no distinct.
-    tiny = s.filter(F.col("len") <= k).select("id")
-    if tiny.limit(2).count() > 1:
-        x = broadcast_if_small(tiny.select(F.col("id").alias("a")))
-        tiny_pairs = x.join(tiny.select(F.col("id").alias("b")), F.col("a") < F.col("b"))
-        pairs = pairs.unionByName(tiny_pairs)
-    ta = s.select(F.col("id").alias("a"), F.col("t").alias("ta"))
-    tb = s.select(F.col("id").alias("b"), F.col("t").alias("tb"))
+    ta = s.select(F.col("id").alias("a"), F.col("t").alias("ta"), F.col("len").alias("la"))
+    tb = s.select(F.col("id").alias("b"), F.col("t").alias("tb"), F.col("len").alias("lb"))
     v = pairs.join(ta, "a").join(tb, "b").select(
-        "a", "b", F.levenshtein("ta", "tb", k).alias("distance"))
-    return v.filter(F.col("distance") >= 0).select(
-        F.col("a").alias("id_a"), F.col("b").alias("id_b"), F.col("distance").cast("int"))
+        "a", "b", F.levenshtein("ta", "tb", k).alias("distance"), allowed_edits(F.least("la", "lb"), k, share).alias("e"))
+    v = v.filter((F.col("distance") >= 0) & (F.col("distance") <= F.col("e"))).select(
+        F.col("a").alias("id_a"), F.col("b").alias("id_b"), F.col("distance").cast("int").alias("distance"))
+    return v.unionByName(copies)
 
 
 # --- DD-4 --------------------------------------------------------------------
@@ -212,6 +226,8 @@ def components(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int
     vertices. Each round (large-star then small-star) is checkpointed to the
     shared folder; the loop stops when a round leaves the edge set unchanged.
     Degree aggregates are partial (min), so a hub is combined map-side.
+    ``max_rounds`` guards against endless loops: the rounds needed grow with
+    the logarithm of the data, and running out raises, it drops nothing.
     """
     ensure_checkpoint_dir(edges.sparkSession)
     e = edges.select(F.col("u").cast("bigint").alias("u"), F.col("v").cast("bigint").alias("v"))

@@ -158,10 +158,10 @@ def test_dedup_on_empty_and_tiny_texts(spark):
     assert dd.lev_pairs(empty, "id", F.col("t"), 2).count() == 0
     assert dd.components(spark.createDataFrame([], "u long, v long"),
                          spark.createDataFrame([(7,)], "node long")).collect()[0].asDict() == {"node": 7, "cluster": 7}
-    # Empty and one-character texts: every pair among them is within k = 2.
-    tiny = spark.createDataFrame([(1, ""), (2, "a"), (3, "b"), (4, "abc"), (5, "xyzw")], "id long, t string")
+    # Short texts differ by a quarter of their length at most; empty ones link with nothing.
+    tiny = spark.createDataFrame([(1, ""), (2, "a"), (3, "b"), (4, "abcd"), (5, "abxd"), (6, "a"), (7, ""), (8, "abc")], "id long, t string")
     got = {(r.id_a, r.id_b, r.distance) for r in dd.lev_pairs(tiny, "id", F.col("t"), 2).collect()}
-    assert got == {(1, 2, 1), (1, 3, 1), (2, 3, 1), (2, 4, 2), (3, 4, 2)}
+    assert got == {(2, 6, 0), (4, 5, 1)}
 
 
 def test_components_self_loop_and_one_edge(spark):

@@ -25,14 +25,46 @@ def _random_strings(seed, n, alphabet="abc", max_len=9):
     return out
 
 
-def _check_pairs(spark, texts, k):
-    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, t string")
-    got = {(r.id_a, r.id_b): r.distance for r in dedup.lev_pairs(df, "id", F.col("t"), k).collect()}
+def _want(texts, pairs, k, share):
+    """Brute-force pairs of distinct texts, limited to the share of the
+    shorter one, and the copies."""
     distinct = {}
-    for i, t in enumerate(texts):
-        distinct.setdefault(t, i)
-    want = brute.lev_pairs({i: t for t, i in distinct.items()}, k)
-    assert got == want
+    for i, t in texts.items():
+        if t:
+            distinct.setdefault(t, i)
+    by_id = {i: t for t, i in distinct.items()}
+    want = {(a, b): d for (a, b), d in pairs(by_id, k).items() if d <= int(share * min(len(by_id[a]), len(by_id[b])))}
+    return want | {(distinct[t], i): 0 for i, t in texts.items() if t and distinct[t] != i}
+
+
+def _check_pairs(spark, texts, k, share=0.6):
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, t string")
+    rows = dedup.lev_pairs(df, "id", F.col("t"), k, share).collect()
+    got = {(r.id_a, r.id_b): r.distance for r in rows}
+    want = _want(dict(enumerate(texts)), brute.lev_pairs, k, share)
+    assert got == want and len(rows) == len(want) and any(d > 0 for d in want.values())
+
+
+def test_keys_keep_every_script(spark):
+    df = spark.createDataFrame([(1, "数据工程的质量检查非常重要"), (2, "Проверка качества данных"), (3, "データ品質の確認"), (4, "!!! ---"), (5, "???"),
+                                (6, "plain english text that is long enough"), (7, "Plain, English text: that is LONG enough!"),
+                                (8, "数据工程的质量检查非常重要。"), (9, "数据工程的质量检查非常重大"), (10, "Élan vital"), (11, "elan  VITAL")], "id bigint, t string")
+    got = {(r.id_a, r.id_b): r.distance for r in dedup.lev_pairs(df, "id", dedup.normalize_key("t"), 3).collect()}
+    assert got == {(1, 8): 0, (1, 9): 1, (6, 7): 0, (10, 11): 0}
+
+
+def test_substring_hashes_tell_substrings_apart():
+    rnd = random.Random(4)
+    text = "".join(rnd.choice("abé数") for _ in range(60))
+    sub = dedup._Substrings(text)
+    spans = [(i, n) for i in range(60) for n in range(1, 61 - i)]
+    import numpy as np
+    h = sub.hashes(np.array([i for i, _ in spans]), np.array([n for _, n in spans]))
+    by_text, by_hash = {}, {}
+    for (i, n), x in zip(spans, h):
+        by_text.setdefault(text[i:i + n], set()).add(x)
+        by_hash.setdefault((n, x), set()).add(text[i:i + n])
+    assert all(len(v) == 1 for v in by_text.values()) and all(len(v) == 1 for v in by_hash.values())
 
 
 def test_lev_pairs_matches_brute_force_k2(spark):
@@ -72,16 +104,12 @@ def test_documents_k12_match_brute_force(spark):
     d = load(spark, SF_SMALL, "documents")
     got = {(r.id_a, r.id_b): r.distance
            for r in dd_pairs(d, LEV_K_WIDE).collect()}
-    norm = {r.doc_id: r.t for r in d.select("doc_id", dedup.normalize_ascii("text").alias("t")).collect()}
-    distinct = {}
-    for i in sorted(norm):
-        distinct.setdefault(norm[i], i)
-    want = brute.lev_pairs_banded({i: t for t, i in distinct.items()}, LEV_K_WIDE)
-    assert got == want
+    norm = {r.doc_id: r.t for r in d.select("doc_id", dedup.normalize_key("text").alias("t")).collect()}
+    assert got == _want(dict(sorted(norm.items())), brute.lev_pairs_banded, LEV_K_WIDE, dedup.EDIT_SHARE)
 
 
 def dd_pairs(d, k):
-    return dedup.lev_pairs(d, "doc_id", dedup.normalize_ascii("text"), k)
+    return dedup.lev_pairs(d, "doc_id", dedup.normalize_key("text"), k)
 
 
 def test_banded_reference_agrees_with_full_dp():
