@@ -85,20 +85,22 @@ def snk1_partition_overwrite(spark, sf):
 SELECT c_custkey, c_name,
        CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
        c_mktsegment, CASE WHEN c_mktsegment = 'AUTOMOBILE' THEN 2 ELSE 1 END AS version
-FROM customer WHERE c_acctbal < 9000 OR c_mktsegment = 'AUTOMOBILE'
+FROM customer WHERE c_mktsegment <> 'MACHINERY' OR c_acctbal >= 0
 """)
 def snk2_upsert(spark, sf):
-    """Snapshot of customers under 9000, then a batch re-issuing every
-    AUTOMOBILE customer (balance + 1, version 2) applied twice: updates
-    and inserts in one pass, and the second application is a no-op."""
+    """Snapshot of every customer outside AUTOMOBILE or under 9000, then a
+    batch re-issuing every AUTOMOBILE customer (balance + 1, version 2) and
+    deleting MACHINERY customers in debt, applied twice: updates, inserts
+    and keyed deletes in one pass; the second application is a no-op."""
     c = _t(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
     table = scratch_path(spark, "snk2-customers")
-    wr.upsert(spark, table, c.filter(F.col("c_acctbal") < 9000).withColumn("version", F.lit(1)),
+    auto, debt = F.col("c_mktsegment") == "AUTOMOBILE", (F.col("c_mktsegment") == "MACHINERY") & (F.col("c_acctbal") < 0)
+    wr.upsert(spark, table, c.filter(~auto | (F.col("c_acctbal") < 9000)).withColumn("version", F.lit(1)),
               ["c_custkey"], ["version"])
-    batch = c.filter(F.col("c_mktsegment") == "AUTOMOBILE").withColumn(
-        "c_acctbal", F.col("c_acctbal") + 1).withColumn("version", F.lit(2))
-    wr.upsert(spark, table, batch, ["c_custkey"], ["version"])
-    wr.upsert(spark, table, batch, ["c_custkey"], ["version"])
+    batch = c.filter(auto | debt).withColumn("c_acctbal", F.when(auto, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))) \
+             .withColumn("version", F.lit(2)).withColumn("gone", debt)
+    for _ in range(2):
+        wr.upsert(spark, table, batch, ["c_custkey"], ["version"], deleted="gone")
     return wr.read_current(spark, table)
 
 
@@ -125,30 +127,32 @@ FROM events
 """)
 def snk3_dead_letter(spark, sf):
     e = _t(spark, sf, "events")
-    good, bad = wr.split_dead_letter(e, event_rules(), "b1")
     base = scratch_path(spark, "snk3")
-    good.write.parquet(f"{base}/target")
-    bad.write.parquet(f"{base}/dead_letter/batch_id=b1")
-    g = spark.read.parquet(f"{base}/target").select(
+    wr.audited_write(spark, "events_load", "b1", e, event_rules(), f"{base}/data", f"{base}/audit")
+    g = wr.read_written(spark, f"{base}/data", wr.TARGET).select(
         "event_id", F.lit("target").alias("dest"), F.lit(None).cast("string").alias("failed_rules"),
         F.lit(None).cast("string").alias("batch_id"))
-    b = spark.read.parquet(f"{base}/dead_letter").select(
+    b = wr.read_written(spark, f"{base}/data", wr.DEAD_LETTER).select(
         "event_id", F.lit("dead_letter").alias("dest"), F.concat_ws(";", "failed_rules").alias("failed_rules"),
-        F.col("batch_id").cast("string").alias("batch_id"))
+        "batch_id")
     return g.unionByName(b)
 
 
 @register("snk4_audit", f"""
-SELECT 'events_load' AS step, 'b1' AS batch_id, CAST(COUNT(*) AS BIGINT) AS rows_in,
+SELECT 'events_load' AS step, CASE WHEN user_id % 2 = 0 THEN 'b1' ELSE 'b2' END AS batch_id, CAST(COUNT(*) AS BIGINT) AS rows_in,
        CAST(count_if(NOT ({_ANY_BAD_SQL})) AS BIGINT) AS rows_out,
-       CAST(count_if({_ANY_BAD_SQL}) AS BIGINT) AS rows_rejected, 'ok' AS status
-FROM events
+       CAST(count_if({_ANY_BAD_SQL}) AS BIGINT) AS rows_rejected, 'ok' AS status,
+       CAST(count_if(NOT ({_ANY_BAD_SQL})) AS BIGINT) AS in_target, CAST(count_if({_ANY_BAD_SQL}) AS BIGINT) AS in_dead_letter
+FROM events GROUP BY 2
 """)
 def snk4_audit(spark, sf):
+    """Events loaded in two batches; what the audit says of each batch next
+    to what the table holds of it afterwards."""
     e = _t(spark, sf, "events")
-    good, bad = wr.split_dead_letter(e, event_rules(), "b1")
     base = scratch_path(spark, "snk4")
-    wr.audited_write(spark, "events_load", "b1", good, bad, f"{base}/target", f"{base}/dead_letter",
-                     f"{base}/audit")
-    return spark.read.parquet(f"{base}/audit").select("step", "batch_id", "rows_in", "rows_out",
-                                                      "rows_rejected", "status")
+    for k, batch in enumerate(("b1", "b2")):
+        wr.audited_write(spark, "events_load", batch, e.filter(F.col("user_id") % 2 == k), event_rules(), f"{base}/data", f"{base}/audit")
+    held = spark.read.parquet(f"{base}/data").groupBy(F.col("batch_id").cast("string").alias("batch_id")).agg(
+        F.count_if(F.col("dest") == wr.TARGET).alias("in_target"), F.count_if(F.col("dest") == wr.DEAD_LETTER).alias("in_dead_letter"))
+    audit = spark.read.parquet(f"{base}/audit").select("step", "batch_id", "rows_in", "rows_out", "rows_rejected", "status")
+    return audit.join(held, "batch_id")
