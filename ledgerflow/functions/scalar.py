@@ -26,14 +26,16 @@ def revenue(price="l_extendedprice", discount="l_discount") -> Column:
 def revenue_units(price="l_extendedprice", discount="l_discount") -> Column:
     """Line revenue as an exact bigint in units of 1e-4 (cents x percent).
 
-    Same value as ``revenue()`` for two-decimal inputs, but sums on the
-    long fast path instead of 38-digit decimals. Use it only for sums over
-    small groups (an order's lines); larger totals go through
-    ``units_to_money`` first so they cannot overflow.
+    Same value as ``revenue()``: both sides are rounded as money first (a
+    double times 100 would round 1.005 down), but sums run on the long fast
+    path instead of 38-digit decimals. Use it only for sums over small
+    groups (an order's lines); larger totals go through ``units_to_money``
+    first so they cannot overflow.
     """
-    cents = F.round(col_(price) * 100).cast("bigint")
-    pct = F.round((F.lit(1) - col_(discount)) * 100).cast("bigint")
-    return cents * pct
+    def hundredths(c) -> Column:
+        # Two decimals by now: scaling a double by 100 and rounding is exact.
+        return F.round(money(c).cast("double") * 100).cast("bigint")
+    return hundredths(price) * (F.lit(100) - hundredths(discount))
 
 
 def units_to_money(c) -> Column:
@@ -52,18 +54,23 @@ def safe_div(a, b) -> Column:
 
 
 # --- PRJ-4 -------------------------------------------------------------------
-def get_or(c, key: str, default) -> Column:
+def get_or(c, key, default, kind: str = "json") -> Column:
     """Missing-key access with a default.
 
-    A string column is read as JSON (``$.key``); a map column by key; a struct
-    by field. Absent key or NULL value gives ``default``.
+    ``kind`` says what the column is: ``json`` (a string, read at ``$.key``),
+    ``map`` (by key) or ``struct`` (by field, which the schema must have).
+    Absent key, NULL value and NULL container give ``default``.
     """
     c = col_(c)
-    return F.coalesce(F.get_json_object(c, f"$.{key}"), F.lit(default))
-
-
-def get_or_map(c, key, default) -> Column:
-    return F.coalesce(F.try_element_at(col_(c), F.lit(key)), F.lit(default))
+    if kind == "json":
+        value = F.get_json_object(c, f"$.{key}")
+    elif kind == "map":
+        value = F.try_element_at(c, F.lit(key))
+    elif kind == "struct":
+        value = c.getField(key)
+    else:
+        raise ValueError(f"unknown kind {kind}")
+    return F.coalesce(value, F.lit(default))
 
 
 def null_safe_eq(a, b) -> Column:
@@ -74,8 +81,8 @@ def null_safe_eq(a, b) -> Column:
 def parse_typed(c, type_name: str, fmt: str | None = None) -> tuple[Column, Column]:
     """(value, reason). Reason is set only when non-NULL text fails to parse."""
     c = col_(c)
-    if type_name in ("timestamp", "timestamp_ntz") and fmt:
-        value = F.try_to_timestamp(c, F.lit(fmt))
+    if type_name in ("date", "timestamp", "timestamp_ntz") and fmt:
+        value = F.try_to_timestamp(c, F.lit(fmt)).cast(type_name)
     else:
         value = c.try_cast(type_name)
     reason = F.when(c.isNotNull() & value.isNull(),

@@ -14,14 +14,21 @@ def read_delimited(spark: SparkSession, path: str, schema: T.StructType | str, s
     """Typed read that keeps malformed rows: they come back with the fields
     that did parse, NULL for those that did not, and the raw line in
     ``_bad``. Never infers a schema (inference would need its own pass over
-    the files)."""
+    the files).
+
+    Whether a line is malformed shows only when all its fields are parsed,
+    so ``_bad`` is tied to every field (by an always empty suffix): a query
+    that selects or counts ``_bad`` alone still reads whole lines."""
     if isinstance(schema, str):
         if BAD not in schema:
             schema = f"{schema}, {BAD} string"
     elif BAD not in schema.fieldNames():
         schema = T.StructType(schema.fields + [T.StructField(BAD, T.StringType(), True)])
-    return (spark.read.schema(schema).option("sep", sep).option("header", str(header).lower())
-            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD).csv(path))
+    df = (spark.read.schema(schema).option("sep", sep).option("header", str(header).lower())
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD).csv(path))
+    fields = [c for c in df.columns if c != BAD]
+    nothing = F.substring(F.xxhash64(*fields).cast("string"), 1, 0)
+    return df.withColumn(BAD, F.concat(BAD, nothing))
 
 
 def flatten_json(df: DataFrame, col: str, schema: T.StructType | str, drop: bool = True) -> DataFrame:
