@@ -77,16 +77,26 @@ def st2_dq_stream(spark, sf):
                     F.col("no_error__event_type").cast("bigint").alias("no_error__event_type"))
 
 
-@register("st3_dedup_stream", f"SELECT {', '.join(EVENT_COLS)} FROM events")
+# Events of the first two days that arrive only after all others.
+_LATE_SQL = "event_id % 50 = 0 AND ts < (SELECT min(ts) + INTERVAL 2 DAY FROM events)"
+
+
+@register("st3_dedup_stream", f"""
+SELECT {', '.join(EVENT_COLS)}, CASE WHEN {_LATE_SQL} THEN 'late' ELSE 'on_time' END AS arrival FROM events
+""")
 def st3_dedup_stream(spark, sf):
     """Every event once, although the last day and the first day are
-    re-sent: recent copies meet the dedup state, old copies are late."""
+    re-sent: recent copies meet the dedup state, old copies are behind the
+    watermark. Old events that were never sent before go to the late table."""
     e = _events(spark, sf)
     base = scratch_path(spark, "st3")
-    inbox, out, ck = f"{base}/inbox", f"{base}/out", f"{base}/checkpoint"
-    _arrive(e, inbox)
-    st.dedup_stream(spark, inbox, out, ck, SCHEMAS["events"], ["event_id"], "ts", "1 day")
-    lo_day, hi_day = e.agg(F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
-    _arrive(e.filter(F.to_date("ts").isin(lo_day, hi_day)), inbox)
-    st.dedup_stream(spark, inbox, out, ck, SCHEMAS["events"], ["event_id"], "ts", "1 day")
-    return spark.read.parquet(out).select(*EVENT_COLS)
+    inbox, out, late, ck = (f"{base}/{x}" for x in ("inbox", "out", "late", "checkpoint"))
+    lo, lo_day, hi_day = e.agg(F.min("ts"), F.min(F.to_date("ts")), F.max(F.to_date("ts"))).first()
+    delayed = (F.col("event_id") % 50 == 0) & (F.col("ts") < F.lit(lo) + F.expr("INTERVAL 2 DAYS"))
+    _arrive(e.filter(~delayed), inbox)
+    st.dedup_stream(spark, inbox, out, ck, SCHEMAS["events"], ["event_id"], "ts", "1 day", late)
+    _arrive(e.filter(delayed | F.to_date("ts").isin(lo_day, hi_day)), inbox)
+    st.dedup_stream(spark, inbox, out, ck, SCHEMAS["events"], ["event_id"], "ts", "1 day", late)
+    st.dedup_stream(spark, inbox, out, ck, SCHEMAS["events"], ["event_id"], "ts", "1 day", late)  # nothing new
+    return spark.read.parquet(out).select(*EVENT_COLS, F.lit("on_time").alias("arrival")).unionByName(
+        spark.read.parquet(late).select(*EVENT_COLS, F.lit("late").alias("arrival")))

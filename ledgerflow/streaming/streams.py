@@ -5,7 +5,10 @@ All three read a folder of files as a stream and run with
 last one, then stops, which is how a scheduled batch job becomes resumable.
 Progress and state live in the checkpoint folder (shared storage), and the
 built-in file sink commits each micro-batch through its own metadata log,
-so a retried batch never appends twice.
+so a retried batch never appends twice. A run takes at most
+``max_files_per_trigger`` files per micro-batch, so a first run over a large
+folder is many bounded batches. Streams with state keep it in RocksDB, not on
+the executors' heaps.
 
 Event time must be a zoned ``timestamp`` for watermarks; the fixtures store
 ``timestamp_ntz`` and are read in UTC.
@@ -22,15 +25,18 @@ from pyspark.sql import types as T
 from ..operators.quality import Rule
 
 
+# Files of one micro-batch.
+MAX_FILES = 1000
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def file_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
-                max_files_per_trigger: int | None = None) -> DataFrame:
-    r = spark.readStream.schema(schema).format(fmt)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    return r.load(path)
+                max_files_per_trigger: int = MAX_FILES) -> DataFrame:
+    return spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files_per_trigger).load(path)
 
 
 def _run(df: DataFrame, out: str, checkpoint: str, mode: str = "append", fmt: str = "parquet") -> None:
+    df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     q = (df.writeStream.format(fmt).outputMode(mode).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start(out))
     q.awaitTermination()
@@ -39,20 +45,22 @@ def _run(df: DataFrame, out: str, checkpoint: str, mode: str = "append", fmt: st
 
 
 # --- ST-1 --------------------------------------------------------------------
-def ingest(spark: SparkSession, src: str, out: str, checkpoint: str, schema: T.StructType) -> None:
+def ingest(spark: SparkSession, src: str, out: str, checkpoint: str, schema: T.StructType,
+           max_files_per_trigger: int = MAX_FILES) -> None:
     """Copy new files from ``src`` to ``out``; a rerun with nothing new adds
     nothing, a crash resumes from the last committed batch."""
-    _run(file_stream(spark, src, schema), out, checkpoint)
+    _run(file_stream(spark, src, schema, max_files_per_trigger=max_files_per_trigger), out, checkpoint)
 
 
 # --- ST-2 --------------------------------------------------------------------
 def dq_stream(spark: SparkSession, src: str, out: str, checkpoint: str, schema: T.StructType,
-              ts: str, rules: Sequence[Rule], delay: str = "1 hour", window: str = "1 day") -> None:
+              ts: str, rules: Sequence[Rule], delay: str = "1 hour", window: str = "1 day",
+              max_files_per_trigger: int = MAX_FILES) -> None:
     """Tumbling-window rule counts per event-time window. Append mode emits
     a window once the watermark (max event time - ``delay``) passes its end;
     rows older than the watermark are dropped as late."""
-    s = file_stream(spark, src, schema).withColumn("_et", F.col(ts).cast("timestamp"))
-    s = s.withWatermark("_et", delay)
+    s = file_stream(spark, src, schema, max_files_per_trigger=max_files_per_trigger)
+    s = s.withColumn("_et", F.col(ts).cast("timestamp")).withWatermark("_et", delay)
     aggs = [F.count(F.lit(1)).alias("rows")]
     aggs += [F.count_if(r.fails).alias(f"{r.name}__{r.column}") for r in rules]
     g = s.groupBy(F.window("_et", window).alias("w")).agg(*aggs)
@@ -63,9 +71,28 @@ def dq_stream(spark: SparkSession, src: str, out: str, checkpoint: str, schema:
 
 # --- ST-3 --------------------------------------------------------------------
 def dedup_stream(spark: SparkSession, src: str, out: str, checkpoint: str, schema: T.StructType,
-                 keys: Sequence[str], ts: str, delay: str = "1 day") -> None:
+                 keys: Sequence[str], ts: str, delay: str = "1 day", late: str | None = None,
+                 max_files_per_trigger: int = MAX_FILES) -> None:
     """Drop re-sent events: a key seen within ``delay`` of event time is kept
-    once (state expires with the watermark, so it stays bounded)."""
-    s = file_stream(spark, src, schema).withColumn("_et", F.col(ts).cast("timestamp"))
+    once (state expires with the watermark, so it stays bounded).
+
+    An event that arrives for the first time behind the watermark cannot be
+    told from a re-sent one by the bounded state, and the stream drops it.
+    With ``late`` such events are kept in that folder: after the run, the
+    keys that arrived and are in neither output are found by an anti join on
+    the key columns, and one row of each is added. On-time and late rows
+    together are the distinct keys that arrived.
+    """
+    s = file_stream(spark, src, schema, max_files_per_trigger=max_files_per_trigger)
+    s = s.withColumn("_et", F.col(ts).cast("timestamp"))
     s = s.withWatermark("_et", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_et")
     _run(s, out, checkpoint)
+    if late is None:
+        return
+    came = spark.read.schema(schema).parquet(src)
+    seen = spark.read.schema(schema).parquet(out).select(*keys)
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("append").parquet(late)  # so that the folder can be read
+    seen = seen.unionByName(spark.read.schema(schema).parquet(late).select(*keys))
+    came.join(seen.distinct(), list(keys), "left_anti").dropDuplicates(list(keys)).select(*schema.fieldNames()) \
+        .write.mode("append").parquet(late)
