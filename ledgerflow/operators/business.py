@@ -72,14 +72,19 @@ def month_spine(df: DataFrame, month_col: str = "month") -> DataFrame:
 def mom(monthly: DataFrame, measure: str, month_col: str = "month") -> DataFrame:
     """Month-over-month change with a gap-free month spine. Missing month = 0.
     ``change`` = cur / prev - 1, NULL when prev is 0 or NULL."""
-    spine = month_spine(monthly, month_col)
-    filled = spine.join(monthly, month_col, "left").select(
-        month_col, F.coalesce(F.col(measure), F.lit(0).cast(monthly.schema[measure].dataType)).alias(measure))
-    prev = filled.select(F.add_months(F.col(month_col), 1).alias(month_col),
-                         F.col(measure).alias(f"prev_{measure}"))
-    j = filled.join(prev, month_col, "left")
-    cur, pv = as_double(F.col(measure)), as_double(F.col(f"prev_{measure}"))
-    return j.select(month_col, cur.alias(measure), pv.alias(f"prev_{measure}"),
+    # ``monthly`` has a row per calendar month, so it fits in one map; the
+    # spine, the month and its predecessor are all read from it, and what
+    # made ``monthly`` runs once.
+    m, v = F.col(month_col), F.col(measure)
+    one = monthly.filter(m.isNotNull()).agg(F.map_from_entries(F.collect_list(F.struct(m, v))).alias("_by"),
+                                            F.min(m).alias("_lo"), F.max(m).alias("_hi"))
+    x = one.select("_by", "_lo", F.explode(F.sequence("_lo", "_hi", F.expr("INTERVAL 1 MONTH"))).alias(month_col))
+    zero = F.lit(0).cast(monthly.schema[measure].dataType)
+    before = F.add_months(m, -1)
+    x = x.select(month_col, F.coalesce(F.try_element_at("_by", m), zero).alias("_cur"),
+                 F.when(m > F.col("_lo"), F.coalesce(F.try_element_at("_by", before), zero)).alias("_prev"))
+    cur, pv = as_double(F.col("_cur")), as_double(F.col("_prev"))
+    return x.select(month_col, cur.alias(measure), pv.alias(f"prev_{measure}"),
                     F.when(pv != 0, cur / pv - 1).alias("change"))
 
 

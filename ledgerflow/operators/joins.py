@@ -31,6 +31,20 @@ def _keys(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
 
 
+# --- JN-3 --------------------------------------------------------------------
+def not_in(left: DataFrame, col: str, right: DataFrame, right_col: str) -> DataFrame:
+    """Rows of ``left`` whose ``col NOT IN (SELECT right_col FROM right)`` is
+    true: none if the subquery holds a NULL, all if it is empty."""
+    keys = right.select(F.col(right_col).alias("_not_in"))
+    seen = keys.agg(F.count(F.lit(1)).alias("n"), F.count("_not_in").alias("known")).first()
+    if seen["n"] == 0:
+        return left
+    if seen["known"] < seen["n"]:
+        return left.limit(0)
+    out = left.filter(F.col(col).isNotNull())
+    return out.join(keys.distinct(), out[col] == F.col("_not_in"), "left_anti")
+
+
 # --- JN-6 --------------------------------------------------------------------
 def check_grain(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key tuples that occur more than once, with their multiplicity ``n``.

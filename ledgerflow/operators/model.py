@@ -49,18 +49,35 @@ def lossless_check(wide: DataFrame, parts: dict[str, DataFrame], join_order: Seq
     return diff(w.select(*cols), r.select(*cols))
 
 
+def lossless_by_keys(parts: dict[str, DataFrame], join_order: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
+    """(part, repeated_keys): Heath's theorem as a check. A part joined on
+    columns that are unique in it repeats no row, and projections of one
+    table lose none, so a split whose parts all have unique join keys is
+    lossless. One aggregate per joined part; no wide rows are rebuilt. A
+    non-zero count says nothing by itself: compare rows (``lossless_check``)."""
+    out = None
+    for name, keys in join_order[1:]:
+        per_key = parts[name].groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        one = per_key.agg(F.count_if(F.col("_n") > 1).cast("bigint").alias("repeated_keys")).select(F.lit(name).alias("part"), "repeated_keys")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # --- NF-4 --------------------------------------------------------------------
 def candidate_keys(df: DataFrame, sets: Sequence[Sequence[str]]) -> DataFrame:
-    """(key_set, n_distinct, n_rows, is_key) for each column set; one
-    aggregate (Spark expands once per distinct set, then combines)."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    aggs += [F.countDistinct(F.struct(*s)).alias(f"_d{i}") for i, s in enumerate(sets)]
-    one = df.agg(*aggs)
-    rows = F.explode(F.array(*[
-        F.struct(F.lit(",".join(s)).alias("key_set"), F.col(f"_d{i}").cast("bigint").alias("n_distinct"))
-        for i, s in enumerate(sets)])).alias("_x")
-    return one.select(F.col("_rows").cast("bigint").alias("n_rows"), rows).select(
-        "_x.key_set", "_x.n_distinct", "n_rows", (F.col("_x.n_distinct") == F.col("n_rows")).alias("is_key"))
+    """(key_set, n_distinct, n_rows, is_key) for each column set: one pruned
+    scan and one shuffle of its own columns per set, rows counted with the
+    keys (several distinct counts in one aggregate would copy every row once
+    per set before the shuffle)."""
+    out = None
+    for s in sets:
+        per_key = df.groupBy(*s).agg(F.count(F.lit(1)).alias("_n"))
+        one = per_key.agg(F.count(F.lit(1)).cast("bigint").alias("n_distinct"),
+                          F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"))
+        one = one.select(F.lit(",".join(s)).alias("key_set"), "n_distinct", "n_rows",
+                         (F.col("n_distinct") == F.col("n_rows")).alias("is_key"))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 # --- LY-1 --------------------------------------------------------------------

@@ -120,20 +120,18 @@ def orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
 
 
 def references(child: DataFrame, fk: str, parent: DataFrame, pk: str, table: str) -> DataFrame:
-    """Referential integrity as a rule result; a NULL FK is exempt."""
-    n_orph = orphans(child.select(fk), fk, parent, pk).agg(F.count(F.lit(1)).alias("failed"))
-    tot = child.agg(F.count(F.lit(1)).alias("total"))
-    return _pair(n_orph, tot, table, "references", fk)
-
-
-def _pair(failed: DataFrame, total: DataFrame, table: str, rule: str, column: str) -> DataFrame:
-    """Put two one-row aggregates side by side without a cross join: tag
-    both with the same literal key and union-aggregate."""
-    u = failed.select(F.col("failed").cast("bigint").alias("failed"), F.lit(None).cast("bigint").alias("total")) \
-        .unionByName(total.select(F.lit(None).cast("bigint").alias("failed"), F.col("total").cast("bigint")))
-    return u.agg(F.coalesce(F.max("failed"), F.lit(0)).alias("failed"),
-                 F.coalesce(F.max("total"), F.lit(0)).alias("total")).select(
-        F.lit(table).alias("table_name"), F.lit(rule).alias("rule"), F.lit(column).alias("column_name"), "failed", "total")
+    """Referential integrity as a rule result; a NULL FK is exempt.
+
+    One scan of the child: rows are counted per key before they move (a hot
+    key is one row per task), and the counts of keys without a parent and of
+    all keys are summed together."""
+    per_key = child.groupBy(F.col(fk).alias("_fk")).agg(F.count(F.lit(1)).alias("_n"))
+    keys = parent.select(F.col(pk).alias("_pk")).filter(F.col("_pk").isNotNull()).distinct()
+    j = per_key.join(keys, per_key["_fk"] == keys["_pk"], "left")
+    orphan = F.col("_fk").isNotNull() & F.col("_pk").isNull()
+    return j.agg(F.coalesce(F.sum(F.when(orphan, F.col("_n"))), F.lit(0)).cast("bigint").alias("failed"),
+                 F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("total")).select(
+        F.lit(table).alias("table_name"), F.lit("references").alias("rule"), F.lit(fk).alias("column_name"), "failed", "total")
 
 
 # --- DQ-8 --------------------------------------------------------------------
@@ -166,15 +164,31 @@ def gate_passes(gated: DataFrame) -> bool:
 
 
 # --- DQ-10 -------------------------------------------------------------------
-def dq_trend(daily: DataFrame, day: str, rate: str, lookback: int = 7, factor: float = 1.5) -> DataFrame:
+def evaluate_by(df: DataFrame, by: Column, rules: Sequence[Rule]) -> DataFrame:
+    """Row rules per batch (``by``, such as the load day): (batch, rule,
+    column_name, failed, total, failed_rate), all rules in one aggregate."""
+    aggs = [F.count_if(r.fails).alias(f"_r{i}") for i, r in enumerate(rules)]
+    g = df.groupBy(by.alias("batch")).agg(F.count(F.lit(1)).cast("bigint").alias("total"), *aggs)
+    rows = F.explode(F.array(*[
+        F.struct(F.lit(r.name).alias("rule"), F.lit(r.column).alias("column_name"), F.col(f"_r{i}").cast("bigint").alias("failed"))
+        for i, r in enumerate(rules)])).alias("_x")
+    return g.select("batch", "total", rows).select("batch", "_x.rule", "_x.column_name", "_x.failed", "total",
+                                                   (F.col("_x.failed") / F.col("total")).alias("failed_rate"))
+
+
+def dq_trend(daily: DataFrame, day: str, rate: str, lookback: int = 7, factor: float = 1.5,
+             by: Sequence[str] = ()) -> DataFrame:
     """Alert when a day's rate exceeds ``factor`` x the mean of the previous
-    ``lookback`` days. The trailing mean is an equi-join on ``day - i`` for
-    i in 1..lookback (bounded fan-out), not an unpartitioned window."""
-    back = daily.select(F.col(day).alias("_d"), F.col(rate).alias("_r")).withColumn(
+    ``lookback`` days (of the same series, where ``by`` tells series apart,
+    such as a rule's name and column). The trailing mean is an equi-join on
+    ``day - i`` for i in 1..lookback (bounded fan-out), not an unpartitioned
+    window."""
+    by = list(by)
+    back = daily.select(*by, F.col(day).alias("_d"), F.col(rate).alias("_r")).withColumn(
         "_i", F.explode(F.sequence(F.lit(1), F.lit(lookback)))).select(
-        F.date_add("_d", F.col("_i")).alias(day), "_r")
-    trail = back.groupBy(day).agg(F.avg("_r").alias("trailing_mean"), F.count(F.lit(1)).alias("trailing_days"))
-    j = daily.join(trail, day, "left")
+        *by, F.date_add("_d", F.col("_i")).alias(day), "_r")
+    trail = back.groupBy(*by, day).agg(F.avg("_r").alias("trailing_mean"), F.count(F.lit(1)).alias("trailing_days"))
+    j = daily.join(trail, [*by, day], "left")
     return j.withColumn("alert", F.coalesce(F.col(rate) > F.col("trailing_mean") * factor, F.lit(False)))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import cleaning as cl
 from ..operators import quality as dq
 from ..sources.tables import SCHEMAS, load
 from .catalog import register
@@ -190,6 +191,60 @@ def dq10_trend(spark, sf):
                     (F.coalesce(F.col("error_rate") > F.round("trailing_mean", 6) * 1.5, F.lit(False))).alias("alert"))
 
 
+_DQ10_RULES = [("in_range", "value", "value < 0 OR value > 150"), ("accepted_values", "event_type", "event_type NOT IN ('view', 'click', 'purchase', 'signup')"),
+               ("no_error_value", "*", "event_type = 'error' AND value > 60")]
+
+
+def _dq10_rules_sql():
+    per = " UNION ALL ".join(
+        f"SELECT CAST(ts AS DATE) AS day, '{r}' AS rule, '{c}' AS column_name, CAST(count_if(coalesce({f}, FALSE)) AS BIGINT) AS failed, "
+        f"CAST(COUNT(*) AS BIGINT) AS total FROM events GROUP BY 1" for r, c, f in _DQ10_RULES)
+    return f"""
+WITH r AS (SELECT *, CAST(failed AS DOUBLE) / total AS failed_rate FROM ({per})),
+t AS (SELECT a.day, a.rule, a.column_name, round(avg(b.failed_rate), 6) AS trailing_mean
+      FROM r a LEFT JOIN r b ON b.rule = a.rule AND b.column_name = a.column_name AND b.day >= a.day - INTERVAL 7 DAY AND b.day < a.day GROUP BY ALL)
+SELECT r.day, r.rule, r.column_name, r.failed, r.total, t.trailing_mean,
+       coalesce(round(r.failed_rate, 6) > t.trailing_mean * 1.5, FALSE) AS alert
+FROM r JOIN t USING (day, rule, column_name)
+"""
+
+
+@register("dq10_rule_trend", _dq10_rules_sql())
+def dq10_rule_trend(spark, sf):
+    """Rule results followed over days: every rule is a series of its own."""
+    rules = [dq.in_range("value", 0, 150), dq.accepted("event_type", ["view", "click", "purchase", "signup"]),
+             dq.check("no_error_value", ~((F.col("event_type") == "error") & (F.col("value") > 60)))]
+    daily = dq.evaluate_by(_t(spark, sf, "events"), F.to_date("ts"), rules)
+    r = dq.dq_trend(daily, "batch", "failed_rate", by=["rule", "column_name"])
+    mean = F.round("trailing_mean", 6)
+    return r.select(F.col("batch").alias("day"), "rule", "column_name", "failed", "total", mean.alias("trailing_mean"),
+                    F.coalesce(F.round("failed_rate", 6) > mean * 1.5, F.lit(False)).alias("alert"))
+
+
+_FEED_LIMITS = {"in_range": 0.05, "not_null": 0.0, "pattern": 0.0}
+
+
+@register("flow_gated_load", """
+SELECT 'customer' AS feed, 'block' AS decision, CAST(0 AS BIGINT) AS in_target, CAST(0 AS BIGINT) AS in_dead_letter
+UNION ALL
+SELECT 'orders', 'pass', CAST(count_if(o_totalprice >= 2000) AS BIGINT), CAST(count_if(o_totalprice < 2000) AS BIGINT) FROM orders
+""")
+def flow_gated_load(spark, sf):
+    """Rules, gate, write, end to end: a feed is written (clean rows and dead
+    letters) only if the gate passes. Customers are blocked by their negative
+    balances (8 %, 5 % allowed), so nothing of theirs is stored."""
+    from ..session import scratch_path
+    from ..sinks.writes import gated_write
+    base = scratch_path(spark, "gated")
+    feeds = {"customer": [dq.not_null("c_custkey"), dq.in_range("c_acctbal", 0)],
+             "orders": [dq.not_null("o_orderkey"), dq.in_range("o_totalprice", 2000), dq.matches("o_orderpriority", "^[1-5]-[A-Z ]+$")]}
+    out = []
+    for feed, rules in feeds.items():
+        done = gated_write(spark, feed, "b1", _t(spark, sf, feed), rules, _FEED_LIMITS, f"{base}/{feed}", f"{base}/audit")
+        out.append((feed, done["decision"], done["rows_out"], done["rows_rejected"]))
+    return spark.createDataFrame(out, "feed string, decision string, in_target bigint, in_dead_letter bigint")
+
+
 # Contract the orders feed is expected to meet: o_orderdate as a DATE and an
 # o_clerk column; the fixture stores a timestamp and has no clerk.
 # Contract for orders as a downstream consumer declares it: keys NOT NULL,
@@ -252,9 +307,31 @@ def dq9_quarantine(spark, sf):
     from ..session import scratch_path
     from ..sinks.writes import split_dead_letter
     from .q_io import event_rules
-    _, bad = split_dead_letter(_t(spark, sf, "events"), event_rules(), "b1")
+    _, bad = split_dead_letter(_t(spark, sf, "events"), event_rules(), "b1")  # only this side is stored
     path = scratch_path(spark, "dq9-quarantine")
     bad.write.parquet(path)
     q = spark.read.parquet(path)
     return q.select("event_id", "user_id", "value", F.concat_ws(";", "failed_rules").alias("failed_rules"),
                     "batch_id")
+
+
+_SEGMENTS = {"AUTOMOBILE": "Vehicles", "machinery": "Vehicles", "Building": "Home", "FURNITURE": "Home"}
+
+
+@register("cl1_clean", """
+WITH c AS (SELECT c_custkey, c_nationkey, c_mktsegment, CASE WHEN c_acctbal >= 0 THEN CAST(c_acctbal AS DECIMAL(18,2)) END AS bal FROM customer),
+m AS (SELECT c_nationkey, round(CAST(SUM(bal) AS DOUBLE) / COUNT(bal), 2) AS mean FROM c GROUP BY 1)
+SELECT c_custkey, CASE WHEN c_mktsegment IN ('AUTOMOBILE', 'MACHINERY') THEN 'Vehicles'
+                       WHEN c_mktsegment IN ('BUILDING', 'FURNITURE') THEN 'Home' ELSE 'Other' END AS c_mktsegment,
+       coalesce(CAST(bal AS DOUBLE), mean) AS balance, bal IS NULL AND mean IS NOT NULL AS was_filled
+FROM c JOIN m USING (c_nationkey)
+""")
+def cl1_clean(spark, sf):
+    """Debts count as missing and take the nation's mean balance; segments
+    take standard names."""
+    c = _t(spark, sf, "customer")
+    c = c.withColumn("balance", F.when(F.col("c_acctbal") >= 0, F.col("c_acctbal").cast("decimal(18,2)")).cast("double"))
+    c = cl.standardise(c, "c_mktsegment", _SEGMENTS, "Other")
+    mean = F.round(F.sum(F.col("balance").cast("decimal(18,2)")).cast("double") / F.count("balance"), 2)
+    c = cl.fill_by_group(c, "balance", ["c_nationkey"], mean, "was_filled")
+    return c.select("c_custkey", "c_mktsegment", "balance", "was_filled")

@@ -125,9 +125,12 @@ WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)
 
 @register("jn3_not_in", _JN3_NOT_IN)
 def jn3_not_in(spark, sf):
-    """The NOT IN form: Spark plans a null-aware anti join (a NULL in the
-    subquery would empty the result, as SQL requires)."""
-    return _sql(spark, sf, _JN3_NOT_IN, ["orders", "lineitem"])
+    """The NOT IN form with its NULL rules (a NULL in the subquery empties
+    the result; a NULL key qualifies only against an empty subquery). Spark's
+    own plan broadcasts the whole subquery, however large; this one is a
+    shuffled anti join on the distinct keys and one scalar."""
+    o, li = _t(spark, sf, "orders"), _t(spark, sf, "lineitem")
+    return jn.not_in(o.select("o_orderkey", "o_custkey"), "o_orderkey", li, "l_orderkey")
 
 
 @register("jn4_semi", """
@@ -419,10 +422,11 @@ FROM customer
 """)
 def wn4_share_of_group(spark, sf):
     """Group total on every row as aggregate + join back (combined map-side;
-    a hot group is one row on the small side), so rows out = rows in."""
+    a hot group is one row on the small side), so rows out = rows in. AQE
+    sees the totals' real size and picks the join."""
     c = _t(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     tot = c.groupBy("c_nationkey").agg(sc.as_double(F.sum(sc.money("c_acctbal"))).alias("_tot"))
-    j = c.join(jn.broadcast_if_small(tot), "c_nationkey", "left")
+    j = c.join(tot, "c_nationkey", "left")
     return j.select("c_custkey", "c_nationkey", (F.col("c_acctbal") / F.col("_tot")).alias("share"))
 
 

@@ -46,10 +46,8 @@ def _batch(spark, src, batch_id, base):
     gated = dq.gate(results, {"not_null": 0.5, "accepted_values": 0.0})
     if not dq.gate_passes(gated):
         return None, gated
-    good, bad = wr.split_dead_letter(typed, rules, batch_id)
-    audit = wr.audited_write(spark, "customer_feed", batch_id, good, bad, f"{base}/staged",
-                             f"{base}/dead_letter/batch_id={batch_id}", f"{base}/audit")
-    wr.upsert(spark, f"{base}/customers", spark.read.parquet(f"{base}/staged"), ["id"], ["amt"])
+    audit = wr.audited_write(spark, "customer_feed", batch_id, typed, rules, f"{base}/data", f"{base}/audit")
+    wr.upsert(spark, f"{base}/customers", wr.read_written(spark, f"{base}/data", wr.TARGET), ["id"], ["amt"])
     return audit, gated
 
 
@@ -68,7 +66,7 @@ def test_flow_b_etl_batch_twice(spark):
     assert snap1.count() == snap2.count() == n_in - n_neg
     assert snap1.exceptAll(snap2).count() == 0 and snap2.exceptAll(snap1).count() == 0
     # Dead letters carry the reason; the rerun replaced its batch partition.
-    bad = spark.read.parquet(f"{base}/dead_letter")
+    bad = wr.read_written(spark, f"{base}/data", wr.DEAD_LETTER)
     assert bad.count() == n_neg
     assert bad.filter(F.col("parse_error").startswith("not a decimal")).count() == n_neg
     assert bad.filter(F.array_contains("failed_rules", "not_null:amt")).count() == n_neg
@@ -90,7 +88,7 @@ def test_flow_c_customer_platform(spark, docs):
     n_docs = prof["doc_id"].n_rows
     assert prof["doc_id"].n_distinct == n_docs and prof["doc_id"].n_null == 0
 
-    norm = docs.select("doc_id", dd.normalize_ascii("text").alias("t"))
+    norm = docs.select("doc_id", dd.normalize_key("text").alias("t"))
     copies = dd.exact_dups(norm, "doc_id", F.col("t"))
     pairs = dd.lev_pairs(norm, "doc_id", F.col("t"), 12)
     edges = pairs.select(F.col("id_a").alias("u"), F.col("id_b").alias("v")).unionByName(

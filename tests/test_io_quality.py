@@ -84,16 +84,13 @@ def test_upsert_twice_changes_nothing(spark):
     assert first == second and len(first) == c.count()
 
 
-def test_upsert_survives_a_crash_before_the_pointer_commit(spark):
-    import os
+def test_upsert_survives_a_crash_before_the_commit(spark):
     c = load(spark, SF_SMALL, "customer").select("c_custkey", F.lit(1).alias("version"))
     t = scratch_path(spark, "t-snk2-crash")
     assert wr.current_snapshot(spark, t) is None
     snap = wr.upsert(spark, t, c, ["c_custkey"], ["version"])
-    # A later run died after writing its snapshot and while committing its
-    # pointer: only an uncommitted pointer folder and an orphan snapshot exist.
-    c.withColumn("version", F.lit(9)).write.parquet(f"{t}/snapshot=orphan")
-    os.makedirs(f"{t}/_pointers/v=99999999999999999999-dead/_temporary/0".replace("file:", ""), exist_ok=True)
+    # A later run died after writing its snapshot, before committing it.
+    c.withColumn("version", F.lit(9)).write.parquet(f"{t}/_staged-orphan")
     assert wr.current_snapshot(spark, t) == snap
     assert wr.read_current(spark, t).filter(F.col("version") == 9).count() == 0
     # The next run starts from the committed snapshot.
@@ -113,15 +110,131 @@ def test_dead_letter_split_is_complete(spark):
     assert {r.batch_id for r in bad.select("batch_id").distinct().collect()} <= {"b7"}
 
 
-def test_audit_appends_one_row_per_run(spark):
+def test_upsert_ignores_clocks_and_deletes_by_key(spark, monkeypatch):
+    """The second writer's clock is an hour behind; its batch still counts."""
+    import time
+    rows = lambda *r: spark.createDataFrame(r, "k int, v string, version int")
+    t = scratch_path(spark, "t-snk2-clock")
+    wr.upsert(spark, t, rows((1, "a", 1), (2, "b", 1), (3, "c", 1)), ["k"], ["version"])
+    now, now_ns = time.time(), time.time_ns()
+    monkeypatch.setattr(time, "time", lambda: now - 3600)
+    monkeypatch.setattr(time, "time_ns", lambda: now_ns - 3600 * 10**9)
+    batch = rows((2, "x", 2), (3, "y", 2), (4, "z", 2)).withColumn("gone", F.col("k") == 3)
+    for _ in range(2):
+        wr.upsert(spark, t, batch, ["k"], ["version"], deleted="gone")
+        got = sorted(map(tuple, wr.read_current(spark, t).collect()))
+        assert got == [(1, "a", 1), (2, "x", 2), (4, "z", 2)]
+
+
+def test_concurrent_upserts_lose_no_batch(spark):
+    """Four writers start from the same version; a writer that finds its
+    version taken reads again and retries."""
+    from concurrent.futures import ThreadPoolExecutor
+    t = scratch_path(spark, "t-snk2-race")
+    schema = "k int, v int"
+    wr.upsert(spark, t, spark.createDataFrame([(0, 0)], schema), ["k"], ["v"])
+    batches = [spark.createDataFrame([(k, 1), (0, k)], schema) for k in range(1, 5)]
+    with ThreadPoolExecutor(4) as pool:
+        snaps = list(pool.map(lambda b: wr.upsert(spark, t, b, ["k"], ["v"]), batches))
+    assert len(set(snaps)) == 4 and wr.current_version(spark, t) == 5
+    assert sorted(map(tuple, wr.read_current(spark, t).collect())) == [(0, 4), (1, 1), (2, 1), (3, 1), (4, 1)]
+
+
+def test_audit_appends_one_row_per_run_and_batches_stay(spark):
     e = load(spark, SF_SMALL, "events")
-    good, bad = wr.split_dead_letter(e, [dq.in_range("value", 0, 100)], "b1")
+    rules = [dq.in_range("value", 0, 100)]
     base = scratch_path(spark, "t-audit")
-    for _ in range(2):
-        row = wr.audited_write(spark, "load", "b1", good, bad, f"{base}/t", f"{base}/d", f"{base}/audit")
+    for batch, part in (("b1", e.filter("event_id < 400")), ("b2", e.filter("event_id >= 400")), ("b1", e.filter("event_id < 400"))):
+        row = wr.audited_write(spark, "load", batch, part, rules, f"{base}/data", f"{base}/audit")
+        assert row["rows_in"] == part.count() == row["rows_out"] + row["rows_rejected"] and row["status"] == "ok"
     a = spark.read.parquet(f"{base}/audit").collect()
-    assert len(a) == 2 and all(r.rows_in == e.count() and r.status == "ok" for r in a)
-    assert row["rows_out"] + row["rows_rejected"] == e.count()
+    assert len(a) == 3 and {r.status for r in a} == {"ok"}
+    good, bad = wr.read_written(spark, f"{base}/data", wr.TARGET), wr.read_written(spark, f"{base}/data", wr.DEAD_LETTER)
+    assert good.count() + bad.count() == e.count() and bad.filter("value <= 100").count() == 0
+    assert {r.batch_id for r in good.select("batch_id").distinct().collect()} == {"b1", "b2"}
+    # The batch comes again, corrected: its dead letters go, the other batch's stay.
+    n2 = bad.filter("batch_id = 'b2'").count()
+    wr.audited_write(spark, "load", "b1", e.filter("event_id < 400 AND value <= 100"), rules, f"{base}/data", f"{base}/audit")
+    again = wr.read_written(spark, f"{base}/data", wr.DEAD_LETTER)
+    assert again.count() == n2 and again.filter("batch_id = 'b1'").count() == 0
+
+
+def test_gated_write_stores_nothing_when_blocked(spark):
+    e = load(spark, SF_SMALL, "events")
+    base = scratch_path(spark, "t-gated")
+    row = wr.gated_write(spark, "load", "b1", e, [dq.in_range("value", 0, 100)], 0.0, f"{base}/data", f"{base}/audit")
+    assert row["decision"] == "block" and spark.read.parquet(f"{base}/audit").first().status == "blocked"
+    assert not wr._fs(spark, base).exists(wr._jpath(spark, f"{base}/data"))
+
+
+def test_malformed_lines_show_when_only_that_column_is_read(spark):
+    d = tempfile.mkdtemp(prefix="lf-csv-")
+    with open(f"{d}/a.csv", "w") as f:
+        f.write("1,10.50\n2,abc\n3\n")
+    df = read_delimited(spark, d, "id int, amt decimal(18,2)")
+    assert {(r.id, r._bad) for r in df.select("id", "_bad").collect()} == {(1, None), (2, "2,abc"), (3, "3")}
+    assert df.filter(F.col("_bad").isNotNull()).count() == 2 and df.select("_bad").distinct().count() == 3
+
+
+def test_get_or_kinds_and_parse_typed_formats(spark):
+    df = spark.sql("""SELECT '{"a": 1}' AS j, map('a', 2) AS m, named_struct('a', cast(NULL AS int)) AS s, '31/12/2024' AS d, '31/12/2024 23:10' AS t
+                      UNION ALL SELECT NULL, NULL, NULL, '2024-12-31', NULL""")
+    r = df.select(sc.get_or("j", "a", "9").alias("j"), sc.get_or("m", "a", 9, "map").alias("m"), sc.get_or("m", "b", 9, "map").alias("n"),
+                  sc.get_or("s", "a", 9, "struct").alias("s")).collect()
+    assert [tuple(x) for x in r] == [("1", 2, 9, 9), ("9", 9, 9, 9)]
+    v, why = sc.parse_typed("d", "date", "dd/MM/yyyy")
+    t, _ = sc.parse_typed("t", "timestamp_ntz", "dd/MM/yyyy HH:mm")
+    x = df.select(v.alias("v"), why.alias("why"), t.alias("t"))
+    assert dict(x.dtypes)["v"] == "date" and dict(x.dtypes)["t"] == "timestamp_ntz"
+    assert [(str(r.v), r.why, str(r.t)) for r in x.collect()] == [("2024-12-31", None, "2024-12-31 23:10:00"),
+                                                                 ("None", "not a date: 2024-12-31", "None")]
+
+
+def test_revenue_units_round_as_money(spark):
+    df = spark.createDataFrame([(1.005, 0.0), (10.0, 0.035), (2.675, 0.1), (-3.335, 0.04)], "p double, d double")
+    r = df.select(sc.revenue("p", "d").cast("double").alias("a"), sc.as_double(sc.units_to_money(sc.revenue_units("p", "d"))).alias("b")).collect()
+    assert all(x.a == x.b for x in r)
+
+
+def test_not_in_null_rules(spark):
+    left = spark.createDataFrame([(1,), (2,), (None,)], "a int")
+    for values in ([], [2, 2], [2, None]):
+        right = spark.createDataFrame([(v,) for v in values], "b int")
+        left.createOrReplaceTempView("l_in")
+        right.createOrReplaceTempView("r_in")
+        want = spark.sql("SELECT a FROM l_in WHERE a NOT IN (SELECT b FROM r_in)").collect()
+        assert sorted(jn.not_in(left, "a", right, "b").collect(), key=str) == sorted(want, key=str)
+    plan = jn.not_in(left, "a", spark.range(5).select(F.col("id").cast("int").alias("b")), "b")
+    assert "BroadcastExchange" not in plan.hint("merge")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_late_first_time_events_are_kept(spark):
+    e = load(spark, SF_SMALL, "events")
+    base = scratch_path(spark, "t-st3")
+    run = lambda: st.dedup_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ck", SCHEMAS["events"], ["event_id"], "ts", "1 day",
+                                  f"{base}/late")
+    old = F.col("event_id").isin(3, 4, 5)
+    e.filter(~old).write.parquet(f"{base}/in", mode="append")
+    run()
+    assert spark.read.parquet(f"{base}/late").count() == 0
+    e.filter(old | F.col("event_id").isin(7, 8)).write.parquet(f"{base}/in", mode="append")
+    run()
+    run()
+    on_time, late = spark.read.parquet(f"{base}/out"), spark.read.parquet(f"{base}/late")
+    assert sorted(r.event_id for r in late.collect()) == [3, 4, 5]
+    assert on_time.count() + late.count() == e.select("event_id").distinct().count()
+
+
+def test_cleaning(spark):
+    from ledgerflow.operators import cleaning as cl
+    df = spark.createDataFrame([(1, "a", 2.0, " New  York"), (2, "a", None, "NY"), (3, "a", 4.0, "boston"), (4, "b", None, None), (5, None, None, "new york"), (6, None, 8.0, "x")],
+                               "id int, g string, v double, city string")
+    r = cl.fill_by_group(df, "v", ["g"], F.avg("v"), "filled").orderBy("id").collect()
+    assert [(x.v, x.filled) for x in r] == [(2.0, False), (3.0, True), (4.0, False), (None, False), (8.0, True), (8.0, False)]
+    names = {"new york": "New York", "ny": "New York", "Boston": "Boston"}
+    assert [x.city for x in cl.standardise(df, "city", names).orderBy("id").collect()] == ["New York", "New York", "Boston", None, "New York", "x"]
+    assert [x.city for x in cl.standardise(df, "city", names, "Other").orderBy("id").collect()][-1] == "Other"
+    assert [x.v for x in cl.fill_missing(df, {"v": F.col("id") * 1.0}).orderBy("id").collect()] == [2.0, 2.0, 4.0, 4.0, 5.0, 8.0]
 
 
 @pytest.fixture(scope="module")
