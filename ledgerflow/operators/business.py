@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import as_double, month_start, months_between_whole, revenue_units, units_to_money, week_start
+from ..session import keep
 from .windows import ntile
 
 
@@ -123,25 +124,22 @@ def rfm(orders: DataFrame, cust: str = "o_custkey", ts: str = "o_orderdate",
     ``as_of`` defaults to the day after the last order. The three exact
     global ntiles use the range-split plan (no single-partition window).
     """
-    per = orders.groupBy(cust).agg(
+    # One row per customer, written once: read by the scalars and three range splits.
+    per = keep(orders.groupBy(cust).agg(
         F.max(F.to_date(ts)).alias("_last"), F.count(F.lit(1)).alias("frequency"),
-        F.sum(F.col(amount).cast("decimal(18,2)")).alias("_m")).persist()
-    # (one row per customer, read by the as-of scalar and three range splits)
-    if as_of is None:
-        # One scalar from a global aggregate; it becomes a literal in the plan.
-        last = per.agg(F.max("_last")).first()[0]
-        as_of_col = F.date_add(F.lit(last), 1)
-    else:
-        as_of_col = F.lit(as_of).cast("date")
+        F.sum(F.col(amount).cast("decimal(18,2)")).alias("_m")), "rfm-customers")
+    # Scalars from one global aggregate; they become literals in the plan.
+    n, last = per.agg(F.count(F.lit(1)), F.max("_last")).first()
+    as_of_col = F.date_add(F.lit(last), 1) if as_of is None else F.lit(as_of).cast("date")
     per = per.select(cust, F.datediff(as_of_col, F.col("_last")).cast("int").alias("recency"),
                      F.col("frequency").cast("bigint").alias("frequency"),
                      as_double(F.col("_m")).alias("monetary"))
     per = ntile(per, [], [F.col("recency").desc(), F.col(cust).asc()], buckets, "r_score",
-                max_group_rows=max_group_rows)
+                max_group_rows=max_group_rows, rows=n)
     per = ntile(per, [], [F.col("frequency").asc(), F.col(cust).asc()], buckets, "f_score",
-                max_group_rows=max_group_rows)
+                max_group_rows=max_group_rows, rows=n)
     per = ntile(per, [], [F.col("monetary").asc(), F.col(cust).asc()], buckets, "m_score",
-                max_group_rows=max_group_rows)
+                max_group_rows=max_group_rows, rows=n)
     return per.withColumn("rfm", F.concat(F.col("r_score").cast("string"), F.col("f_score").cast("string"),
                                           F.col("m_score").cast("string")))
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import ensure_checkpoint_dir, scratch_path
+from ..session import ensure_checkpoint_dir, keep
 
 # Accent folding used before edit-distance comparison.
 ACCENTED = "àáâäãåçèéêëìíîïñòóôöõùúûüýÿ"
@@ -56,7 +56,7 @@ def exact_dups(df: DataFrame, id_col: str, key: Column, only_repeated: bool = Tr
     a hot key is one row on the small side (AQE splits the big side)."""
     # (id, 32-byte hash) is read twice; written once, so whole texts are
     # normalised and hashed once.
-    h = _keep(df.select(F.col(id_col), F.sha2(key, 256).alias("_h")), "dd1-hashes")
+    h = keep(df.select(F.col(id_col), F.sha2(key, 256).alias("_h")), "dd1-hashes")
     g = h.groupBy("_h").agg(F.min(id_col).alias("canonical_id"), F.count(F.lit(1)).alias("n_copies"))
     if only_repeated:
         g = g.filter(F.col("n_copies") > 1)
@@ -74,13 +74,6 @@ def latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataF
 # Edits allowed as a share of the shorter string: below 1, so a string always
 # has more characters than allowed edits and can be cut into edits + 1 parts.
 EDIT_SHARE = 0.25
-def _keep(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back (read several times below)."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def allowed_edits(length: Column, k: int, share: float = EDIT_SHARE) -> Column:
     """Edits a pair may have whose shorter string has ``length`` characters."""
     return F.least(F.lit(k), F.floor(length * F.lit(share)).cast("int"))
@@ -179,13 +172,13 @@ def lev_pairs(df: DataFrame, id_col: str, text: Column, k: int, share: float = E
     ids, when their distance is at most ``k`` and at most ``share`` of the
     shorter one's length. Empty strings say nothing and link with nothing.
     """
-    x = _keep(df.select(F.col(id_col).alias("id"), text.alias("t")).filter(F.length("t") > 0)
+    x = keep(df.select(F.col(id_col).alias("id"), text.alias("t")).filter(F.length("t") > 0)
               .select("id", "t", F.length("t").alias("len"), F.xxhash64("t").alias("h1"), F.sha2("t", 256).alias("h2")), "dd3-texts")
     first = x.groupBy("h1", "h2").agg(F.min("id").alias("first"))
     named = x.select("id", "h1", "h2").join(first, ["h1", "h2"]).select("id", "first")
     copies = named.filter(F.col("id") != F.col("first")).select(
         F.col("first").alias("id_a"), F.col("id").alias("id_b"), F.lit(0).alias("distance"))
-    s = _keep(x.select("id", "t", "len").join(first.select(F.col("first").alias("id")), "id", "left_semi"), "dd3-strings")
+    s = keep(x.select("id", "t", "len").join(first.select(F.col("first").alias("id")), "id", "left_semi"), "dd3-strings")
     cand = _keys(s, _index_rows, k, share, "rid").join(_keys(s, _probe_rows, k, share, "sid"), ["l", "i", "h"]).filter(F.col("rid") != F.col("sid"))
     pairs = cand.select(F.least("rid", "sid").alias("a"), F.greatest("rid", "sid").alias("b")).distinct()
     ta = s.select(F.col("id").alias("a"), F.col("t").alias("ta"), F.col("len").alias("la"))

@@ -100,21 +100,23 @@ def needs_split(df: DataFrame, partition_by: Sequence[str], max_group_rows: int
     return largest_group_estimate(df, partition_by, limit) > limit // 2
 
 
-def _split(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, num_chunks: int | None) -> DataFrame:
+def _split(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, num_chunks: int | None,
+           rows: int | None = None) -> DataFrame:
     """Range-partition into chunks of about ``CHUNK_ROWS`` rows (at least the
-    shuffle partition count), so chunk size stays bounded as data grows."""
+    shuffle partition count), so chunk size stays bounded as data grows.
+    ``rows`` is the row count, if the caller has it."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_chunks
     if n is None:
-        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-df.count() // CHUNK_ROWS))
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(df.count() if rows is None else rows) // CHUNK_ROWS))
     ranged = df.repartitionByRange(n, *_cols(partition_by), *_cols(order_by))
     return ranged.withColumn("_chunk", F.spark_partition_id()).checkpoint(eager=True)
 
 
 def prefix_sums(df: DataFrame, partition_by: Sequence[str], order_by: Sequence,
                 values: dict[str, Column], max_group_rows: int | None = None,
-                num_chunks: int | None = None) -> DataFrame:
+                num_chunks: int | None = None, rows: int | None = None) -> DataFrame:
     """Add inclusive running sums of ``values`` within ``partition_by`` in
     ``order_by`` order. ``order_by`` must be unique within a group (end it in
     a key). ``{"rn": F.lit(1)}`` gives the row number."""
@@ -127,7 +129,7 @@ def prefix_sums(df: DataFrame, partition_by: Sequence[str], order_by: Sequence,
             out = out.withColumn(name, F.sum(v).over(w))
         return out
 
-    x = _split(df, P, order_by, num_chunks)
+    x = _split(df, P, order_by, num_chunks, rows)
     w = (Window.partitionBy(*P, "_chunk").orderBy(*_cols(order_by))
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     # The plain plan's types; a sum is NULL only until the first value.
@@ -150,14 +152,14 @@ def prefix_sums(df: DataFrame, partition_by: Sequence[str], order_by: Sequence,
 
 
 def row_index(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, out: str = "rn",
-              max_group_rows: int | None = None, num_chunks: int | None = None) -> DataFrame:
+              max_group_rows: int | None = None, num_chunks: int | None = None, rows: int | None = None) -> DataFrame:
     """WN-1 ``row_number`` (bigint, 1-based) without a single-task group."""
     P = list(partition_by or [])
     if not needs_split(df, P, max_group_rows):
         w = Window.partitionBy(*P).orderBy(*_cols(order_by))
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
     r = prefix_sums(df, P, order_by, {out: F.lit(1).cast("bigint")}, max_group_rows=0,
-                    num_chunks=num_chunks)
+                    num_chunks=num_chunks, rows=rows)
     return r.withColumn(out, F.col(out).cast("bigint"))
 
 
@@ -207,17 +209,19 @@ def ntile_from_rn(rn: Column, cnt: Column, n: int) -> Column:
 
 def ntile(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, n: int,
           out: str = "ntile", max_group_rows: int | None = None,
-          num_chunks: int | None = None) -> DataFrame:
+          num_chunks: int | None = None, rows: int | None = None) -> DataFrame:
     """WN-5 / WN-7 exact ``ntile(n)``; with no ``partition_by`` this is the
-    global ntile that a plain window would run in a single partition."""
+    global ntile that a plain window would run in a single partition.
+    ``rows`` is the row count of ``df``, if the caller has it."""
     P = list(partition_by or [])
     if P and not needs_split(df, P, max_group_rows):
         return df.withColumn(out, F.ntile(n).over(Window.partitionBy(*P).orderBy(*_cols(order_by))))
-    r = row_index(df, P, order_by, "_rn", max_group_rows=0, num_chunks=num_chunks)
+    rows = df.count() if rows is None and not P else rows
+    r = row_index(df, P, order_by, "_rn", max_group_rows=0, num_chunks=num_chunks, rows=rows)
     if P:
         r = join_back(r, _group_counts(df, P, "_cnt"), P)
     else:
-        r = r.withColumn("_cnt", F.lit(df.count()))
+        r = r.withColumn("_cnt", F.lit(rows))
     return r.withColumn(out, ntile_from_rn(F.col("_rn"), F.col("_cnt"), n)).drop("_rn", "_cnt")
 
 

@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session in this library assumes (see README "Session").
 SESSION_DEFAULTS = {
@@ -78,3 +78,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/ledgerflow-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back, for frames that are
+    read several times: nothing stays in executor memory or on local disks."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
