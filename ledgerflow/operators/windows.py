@@ -32,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, keep
 
 # Largest group one task may sort in a plain window.
 MAX_GROUP_ROWS = 4_000_000
@@ -151,6 +151,29 @@ def prefix_sums(df: DataFrame, partition_by: Sequence[str], order_by: Sequence,
     return joined.select(*sel)
 
 
+def _global_index(df: DataFrame, order_by: Sequence, out: str, num_chunks: int | None, rows: int | None) -> DataFrame:
+    """Row number over the whole frame with one shuffle: rows are
+    range-partitioned, sorted and written once with their place in their
+    partition; the partitions' row counts (one number each) give the places
+    before them. The written table pins the ranges."""
+    spark = df.sparkSession
+    n = num_chunks
+    if n is None:
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-(df.count() if rows is None else rows) // CHUNK_ROWS))
+    order = _cols(order_by)
+    x = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_place", F.monotonically_increasing_id())
+    x = keep(x, "global-index")
+    part = F.shiftright("_place", 33)
+    offsets, before = [], 0
+    for r in sorted(x.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()):
+        offsets.append((r["p"], before))
+        before += r["n"]
+    offs = F.broadcast(spark.createDataFrame(offsets, "_part bigint, _before bigint"))  # a row per partition
+    x = x.withColumn("_part", part).join(offs, "_part")
+    place = F.col("_place").bitwiseAND(F.lit((1 << 33) - 1))
+    return x.select(*df.columns, (F.col("_before") + place + 1).alias(out))
+
+
 def row_index(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, out: str = "rn",
               max_group_rows: int | None = None, num_chunks: int | None = None, rows: int | None = None) -> DataFrame:
     """WN-1 ``row_number`` (bigint, 1-based) without a single-task group."""
@@ -158,6 +181,8 @@ def row_index(df: DataFrame, partition_by: Sequence[str], order_by: Sequence, ou
     if not needs_split(df, P, max_group_rows):
         w = Window.partitionBy(*P).orderBy(*_cols(order_by))
         return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+    if not P:
+        return _global_index(df, order_by, out, num_chunks, rows)
     r = prefix_sums(df, P, order_by, {out: F.lit(1).cast("bigint")}, max_group_rows=0,
                     num_chunks=num_chunks, rows=rows)
     return r.withColumn(out, F.col(out).cast("bigint"))
