@@ -23,6 +23,7 @@ import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -34,7 +35,8 @@ K = 128
 SHINGLE = 5
 #: Words whose hashes a worker remembers; others are hashed again.
 CACHE_WORDS = 300_000
-#: Bytes of text aimed at for a task of the neighbour pass, and most tasks.
+#: Bytes of text aimed at for a task of the neighbour pass (or less, for as
+#: many tasks as a shuffle has), and most tasks.
 CHUNK_BYTES = 16 << 20
 MAX_CHUNKS = 20_000
 
@@ -205,14 +207,15 @@ def compare_with_next(docs: DataFrame, k: int = K, shingle: int = SHINGLE, id_co
     spark = docs.sparkSession
     x = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     size = x.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
-    n = int(min(MAX_CHUNKS, size // CHUNK_BYTES + 1))
-    cuts = sorted(set(x.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n) if n > 1 else []), reverse=True)
-    # Chunk 0 has the largest ids; a null id belongs to the last.
-    chunk = F.lit(len(cuts))
-    if cuts:
-        chunk = F.coalesce(F.lit(len(cuts)) - F.expr("aggregate(array(" + ",".join(f"{int(c)}L" for c in cuts)
-                           + "), 0, (a, c) -> a + if(doc_id > c, 1, 0))"), chunk)
-    x = x.withColumn("_chunk", chunk.cast("int"))
+    n = min(MAX_CHUNKS, max(size // CHUNK_BYTES + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    cuts = np.unique(np.array(x.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n) or [], dtype=np.int64))
+
+    @F.pandas_udf("int")
+    def chunk_of(ids: pd.Series) -> pd.Series:
+        """Chunk 0 has the largest ids; a null id belongs to the last."""
+        at = len(cuts) - np.searchsorted(cuts, ids.fillna(0).to_numpy(dtype=np.int64), "left")
+        return pd.Series(np.where(ids.isna(), len(cuts), at))
+    x = x.withColumn("_chunk", chunk_of("doc_id"))
     # The first row of a chunk, in the order below, as (id, text hash): one per chunk.
     order = F.struct(F.col("doc_id").isNotNull(), F.col("doc_id"), F.xxhash64("text"))
     firsts = {r["_chunk"]: r["f"] for r in x.groupBy("_chunk").agg(F.max(order).alias("f")).collect()}
@@ -226,6 +229,6 @@ def compare_with_next(docs: DataFrame, k: int = K, shingle: int = SHINGLE, id_co
     rows = x.select("_chunk", "doc_id", "text", F.lit(False).alias("_ghost")).unionByName(
         ghosts.select("_chunk", "doc_id", "text", F.lit(True).alias("_ghost")))
     key = [F.col("_chunk"), F.col("_ghost"), F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc()]
-    rows = rows.repartition(max(1, len(cuts) + 1), "_chunk").sortWithinPartitions(*key)
+    rows = rows.repartitionById(len(cuts) + 1, F.col("_chunk")).sortWithinPartitions(*key)
     return rows.mapInArrow(_editor(k, shingle), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                            "edited_fingerprint string, near_edited double, near_next double")
