@@ -4,7 +4,7 @@ Tokens are words ``[^\x20\x09-\x0D]+`` after folding A-Z, then one end per
 document. Training rows are those whose crc32(id as text) mod ``folds`` is
 not 0; their word counts also give the unigram base score.
 
-Output. Words fall into classes by their last two letters (the endings with
+Output. Words fall into classes by their last two bytes (the endings with
 most tokens; one class for all others; one for the end). The next token's
 probability is p(class | state) * p(slot | class, state) * p(word | slot):
 both softmaxes are computed from the recurrent state. A slot is a frequent
@@ -14,11 +14,11 @@ all training rows are counted; the frequent ones (``MODEL_WORDS``) have
 slots of their own.
 
 Training. Truncated backpropagation in numpy: a task lays its documents end
-to end in ``LANES`` lanes and goes through windows of ``WINDOW`` tokens,
-carrying the state from window to window and clearing it at a document's
+to end in up to ``LANES`` lanes (fewer where that gives less than ``STEPS``
+steps) and goes through windows of ``WINDOW`` tokens, carrying the state from window to window and clearing it at a document's
 start. Every training row takes part once, in one of ``ROUNDS`` rounds; a
 round starts all tasks from the same parameters and averages what they
-return, weighted by tokens. The parameters (some 30,000 numbers, set by the
+return, weighted by tokens. The parameters (some 11,000 numbers, set by the
 constants below, not by the data) are summed by index in a shuffle.
 
 Scoring. Documents are dealt to lanes whole and state is carried across all
@@ -40,33 +40,58 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import binary_column, id_bucket, stored, text_or_empty
 
 FOLDS = 10
 CLASSES = 32
-MODEL_WORDS = 1000
+MODEL_WORDS = 600
 DICTIONARY = 200_000
-EMBED = HIDDEN = 12
-LANES, WINDOW = 256, 16
+EMBED = HIDDEN = 8
+LANES, WINDOW, STEPS = 1024, 16, 100
 ROUNDS = 2
-RATE = 0.01
+RATE = 0.03
 SMOOTH = 0.1
 SEED = 2
-#: Tokens laid out at once, and distinct words a task counts before it hands
-#: them on.
-HELD_TOKENS = 1_000_000
+#: Tokens laid out at once in training and in scoring, and distinct words a
+#: task counts before it hands them on.
+HELD_TOKENS, SCORED_TOKENS = 2_000_000, 4_000_000
 HELD_WORDS = 300_000
 SCORE_LANES, SCORE_WINDOW = 512, 16
+#: Tokens whose probabilities are computed together when scoring.
+OUTPUT_ROWS = 16_384
+
+
+_BASE = 0x9E3779B97F4A7C15  # odd: words hash as polynomials modulo 2**64
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+_LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
+_POWERS: list[np.ndarray] = [np.ones(1, dtype=np.uint64)] * 2
+
+
+def _powers(n: int) -> list[np.ndarray]:
+    """Powers of the hash's base and of its inverse, up to the n-th at least."""
+    if n >= len(_POWERS[0]):
+        for i, m in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            x = np.full(2 * n + 2, m, dtype=np.uint64)
+            x[0] = 1
+            _POWERS[i] = np.multiply.accumulate(x)
+    return _POWERS
+
+
+def _one_hash(word: bytes) -> int:
+    h = 0
+    for c in reversed(word):
+        h = (h * _BASE + c + 1) & 0xFFFFFFFFFFFFFFFF
+    return h
 
 
 class Vocabulary:
     """Dictionary words with slots and counts, classes, and what is needed to
     score words beyond the dictionary; its size is bounded by constants."""
 
-    def __init__(self, words: list[str], counts: np.ndarray, endings: list[str], masses: np.ndarray, kinds: np.ndarray, once: np.ndarray,
+    def __init__(self, words: list[str], counts: np.ndarray, endings: list[bytes], masses: np.ndarray, kinds: np.ndarray, once: np.ndarray,
                  end_count: int, tokens: int, distinct: int):
         """``endings`` are the classes after the end's; ``masses``, ``kinds``
         and ``once`` are tokens, words and words seen once per class (the
@@ -76,9 +101,12 @@ class Vocabulary:
         self.counts = np.asarray(counts, dtype=np.int64)[order]
         self.tokens, self.distinct, self.end_count = tokens, distinct, end_count
         self.class_of_ending = {e: i + 1 for i, e in enumerate(endings)}
+        self.ending_class = np.full(1 << 16, len(endings) + 1, dtype=np.int32)  # by last byte but one, last byte
+        for e, k in self.class_of_ending.items():
+            self.ending_class[int.from_bytes(e, "big")] = k
         n_classes = len(endings) + 2
         self.other = n_classes - 1
-        word_class = np.array([self.class_of(w) for w in self.words], dtype=np.int64)
+        word_class = np.array([self.class_of(w.encode()) for w in self.words], dtype=np.int64)
         own = np.zeros(len(self.words), dtype=bool)
         own[:MODEL_WORDS] = True
         sizes = np.bincount(word_class[own], minlength=n_classes) + 1  # and the rest
@@ -100,15 +128,21 @@ class Vocabulary:
         mass[self.rest[1:]] = rest_mass[1:]
         self.unseen = (rest_once + 0.5) / (rest_mass + 1.0)  # per class, within its rest
         self.rest_mass = np.maximum(rest_mass, 1.0)
-        self.slot_bias = np.log(mass + 0.5).astype(np.float32)
-        self.class_bias = np.log(np.bincount(self.slot_class, weights=mass + 0.5)).astype(np.float32)
+        share = (mass + 0.5) / (mass + 0.5).sum()
+        self.slot_bias = np.log(share).astype(np.float32)
+        self.class_bias = np.log(np.bincount(self.slot_class, weights=share)).astype(np.float32)
+        self.slot_bias -= self.class_bias[self.slot_class]
         self.base_norm = tokens + SMOOTH * (distinct + 1)
         self.base = np.log10((self.counts + SMOOTH) / self.base_norm)
         self.base_end = float(np.log10((end_count + SMOOTH) / self.base_norm))
         self.within = np.where(own, 0.0, np.log10((1 - self.unseen[word_class]) * self.counts / self.rest_mass[word_class]))
         self._index: dict[bytes, int] | None = None
+        own_words = [w.encode() for w in self.words[:MODEL_WORDS]]
+        hashes = np.array([_one_hash(w) for w in own_words], dtype=np.uint64)
+        order = np.argsort(hashes)
+        self.own_hashes, self.own_slots = hashes[order], self.slots[:len(own_words)][order].astype(np.int32)
 
-    def class_of(self, word: str) -> int:
+    def class_of(self, word: bytes) -> int:
         return self.class_of_ending.get(word[-2:], self.other)
 
     def __getstate__(self) -> dict:
@@ -132,9 +166,50 @@ class Vocabulary:
             return slots, at, []
         tail = [words[i] for i in np.flatnonzero(~known)]
         slots[:-1][known] = self.slots[at[known]]
-        slots[:-1][~known] = [self.rest[self.class_of(w.decode()[-2:])] for w in tail]
+        slots[:-1][~known] = [self.rest[self.class_of(w)] for w in tail]
         return slots, at[known], tail
 
+    def slots_of(self, text: bytes) -> np.ndarray:
+        """The slots of ``encode``, in whole-text operations: words with slots
+        of their own are found by 64-bit hashes, others by their endings."""
+        b = _LOWER[np.frombuffer(text, dtype=np.uint8)]
+        inside = np.concatenate([[False], ~_SPACE[b], [False]])
+        start, end = (np.flatnonzero(x) for x in (inside[1:] & ~inside[:-1], ~inside[1:] & inside[:-1]))
+        out = np.zeros(len(start) + 1, dtype=np.int32)
+        if len(start):
+            powers, inverses = _powers(len(b))
+            sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * powers[:len(b)], dtype=np.uint64)])
+            h = (sums[end] - sums[start]) * inverses[start]
+            last = b[end - 1].astype(np.int32) + np.where(end - start > 1, b[end - 2].astype(np.int32) << 8, 0)
+            out[:-1] = self.rest[self.ending_class[last]]
+            if len(self.own_hashes):
+                at = np.minimum(np.searchsorted(self.own_hashes, h), len(self.own_hashes) - 1)
+                own = self.own_hashes[at] == h
+                out[:-1][own] = self.own_slots[at[own]]
+        return out
+
+
+def _log_softmax(logits: np.ndarray, rows: np.ndarray, chosen: np.ndarray, slopes: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """Natural log probabilities of the chosen columns and, with ``slopes``,
+    the derivative of their negative by the logits. Logits are log shares
+    and what training adds, far below where exp overflows; if they ever were
+    not, the rows' largest are taken off first. Overwrites ``logits``."""
+    ones = np.ones(logits.shape[1], dtype=np.float32)
+    picked = logits[rows, chosen]
+    e = np.exp(logits)
+    total = e @ ones
+    if not (np.isfinite(total).all() and (total > 0).all()):
+        logits = logits - logits.max(axis=1, keepdims=True)
+        picked = logits[rows, chosen]
+        e = np.exp(logits)
+        total = e @ ones
+    logp = (picked - np.log(total)).astype(np.float64)
+    if not slopes:
+        return logp, None
+    e *= (1 / total)[:, None]
+    e[rows, chosen] -= 1
+    return logp, e
+
 
 class Network:
     """Parameters as views into one flat vector, and the passes over them."""
@@ -181,56 +256,54 @@ class Network:
                 h = np.where(fresh[t][:, None], np.float32(0), h)
             hu = h @ self.u
             p = proj[t]
-            gates = 1 / (1 + np.exp(-(p[:, :2 * n] + hu[:, :2 * n])))
+            gates = p[:, :2 * n] + hu[:, :2 * n]
+            np.negative(gates, out=gates)
+            np.exp(gates, out=gates)
+            gates += 1
+            np.reciprocal(gates, out=gates)
             z, r = gates[:, :n], gates[:, n:]
-            cand = np.tanh(p[:, 2 * n:] + r * hu[:, 2 * n:])
-            new = cand + z * (h - cand)
+            cand = r * hu[:, 2 * n:]
+            cand += p[:, 2 * n:]
+            np.tanh(cand, out=cand)
+            new = out[t]
+            np.subtract(h, cand, out=new)
+            new *= z
+            new += cand
             if keep is not None:
                 keep.append((h, z, r, cand, hu[:, 2 * n:]))
-            out[t] = h = new
+            h = new
         return out, h
 
     def outputs(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probabilities of target slots from states (N, H); with
         ``grads``, adds the heads' gradients and returns that of the states."""
         k = self.slot_class[target]
-        logits = h @ self.wc + self.bc
-        logits -= logits.max(axis=1, keepdims=True)
+        # Rows in the order of their classes: a class is a slice of them.
+        order = np.argsort(k, kind="stable")
+        bounds = np.searchsorted(k[order], np.arange(self.n_classes + 1))
+        hs, ks, ts = h[order], k[order], target[order]
         rows = np.arange(len(h))
-        chosen = logits[rows, k]
-        np.exp(logits, out=logits)
-        total = logits.sum(axis=1)
-        logp = (chosen - np.log(total)).astype(np.float64)
-        dh = None
+        logp, d = _log_softmax(hs @ self.wc + self.bc, rows, ks, grads is not None)
+        dhs = None
         if grads is not None:
-            d = logits / total[:, None]
-            d[rows, k] -= 1
-            grads["wc"] += h.T @ d
+            grads["wc"] += hs.T @ d
             grads["bc"] += d.sum(axis=0)
-            dh = d @ self.wc.T
-        order = np.argsort(k, kind="stable")
-        bounds = np.searchsorted(k[order], np.arange(self.n_classes + 1))
+            dhs = d @ self.wc.T
         for c in range(self.n_classes):
             i, j = bounds[c], bounds[c + 1]
             a, b = self.first[c], self.first[c + 1]
             if i == j or b - a == 1:
                 continue
-            at = order[i:j]
-            hc, t = h[at], target[at] - a
-            s = hc @ self.ws[a:b].T + self.bs[a:b]
-            s -= s.max(axis=1, keepdims=True)
-            m = np.arange(len(at))
-            chosen = s[m, t]
-            np.exp(s, out=s)
-            total = s.sum(axis=1)
-            logp[at] += chosen - np.log(total)
+            hc = hs[i:j]
+            part, d = _log_softmax(hc @ self.ws[a:b].T + self.bs[a:b], rows[:j - i], ts[i:j] - a, grads is not None)
+            logp[i:j] += part
             if grads is not None:
-                s /= total[:, None]
-                s[m, t] -= 1
-                grads["ws"][a:b] += s.T @ hc
-                grads["bs"][a:b] += s.sum(axis=0)
-                dh[at] += s @ self.ws[a:b]
-        return logp, dh
+                grads["ws"][a:b] += d.T @ hc
+                grads["bs"][a:b] += d.sum(axis=0)
+                dhs[i:j] += d @ self.ws[a:b]
+        back = np.empty_like(order)
+        back[order] = rows
+        return logp[back], None if dhs is None else dhs[back]
 
     def gradient(self, x: np.ndarray, target: np.ndarray, fresh: np.ndarray, weight: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         """(gradient, state after the window, log probability) of a window,
@@ -285,7 +358,7 @@ class Adam:
         self.t += 1
         self.m += 0.1 * (grad - self.m)
         self.v += 0.01 * (grad * grad - self.v)
-        scale = self.rate * np.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t)
+        scale = self.rate / np.sqrt(1 + self.t / 100) * np.sqrt(1 - 0.99 ** self.t) / (1 - 0.9 ** self.t)
         flat -= np.float32(scale) * self.m / (np.sqrt(self.v) + np.float32(1e-8))
 
 
@@ -304,7 +377,7 @@ def train_on(net: Network, documents: Iterator[np.ndarray], start: int) -> tuple
         fresh[np.cumsum([0, *(len(p) for p in parts[:-1])])] = True
         x = np.concatenate([[start], target[:-1]]).astype(np.int32)
         x[fresh] = start
-        lanes = min(LANES, -(-len(target) // WINDOW))
+        lanes = min(LANES, max(1, len(target) // (WINDOW * STEPS)))
         steps = -(-len(target) // lanes)
         pad = lanes * steps - len(target)
         lay = lambda a, fill: np.concatenate([a, np.full(pad, fill, a.dtype)]).reshape(lanes, steps).T
@@ -339,31 +412,39 @@ def log10_of(net: Network, documents: list[np.ndarray], start: int) -> np.ndarra
         lanes[i].append(d)
         heapq.heappush(load, (n + len(documents[d]), i))
     lanes.sort(key=lambda own: -sum(len(documents[d]) for d in own))
+    dealt = [d for own in lanes for d in own]
+    if not dealt:
+        return np.zeros(0)
+    y = np.concatenate([documents[d] for d in dealt])
+    sizes = np.array([len(documents[d]) for d in dealt])
+    doc = np.repeat(np.array(dealt, dtype=np.int32), sizes)
+    fresh = np.zeros(len(y), dtype=bool)
+    fresh[np.cumsum(sizes) - sizes] = True
+    x = np.concatenate([[start], y[:-1]]).astype(np.int32)
+    x[fresh] = start
     length = np.array([sum(len(documents[d]) for d in own) for own in lanes])
-    steps = int(length[0]) if lanes else 0
-    x = np.full((steps, len(lanes)), start, dtype=np.int32)
-    y = np.zeros_like(x)
-    doc = np.zeros_like(x)
-    fresh = np.zeros(x.shape, dtype=bool)
-    for i, own in enumerate(lanes):
-        at = 0
-        for d in own:
-            s = documents[d]
-            y[at:at + len(s), i] = s
-            x[at + 1:at + len(s), i] = s[:-1]
-            doc[at:at + len(s), i] = d
-            fresh[at, i] = True
-            at += len(s)
+    first = np.cumsum(length) - length
     out = np.zeros(len(documents))
     h = np.zeros((len(lanes), HIDDEN), dtype=np.float32)
-    for t in range(0, steps, SCORE_WINDOW):
-        s = slice(t, t + SCORE_WINDOW)
+    held: list[tuple[np.ndarray, np.ndarray]] = []  # states and the places they predict
+
+    def flush() -> None:
+        at = np.concatenate([p for _, p in held])
+        logp, _ = net.outputs(np.concatenate([s for s, _ in held]), y[at])
+        out[:] += np.bincount(doc[at], weights=logp, minlength=len(documents))
+        held.clear()
+    for t in range(0, int(length[0]), SCORE_WINDOW):
         live = int(np.searchsorted(-length, -t, "left"))  # lanes longer than t come first
-        states, last = net.recur(x[s, :live], fresh[s, :live], h[:live])
+        step = t + np.arange(min(SCORE_WINDOW, int(length[0]) - t))[:, None]
+        inside = step < length[:live]
+        at = first[:live] + np.minimum(step, length[:live] - 1)
+        states, last = net.recur(x[at], fresh[at] & inside, h[:live])
         h[:live] = last
-        inside = (t + np.arange(len(states)))[:, None] < length[:live]
-        logp, _ = net.outputs(states[inside], y[s, :live][inside])
-        out += np.bincount(doc[s, :live][inside], weights=logp, minlength=len(documents))
+        held.append((states[inside], at[inside]))
+        if sum(len(p) for _, p in held) >= OUTPUT_ROWS:
+            flush()
+    if held:
+        flush()
     return out / np.log(10)
 
 
@@ -386,19 +467,22 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(_counter, "word string, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def _ending_class(endings: list[str]) -> F.Column:
+def _ending() -> Column:
+    """Last two bytes of column ``word``, as hex digits."""
+    return F.hex(F.substring(F.encode("word", "UTF-8"), -2, 2))
+
+
+def _ending_class(endings: list[bytes]) -> Column:
     """Class of column ``word`` as ``Vocabulary.class_of`` has it."""
-    last = F.substring("word", -2, 2)
     if not endings:
         return F.lit(1)
-    m = F.create_map(*(F.lit(x) for i, e in enumerate(endings) for x in (e, i + 1)))
-    return F.coalesce(F.try_element_at(m, last), F.lit(len(endings) + 1))
+    m = F.create_map(*(F.lit(x) for i, e in enumerate(endings) for x in (e.hex().upper(), i + 1)))
+    return F.coalesce(F.try_element_at(m, _ending()), F.lit(len(endings) + 1))
 
 
 def build_vocabulary(counts: DataFrame, end_count: int) -> Vocabulary:
     """From the stored word counts; what comes to the driver is bounded by
     ``DICTIONARY`` words and ``CLASSES`` classes."""
-    spark = counts.sparkSession
     band = F.floor(F.log2("c") * 16)  # a few hundred bands at most
     bands = counts.groupBy(band.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.sum("c").alias("c")).collect()
     distinct, tokens, least, room = sum(r["n"] for r in bands), sum(r["c"] for r in bands), None, DICTIONARY
@@ -408,13 +492,12 @@ def build_vocabulary(counts: DataFrame, end_count: int) -> Vocabulary:
         room, least = room - r["n"], r["b"]
     frequent = counts.filter(band >= least) if least is not None else counts.limit(0)
     table = frequent.select("word", "c").toArrow()
-    ends = counts.groupBy(F.substring("word", -2, 2).alias("e")).agg(F.sum("c").alias("c"))
-    endings = [r["e"] for r in ends.orderBy(F.col("c").desc(), "e").limit(CLASSES - 2).collect()]
+    ends = counts.groupBy(_ending().alias("e")).agg(F.sum("c").alias("c"))
+    endings = [bytes.fromhex(r["e"]) for r in ends.orderBy(F.col("c").desc(), "e").limit(CLASSES - 2).collect()]
     per = counts.groupBy(_ending_class(endings).alias("k")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("o"))
     stats = np.zeros((3, len(endings) + 1))
     for r in per.collect():
         stats[:, r["k"] - 1] = r["c"], r["v"], r["o"]
-    del spark
     return Vocabulary(table.column("word").to_pylist(), table.column("c").to_numpy(), endings, *stats,
                       end_count, tokens + end_count, distinct + (end_count > 0))
 
@@ -422,7 +505,7 @@ def build_vocabulary(counts: DataFrame, end_count: int) -> Vocabulary:
 def _trainer(vocabulary: Vocabulary, flat: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Network(vocabulary, flat)
-        documents = (vocabulary.encode(t)[0] for b in batches for t in binary_column(b, "text"))
+        documents = (vocabulary.slots_of(t) for b in batches for t in binary_column(b, "text"))
         tokens, logp = train_on(net, documents, net.n_slots)
         values = np.append(net.flat.astype(np.float64) * tokens, [tokens, logp])  # the last two: tokens and their log probability
         if tokens:
@@ -469,7 +552,7 @@ def _scorer(vocabulary: Vocabulary, flat: np.ndarray) -> Callable:
                 rows.append((doc, held, len(s), len(at) + (v.end_count > 0), float(v.base[at].sum()) + v.base_end, float(v.within[at].sum()),
                              [w.decode() for w in tail]))
                 n += len(s)
-            if n >= HELD_TOKENS:
+            if n >= SCORED_TOKENS:
                 yield flush()
                 slots, rows, n = [], [], 0
         if rows:

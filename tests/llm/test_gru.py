@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from ledgerflow.llm import gru
 from tests.conftest import SF_MID
-from tests.llm.helpers import empty_docs, odd_docs
+from tests.llm.helpers import empty_docs, odd_docs, odd_texts
 
 
 def words(t):
@@ -60,7 +60,7 @@ def test_query_equals_brute_force_and_beats_the_base(spark):
 def small_vocabulary():
     w = ["the", "and", "of", "that", "band", "rand", "xe", "ye", "solo"]
     c = np.array([50, 40, 30, 20, 9, 8, 3, 2, 1])
-    kinds = {"he": 50, "nd": 57, "at": 20}
+    kinds = {b"he": 50, b"nd": 57, b"at": 20}
     once = [0, 0, 0, 4]
     return gru.Vocabulary(w, c, list(kinds), np.array([*kinds.values(), 30 + 3 + 2 + 1 + 3]), np.array([1, 3, 1, 8]), np.array(once), 20, 189, 14)
 
@@ -85,10 +85,17 @@ def test_probabilities_of_slots_sum_to_one(net):
 def test_words_within_a_rest_sum_to_less_than_one(net):
     v, _ = net
     for k in range(1, v.other + 1):
-        inside = sum(10 ** v.within[i] for i, w in enumerate(v.words) if v.class_of(w) == k and v.slots[i] == v.rest[k])
+        inside = sum(10 ** v.within[i] for i, w in enumerate(v.words) if v.class_of(w.encode()) == k and v.slots[i] == v.rest[k])
         assert inside + v.unseen[k] <= 1 + 1e-9
 
 
+def test_slots_of_whole_texts_equal_word_by_word(net):
+    v, _ = net
+    texts = ["", " ", "the AND of", "The\tthat\x0bband  xe\n", "straße É é and\u00a0the x", "solo unseen he d at THAT", "éà 東京 👍"] + [t or "" for t in odd_texts()]
+    for t in texts:
+        assert v.slots_of(t.encode()).tolist() == v.encode(t.encode())[0].tolist()
+
+
 def one_by_one(n, slots, start):
     """The model's log10 probability, a token at a time."""
     sig = lambda x: 1 / (1 + np.exp(-x))
