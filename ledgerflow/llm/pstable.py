@@ -80,35 +80,43 @@ def hasher(dim: int) -> Hasher:
     return _HASHERS[dim]
 
 
-def _matrix(column: pa.Array) -> np.ndarray:
-    """Equally long vectors, given as bytes of doubles, as unit rows."""
-    v = np.frombuffer(b"".join(column.to_pylist()), dtype="<f8").reshape(len(column), -1)
+def _matrix(column: pa.Array, kind: str) -> np.ndarray:
+    """Equally long vectors, given as bytes, as unit rows in doubles."""
+    v = np.frombuffer(b"".join(column.to_pylist()), dtype=kind).reshape(len(column), -1).astype(np.float64)
     return v / np.linalg.norm(v, axis=1, keepdims=True)
 
 
-def _bytes_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(vec_id, vec): a valid vector's doubles as bytes, else null. A vector
-    is scaled by its largest component, so huge ones keep a finite length."""
-    for b in batches:
-        out = []
-        for v in b.column(1).to_pylist():
-            a = np.array(v, dtype="<f8") if v is not None and None not in v else np.zeros(0)
-            top = np.abs(a).max() if len(a) else 0.0
-            out.append((a / top if top > 0 else a).tobytes() if len(a) and np.isfinite(a).all() and top > 0 else None)
-        yield pa.record_batch([b.column(0), pa.array(out, pa.binary())], names=["vec_id", "vec"])
+def _bytes_of(kind: str) -> Callable:
+    """(vec_id, vec): a valid vector's components as bytes, else null. A vector
+    of doubles is scaled by its largest component, so that the square of its
+    length stays finite; floats need none, and move in half the bytes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for v in b.column(1).to_pylist():
+                a = np.array(v, dtype=kind) if v is not None and None not in v else np.zeros(0)
+                top = np.abs(a).max() if len(a) else 0.0
+                ok = top > 0 and np.isfinite(a).all()
+                out.append((a / top if kind == "<f8" else a).tobytes() if ok else None)
+            yield pa.record_batch([b.column(0), pa.array(out, pa.binary())], names=["vec_id", "vec"])
+    return run
 
 
-def _bucketer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bucketer(kind: str) -> Callable:
     """(dim, tab, bucket, cls): every class's place in every table."""
-    for b in batches:
-        cls = b.column(0).to_numpy()
-        size = np.array([len(v) for v in b.column(1).to_pylist()])
-        for n in np.unique(size):
-            at = np.flatnonzero(size == n)
-            keys = hasher(int(n) // 8).buckets(_matrix(b.column(1).take(pa.array(at))))
-            rows, tables = keys.shape
-            yield pa.record_batch([pa.array(np.full(rows * tables, n // 8, dtype=np.int32)), pa.array(np.tile(np.arange(tables, dtype=np.int32), rows)),
-                                   pa.array(keys.ravel()), pa.array(np.repeat(cls[at], tables))], names=["dim", "tab", "bucket", "cls"])
+    width = np.dtype(kind).itemsize
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            cls = b.column(0).to_numpy()
+            size = np.array([len(v) // width for v in b.column(1).to_pylist()], dtype=np.int32)
+            for n in np.unique(size):
+                at = np.flatnonzero(size == n)
+                keys = hasher(int(n)).buckets(_matrix(b.column(1).take(pa.array(at)), kind))
+                rows, tables = keys.shape
+                yield pa.record_batch([pa.array(np.full(rows * tables, n, dtype=np.int32)), pa.array(np.tile(np.arange(tables, dtype=np.int32), rows)),
+                                       pa.array(keys.ravel()), pa.array(np.repeat(cls[at], tables))], names=["dim", "tab", "bucket", "cls"])
+    return run
 
 
 def _first_here(x: np.ndarray, i: np.ndarray, j: np.ndarray, table: np.ndarray) -> np.ndarray:
@@ -136,7 +144,7 @@ def _groups(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _linker(cosine: float) -> Callable:
+def _linker(cosine: float, kind: str) -> Callable:
     keys = ["dim", "tab", "bucket", "b1", "b2"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,7 +156,7 @@ def _linker(cosine: float) -> Callable:
             dims = cols[0]
             starts = run_starts(dims)
             for s, e in zip(starts[:-1], starts[1:]):  # one vector length at a time
-                x = _matrix(vec.slice(int(s), int(e - s)))
+                x = _matrix(vec.slice(int(s), int(e - s)), kind)
                 own = at[(at >= s) & (at < e)] - s
                 yield _links(x, cls[s:e], n[s:e], tab[s:e], block[s:e], cols[3][s:e], cols[4][s:e], np.append(own, e - s))
 
@@ -192,13 +200,14 @@ def _linker(cosine: float) -> Callable:
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK) -> DataFrame:
     """(vec_id, n_links, component_id, kept): n_links counts the other
     vectors found linked directly; component_id is the smallest id reachable."""
-    x = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
-    x = stored(x.mapInArrow(_bytes_of, "vec_id long, vec binary"), "vectors")
-    classes = x.filter("vec IS NOT NULL").groupBy("vec").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first"),
-                                                            F.min(F.struct(F.col("vec_id").isNull(), F.col("vec_id"))).alias("o"))
+    floats = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
+    kind, cast = ("<f4", "array<float>") if floats else ("<f8", "array<double>")
+    x = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(cast).alias("v"))
+    x = stored(x.mapInArrow(_bytes_of(kind), "vec_id long, vec binary"), "vectors")
+    classes = x.filter("vec IS NOT NULL").groupBy("vec").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first"))
     # A class goes by a number of its own: null ids have no number to lend.
     classes = stored(classes.select("vec", "n", "first", F.xxhash64("vec").alias("cls")), "vector-classes")
-    places = stored(classes.select("cls", "vec").mapInArrow(_bucketer, "dim int, tab int, bucket long, cls long"), "buckets")
+    places = stored(classes.select("cls", "vec").mapInArrow(_bucketer(kind), "dim int, tab int, bucket long, cls long"), "buckets")
     shared = places.groupBy("dim", "tab", "bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     rows = places.join(shared, ["dim", "tab", "bucket"])
     # Blocks of a hot bucket meet two by two; others have one block.
@@ -209,7 +218,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
     rows = rows.join(classes.select("cls", "vec", "n"), "cls")
     keys = ["dim", "tab", "bucket", "b1", "b2"]
     rows = rows.repartition(*keys).sortWithinPartitions(*keys)
-    found = stored(rows.mapInArrow(_linker(cosine), "cls long, links long, lead long"), "vector-links")
+    found = stored(rows.mapInArrow(_linker(cosine, kind), "cls long, links long, lead long"), "vector-links")
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     edges = found.filter("cls <> lead").select(F.col("cls").alias("u"), F.col("lead").alias("v")).distinct()
     groups = components(edges)
