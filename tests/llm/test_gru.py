@@ -181,3 +181,14 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert gru.score_documents(empty_docs(spark).withColumn("x", F.lit(1))).collect() == []
+
+
+def test_the_network_has_its_full_size():
+    """The 1,000 most frequent words have slots of their own, not a class's rest."""
+    w = [f"w{i:04d}" for i in range(1200)]
+    v = gru.Vocabulary(w, np.arange(1300, 100, -1), [], np.array([840_600]), np.array([1200]), np.array([0]), 10, 840_610, 1201)
+    own = v.slots[:1000]
+    assert len(set(own)) == 1000 and not set(own) & set(v.rest[1:])
+    assert set(v.slots[1000:]) <= set(v.rest)
+    n = gru.Network(v)
+    assert n.emb.shape[1] == 12 and n.ws.shape[1] == 12
