@@ -5,6 +5,11 @@ before white space; a sentence is normalised by folding A-Z and turning every
 run of other characters than a-z and 0-9 into one blank. Known licence
 sentences map to identifiers; all others are left out.
 
+Wrapped text. A known sentence may also run over several lines: its words are
+then matched over line ends, but not over blank lines (lines of marks only
+included) or the ends of sentences. A line that is a known sentence by itself
+stays one. ``n_sentences`` counts what the cut gives, wrapped or not.
+
 Rules. A document's identifiers, in order, are matched against an ordered
 list of rules: at each place the first rule whose identifier sequence follows
 there claims it and names a licence, and matching goes on behind it.
@@ -21,7 +26,8 @@ several times in a text is listed once, in order of first appearance.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import re
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +37,9 @@ from .common import text_or_empty
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 CUT = r"[\n\r]+|[.;!?][ \t]+"
 OTHER = r"[^a-z0-9]+"
+# In folded text, capitals are free to mark ends: H, which no sentence runs over, and L, a single line end.
+MARKS = ((r"[.;!?][ \t]*(?=[\n\r])|[.;!?][ \t]+", "H"), (r"(?>\r\n|[\n\r])(?=[^a-zA-Z0-9\n\r]*[\n\r])", "H"), (r"[\n\r]+", "L"),
+         (r"[^a-z0-9HL]+", " "), (r"[ HL]*H[ HL]*", "H"), (r" ?L ?", "L"))
 
 # Normalised sentences of public licence texts and notices.
 SENTENCES: dict[str, str] = {
@@ -133,6 +142,17 @@ def normalised(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), OTHER, " "))
 
 
+def known_sentences(text: Column, sentences: Iterable[str]) -> Column:
+    """The known sentences in a text, in order, wrapped ones included; of
+    several that begin at one place, the shortest that ends at an end."""
+    x = F.concat(F.lit("\n\n"), F.translate(text, UPPER, LOWER), F.lit("\n\n"))
+    for pattern, mark in MARKS:
+        x = F.regexp_replace(x, pattern, mark)
+    any_of = "|".join(s.replace(" ", "[ L]") for s in sorted(sentences, key=lambda s: (len(s), s)) if re.fullmatch("[a-z0-9]+( [a-z0-9]+)*", s))
+    found = F.regexp_extract_all(x, F.lit(f"(?<=[HL])({any_of or '(?!)'})(?=[HL])"), F.lit(1))
+    return F.transform(found, lambda s: F.translate(s, "L", " "))
+
+
 def scan(docs: DataFrame, sentences: Mapping[str, str] = SENTENCES, rules: Sequence[tuple[str, Sequence[str]]] = RULES,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_sentences, n_known, sentence_ids, licences, n_unclaimed)."""
@@ -140,9 +160,9 @@ def scan(docs: DataFrame, sentences: Mapping[str, str] = SENTENCES, rules: Seque
     by_sequence = _lookup({_sequence(s): name for name, s in reversed(list(rules))})
     pattern = "|".join(_sequence(s) for _, s in rules)
     x = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
-    x = x.select("doc_id", F.filter(F.transform(F.split("text", CUT), normalised), lambda s: s != "").alias("s"))
-    known = F.filter(F.transform("s", lambda s: F.try_element_at(ids, s)), lambda i: i.isNotNull())
-    x = x.select("doc_id", F.size("s").cast("long").alias("n_sentences"), known.alias("k"))
+    cut = F.filter(F.transform(F.split("text", CUT), normalised), lambda s: s != "")
+    known = F.transform(known_sentences(F.col("text"), sentences), lambda s: F.try_element_at(ids, s))
+    x = x.select("doc_id", F.size(cut).cast("long").alias("n_sentences"), known.alias("k"))
     x = x.select("doc_id", "n_sentences", F.size("k").cast("long").alias("n_known"),
                  F.array_join(F.transform("k", lambda i: F.concat(F.lit("<"), i, F.lit(">"))), "").alias("sentence_ids"))
     claimed = F.regexp_extract_all("sentence_ids", F.lit(f"({pattern})"), F.lit(1))

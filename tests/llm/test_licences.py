@@ -1,4 +1,5 @@
 import re
+import textwrap
 
 import duckdb
 import pytest
@@ -83,3 +84,38 @@ def test_own_tables(spark, rule):
     df = spark.createDataFrame([(1, "Foo bar.\nBaz; qux!")], "doc_id long, text string")
     (r,) = lic.scan(df, {"foo bar": "A", "baz": "B"}, [("both", ("A", "B")), ("one", ("A",))]).collect()
     assert r.licences == "both" and r.n_sentences == 3
+
+
+GRANTS = {
+    "MIT": [MIT.split("\n")[2], MIT.split("\n")[3], MIT.split("\n")[4].removesuffix(" More.")],
+    "BSD-3-Clause": ["Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+                     "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+                     "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+                     "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+                     'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.'],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."],
+    "GPL-3.0-or-later": ["This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+                         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU General Public License for more details."],
+}
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_wrapped_licences(spark, mark, end):
+    blank = end + mark.rstrip() + end
+    want, texts = [], []
+    for name, parts in GRANTS.items():
+        for width in (40, 72, 80):
+            want.append(name)
+            texts.append(blank.join(end.join(mark + x for x in textwrap.wrap(p, width)) for p in parts))
+    rows = lic.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r.licences for r in sorted(rows, key=lambda r: r.doc_id)] == want
+    assert all(r.n_unclaimed == 0 for r in rows)
+
+
+def test_wrapping_stops_at_ends_and_blank_lines(spark):
+    texts = ["released under\nthe MIT\nLicense", "released under\n\nthe big license", "released under.\nthe MIT license", "released under\n--\nthe MIT license",
+             "All rights reserved\nlicensed under CC BY 4.0\nby us", "\r\n\r\nMIT License\r\nMIT License", "un\nreleased under the MIT license\n" * 3, "\n" * 50_000 + "MIT\nlicense"]
+    rows = lic.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    got = [r.sentence_ids for r in sorted(rows, key=lambda r: r.doc_id)]
+    assert got == ["<MIT_NAMED>", "", "<MIT_TITLE>", "<MIT_TITLE>", "<ALL_RIGHTS><CC_BY>", "<MIT_TITLE><MIT_TITLE>", "<MIT_NAMED>" * 3, "<MIT_TITLE>"]
