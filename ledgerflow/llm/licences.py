@@ -72,6 +72,11 @@ SENTENCES: dict[str, str] = {
     "this program is free software": "GPL_FREE",
     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "GPL3_TERMS",
     "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "GPL2_TERMS",
+    "you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation": "GPL_UNDER",
+    "either version 3 of the license or at your option any later version": "GPL3_LATER",
+    "either version 2 of the license or at your option any later version": "GPL2_LATER",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version": "GPL3_WHOLE",
+    "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version": "GPL2_WHOLE",
     "this program is distributed in the hope that it will be useful but without any warranty": "GPL_HOPE",
     "without even the implied warranty of merchantability or fitness for a particular purpose": "GPL_IMPLIED",
     "see the gnu general public license for more details": "GPL_SEE",
@@ -84,9 +89,12 @@ SENTENCES: dict[str, str] = {
     "this work is licensed under a creative commons attribution 4 0 international license": "CC_BY",
     "this is free and unencumbered software released into the public domain": "UNLICENSE_FREE",
     "this source code form is subject to the terms of the mozilla public license v 2 0": "MPL2_TERMS",
+    "this source code form is subject to the terms of the mozilla public license v": "MPL2_TERMS",
     "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0": "MPL2_COPY",
     "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies": "ISC_GRANT",
     "boost software license version 1 0": "BSL1_TITLE",
+    "boost software license version 1 0 august 17th 2003": "BSL1_TITLE",
+    "distributed under the boost software license version 1 0": "BSL1_TITLE",
     "all rights reserved": "ALL_RIGHTS",
 }
 
@@ -102,6 +110,7 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("MIT", ("MIT_NAMED",)),
     ("MIT", ("MIT_TITLE",)),
     ("BSD-4-Clause", ("BSD_GRANT", "BSD_SOURCE", "BSD_BINARY", "BSD_ADVERT", "BSD_NAME", "BSD_WARRANTY")),
+    ("BSD-4-Clause", ("BSD_GRANT", "BSD_SOURCE", "BSD_BINARY", "BSD_ADVERT", "BSD_NAME")),
     ("BSD-3-Clause", ("BSD_GRANT", "BSD_SOURCE", "BSD_BINARY", "BSD_NAME", "BSD_WARRANTY")),
     ("BSD-3-Clause", ("BSD_GRANT", "BSD_SOURCE", "BSD_BINARY", "BSD_NAME")),
     ("BSD-2-Clause", ("BSD_GRANT", "BSD_SOURCE", "BSD_BINARY", "BSD_WARRANTY")),
@@ -110,8 +119,16 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("BSD-2-Clause", ("BSD2_NAMED",)),
     ("GPL-3.0-or-later", ("GPL_FREE", "GPL3_TERMS", "GPL_HOPE", "GPL_IMPLIED", "GPL_SEE")),
     ("GPL-3.0-or-later", ("GPL_FREE", "GPL3_TERMS")),
+    ("GPL-3.0-or-later", ("GPL_FREE", "GPL_UNDER", "GPL3_LATER", "GPL_HOPE", "GPL_IMPLIED", "GPL_SEE")),
+    ("GPL-3.0-or-later", ("GPL_FREE", "GPL_UNDER", "GPL3_LATER")),
+    ("GPL-3.0-or-later", ("GPL3_WHOLE", "GPL_HOPE", "GPL_IMPLIED", "GPL_SEE")),
+    ("GPL-3.0-or-later", ("GPL3_WHOLE",)),
     ("GPL-2.0-or-later", ("GPL_FREE", "GPL2_TERMS", "GPL_HOPE", "GPL_IMPLIED", "GPL_SEE")),
     ("GPL-2.0-or-later", ("GPL_FREE", "GPL2_TERMS")),
+    ("GPL-2.0-or-later", ("GPL_FREE", "GPL_UNDER", "GPL2_LATER", "GPL_HOPE", "GPL_IMPLIED", "GPL_SEE")),
+    ("GPL-2.0-or-later", ("GPL_FREE", "GPL_UNDER", "GPL2_LATER")),
+    ("GPL-2.0-or-later", ("GPL2_WHOLE", "GPL_HOPE", "GPL_IMPLIED", "GPL_SEE")),
+    ("GPL-2.0-or-later", ("GPL2_WHOLE",)),
     ("GPL-3.0-only", ("GPL3_NAMED",)),
     ("GPL-2.0-only", ("GPL2_NAMED",)),
     ("LGPL-3.0-only", ("LGPL3_NAMED",)),
@@ -123,6 +140,7 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("Unlicense", ("UNLICENSE_FREE",)),
     ("MPL-2.0", ("MPL2_TERMS", "MPL2_COPY")),
     ("MPL-2.0", ("MPL2_TERMS",)),
+    ("MPL-2.0", ("MPL2_COPY",)),
     ("ISC", ("ISC_GRANT", "MIT_WARRANTY")),
     ("ISC", ("ISC_GRANT",)),
     ("BSL-1.0", ("BSL1_TITLE",)),

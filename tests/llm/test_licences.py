@@ -119,3 +119,54 @@ def test_wrapping_stops_at_ends_and_blank_lines(spark):
     rows = lic.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
     got = [r.sentence_ids for r in sorted(rows, key=lambda r: r.doc_id)]
     assert got == ["<MIT_NAMED>", "", "<MIT_TITLE>", "<MIT_TITLE>", "<ALL_RIGHTS><CC_BY>", "<MIT_TITLE><MIT_TITLE>", "<MIT_NAMED>" * 3, "<MIT_TITLE>"]
+
+
+GPL_REST = """
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+"""
+NOTICES = [
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""),
+    ("GPL-3.0-or-later", """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+""" + GPL_REST),
+    ("GPL-2.0-or-later", """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version 2 of the License, or
+(at your option) any later version.
+""" + GPL_REST),
+    ("MPL-2.0", """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""),
+    ("MPL-2.0", "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003\n\nPermission is hereby granted, free of charge, to any person or organization"),
+    ("BSL-1.0", "// Distributed under the Boost Software License, Version 1.0.\n//    (See accompanying file LICENSE_1_0.txt or copy at\n//          https://www.boost.org/LICENSE_1_0.txt)"),
+    ("BSD-4-Clause", "\n".join([*GRANTS["BSD-3-Clause"][:3], """3. All advertising materials mentioning features or use of this software
+   must display the following acknowledgement:
+   This product includes software developed by the organization.
+4. """ + GRANTS["BSD-3-Clause"][3][3:]])),
+    ("Unlicense", "This is free and unencumbered software released into the public domain.\n"),
+    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License.\n"),
+]
+
+
+def test_public_notices_as_they_are_published(spark):
+    rows = lic.scan(spark.createDataFrame([(i, t) for i, (_, t) in enumerate(NOTICES)], "doc_id long, text string")).collect()
+    rows.sort(key=lambda r: r.doc_id)
+    assert [(r.licences, r.n_unclaimed) for r in rows] == [(name, 0) for name, _ in NOTICES]
