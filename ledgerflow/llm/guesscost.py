@@ -8,7 +8,8 @@ length is dropped but still consumes its text):
 * ``hex``: 16 or more of 0-9 and a-f.
 
 Guess cost. Values in a credential context (a wider set of names, separators
-and value characters than ``assign``) are cut into words, dates, repeats,
+and value characters than ``assign``; up to the matching quote on the line, or
+without quotes up to white space less what follows it) are cut into words, dates, repeats,
 keyboard walks and brute-force spans so that the guesses needed for all of
 them, multiplied, are fewest: a dynamic programme over the value's positions
 in log10. A value that needs 10**``MIN_GUESSES`` guesses or more is a span of
@@ -42,7 +43,10 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")  # runs are maximal, so the length can
 HEX = re.compile(r"[0-9a-f]{16,}")
 CONTEXT = re.compile(
     r"(?:pass(?:word|wd|phrase|code)|pwd|secret|token|credential|bearer|(?:api|access|private|auth|encryption|signing)[_ -]?key)s?"
-    r"[\"']?[ \t]*(?::=|=>|[:=]|\bis\b)[ \t]*[\"']?([^\s\"'<>,;]{6,})", re.ASCII | re.IGNORECASE)
+    r"[\"']?[ \t]*(?::=|=>|[:=]|\bis\b)[ \t]*"
+    r"(?:\"((?:[^\"\\\r\n]|\\.)*)\"|'((?:[^'\\\r\n]|\\.)*)'|[\"']?(\S{6,}))", re.ASCII | re.IGNORECASE)
+#: Signs after an unquoted value that are not of it.
+AFTER = ",;\"'<>"
 
 # Common passwords and words, most common first.
 COMMON = (
@@ -169,7 +173,12 @@ def guess_spans(text: str, least: float = MIN_GUESSES) -> list[tuple[int, int, i
     low = text.lower()
     if not any(k in low for k in ("pass", "pwd", "secret", "token", "credential", "bearer", "key")):
         return []
-    return [(m.start(1), 3, m.end(1)) for m in CONTEXT.finditer(text) if guess_cost(m[1])[0] >= least]
+    out = []
+    for m in CONTEXT.finditer(text):
+        value = m[m.lastindex] if m.lastindex < 3 else m[3].rstrip(AFTER)
+        if len(value) >= 6 and guess_cost(value)[0] >= least:
+            out.append((m.start(m.lastindex), 3, m.start(m.lastindex) + len(value)))
+    return out
 
 
 def joined(spans: Iterable[tuple[int, int, int]]) -> str:

@@ -113,3 +113,11 @@ def test_odd_rows(spark):
 
 def test_empty_table(spark):
     assert g.scan(empty_docs(spark)).collect() == []
+
+
+def test_values_holding_any_sign_are_taken_whole():
+    for v in ("Xk9#,vT7q!Zp2mW", "Xk9;vT7q<Zp2m>W", "a,Q7'x;9Lp#2vTz", "Xk9 vT7q Zp2mW 8r"):
+        assert g.redact(f'user: x, password: "{v}", port: 1') == 'user: x, password: "[secret]", port: 1'
+    assert g.redact("password: Xk9#,vT7q!Zp2mW, port: 1") == "password: [secret], port: 1"
+    assert g.redact('password: "Xk9#,vT7q!Zp2mW\nnext "line"') == 'password: "[secret]\nnext "line"'
+    assert g.redact('{"token":"abc","name":"x8#Kq!v0PzW4"}') == '{"token":"abc","name":"x8#Kq!v0PzW4"}'
