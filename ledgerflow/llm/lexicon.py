@@ -225,8 +225,10 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = 5, fit_rows: int = FIT_
         return Model({}, exceptions, None)
     sample = docs.sparkSession.createDataFrame([tuple(r) for r in sample], "doc_id long, toxic int")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")) \
-        .join(F.broadcast(sample), "doc_id").select("text", "toxic", F.pmod(F.xxhash64("text"), F.lit(4)).alias("part"))
-    texts = texts.checkpoint()  # at most fit_rows rows; used several times
+        .join(F.broadcast(sample), "doc_id")
+    # Of a repeated id, the text with the smallest hash.
+    texts = texts.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text", "toxic")).alias("r")).select("r.*")
+    texts = texts.select("text", "toxic", F.pmod("h", F.lit(4)).alias("part")).checkpoint()  # at most fit_rows rows; used several times
     learn = texts.filter("part != 0").select("text", "toxic")
     docs_of = {r["toxic"]: r["n"] for r in learn.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n1, n0 = docs_of.get(1, 0), docs_of.get(0, 0)

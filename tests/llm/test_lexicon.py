@@ -1,5 +1,6 @@
 import pickle
 import zlib
+import zlib
 
 import numpy as np
 
@@ -114,3 +115,19 @@ def test_empty_tables(spark):
     labels = spark.createDataFrame([], LABELS)
     assert lx.score_documents(empty_docs(spark), labels).collect() == []
     assert lx.score_documents(empty_docs(spark), spark.createDataFrame([(1, 1, 1), (2, 1, 0)], LABELS)).collect() == []
+
+
+def test_a_repeated_id_is_fitted_on_once(spark):
+    """One toxic id on many rows of different texts teaches as one document."""
+    word = lambda i, k: f"w{chr(97 + (i * k) % 26)}{chr(97 + (i * 7 * k + i // 26) % 26)}"
+    rows, labels = [], []
+    for i in range(400):
+        filler = [word(i, k) for k in range(1, 20)]
+        rows.append((i, " ".join([*filler[:9], "scumbag", *filler[9:]] if i % 2 else filler), "en", "s", 1))
+        labels.append((i, 1, i % 2))
+    again = next(i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 5)
+    rows += [(again, " ".join([*(word(i, k) for k in range(1, 10)), "marigold", word(i, 11)]), "en", "s", 1) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    weights = lx.fit(docs, spark.createDataFrame([*labels, (again, 1, 1)], LABELS)).weights
+    assert any(e.strip().startswith("scum") for e in weights)
+    assert not any(e.strip().startswith("mari") for e in weights)
