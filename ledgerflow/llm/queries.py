@@ -9,11 +9,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bestfit, bottomk, gru, guesscost, hilbert, lexicon, licences, pivotal, pstable, simhash
+from . import bestfit, bottomk, collocations, divergence, gru, guesscost, hilbert, lexicon, licences, pivotal, pstable, simhash, turnrepair
 from .common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {"op4_licences": licences.oracle_sql()}
+ORACLE: dict[str, str] = {"op4_licences": licences.oracle_sql(), "op13_collocations": collocations.oracle_sql()}
 
 
 def register(fn):
@@ -85,6 +85,21 @@ def op10_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@register
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge_documents(table(spark, sf_dir, "documents"))
+
+
+@register
+def op12_turnrepair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turnrepair.report(table(spark, sf_dir, "conversations"))
+
+
+@register
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 @register
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
