@@ -2,15 +2,19 @@
 
 * DD-1 groups by a SHA-256 of the normalised text, so the shuffle moves 32
   bytes per row instead of whole documents.
-* DD-2 keeps the latest row per key with a ``max_by`` partial aggregate.
+* DD-2 keeps the latest row per key with one ``max`` over a struct.
 * DD-3 finds every pair within ``k`` edits without an all-pairs scan
   (Pass-Join, Li, Deng, Wang, Feng, PVLDB 2011). A pair may differ by ``k``
   edits, but by no more than a share of its shorter string, so every string
   that can have a partner can be cut into one segment more than its edits; a
   partner keeps one segment intact, shifted by a bounded amount. Segments and
-  probe substrings are joined on ``(length, segment no, hash)``, candidate pairs are de-duplicated, and each is verified exactly with Spark's
-  banded ``levenshtein(a, b, k)``. Hash collisions only add candidates, never
-  lose pairs.
+  probe substrings are joined on ``(length, segment no, hash)``. Texts of one
+  template share segments without being near: a string whose segment more
+  than ``HOT_SEGMENT`` strings share is cut finer, indexed by its rarest
+  segments, and needs two of them in a candidate. Candidate pairs are
+  de-duplicated, and each is verified exactly with Spark's banded
+  ``levenshtein(a, b, k)``. Hash collisions only add candidates, never lose
+  pairs.
 * DD-4 labels connected components with large-star / small-star (Kiveris
   et al., SoCC 2014), one Spark job per round, lineage cut by a reliable
   ``checkpoint()`` in the shared checkpoint folder.
@@ -103,10 +107,9 @@ class _Substrings:
         return ((self.sums[start + n] - self.sums[start]) * self._inverses[start]).view(np.int64)
 
 
-def _segments(length: int, edits: int) -> tuple[np.ndarray, np.ndarray]:
-    """(start, length) of the edits + 1 segments of a string, the first ones
-    one character shorter where the length does not divide."""
-    n = edits + 1
+def _segments(length: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(start, length) of the n segments of a string, the first ones one
+    character shorter where the length does not divide."""
     size = np.full(n, length // n)
     size[n - length % n:] += 1
     return np.cumsum(size) - size, size
@@ -116,45 +119,75 @@ def _edits(length: int, k: int, share: float) -> int:
     return min(k, int(length * share))
 
 
-def _index_rows(text: str, k: int, share: float) -> tuple[np.ndarray, ...]:
-    """(l, i, h): every segment of a text that may have a partner."""
-    m = len(text)
-    e = _edits(m, k, share)
-    if e < 1:
-        return (np.zeros(0, dtype=np.int64),) * 3
-    start, n = _segments(m, e)
-    return np.full(e + 1, m), np.arange(e + 1), _Substrings(text).hashes(start, n)
-
-
-def _probe_rows(text: str, k: int, share: float) -> tuple[np.ndarray, ...]:
-    """(l, i, h): substrings that could equal segment i of a text of length
-    l <= its own, in the position-aware window [p-i, p+i] and
-    [p+d-(e-i), p+d+(e-i)], d the difference in length."""
-    m = len(text)
-    out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, dtype=np.int64),) * 3]
-    if _edits(m, k, share) >= 1:
-        sub = _Substrings(text)
-        for l in range(max(1, m - k), m + 1):
-            e, d = _edits(l, k, share), m - l
-            if e < 1 or d > e:
-                continue
-            p, n = _segments(l, e)
-            i = np.arange(e + 1)
-            lo = np.maximum.reduce([p - i, p + d - (e - i), np.zeros_like(p)])
-            hi = np.minimum.reduce([p + i, p + d + (e - i), m - n])
-            count = np.maximum(hi - lo + 1, 0)
-            seg = np.repeat(i, count)
-            at = lo[seg] + np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count)
-            out.append((np.full(len(seg), l), seg, sub.hashes(at, n[seg])))
-    return tuple(np.concatenate(c) for c in zip(*out))
-
-
-def _keys(strings: DataFrame, rows, k: int, share: float, id_name: str) -> DataFrame:
+#: Strings of one length that may share a segment before finer cuts replace it.
+HOT_SEGMENT = 8
+#: Finer cuts: characters to a segment, and segments to an edit at most.
+FINE_CHARS, FINE_SHARE = 3, 16
+
+
+def _fine(length: int, edits: int) -> int:
+    """Finer segments of a string; fewer than edits + 2 say nothing."""
+    return min(max(edits + 2, length // FINE_CHARS), FINE_SHARE * (edits + 2), length)
+
+
+def _ranges(i: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(segment, place) of every place from lo to hi."""
+    count = np.maximum(hi - lo + 1, 0)
+    seg = np.repeat(np.arange(len(i)), count)
+    return seg, lo[seg] + np.arange(len(seg)) - np.repeat(np.cumsum(count) - count, count)
+
+
+class _Cut:
+    """How strings are cut: ``fine`` or into one segment more than edits.
+    ``have`` counts the strings of each length (up to 2): a probe for a
+    length that no other string has finds nothing."""
+
+    def __init__(self, k: int, share: float, fine: bool, have: np.ndarray | None = None):
+        self.k, self.share, self.fine, self.have = k, share, fine, have
+
+    def count(self, length: int, edits: int) -> int:
+        return _fine(length, edits) if self.fine else edits + 1
+
+    def index(self, text: str) -> tuple[np.ndarray, ...]:
+        """(l, i, h): every segment of a text that may have a partner."""
+        m, e = len(text), _edits(len(text), self.k, self.share)
+        if e < 1:
+            return (np.zeros(0, dtype=np.int64),) * 3
+        n = self.count(m, e)
+        return np.full(n, m), np.arange(n), _Substrings(text).hashes(*_segments(m, n))
+
+    def probes(self, text: str) -> tuple[np.ndarray, ...]:
+        """(l, i, h): substrings that could equal segment i of a text of
+        length l <= its own, d the difference in length. Of e + 1 segments one
+        is intact within [p-i, p+i] and [p+d-(e-i), p+d+(e-i)]; any intact
+        segment of a pair within e edits lies in [p-(e-d)/2, p+(e+d)/2]."""
+        m = len(text)
+        out: list[tuple[np.ndarray, ...]] = [(np.zeros(0, dtype=np.int64),) * 3]
+        lengths = range(max(1, m - self.k), m + 1)
+        if self.have is not None:
+            lengths = [l for l in lengths if l >= len(self.have) or self.have[l] > (l == m and not self.fine)]
+        if _edits(m, self.k, self.share) >= 1 and len(lengths):
+            sub = _Substrings(text)
+            for l in lengths:
+                e, d = _edits(l, self.k, self.share), m - l
+                if e < 1 or d > e:
+                    continue
+                p, n = _segments(l, self.count(l, e))
+                i = np.arange(len(p))
+                lo, hi = np.maximum(p - (e - d) // 2, 0), np.minimum(p + (e + d) // 2, m - n)
+                if not self.fine:
+                    lo, hi = np.maximum.reduce([lo, p - i, p + d - (e - i)]), np.minimum.reduce([hi, p + i, p + d + (e - i)])
+                seg, at = _ranges(i, lo, hi)
+                out.append((np.full(len(seg), l), seg, sub.hashes(at, n[seg])))
+        return tuple(np.concatenate(c) for c in zip(*out))
+
+
+def _keys(strings: DataFrame, rows, id_name: str) -> DataFrame:
     """(l, i, h, id) of every text's segments or probes, in numpy per batch:
     built-in expressions would copy or walk the whole text once per probe."""
     def run(batches):
         for b in batches:
-            found = [rows(t, k, share) for t in b.column(1).to_pylist()]
+            found = [rows(t) for t in b.column(1).to_pylist()]
             which = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
             l, i, h = (np.concatenate([f[c] for f in found]) if found else np.zeros(0, dtype=np.int64) for c in range(3))
             yield pa.record_batch([pa.array(l, pa.int32()), pa.array(i, pa.int32()), pa.array(h, pa.int64()), b.column(0).take(pa.array(which))],
@@ -164,7 +197,57 @@ def _keys(strings: DataFrame, rows, k: int, share: float, id_name: str) -> DataF
     return strings.select("id", "t").mapInArrow(run, schema)
 
 
-def lev_pairs(df: DataFrame, id_col: str, text: Column, k: int, share: float = EDIT_SHARE) -> DataFrame:
+#: Lengths that are counted for the probes; longer strings are probed at every length.
+COUNTED_LENGTHS = 1 << 20
+
+
+def _lengths(strings: DataFrame) -> np.ndarray:
+    """Strings of each length below COUNTED_LENGTHS, up to 2; a megabyte."""
+    have = np.zeros(COUNTED_LENGTHS, dtype=np.uint8)
+    for r in strings.filter(F.col("len") < COUNTED_LENGTHS).groupBy("len").count().collect():
+        have[r["len"]] = min(r["count"], 2)
+    return have
+
+
+def _candidates(s: DataFrame, k: int, share: float, hot_segment: int = HOT_SEGMENT) -> DataFrame:
+    """(rid, sid): pairs of strings that may be near, the first not longer.
+
+    A string is found by its edits + 1 segments. Where more than
+    ``hot_segment`` strings share one (texts of one template), the string is
+    found by finer segments instead: of any edits + 2 of them a partner keeps
+    two, so the ones that the fewest strings share are taken, and a candidate
+    must have two.
+    """
+    have = _lengths(s)
+    index = keep(_keys(s, _Cut(k, share, False).index, "rid"), "dd3-index")
+    shared = index.groupBy("l", "i", "h").count().filter(F.col("count") > hot_segment)
+    # A string needs edits + 2 characters to be cut finer.
+    hot = index.join(shared, ["l", "i", "h"]).filter(F.col("l") >= F.least(F.lit(k), F.floor(F.col("l") * F.lit(share))) + 2).select("rid").distinct()
+    hot = keep(hot, "dd3-hot")
+    probes = _keys(s, _Cut(k, share, False, have).probes, "sid")
+    cand = index.join(hot, "rid", "left_anti").join(probes, ["l", "i", "h"]).select("rid", "sid").filter("rid != sid")
+    if not hot.limit(1).count():
+        return cand
+    of = s.join(hot.select(F.col("rid").alias("id")), "id", "left_semi")
+    fine = keep(_keys(of, _Cut(k, share, True).index, "rid"), "dd3-fine")
+    n = fine.groupBy("l", "i", "h").count()
+    least = F.expr("slice(array_sort(collect_list(struct(count, i, h))), 1, cast(min(least(%d, floor(l * %r))) as int) + 2)" % (k, share))
+    rare = fine.join(n, ["l", "i", "h"]).groupBy("rid", "l").agg(least.alias("rare"))  # FINE_SHARE * (k + 2) segments at most
+    rare = rare.select("rid", "l", F.explode("rare").alias("x")).select("rid", "l", "x.i", "x.h")
+    probes = _keys(s, _Cut(k, share, True, _lengths(of)).probes, "sid")
+    both = rare.join(probes, ["l", "i", "h"]).filter("rid != sid").select("rid", "sid", "i").distinct()
+    return cand.unionByName(both.groupBy("rid", "sid").count().filter("count > 1").select("rid", "sid"))
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """A table estimated to fill fewer scan tasks than the cluster has cores, dealt over all cores."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return df.repartition(cores) if size < cores * (128 << 20) else df
+
+
+def lev_pairs(df: DataFrame, id_col: str, text: Column, k: int, share: float = EDIT_SHARE, hot_segment: int = HOT_SEGMENT) -> DataFrame:
     """All links between near strings: (id_a, id_b, distance), id_a < id_b.
 
     Equal strings are one node, named by their smallest id; each copy is
@@ -172,14 +255,14 @@ def lev_pairs(df: DataFrame, id_col: str, text: Column, k: int, share: float = E
     ids, when their distance is at most ``k`` and at most ``share`` of the
     shorter one's length. Empty strings say nothing and link with nothing.
     """
-    x = keep(df.select(F.col(id_col).alias("id"), text.alias("t")).filter(F.length("t") > 0)
+    x = keep(_spread(df).select(F.col(id_col).alias("id"), text.alias("t")).filter(F.length("t") > 0)
               .select("id", "t", F.length("t").alias("len"), F.xxhash64("t").alias("h1"), F.sha2("t", 256).alias("h2")), "dd3-texts")
-    first = x.groupBy("h1", "h2").agg(F.min("id").alias("first"))
-    named = x.select("id", "h1", "h2").join(first, ["h1", "h2"]).select("id", "first")
+    first = keep(x.groupBy("h1", "h2").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), "dd3-first")
+    named = x.select("id", "h1", "h2").join(first.filter("n > 1"), ["h1", "h2"]).select("id", "first")
     copies = named.filter(F.col("id") != F.col("first")).select(
         F.col("first").alias("id_a"), F.col("id").alias("id_b"), F.lit(0).alias("distance"))
     s = keep(x.select("id", "t", "len").join(first.select(F.col("first").alias("id")), "id", "left_semi"), "dd3-strings")
-    cand = _keys(s, _index_rows, k, share, "rid").join(_keys(s, _probe_rows, k, share, "sid"), ["l", "i", "h"]).filter(F.col("rid") != F.col("sid"))
+    cand = _candidates(s, k, share, hot_segment)
     pairs = cand.select(F.least("rid", "sid").alias("a"), F.greatest("rid", "sid").alias("b")).distinct()
     ta = s.select(F.col("id").alias("a"), F.col("t").alias("ta"), F.col("len").alias("la"))
     tb = s.select(F.col("id").alias("b"), F.col("t").alias("tb"), F.col("len").alias("lb"))

@@ -79,6 +79,45 @@ def test_lev_pairs_k1_longer(spark):
     _check_pairs(spark, _random_strings(3, 200, alphabet="ab", max_len=20), 1)
 
 
+def _templated(n: int, seed: int = 8) -> list[str]:
+    """Texts of one template with two slots of random words; every tenth text
+    is a near copy of the one before."""
+    rnd = random.Random(seed)
+    word = lambda: "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(24))
+    out = []
+    for i in range(n):
+        if i % 10 == 9:
+            out.append(out[-1][:40] + "#" + out[-1][41:])
+        else:
+            out.append(f"dear customer your order for {word()} has left our house and will reach {word()} within the next five working days")
+    return out
+
+
+def test_texts_of_one_template_match_brute_force(spark):
+    _check_pairs(spark, _templated(120) + _random_strings(6, 60, max_len=30), 3, share=0.25)
+
+
+def test_texts_of_one_template_make_few_candidates(spark):
+    found = []
+    for n in (200, 400, 800):
+        texts = _templated(n)
+        df = spark.createDataFrame(list(enumerate(texts)), "id bigint, t string").select("id", "t", F.length("t").alias("len"))
+        cand = dedup._candidates(df, 12, dedup.EDIT_SHARE).distinct()
+        assert cand.filter("least(rid, sid) % 10 = 8 and abs(rid - sid) = 1").selectExpr("least(rid, sid)").distinct().count() == n // 10
+        found.append(cand.count())
+    # In proportion to the true pairs: without the finer cuts, n * (n - 1) of them.
+    assert found[-1] <= 3 * 800 // 10 and found[2] <= 6 * found[0], found
+
+
+def test_finer_cuts_match_brute_force_at_every_group_size(spark):
+    texts = _random_strings(11, 160, alphabet="ab", max_len=24)
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, t string")
+    want = _want(dict(enumerate(texts)), brute.lev_pairs, 4, 0.5)
+    for hot in (0, 1, 3):
+        got = {(r.id_a, r.id_b): r.distance for r in dedup.lev_pairs(df, "id", F.col("t"), 4, 0.5, hot_segment=hot).collect()}
+        assert got == want
+
+
 def test_components_match_union_find(spark):
     rnd = random.Random(5)
     nodes = list(range(400))
