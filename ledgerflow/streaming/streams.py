@@ -3,9 +3,10 @@
 All three read a folder of files as a stream and run with
 ``trigger(availableNow=True)``: each run processes what arrived since the
 last one, then stops, which is how a scheduled batch job becomes resumable.
-Progress and state live in the checkpoint folder (shared storage), and the
-built-in file sink commits each micro-batch through its own metadata log,
-so a retried batch never appends twice. A run takes at most
+Progress and state live in the checkpoint folder (shared storage). The
+built-in file sink commits each micro-batch through its own metadata log
+(ST-1, ST-2), or a batch overwrites its own folder (ST-3), so a retried batch
+never appends twice. A run takes at most
 ``max_files_per_trigger`` files per micro-batch, so a first run over a large
 folder is many bounded batches. Streams with state keep it in RocksDB, not on
 the executors' heaps.
@@ -71,28 +72,47 @@ def dq_stream(spark: SparkSession, src: str, out: str, checkpoint: str, schema:
 
 # --- ST-3 --------------------------------------------------------------------
 def dedup_stream(spark: SparkSession, src: str, out: str, checkpoint: str, schema: T.StructType,
-                 keys: Sequence[str], ts: str, delay: str = "1 day", late: str | None = None,
+                 keys: Sequence[str], ts: str, delay: str = "1 day", remember: str | None = "365 days",
                  max_files_per_trigger: int = MAX_FILES) -> None:
-    """Drop re-sent events: a key seen within ``delay`` of event time is kept
-    once (state expires with the watermark, so it stays bounded).
-
-    An event that arrives for the first time behind the watermark cannot be
-    told from a re-sent one by the bounded state, and the stream drops it.
-    With ``late`` such events are kept in that folder: after the run, the
-    keys that arrived and are in neither output are found by an anti join on
-    the key columns, and one row of each is added. On-time and late rows
-    together are the distinct keys that arrived.
+    """Every event once, tagged ``on_time`` or ``late`` in column ``arrival``.
+
+    A key stays in the state (RocksDB, keys only) until event time has moved
+    ``remember`` past it, so a late row is told from a re-sent one by the
+    state itself: nothing that arrived before is read again, and a file that
+    lands at any moment is simply part of a later batch. ``late`` are events more than
+    ``delay`` behind the newest event of the batches before. Events more than ``remember`` behind
+    are dropped by the watermark (and counted in the stream's progress);
+    with ``remember=None`` keys are kept for good and none is dropped.
+
+    A micro-batch overwrites its own folder ``batch=<id>``, so a batch that
+    is run again after a failure stores its rows once. The newest event time
+    so far is kept in one row per batch beside the checkpoint.
     """
     s = file_stream(spark, src, schema, max_files_per_trigger=max_files_per_trigger)
     s = s.withColumn("_et", F.col(ts).cast("timestamp"))
-    s = s.withWatermark("_et", delay).dropDuplicatesWithinWatermark(list(keys)).drop("_et")
-    _run(s, out, checkpoint)
-    if late is None:
-        return
-    came = spark.read.schema(schema).parquet(src)
-    seen = spark.read.schema(schema).parquet(out).select(*keys)
-    empty = spark.createDataFrame([], schema)
-    empty.write.mode("append").parquet(late)  # so that the folder can be read
-    seen = seen.unionByName(spark.read.schema(schema).parquet(late).select(*keys))
-    came.join(seen.distinct(), list(keys), "left_anti").dropDuplicates(list(keys)).select(*schema.fieldNames()) \
-        .write.mode("append").parquet(late)
+    s = s.dropDuplicates(list(keys)) if remember is None else s.withWatermark("_et", remember).dropDuplicatesWithinWatermark(list(keys))
+    clock = checkpoint.rstrip("/") + "-clock"
+
+    def store(batch: DataFrame, number: int) -> None:
+        of = batch.sparkSession
+        before = None
+        if number:
+            before = of.read.schema("newest timestamp, batch long").parquet(clock).filter(F.col("batch") < number).agg(F.max("newest")).first()[0]
+        late = F.lit(False) if before is None else F.coalesce(F.col("_et") < F.lit(before) - F.expr(f"INTERVAL {delay}"), F.lit(False))
+        batch = batch.withColumn("arrival", F.when(late, "late").otherwise("on_time"))
+        rows = f"{out}/batch={number}"
+        batch.write.mode("overwrite").parquet(rows)
+        newest = of.read.parquet(rows).agg(F.max("_et").alias("newest")).select(F.greatest("newest", F.lit(before).cast("timestamp")).alias("newest"))
+        newest.write.mode("overwrite").parquet(f"{clock}/batch={number}")
+
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
+    q = s.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+
+
+def read_deduped(spark: SparkSession, out: str, schema: T.StructType) -> DataFrame:
+    """What ``dedup_stream`` has stored: the event columns and ``arrival``."""
+    stored = T.StructType([*schema.fields, T.StructField("arrival", T.StringType()), T.StructField("batch", T.LongType())])
+    return spark.read.schema(stored).parquet(out).drop("batch")

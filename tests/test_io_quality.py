@@ -208,21 +208,69 @@ def test_not_in_null_rules(spark):
     assert "BroadcastExchange" not in plan.hint("merge")._jdf.queryExecution().optimizedPlan().toString()
 
 
-def test_late_first_time_events_are_kept(spark):
-    e = load(spark, SF_SMALL, "events")
+def _arrivals(spark, base):
+    return sorted((r.event_id, r.arrival) for r in st.read_deduped(spark, f"{base}/out", SCHEMAS["events"]).collect())
+
+
+@pytest.mark.parametrize("remember", ["30 days", None])
+def test_each_event_once_and_late_ones_tagged(spark, remember):
+    e = load(spark, SF_SMALL, "events").filter("event_id < 300")
     base = scratch_path(spark, "t-st3")
-    run = lambda: st.dedup_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ck", SCHEMAS["events"], ["event_id"], "ts", "1 day",
-                                  f"{base}/late")
-    old = F.col("event_id").isin(3, 4, 5)
-    e.filter(~old).write.parquet(f"{base}/in", mode="append")
+    run = lambda: st.dedup_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ck", SCHEMAS["events"], ["event_id"], "ts", "1 day", remember)
+    e.filter("event_id not in (3, 4, 5)").write.mode("append").parquet(f"{base}/in")
+    run()
+    assert _arrivals(spark, base) == [(i, "on_time") for i in range(300) if i not in (3, 4, 5)]
+    # Old events for the first time, in two files, among re-sent old and new ones.
+    e.filter("event_id in (3, 4, 7, 299)").write.mode("append").parquet(f"{base}/in")
+    e.filter("event_id in (4, 5, 9)").write.mode("append").parquet(f"{base}/in")
+    run()
+    run()
+    want = [(i, "late" if i in (3, 4, 5) else "on_time") for i in range(300)]
+    assert _arrivals(spark, base) == want
+
+
+def test_a_file_that_lands_during_a_run_gives_each_event_once(spark, monkeypatch):
+    e = load(spark, SF_SMALL, "events").filter("event_id < 200")
+    base = scratch_path(spark, "t-st3-race")
+    run = lambda: st.dedup_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ck", SCHEMAS["events"], ["event_id"], "ts", "1 day", max_files_per_trigger=1)
+    e.filter("event_id > 100").write.mode("append").parquet(f"{base}/in")
+    landed = []
+    from pyspark.sql.readwriter import DataFrameWriter
+    write = DataFrameWriter.parquet
+
+    def land(self, path, *a, **k):
+        write(self, path, *a, **k)
+        if "/out/" in path and not landed:  # after the batch is stored, before it is committed
+            landed.append(path)
+            write(e.filter("event_id between 2 and 120").write.mode("append"), f"{base}/in")
+    monkeypatch.setattr(DataFrameWriter, "parquet", land)
+    run()
+    run()
+    e.write.mode("append").parquet(f"{base}/in")
     run()
-    assert spark.read.parquet(f"{base}/late").count() == 0
-    e.filter(old | F.col("event_id").isin(7, 8)).write.parquet(f"{base}/in", mode="append")
+    got = _arrivals(spark, base)
+    assert landed and [i for i, _ in got] == list(range(200))
+
+
+def test_a_batch_that_is_run_again_stores_its_rows_once(spark, monkeypatch):
+    e = load(spark, SF_SMALL, "events").filter("event_id < 50")
+    base = scratch_path(spark, "t-st3-retry")
+    run = lambda: st.dedup_stream(spark, f"{base}/in", f"{base}/out", f"{base}/ck", SCHEMAS["events"], ["event_id"], "ts")
+    e.write.mode("append").parquet(f"{base}/in")
+    from pyspark.sql.readwriter import DataFrameWriter
+    write = DataFrameWriter.parquet
+
+    def fail(self, path, *a, **k):
+        if "-clock" in path:
+            raise OSError("lost")
+        write(self, path, *a, **k)
+    monkeypatch.setattr(DataFrameWriter, "parquet", fail)
+    with pytest.raises(Exception):
+        run()
+    monkeypatch.undo()
     run()
     run()
-    on_time, late = spark.read.parquet(f"{base}/out"), spark.read.parquet(f"{base}/late")
-    assert sorted(r.event_id for r in late.collect()) == [3, 4, 5]
-    assert on_time.count() + late.count() == e.select("event_id").distinct().count()
+    assert _arrivals(spark, base) == [(i, "on_time") for i in range(50)]
 
 
 def test_cleaning(spark):
