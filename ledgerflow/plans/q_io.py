@@ -122,13 +122,13 @@ _ANY_BAD_SQL = " OR ".join(f"({v})" for v in EVENT_RULES_SQL.values())
 @register("snk3_dead_letter", f"""
 SELECT event_id, CASE WHEN {_ANY_BAD_SQL} THEN 'dead_letter' ELSE 'target' END AS dest,
        CASE WHEN {_ANY_BAD_SQL} THEN {_FAILED_SQL} END AS failed_rules,
-       CASE WHEN {_ANY_BAD_SQL} THEN 'b1' END AS batch_id
+       CASE WHEN {_ANY_BAD_SQL} THEN '007' END AS batch_id
 FROM events
 """)
 def snk3_dead_letter(spark, sf):
     e = _t(spark, sf, "events")
     base = scratch_path(spark, "snk3")
-    wr.audited_write(spark, "events_load", "b1", e, event_rules(), f"{base}/data", f"{base}/audit")
+    wr.audited_write(spark, "events_load", "007", e, event_rules(), f"{base}/data", f"{base}/audit")
     g = wr.read_written(spark, f"{base}/data", wr.TARGET).select(
         "event_id", F.lit("target").alias("dest"), F.lit(None).cast("string").alias("failed_rules"),
         F.lit(None).cast("string").alias("batch_id"))
@@ -139,7 +139,7 @@ def snk3_dead_letter(spark, sf):
 
 
 @register("snk4_audit", f"""
-SELECT 'events_load' AS step, CASE WHEN user_id % 2 = 0 THEN 'b1' ELSE 'b2' END AS batch_id, CAST(COUNT(*) AS BIGINT) AS rows_in,
+SELECT 'events_load' AS step, CASE WHEN user_id % 2 = 0 THEN '007' ELSE '7' END AS batch_id, CAST(COUNT(*) AS BIGINT) AS rows_in,
        CAST(count_if(NOT ({_ANY_BAD_SQL})) AS BIGINT) AS rows_out,
        CAST(count_if({_ANY_BAD_SQL}) AS BIGINT) AS rows_rejected, 'ok' AS status,
        CAST(count_if(NOT ({_ANY_BAD_SQL})) AS BIGINT) AS in_target, CAST(count_if({_ANY_BAD_SQL}) AS BIGINT) AS in_dead_letter
@@ -150,9 +150,9 @@ def snk4_audit(spark, sf):
     to what the table holds of it afterwards."""
     e = _t(spark, sf, "events")
     base = scratch_path(spark, "snk4")
-    for k, batch in enumerate(("b1", "b2")):
+    for k, batch in enumerate(("007", "7")):
         wr.audited_write(spark, "events_load", batch, e.filter(F.col("user_id") % 2 == k), event_rules(), f"{base}/data", f"{base}/audit")
-    held = spark.read.parquet(f"{base}/data").groupBy(F.col("batch_id").cast("string").alias("batch_id")).agg(
+    held = wr.read_batches(spark, f"{base}/data").groupBy("batch_id").agg(
         F.count_if(F.col("dest") == wr.TARGET).alias("in_target"), F.count_if(F.col("dest") == wr.DEAD_LETTER).alias("in_dead_letter"))
     audit = spark.read.parquet(f"{base}/audit").select("step", "batch_id", "rows_in", "rows_out", "rows_rejected", "status")
     return audit.join(held, "batch_id")

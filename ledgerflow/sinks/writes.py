@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.quality import Rule, evaluate, failed_rules, gate, gate_passes
 
@@ -164,6 +165,9 @@ def audited_write(spark: SparkSession, step: str, batch_id: str, df: DataFrame,
     counted where the input enters the job, rows out and rejected where they
     leave it, so a row lost in between shows as status ``mismatch``.
     """
+    if not batch_id:
+        raise ValueError("a batch needs an id")
+    escaped = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(batch_id)
     started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     came, left = (Observation(f"{step}_{x}_{uuid.uuid4().hex[:8]}") for x in ("in", "out"))
     status, rows = "failed", dict(rows_in=0, rows_out=0, rows_rejected=0)
@@ -176,7 +180,7 @@ def audited_write(spark: SparkSession, step: str, batch_id: str, df: DataFrame,
         rows = dict(rows_in=int(came.get["n"]), rows_out=int(left.get["good"]), rows_rejected=int(left.get["bad"]))
         # A side without rows writes no partition: what an earlier run of the batch left there goes.
         for dest, n in ((TARGET, rows["rows_out"]), (DEAD_LETTER, rows["rows_rejected"])):
-            old = f"{path.rstrip('/')}/dest={dest}/batch_id={batch_id}"
+            old = f"{path.rstrip('/')}/dest={dest}/batch_id={escaped}"
             if not n:
                 _fs(spark, old).delete(_jpath(spark, old), True)
         status = "ok" if rows["rows_in"] == rows["rows_out"] + rows["rows_rejected"] else "mismatch"
@@ -201,8 +205,16 @@ def gated_write(spark: SparkSession, step: str, batch_id: str, df: DataFrame, ru
     return row | {"decision": "block"}
 
 
+def read_batches(spark: SparkSession, path: str) -> DataFrame:
+    """Both destinations of ``audited_write``, all batches. Folder names are
+    read as the text they are, so batch ``007`` does not come back as 7."""
+    names = ("dest", "batch_id")
+    kept = [f for f in spark.read.parquet(path).schema.fields if f.name not in names]
+    return spark.read.schema(T.StructType([*kept, *(T.StructField(n, T.StringType()) for n in names)])).parquet(path)
+
+
 def read_written(spark: SparkSession, path: str, dest: str) -> DataFrame:
     """Rows of one destination of ``audited_write``, all batches, with
     ``batch_id`` as text; clean rows without the (empty) ``failed_rules``."""
-    df = spark.read.parquet(path).filter(F.col("dest") == dest).drop("dest").withColumn("batch_id", F.col("batch_id").cast("string"))
+    df = read_batches(spark, path).filter(F.col("dest") == dest).drop("dest")
     return df.drop("failed_rules") if dest == TARGET else df

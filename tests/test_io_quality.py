@@ -144,19 +144,19 @@ def test_audit_appends_one_row_per_run_and_batches_stay(spark):
     e = load(spark, SF_SMALL, "events")
     rules = [dq.in_range("value", 0, 100)]
     base = scratch_path(spark, "t-audit")
-    for batch, part in (("b1", e.filter("event_id < 400")), ("b2", e.filter("event_id >= 400")), ("b1", e.filter("event_id < 400"))):
+    for batch, part in (("007", e.filter("event_id < 400")), ("7", e.filter("event_id >= 400")), ("007", e.filter("event_id < 400"))):
         row = wr.audited_write(spark, "load", batch, part, rules, f"{base}/data", f"{base}/audit")
         assert row["rows_in"] == part.count() == row["rows_out"] + row["rows_rejected"] and row["status"] == "ok"
     a = spark.read.parquet(f"{base}/audit").collect()
     assert len(a) == 3 and {r.status for r in a} == {"ok"}
     good, bad = wr.read_written(spark, f"{base}/data", wr.TARGET), wr.read_written(spark, f"{base}/data", wr.DEAD_LETTER)
     assert good.count() + bad.count() == e.count() and bad.filter("value <= 100").count() == 0
-    assert {r.batch_id for r in good.select("batch_id").distinct().collect()} == {"b1", "b2"}
+    assert {r.batch_id for r in good.select("batch_id").distinct().collect()} == {"007", "7"}
     # The batch comes again, corrected: its dead letters go, the other batch's stay.
-    n2 = bad.filter("batch_id = 'b2'").count()
-    wr.audited_write(spark, "load", "b1", e.filter("event_id < 400 AND value <= 100"), rules, f"{base}/data", f"{base}/audit")
+    n2 = bad.filter("batch_id = '7'").count()
+    wr.audited_write(spark, "load", "007", e.filter("event_id < 400 AND value <= 100"), rules, f"{base}/data", f"{base}/audit")
     again = wr.read_written(spark, f"{base}/data", wr.DEAD_LETTER)
-    assert again.count() == n2 and again.filter("batch_id = 'b1'").count() == 0
+    assert again.count() == n2 and again.filter("batch_id = '007'").count() == 0
 
 
 def test_gated_write_stores_nothing_when_blocked(spark):
