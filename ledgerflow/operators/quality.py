@@ -82,15 +82,28 @@ def failed_rules(rules: Sequence[Rule]) -> Column:
 def profile(df: DataFrame, cols: Sequence[str] | None = None, exact_distinct: bool = True) -> DataFrame:
     """One row per column: rows, nulls, distinct, min, max (as strings).
 
-    One aggregate for all columns. ``exact_distinct=False`` switches to
-    HyperLogLog sketches, which combine map-side in fixed memory; use it on
-    wide or very large tables.
+    Each column is counted per value first, one pruned scan and one shuffle
+    of its distinct values (a hot value is one row per task), and everything
+    follows from these counts; several exact distinct counts in one aggregate
+    would copy every row once per column. ``exact_distinct=False`` takes one
+    aggregate for all columns with HyperLogLog sketches, which combine
+    map-side in fixed memory; use it on wide or very large tables.
     """
     cols = list(cols or df.columns)
-    dist = F.countDistinct if exact_distinct else F.approx_count_distinct
+    out = None
+    if exact_distinct:
+        for c in cols:
+            per_value = df.groupBy(F.col(c).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+            one = per_value.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"),
+                                F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_n"))), F.lit(0)).cast("bigint").alias("n_null"),
+                                F.count("_v").cast("bigint").alias("n_distinct"),
+                                F.min("_v").cast("string").alias("min_value"), F.max("_v").cast("string").alias("max_value"))
+            one = one.select(F.lit(c).alias("column_name"), "n_rows", "n_null", "n_distinct", "min_value", "max_value")
+            out = one if out is None else out.unionByName(one)
+        return out
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(cols):
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"_n{i}"), dist(F.col(c)).alias(f"_d{i}"),
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"_n{i}"), F.approx_count_distinct(F.col(c)).alias(f"_d{i}"),
                  F.min(c).cast("string").alias(f"_lo{i}"), F.max(c).cast("string").alias(f"_hi{i}")]
     one = df.agg(*aggs)
     rows = F.explode(F.array(*[
