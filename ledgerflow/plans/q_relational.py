@@ -498,6 +498,28 @@ def rc1_reconcile(spark, sf):
                         ["o_orderkey"], "v", "v", tol=0.01)
 
 
+_REPLICA_SQL = """
+SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderkey % 2003 = 7 THEN 10 ELSE 0 END AS v FROM orders WHERE o_orderkey % 1999 <> 5
+UNION ALL SELECT -o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) FROM orders WHERE o_orderkey % 3001 = 9"""
+
+
+@register("rc1_by_digest", f"""
+WITH a AS (SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS v FROM orders), b AS ({_REPLICA_SQL})
+SELECT COALESCE(a.o_orderkey, b.o_orderkey) AS o_orderkey, CAST(a.v AS DOUBLE) AS left_value, CAST(b.v AS DOUBLE) AS right_value,
+       CASE WHEN a.o_orderkey IS NULL THEN 'missing_left' WHEN b.o_orderkey IS NULL THEN 'missing_right'
+            WHEN a.v = b.v THEN 'match' ELSE 'mismatch' END AS status
+FROM a FULL OUTER JOIN b ON a.o_orderkey = b.o_orderkey
+""")
+def rc1_by_digest(spark, sf):
+    """Orders against a replica with a few rows changed, lost and added: only
+    the key ranges whose digests differ are shuffled."""
+    o = _t(spark, sf, "orders").select("o_orderkey", sc.money("o_totalprice").alias("v"))
+    changed = F.when(F.col("o_orderkey") % 2003 == 7, F.lit(10)).otherwise(F.lit(0))
+    replica = o.filter(F.col("o_orderkey") % 1999 != 5).select("o_orderkey", (F.col("v") + changed).cast(sc.MONEY).alias("v"))
+    replica = replica.unionByName(o.filter(F.col("o_orderkey") % 3001 == 9).select((-F.col("o_orderkey")).alias("o_orderkey"), "v"))
+    return ag.reconcile_by_digest(o, replica, ["o_orderkey"], "v")
+
+
 @register("rc2_multiset_diff", """
 WITH a AS (SELECT o_orderkey, o_custkey FROM orders),
      b AS (SELECT o.o_orderkey, o.o_custkey FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
