@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,15 +51,20 @@ def lossless_check(wide: DataFrame, parts: dict[str, DataFrame], join_order: Seq
 
 
 def lossless_by_keys(parts: dict[str, DataFrame], join_order: Sequence[tuple[str, Sequence[str]]]) -> DataFrame:
-    """(part, repeated_keys): Heath's theorem as a check. A part joined on
-    columns that are unique in it repeats no row, and projections of one
-    table lose none, so a split whose parts all have unique join keys is
-    lossless. One aggregate per joined part; no wide rows are rebuilt. A
-    non-zero count says nothing by itself: compare rows (``lossless_check``)."""
+    """(part, n_rows, repeated_keys, null_keys): Heath's theorem as a check. A
+    part joined on columns that are unique in it repeats no row, and
+    projections of one table lose none as long as no join column is NULL,
+    which an equi-join drops. So a split whose parts all have unique join keys
+    without NULLs is lossless. One aggregate per joined part, which counts its
+    rows too; no wide rows are rebuilt. A non-zero count says nothing by
+    itself: compare rows (``lossless_check``)."""
     out = None
     for name, keys in join_order[1:]:
+        some_null = reduce(lambda p, q: p | q, [F.col(k).isNull() for k in keys])
         per_key = parts[name].groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        one = per_key.agg(F.count_if(F.col("_n") > 1).cast("bigint").alias("repeated_keys")).select(F.lit(name).alias("part"), "repeated_keys")
+        one = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"),
+                          F.count_if(F.col("_n") > 1).cast("bigint").alias("repeated_keys"),
+                          F.count_if(some_null).cast("bigint").alias("null_keys")).select(F.lit(name).alias("part"), "n_rows", "repeated_keys", "null_keys")
         out = one if out is None else out.unionByName(one)
     return out
 

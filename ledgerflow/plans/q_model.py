@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import functions as F
 
 from ..functions import scalar as sc
+from ..operators import dependencies as fd
 from ..operators import model as nf
 from ..operators import quality as dq
-from ..session import scratch_path
+from ..session import keep, scratch_path
 from ..sources.tables import load
 from .catalog import register
 from .q_quality import ORDERS_CONTRACT, _DQ11_SQL
@@ -65,24 +68,72 @@ UNION ALL SELECT 'lost_or_spurious', 0
 """)
 def nf3_decompose(spark, sf):
     """Wide sales rows split into line / order / customer tables keyed by
-    natural keys; lossless because the joined parts' keys are unique (Heath),
-    so nothing is rejoined."""
-    li, o, c = _t(spark, sf, "lineitem"), _t(spark, sf, "orders"), _t(spark, sf, "customer")
-    # Written once; every part then scans only its own columns.
-    path = scratch_path(spark, "nf3-wide")
-    (li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
-     .select(*_WIDE_COLS).write.parquet(path))
-    wide = spark.read.parquet(path)
+    natural keys; lossless because the joined parts' keys are unique and not
+    NULL (Heath), so nothing is rejoined. Their sizes come from the same
+    aggregates."""
+    wide = _wide(spark, sf)
     parts = nf.decompose(wide, _SPEC)
-    bad = nf.lossless_by_keys(parts, [("line", []), ("order", ["l_orderkey"]), ("customer", ["o_custkey"])])
-    sizes = None
-    for name, p in parts.items():
-        r = p.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("part"), "n_rows")
-        sizes = r if sizes is None else sizes.unionByName(r)
+    proof = keep(nf.lossless_by_keys(parts, [("line", []), ("order", ["l_orderkey"]), ("customer", ["o_custkey"])]), "nf3-proof")
+    line = parts["line"].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("line").alias("part"), "n_rows")
     w = wide.distinct().agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit("wide_distinct").alias("part"), "n_rows")
-    lost = bad.agg(F.coalesce(F.sum("repeated_keys"), F.lit(0)).cast("bigint").alias("n_rows")).select(
+    lost = proof.agg(F.sum(F.col("repeated_keys") + F.col("null_keys")).cast("bigint").alias("n_rows")).select(
         F.lit("lost_or_spurious").alias("part"), "n_rows")
-    return sizes.unionByName(w).unionByName(lost)
+    return proof.select("part", "n_rows").unionByName(line).unionByName(w).unionByName(lost)
+
+
+def _wide(spark, sf):
+    """Lines with their order and customer, written once; every part then
+    scans only its own columns."""
+    li, o, c = _t(spark, sf, "lineitem"), _t(spark, sf, "orders"), _t(spark, sf, "customer")
+    return keep(li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey).select(*_WIDE_COLS), "nf3-wide")
+
+
+_WIDE_SQL = f"""SELECT {', '.join(_WIDE_COLS)} FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"""
+_FD_COLS = ["o_custkey", "o_orderdate", "o_orderstatus", "c_name", "c_nationkey", "c_mktsegment"]
+_LEFT_SIDES = [list(x) for n in (1, 2) for x in combinations(_FD_COLS, n)]
+
+
+def _holds_sql(x, a):
+    return f"SELECT '{','.join(x)}' AS x, '{a}' AS a FROM (SELECT 1 FROM (SELECT DISTINCT {', '.join(x)}, {a} FROM w) GROUP BY {', '.join(x)} HAVING COUNT(*) > 1 LIMIT 1) HAVING COUNT(*) = 0"
+
+
+@register("nf3_discover_fds", f"""
+WITH w AS (SELECT DISTINCT {', '.join(_FD_COLS)} FROM orders JOIN customer ON o_custkey = c_custkey),
+held AS ({' UNION ALL '.join(_holds_sql(x, a) for x in _LEFT_SIDES for a in _FD_COLS if a not in x)})
+SELECT x AS left_side, a AS right_side FROM held h
+WHERE NOT EXISTS (SELECT 1 FROM held s WHERE s.a = h.a AND length(s.x) < length(h.x) AND list_contains(string_split(h.x, ','), s.x))
+""")
+def nf3_discover_fds(spark, sf):
+    """Every minimal dependency with up to two columns on the left among
+    orders joined to their customers."""
+    o, c = _t(spark, sf, "orders"), _t(spark, sf, "customer")
+    rows = keep(o.join(c, F.col("o_custkey") == c.c_custkey).select(*_FD_COLS), "nf3-fds")
+    fds = fd.discover(rows, _FD_COLS, max_left=2)
+    at = _FD_COLS.index
+    return spark.createDataFrame(sorted((",".join(sorted(x, key=at)), a) for x, a in fds), "left_side string, right_side string")
+
+
+_LINE, _ORDER, _CUSTOMER = (",".join(_SPEC[p]) for p in ("line", "order", "customer"))
+
+
+@register("nf3_synthesize", f"""
+WITH w AS ({_WIDE_SQL})
+SELECT '{_LINE}' AS key, '{_LINE}' AS columns, COUNT(*) AS n_rows, 0 AS repeated_keys FROM (SELECT DISTINCT {_LINE} FROM w)
+UNION ALL SELECT 'l_orderkey', '{_ORDER}', COUNT(*), COUNT(*) - COUNT(DISTINCT l_orderkey) FROM (SELECT DISTINCT {_ORDER} FROM w)
+UNION ALL SELECT 'o_custkey', '{_CUSTOMER}', COUNT(*), COUNT(*) - COUNT(DISTINCT o_custkey) FROM (SELECT DISTINCT {_CUSTOMER} FROM w)
+""")
+def nf3_synthesize(spark, sf):
+    """The line, order and customer tables found from the wide rows alone:
+    dependencies discovered, covered, synthesised, and each part's key proven."""
+    wide = _wide(spark, sf)
+    parts = fd.synthesize(_WIDE_COLS, fd.discover(wide, _WIDE_COLS))
+    out = None
+    for key, cols in parts:
+        per_key = wide.select(*cols).distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+        one = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("repeated_keys"))
+        one = one.select(F.lit(",".join(key)).alias("key"), F.lit(",".join(cols)).alias("columns"), "n_rows", "repeated_keys")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 _KEY_SETS = [["l_orderkey"], ["l_orderkey", "l_linenumber"], ["l_orderkey", "l_linenumber", "l_partkey"],
