@@ -37,17 +37,17 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import binary_column, ranked, stored, text_or_empty
 
 #: Phrases in a trie, about; tries broadcast together.
-SHARD = 250_000
+SHARD = 200_000
 AT_ONCE = 4
-#: Word positions that a task handles together.
-BLOCK = 3_000_000
+#: Word positions that a task handles together; rows in a batch that it hands on.
+BLOCK = 1_000_000
+OUT_ROWS = 50_000
 DIGIT = 512
 
 NO_LANG = "und"
@@ -108,18 +108,21 @@ def word_counts(texts: DataFrame) -> DataFrame:
 
 class Trie(NamedTuple):
     """Double array: from state s, digit d leads to t = base[s] + d if
-    check[t] is s. ``words`` have the numbers 1.. in order; phrase i ends in
-    state ``ends[i]`` and is known outside as ``nums[i]``."""
+    check[t] is s. ``words``, joined by ``BREAK``, have the numbers 1.. in
+    order; phrase i ends in state ``ends[i]`` (ascending) and is known outside as ``nums[i]``."""
     base: np.ndarray
     check: np.ndarray
-    words: Sequence[bytes]
+    words: bytes
     ends: np.ndarray
     nums: np.ndarray
 
-    def digits(self) -> list[np.ndarray]:
+    def word_list(self) -> list[bytes]:
+        return self.words.split(BREAK)
+
+    def digits(self, words: int) -> list[np.ndarray]:
         """For each digit place, the digit (1..) of every word number."""
-        numbers = np.arange(len(self.words) + 1)
-        return [numbers // DIGIT ** p % DIGIT + 1 for p in range(places(len(self.words)))][::-1]
+        numbers = np.arange(words + 1)
+        return [(numbers // DIGIT ** p % DIGIT + 1).astype(np.int32) for p in range(places(words))][::-1]
 
     def step(self, states: np.ndarray, numbers: np.ndarray, digits: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """(which of the states live on, theirs after the word)."""
@@ -203,7 +206,8 @@ def make_trie(langs: Sequence[str], phrases: Sequence[str], nums: np.ndarray) ->
     rows = np.concatenate([grid[:, [c]] // DIGIT ** np.arange(p - 1, -1, -1) % DIGIT + 1 for c in range(grid.shape[1])], axis=1)
     order = np.lexsort(rows.T[::-1])
     base, check, ends = double_array(rows[order])
-    return Trie(base, check, words, ends.astype(np.int32), np.asarray(nums, np.int64)[order])
+    by_end = np.argsort(ends)
+    return Trie(base, check, BREAK.join(words), ends[by_end].astype(np.int32), np.asarray(nums, np.int64)[order][by_end])
 
 
 def tries(level: DataFrame, count: int, shard: int, name: str) -> DataFrame:
@@ -214,74 +218,116 @@ def tries(level: DataFrame, count: int, shard: int, name: str) -> DataFrame:
         trie = make_trie(t.column("lang").to_pylist(), t.column("phrase").to_pylist(), t.column("num").to_numpy())
         cols = [pa.array([int(t.column("shard")[0].as_py())], pa.int32()), *(pa.array([x.astype(k).tobytes()], pa.binary()) for x, k in (
             (trie.base, np.int32), (trie.check, np.int32), (trie.ends, np.int32), (trie.nums, np.int64))),
-            pa.array([BREAK.join(trie.words)], pa.binary())]
+            pa.array([trie.words], pa.binary())]
         return pa.table(cols, names=["shard", "base", "check", "ends", "nums", "words"])
     x = level.select("lang", "phrase", "num", F.pmod(F.xxhash64("lang", "phrase"), F.lit(shards)).cast("int").alias("shard"))
     return stored(x.groupBy("shard").applyInArrow(build, "shard int, base binary, check binary, ends binary, nums binary, words binary"), name)
 
 
 def read_trie(r) -> Trie:
-    return Trie(np.frombuffer(r["base"], np.int32), np.frombuffer(r["check"], np.int32), bytes(r["words"]).split(BREAK),
+    return Trie(np.frombuffer(r["base"], np.int32), np.frombuffer(r["check"], np.int32), bytes(r["words"]),
                 np.frombuffer(r["ends"], np.int32), np.frombuffer(r["nums"], np.int64))
 
 
-def _walk(trie: Trie, number: dict[bytes, int], digits: Sequence[np.ndarray], block: Block, words: Sequence[bytes], m: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions where a phrase of m words begins, their states)."""
-    local = np.fromiter((number.get(w, 0) for w in words), np.int32, len(words))
-    lang = number.get(b"\xfe" + block.lang.encode(), 0)
-    _, start = trie.step(np.array([ROOT]), np.array([lang]), digits)
-    if not len(start):
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    at = np.flatnonzero(block.codes)
-    s = np.full(len(at), start[0], np.int32)
-    for j in range(m):
-        # No position runs over the end: the last code is a break.
-        live, s = trie.step(s, local[block.codes[at + j]], digits)
-        at = at[live]
-    return at, s
+class _Walker:
+    """The tries of one scan, in a task: one dictionary for the words of all."""
+
+    def __init__(self, tries: Sequence[Trie]):
+        self.tries, self.number, self.local, self.digits = tries, {}, [], []
+        lists = [t.word_list() for t in tries]
+        for words in lists:
+            for w in words:
+                self.number.setdefault(w, len(self.number) + 1)
+        for t, words in zip(tries, lists):
+            local = np.zeros(len(self.number) + 1, np.int32)  # a word's number in this trie
+            local[[self.number[w] for w in words]] = np.arange(1, len(words) + 1)
+            self.local.append(local)
+            self.digits.append(t.digits(len(words)))
+        self.seen = [np.zeros(len(t.base), np.int32) for t in tries]  # occurrences by accepting state, in this task
+        self.starts = np.cumsum([0, *(len(t.base) for t in tries)])
+
+    def walk(self, block: Block, m: int) -> np.ndarray:
+        """The accepting state, over all tries, of the phrase of m words that
+        begins at each position; -1 for none. Counts them."""
+        known = np.fromiter((self.number.get(w, 0) for w in block.words.to_pylist()), np.int32, len(block.words))
+        lang = self.number.get(b"\xfe" + block.lang.encode(), 0)
+        state = np.full(len(block.codes) + 1, -1, np.int64)
+        for k, (t, local, digits) in enumerate(zip(self.tries, self.local, self.digits)):
+            _, start = t.step(np.array([ROOT]), local[[lang]], digits)
+            if not len(start):
+                continue
+            mine = local[known]
+            at = np.flatnonzero(mine[block.codes])
+            s = np.full(len(at), start[0], np.int32)
+            for j in range(m):
+                # No position runs over the end: the last code is a break.
+                live, s = t.step(s, mine[block.codes[at + j]], digits)
+                at = at[live]
+            n = np.bincount(s)
+            self.seen[k][:len(n)] += n.astype(np.int32)
+            state[at] = s + self.starts[k]
+        return state
+
+    def num(self, states: np.ndarray) -> np.ndarray:
+        """What the phrases of accepting states, over all tries, are known as."""
+        out = np.empty(len(states), np.int64)
+        which = np.searchsorted(self.starts, states, side="right") - 1
+        for k, t in enumerate(self.tries):
+            mine = np.flatnonzero(which == k)
+            out[mine] = t.nums[np.searchsorted(t.ends, states[mine] - self.starts[k])]
+        return out
 
 
 def scan(texts: DataFrame, group: Sequence[Trie], m: int, longer: bool, all_tries: bool, min_count: int) -> DataFrame:
-    """Walk phrases of m words through all texts: (num, null, null, n) per
-    phrase of the tries that occurs, (null, lang, phrase, n) per candidate of
-    m+1 words, n being ``min_count`` at most for each task's block."""
+    """Walk phrases of m words through all texts. Rows (num, next, word, n):
+    without next and word, a phrase of the tries and its occurrences; with
+    them a candidate of m+1 words, its first m being phrase num and its last m
+    phrase next or, where not all tries are at hand, its last word ``word``;
+    of its count each task's block adds at most ``min_count``."""
     sent = texts.sparkSession.sparkContext.broadcast(list(group))
+    names = ["num", "next", "word", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = sent.value
-        numbers = [{w: i for i, w in enumerate(t.words, 1)} for t in own]
-        digits = [t.digits() for t in own]
-        seen = [np.zeros(len(t.base), np.int64) for t in own]
+        own = _Walker(sent.value)
         for block in blocks(batches):
-            before, words = 0, block.words.to_pylist()
-            prefix = np.full(len(block.codes) + 1, -1, np.int64)  # the accepting state of each position, over all tries
-            for t, number, digit, counts in zip(own, numbers, digits, seen):
-                at, s = _walk(t, number, digit, block, words, m)
-                counts += np.bincount(s, minlength=len(counts))
-                prefix[at] = s + before
-                before += len(t.base)
-            if longer:
-                at = np.flatnonzero(prefix >= 0)
-                after = block.codes[at + m]
-                ok = (after > 0) & (prefix[at + 1] >= 0) if all_tries else after > 0
-                at, after = at[ok], after[ok]
-                _, first, n = np.unique(prefix[at] * len(block.words) + after, return_index=True, return_counts=True)
-                at = at[first]
-                parts = [block.words.take(pa.array(block.codes[at + j])) for j in range(m + 1)]
-                phrase = pc.binary_join_element_wise(*parts, pa.scalar(b" ", pa.binary())).cast(pa.string())
-                yield pa.record_batch([pa.nulls(len(n), pa.int64()), pa.array([block.lang] * len(n), pa.string()), phrase,
-                                       pa.array(np.minimum(n, min_count), pa.int64())], names=["num", "lang", "phrase", "n"])
-        for t, counts in zip(own, seen):
+            state = own.walk(block, m)
+            if not longer:
+                continue
+            at = np.flatnonzero(state >= 0)
+            after = state[at + 1] if all_tries else block.codes[at + m]
+            ok = after >= 0 if all_tries else after > 0
+            at, after = at[ok], after[ok]
+            wide = int(own.starts[-1]) if all_tries else len(block.words)
+            found, n = np.unique(state[at] * wide + after, return_counts=True)
+            for i in range(0, len(n), OUT_ROWS):
+                pair, many = found[i:i + OUT_ROWS], n[i:i + OUT_ROWS]
+                last = [pa.array(own.num(pair % wide)), pa.nulls(len(pair), pa.string())] if all_tries else \
+                    [pa.nulls(len(pair), pa.int64()), block.words.take(pa.array(pair % wide)).cast(pa.string())]
+                yield pa.record_batch([pa.array(own.num(pair // wide)), *last, pa.array(np.minimum(many, min_count), pa.int64())], names=names)
+        for t, counts in zip(own.tries, own.seen):
             n = counts[t.ends]
-            hit = np.flatnonzero(n)
-            yield pa.record_batch([pa.array(t.nums[hit]), pa.nulls(len(hit), pa.string()), pa.nulls(len(hit), pa.string()), pa.array(n[hit])],
-                                  names=["num", "lang", "phrase", "n"])
-    found = texts.mapInArrow(run, "num long, lang string, phrase string, n long").groupBy("num", "lang", "phrase").agg(F.sum("n").alias("n"))
-    out = stored(found.filter(F.col("num").isNotNull() | (F.col("n") >= min_count)), "phrases-seen")
+            for i in range(0, len(n), OUT_ROWS):
+                hit = i + np.flatnonzero(n[i:i + OUT_ROWS])
+                yield pa.record_batch([pa.array(t.nums[hit]), pa.nulls(len(hit), pa.int64()), pa.nulls(len(hit), pa.string()),
+                                       pa.array(n[hit], pa.int64())], names=names)
+    found = texts.mapInArrow(run, "num long, next long, word string, n long")
+    if all_tries:  # numbers alone are the cheaper key
+        found = found.groupBy("num", "next").agg(F.sum("n").alias("n")).withColumn("word", F.lit(None).cast("string"))
+    else:
+        found = found.groupBy("num", "next", "word").agg(F.sum("n").alias("n"))
+    out = stored(found.filter((F.col("n") >= min_count) | F.col("next").isNull() & F.col("word").isNull()), "phrases-seen")
     sent.destroy()
     return out
 
 
+def _longer(level: DataFrame, seen: DataFrame) -> DataFrame:
+    """(lang, phrase) of the candidates that a scan of ``level`` has found."""
+    c = seen.filter("next is not null or word is not null").select("num", "next", "word")
+    last = level.select(F.col("num").alias("next"), F.element_at(F.split("phrase", " ", -1), -1).alias("last"))
+    c = c.join(level.select("num", "lang", "phrase"), "num").join(last, "next", "left")
+    return c.select("lang", F.concat_ws(" ", "phrase", F.coalesce("word", "last")).alias("phrase"))
+
+
 def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, shard: int = SHARD, at_once: int = AT_ONCE,
                      text_col: str = "text", lang_col: str = "lang") -> tuple[DataFrame, DataFrame]:
     """((lang, phrase, m, f) of all phrases of up to ``max_words`` words with
@@ -304,9 +350,9 @@ def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, s
             seen.append(scan(texts, group, m, m < max_words, len(shards) <= at_once, min_count))
         seen = reduce(DataFrame.unionByName, seen)
         if m > 1:
-            exact = seen.filter("num is not null").select("num", F.col("n").alias("f")).filter(F.col("f") >= min_count)
+            exact = seen.filter("next is null and word is null").select("num", F.col("n").alias("f")).filter(F.col("f") >= min_count)
             found.append(level.select("lang", "phrase", "num").join(exact, "num").select("lang", "phrase", "f", F.lit(m).alias("m")))
-        level = seen.filter("phrase is not null").select("lang", "phrase", F.col("n").alias("f"))
+        level = _longer(level, seen)
     return stored(reduce(DataFrame.unionByName, found), "phrases"), totals
 
 
