@@ -62,6 +62,38 @@ def sales_cube(lineitem: DataFrame, orders: DataFrame, customer: DataFrame,
     )
 
 
+def distinct_bitmaps(df: DataFrame, dims: Sequence[str], col: str) -> DataFrame:
+    """(dims, _part, _bits): which values of the integer column ``col`` each
+    group has, 32,768 numbers to a bitmap of 4 KB. Bitmaps of batches merge
+    with ``merge_bitmaps``. Made for dense numbers: a group's bitmaps are as
+    many as the ranges of numbers it touches. Rows are made distinct first,
+    by a hash aggregate in every task. A NULL value counts for nothing, but
+    its group stays."""
+    x = df.select(*dims, F.col(col).cast("bigint").alias("_v")).distinct()
+    return x.groupBy(*dims, F.bitmap_bucket_number("_v").alias("_part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("_v")).alias("_bits"))
+
+
+def merge_bitmaps(bitmaps: DataFrame, dims: Sequence[str]) -> DataFrame:
+    """Bitmaps of fewer dimensions, or of several batches, from finer ones."""
+    return bitmaps.groupBy(*dims, "_part").agg(F.bitmap_or_agg("_bits").alias("_bits"))
+
+
+def distinct_rollup(bitmaps: DataFrame, dims: Sequence[str], name: str) -> DataFrame:
+    """(dims, level, name): distinct values at every level of a rollup over
+    ``dims``. A level's bitmaps are those of the level below, merged, so rows
+    are read and made distinct once, whatever the number of levels."""
+    types = {f.name: f.dataType for f in bitmaps.schema.fields}
+    out, at = None, keep(bitmaps, "bitmaps")
+    for level in range(len(dims) + 1):
+        left = list(dims[:len(dims) - level])
+        if level:
+            at = merge_bitmaps(at, left)
+        one = at.groupBy(*left).agg(F.coalesce(F.sum(F.bitmap_count("_bits")), F.lit(0)).cast("bigint").alias(name))
+        one = one.select(*[F.col(d) if d in left else F.lit(None).cast(types[d]).alias(d) for d in dims], F.lit(level).alias("level"), name)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 # --- BZ-2 --------------------------------------------------------------------
 def month_spine(df: DataFrame, month_col: str = "month") -> DataFrame:
     """Every month from the first to the last (one row per month; the range
@@ -103,7 +135,11 @@ def cohort(activity: DataFrame, user: str, ts: str) -> DataFrame:
     Active months per user are de-duplicated first (partial aggregate), the
     cohort month is their minimum, and the final counts are plain counts.
     """
-    act = activity.select(F.col(user).alias("_u"), month_start(ts).alias("_m")).distinct()
+    return _retention(activity.select(F.col(user).alias("_u"), month_start(ts).alias("_m")).distinct())
+
+
+def _retention(act: DataFrame) -> DataFrame:
+    """From the distinct (_u, _m)."""
     first = act.groupBy("_u").agg(F.min("_m").alias("cohort_month"))
     j = act.join(first, "_u")
     k = months_between_whole(F.col("_m"), F.col("cohort_month")).alias("months_since")
@@ -115,6 +151,29 @@ def cohort(activity: DataFrame, user: str, ts: str) -> DataFrame:
         (F.col("active") / F.col("cohort_size")).alias("retention"))
 
 
+def month_bits(activity: DataFrame, user: str, ts: str) -> DataFrame:
+    """(_u, _word, _bits): the months in which a user was active, 64 of them
+    to a number. What a batch knows of a user is a row or two."""
+    m = (F.year(ts) * 12 + F.month(ts) - 1).cast("int")
+    x = activity.filter(F.col(ts).isNotNull()).select(F.col(user).alias("_u"), m.alias("_m"))
+    bit = F.expr("shiftleft(1L, pmod(_m, 64))")
+    return x.groupBy("_u", F.floor(F.col("_m") / 64).cast("int").alias("_word")).agg(F.bit_or(bit).alias("_bits"))
+
+
+def merge_month_bits(state: DataFrame, batch: DataFrame) -> DataFrame:
+    """State and batch as one: months are only added, so a batch may come
+    twice, late, or overlap others."""
+    return state.unionByName(batch).groupBy("_u", "_word").agg(F.bit_or("_bits").alias("_bits"))
+
+
+def cohort_from_bits(state: DataFrame) -> DataFrame:
+    """``cohort`` of all the activity that was merged into ``state``."""
+    months = F.expr("filter(sequence(0, 63), i -> (shiftright(_bits, i) & 1) = 1)")
+    m = F.col("_word") * 64 + F.col("_i")
+    act = state.select("_u", "_word", F.explode(months).alias("_i")).select("_u", F.make_date((F.floor(m / 12)).cast("int"), (F.pmod(m, F.lit(12)) + 1).cast("int"), F.lit(1)).alias("_m"))
+    return _retention(act)
+
+
 # --- BZ-4 --------------------------------------------------------------------
 def rfm(orders: DataFrame, cust: str = "o_custkey", ts: str = "o_orderdate",
         amount: str = "o_totalprice", as_of=None, buckets: int = 5,

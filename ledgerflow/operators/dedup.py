@@ -329,6 +329,27 @@ def components(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int
     return lab
 
 
+def update_components(labels: DataFrame, new_edges: DataFrame, new_nodes: DataFrame | None = None) -> DataFrame:
+    """(node, cluster) after a batch of edges, from the clusters before it.
+
+    Old clusters are single nodes of a contracted graph, named by their
+    labels, which are their smallest members; only the batch's edges are
+    traversed. The result is that of ``components`` over all edges. A label
+    moves only where a batch joins clusters, so most rows pass through one
+    join with the few labels that moved.
+    """
+    old = labels.select(F.col("node").cast("bigint").alias("node"), F.col("cluster").cast("bigint").alias("cluster"))
+    e = new_edges.select(F.col("u").cast("bigint").alias("u"), F.col("v").cast("bigint").alias("v"))
+    ends = e.select(F.col("u").alias("node")).unionByName(e.select(F.col("v").alias("node")))
+    if new_nodes is not None:
+        ends = ends.unionByName(new_nodes.select(F.col("node").cast("bigint").alias("node")))
+    unseen = ends.distinct().join(old.select("node"), "node", "left_anti")
+    every = keep(old.unionByName(unseen.select("node", F.col("node").alias("cluster"))), "dd4-labels")
+    c = e.join(every.toDF("u", "cu"), "u").join(every.toDF("v", "cv"), "v").select(F.col("cu").alias("u"), F.col("cv").alias("v"))
+    moved = components(c).filter(F.col("node") != F.col("cluster")).toDF("cluster", "moved")
+    return every.join(moved, "cluster", "left").select("node", F.coalesce("moved", "cluster").alias("cluster"))
+
+
 # --- DD-5 --------------------------------------------------------------------
 def survivor(df: DataFrame, cluster_col: str, rules: dict[str, Column]) -> DataFrame:
     """One golden row per cluster; ``rules`` maps output column to an

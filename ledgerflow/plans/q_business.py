@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import business as bz
+from ..session import keep
 from ..sources.tables import load
 from .catalog import register
 
@@ -28,6 +31,33 @@ def bz1_sales_cube(spark, sf):
     return bz.sales_cube(*_t(spark, sf, "lineitem", "orders", "customer", "nation", "region"))
 
 
+_GEO = ["r_name", "n_name", "c_mktsegment"]
+
+
+@register("bz1_distinct_rollup", """
+SELECT r.r_name, n.n_name, c.c_mktsegment, CAST(grouping(r.r_name) + grouping(n.n_name) + grouping(c.c_mktsegment) AS INTEGER) AS level,
+       COUNT(DISTINCT o.o_custkey) AS customers, COUNT(DISTINCT l.l_partkey) AS parts
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN customer c ON o.o_custkey = c.c_custkey
+JOIN nation n ON c.c_nationkey = n.n_nationkey
+JOIN region r ON n.n_regionkey = r.r_regionkey
+GROUP BY ROLLUP (r.r_name, n.n_name, c.c_mktsegment)
+""")
+def bz1_distinct_rollup(spark, sf):
+    """Distinct buying customers and parts sold at every level, from bitmaps
+    of two batches of orders that are merged first."""
+    li, o, c, n, r = _t(spark, sf, "lineitem", "orders", "customer", "nation", "region")
+    geo = c.join(bz.geo_dim(n, r), c.c_nationkey == F.col("n_nationkey")).select("c_custkey", *_GEO)
+    lines = li.select("l_orderkey", "l_partkey").join(o.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = keep(lines.join(geo, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "o_custkey", "l_partkey", *_GEO), "bz1-lines")
+    found = []
+    for col, name in (("o_custkey", "customers"), ("l_partkey", "parts")):
+        batches = [bz.distinct_bitmaps(lines.filter(F.col("o_orderkey") % 2 == k), _GEO, col) for k in (0, 1)]
+        found.append(bz.distinct_rollup(bz.merge_bitmaps(batches[0].unionByName(batches[1]), _GEO), _GEO, name))
+    same = [F.col(f"a.{d}").eqNullSafe(F.col(f"b.{d}")) for d in [*_GEO, "level"]]
+    return found[0].alias("a").join(found[1].alias("b"), same).select(*[f"a.{d}" for d in _GEO], "a.level", "customers", "parts")
+
+
 @register("bz2_mom_revenue", f"""
 WITH m AS (
   SELECT CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month, SUM({REV}) AS revenue
@@ -45,7 +75,7 @@ def bz2_mom_revenue(spark, sf):
     return bz.mom(bz.monthly_revenue(li, o), "revenue")
 
 
-@register("bz3_cohort_retention", """
+_COHORT_SQL = """
 WITH act AS (SELECT DISTINCT o_custkey AS u, CAST(date_trunc('month', o_orderdate) AS DATE) AS m FROM orders),
 first AS (SELECT u, min(m) AS cohort_month FROM act GROUP BY u),
 c AS (
@@ -56,12 +86,27 @@ c AS (
 SELECT c.cohort_month, c.months_since, c.active, s.active AS cohort_size,
        CAST(c.active AS DOUBLE) / s.active AS retention
 FROM c JOIN c s ON s.cohort_month = c.cohort_month AND s.months_since = 0
-""")
+"""
+
+
+@register("bz3_cohort_retention", _COHORT_SQL)
 def bz3_cohort_retention(spark, sf):
     (o,) = _t(spark, sf, "orders")
     return bz.cohort(o, "o_custkey", "o_orderdate")
 
 
+@register("bz3_cohort_incremental", _COHORT_SQL)
+def bz3_cohort_incremental(spark, sf):
+    """The same retention from month bitmaps kept per customer: the orders
+    come in three batches, the last of which overlaps the others."""
+    (o,) = _t(spark, sf, "orders")
+    state = None
+    for batch in ("o_orderkey % 3 = 0", "o_orderkey % 3 <> 0 AND o_orderdate >= '1998-01-01'", "o_orderdate < '1999-01-01'"):
+        bits = bz.month_bits(o.filter(batch), "o_custkey", "o_orderdate")
+        state = keep(bits if state is None else bz.merge_month_bits(state, bits), "bz3-state")
+    return bz.cohort_from_bits(state)
+
+
 @register("bz4_rfm", """
 WITH per AS (
   SELECT o_custkey, max(CAST(o_orderdate AS DATE)) AS last_d, COUNT(*) AS frequency,
