@@ -121,3 +121,49 @@ def test_values_holding_any_sign_are_taken_whole():
     assert g.redact("password: Xk9#,vT7q!Zp2mW, port: 1") == "password: [secret], port: 1"
     assert g.redact('password: "Xk9#,vT7q!Zp2mW\nnext "line"') == 'password: "[secret]\nnext "line"'
     assert g.redact('{"token":"abc","name":"x8#Kq!v0PzW4"}') == '{"token":"abc","name":"x8#Kq!v0PzW4"}'
+
+
+PROSE = ["The password is required.", "The secret is persistence.", "password: (optional)", "token: https://example.com/path", "password = os.environ['DB_PASSWORD']",
+         "password = getenv(DB_PASSWORD)", "secret: ${VAULT_SECRET_NAME}", "token => {{ api_token_value }}", "The token is unfortunately missing!",
+         "api key is documented below:", "password: changeme, again", "my credentials are fine; the credential is temporary,", "passphrase: something-simple",
+         "the bearer certificates were signed", "access key = user_password_field", "secret = [placeholder]", "password: <your-password-here>", "pwd = accountManager.password"]
+
+
+def test_prose_code_and_addresses_are_no_secrets():
+    words = {w: 200 + i for i, w in enumerate("unfortunately missing documented simple certificates field temporary manager persistence required optional something placeholder".split())}
+    for line in PROSE:
+        assert g.guess_spans(line, words=words) == [], line
+
+
+def test_random_values_are_found_whole_in_many_contexts():
+    rng = random.Random(9)
+    alphabet = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789"
+    shapes = ["password: {}", "Authorization: Bearer {}", "secret is {}.", "token = {},", 'api_key: "{}"', "private-key => ({})", "pwd='{}';", "bearer {} end"]
+    found = 0
+    for _ in range(400):
+        value = "".join(rng.choice(alphabet) for _ in range(rng.randint(10, 24)))
+        line = rng.choice(shapes).format(value)
+        found += [line[s:e] for s, _, e in g.guess_spans(line)] == [value]
+    assert found >= 396
+
+
+def test_corpus_words_make_values_cheap(spark):
+    rows = [(i, "the onerinth of athesh password: onerinth-Athesh") for i in range(6)] + [(9, "password: Qx7rT-91kZp-mVw2")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert set(g.learn_words(df)) == {"the", "onerinth", "athesh", "password"}
+    assert len(g.learn_words(df, limit=2)) == 2
+    assert [r.n_guess for r in sorted(g.scan(df).collect(), key=lambda r: r.doc_id)] == [0] * 6 + [1]
+
+
+def test_prose_of_the_corpus_has_few_spans(spark):
+    """Contexts put before ordinary words of real texts."""
+    rows = spark.read.parquet(f"{SF_MID}/documents.parquet").filter("lang = 'en'").collect()
+    df = spark.createDataFrame([(r.doc_id, r.text) for r in rows], "doc_id long, text string")
+    words = g.learn_words(df)
+    rng = random.Random(3)
+    n = hits = 0
+    for r in rows:
+        plain = [w for w in re.findall(r"[A-Za-z]{6,}[.,]?", r.text)]
+        for w in rng.sample(plain, min(5, len(plain))):
+            n, hits = n + 1, hits + len(g.guess_spans(f"the password is {w} and", words=words))
+    assert n > 2000 and hits <= 0.02 * n
