@@ -33,33 +33,45 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from functools import reduce
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_column, ranked, stored, text_or_empty
+from .common import ranked, split_words, stored, text_or_empty
 
 #: Phrases in a trie, about; tries broadcast together.
 SHARD = 200_000
-AT_ONCE = 4
+AT_ONCE = 5
 #: Word positions that a task handles together; rows in a batch that it hands on.
 BLOCK = 1_000_000
 OUT_ROWS = 50_000
 DIGIT = 512
+#: Languages whose totals are broadcast.
+MANY_LANGS = 10_000
 
 NO_LANG = "und"
 BREAK = b"\xff"  # not a byte of UTF-8
 _FOLD = bytes.maketrans(b".,;:!?\n\x0b\x0c\r\t", BREAK * 10 + b" ")
 
 
+_FOLD_BYTES = np.frombuffer(bytes(range(256)).lower().translate(_FOLD), np.uint8)
+
+
 def tokens(text: bytes) -> list[bytes]:
     """Words of a text, with ``BREAK`` between pieces."""
     return text.lower().translate(_FOLD).replace(BREAK, b" \xff ").split()
 
 
+def all_tokens(texts: pa.Array) -> pa.Array:
+    """``tokens`` of several texts, each after a ``BREAK``, in Arrow kernels."""
+    return split_words(texts, _FOLD_BYTES, BREAK, True)
+
+
 class Block(NamedTuple):
     """Texts of one language: ``codes`` number the distinct ``words``; 0 is a
     break, and there is one at both ends."""
@@ -79,11 +91,10 @@ def blocks(batches: Iterator[pa.RecordBatch], size: int = BLOCK) -> Iterator[Blo
             yield Block(lang, all_words.indices.to_numpy(zero_copy_only=False), all_words.dictionary)
         held.clear()
     for b in batches:
-        of_lang: dict[str, list[bytes]] = {}
-        for lang, text in zip(b.column(0).to_pylist(), binary_column(b, "text")):
-            of_lang.setdefault(lang, []).extend((BREAK, *tokens(text)))
-        for lang, words in of_lang.items():
-            held.setdefault(lang, []).append(pa.array(words, pa.binary()))
+        langs, texts = b.column(0), b.column(b.schema.get_field_index("text"))
+        for lang in langs.unique().to_pylist():
+            words = all_tokens(texts.filter(pc.equal(langs, lang)))
+            held.setdefault(lang, []).append(words)
             n += len(words)
         if n >= size:
             yield from flush()
@@ -249,7 +260,7 @@ class _Walker:
     def walk(self, block: Block, m: int) -> np.ndarray:
         """The accepting state, over all tries, of the phrase of m words that
         begins at each position; -1 for none. Counts them."""
-        known = np.fromiter((self.number.get(w, 0) for w in block.words.to_pylist()), np.int32, len(block.words))
+        known = np.fromiter(map(self.number.get, block.words.to_pylist(), repeat(0)), np.int32, len(block.words))
         lang = self.number.get(b"\xfe" + block.lang.encode(), 0)
         state = np.full(len(block.codes) + 1, -1, np.int64)
         for k, (t, local, digits) in enumerate(zip(self.tries, self.local, self.digits)):
@@ -278,13 +289,14 @@ class _Walker:
         return out
 
 
-def scan(texts: DataFrame, group: Sequence[Trie], m: int, longer: bool, all_tries: bool, min_count: int) -> DataFrame:
-    """Walk phrases of m words through all texts. Rows (num, next, word, n):
+def scan(texts: DataFrame, tries: DataFrame, m: int, longer: bool, all_tries: bool, min_count: int) -> DataFrame:
+    """Walk phrases of m words through all texts, by a few stored tries. Rows (num, next, word, n):
     without next and word, a phrase of the tries and its occurrences; with
     them a candidate of m+1 words, its first m being phrase num and its last m
     phrase next or, where not all tries are at hand, its last word ``word``;
     of its count each task's block adds at most ``min_count``."""
-    sent = texts.sparkSession.sparkContext.broadcast(list(group))
+    # AT_ONCE tries of a bounded size; the driver lets go of them once they are written for the tasks.
+    sent = texts.sparkSession.sparkContext.broadcast([read_trie(r) for r in tries.toLocalIterator()])
     names = ["num", "next", "word", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -346,7 +358,7 @@ def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, s
         shards = sorted(r["shard"] for r in packed.select("shard").collect())  # one number per shard
         seen = []
         for i in range(0, len(shards), at_once):
-            group = [read_trie(r) for r in packed.filter(F.col("shard").isin(shards[i:i + at_once])).collect()]  # at_once tries of a bounded size
+            group = packed.filter(F.col("shard").isin(shards[i:i + at_once]))
             seen.append(scan(texts, group, m, m < max_words, len(shards) <= at_once, min_count))
         seen = reduce(DataFrame.unionByName, seen)
         if m > 1:
@@ -380,9 +392,11 @@ def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, limit
     x = best.select("lang", "phrase", "b.a", "b.l", "b.r", "b.score")
     # A global order, dealt by range, numbers the phrases of every language without one task for it.
     x, _ = ranked(x, [F.col("lang"), F.col("score").desc(), F.col("a").desc(), F.col("phrase")], "ranked-phrases")
-    first = x.groupBy("lang").agg(F.min("_rank").alias("_first"))
+    first = stored(x.groupBy("lang").agg(F.min("_rank").alias("_first")).join(totals, "lang"), "languages")
+    if first.count() <= MANY_LANGS:  # else a join by language
+        first = F.broadcast(first)
     x = x.join(first, "lang").withColumn("rank", F.col("_rank") - F.col("_first") + 1).filter(F.col("rank") <= limit)
-    return x.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", *(F.col(c).cast("long").alias(c) for c in ("a", "l", "r", "n", "score")))
+    return x.select("lang", F.col("rank").cast("long").alias("rank"), "phrase", *(F.col(c).cast("long").alias(c) for c in ("a", "l", "r", "n", "score")))
 
 
 def oracle_sql() -> str:

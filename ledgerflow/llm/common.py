@@ -12,6 +12,7 @@ from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +42,17 @@ def text_or_empty(c: str = "text") -> Column:
     return F.coalesce(F.col(c), F.lit(""))
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names made of ``names`` that ``df`` does not have."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n += "_"
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 def id_bucket(c: str, n: int) -> Column:
     """crc32(id as text) mod n; a null id counts as the empty text."""
     return F.pmod(F.crc32(F.encode(F.coalesce(F.col(c).cast("string"), F.lit("")), "UTF-8")), F.lit(n))
@@ -83,6 +95,20 @@ def binary_column(batch: pa.RecordBatch, name: str) -> list[bytes]:
     return col.cast(pa.binary()).to_pylist()
 
 
+def split_words(texts: pa.Array, table: np.ndarray, mark: bytes, first: bool) -> pa.Array:
+    """Words of all texts, in Arrow kernels: bytes are mapped by ``table``
+    (256 of them), ``mark`` is a word of its own wherever it then stands, and
+    stands before (``first``) or after each text; words end at blanks."""
+    texts = texts.cast(pa.large_binary())
+    at = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
+    data = np.frombuffer(texts.buffers()[2], np.uint8)[at[0]:at[-1]] if at[-1] > at[0] else np.empty(0, np.uint8)
+    x = pa.Array.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(at - at[0]), pa.py_buffer(table[data])])
+    mark, nothing = pa.scalar(mark, pa.large_binary()), pa.scalar(b"", pa.large_binary())
+    x = pc.binary_join_element_wise(mark, x, nothing) if first else pc.binary_join_element_wise(x, mark, nothing)
+    words = pc.split_pattern(pc.replace_substring(x, mark.as_py(), b" " + mark.as_py() + b" "), b" ").flatten()
+    return words.filter(pc.greater(pc.binary_length(words), 0)).cast(pa.binary())
+
+
 def sorted_runs(batches: Iterable[pa.RecordBatch], keys: Sequence[str], rows: int = 20_000) -> Iterator[pa.Table]:
     """Tables of at least ``rows`` rows (but the last) that never cut a run of
     equal ``keys``. The partition must be sorted by ``keys``; only one table

@@ -5,7 +5,8 @@ document. Training rows are those whose crc32(id as text) mod ``folds`` is
 not 0; their word counts also give the unigram base score.
 
 Output. Words fall into classes by their last two bytes (the endings with
-most tokens; one class for all others; one for the end). The next token's
+most tokens; ``OTHERS`` classes for all others, by the last byte, so that none is
+much larger than the rest; one for the end). The next token's
 probability is p(class | state) * p(slot | class, state) * p(word | slot):
 both softmaxes are computed from the recurrent state. A slot is a frequent
 word, or the class's rest, within which words go by their counts, with the
@@ -13,13 +14,19 @@ share of words seen once (Good-Turing) kept for unseen words. All words of
 all training rows are counted; the frequent ones (``MODEL_WORDS``) have
 slots of their own.
 
-Training. Truncated backpropagation in numpy: a task lays its documents end
+Training. Truncated backpropagation in numpy: a part's documents are laid end
 to end in up to ``LANES`` lanes (fewer where that gives less than ``STEPS``
-steps) and goes through windows of ``WINDOW`` tokens, carrying the state from window to window and clearing it at a document's
+steps) and gone through in windows of ``WINDOW`` tokens, carrying the state from window to window and clearing it at a document's
 start. Every training row takes part once, in one of ``ROUNDS`` rounds; a
-round starts all tasks from the same parameters and averages what they
-return, weighted by tokens. The parameters (some 27,000 numbers, set by the
-constants below, not by the data) are summed by index in a shuffle.
+round starts all parts from the same parameters and averages what they
+return, weighted by tokens. The parameters (some 28,000 numbers, set by the
+constants below, not by the data) are summed by index in a shuffle, as whole
+multiples of 1/``GRAIN``, so that the order of addition changes nothing.
+
+Parts. Texts are turned into slot numbers once (two bytes a token) and
+stored; training and scoring read these. Training rows are dealt to parts
+of about ``PART_TOKENS`` tokens by a hash of id and slots, and sorted within a part, so
+the parameters depend on the rows, not on files, partitions or executors.
 
 Scoring. Documents are dealt to lanes whole and state is carried across all
 windows of a document, so a score is the log10 probability of the complete
@@ -36,55 +43,41 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import repeat
+from itertools import groupby, repeat
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import binary_column, id_bucket, stored, text_or_empty
+from .common import id_bucket, split_words, stored, text_or_empty
 
 FOLDS = 10
-CLASSES = 32
+CLASSES, OTHERS = 32, 16
 MODEL_WORDS = 1000
 DICTIONARY = 200_000
 EMBED = HIDDEN = 12
-LANES, WINDOW, STEPS = 256, 16, 100
+LANES, WINDOW, STEPS = 512, 16, 100
 ROUNDS = 2
 RATE = 0.03
 SMOOTH = 0.1
 SEED = 2
+PART_TOKENS = 4_000_000
+GRAIN = 1 << 14
 #: Tokens laid out at once in training and in scoring, and distinct words a
 #: task counts before it hands them on.
 HELD_TOKENS, SCORED_TOKENS = 2_000_000, 4_000_000
 HELD_WORDS = 300_000
-SCORE_LANES, SCORE_WINDOW = 512, 16
+SCORE_LANES, SCORE_WINDOW = 1024, 16
 #: Tokens whose probabilities are computed together when scoring.
 OUTPUT_ROWS = 16_384
 
 
-_BASE = 0x9E3779B97F4A7C15  # odd: words hash as polynomials modulo 2**64
-_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
-_LOWER = np.where((np.arange(256) >= 65) & (np.arange(256) <= 90), np.arange(256) + 32, np.arange(256)).astype(np.uint8)
-_POWERS: list[np.ndarray] = [np.ones(1, dtype=np.uint64)] * 2
-
-
-def _powers(n: int) -> list[np.ndarray]:
-    """Powers of the hash's base and of its inverse, up to the n-th at least."""
-    if n >= len(_POWERS[0]):
-        for i, m in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            x = np.full(2 * n + 2, m, dtype=np.uint64)
-            x[0] = 1
-            _POWERS[i] = np.multiply.accumulate(x)
-    return _POWERS
-
-
-def _one_hash(word: bytes) -> int:
-    h = 0
-    for c in reversed(word):
-        h = (h * _BASE + c + 1) & 0xFFFFFFFFFFFFFFFF
-    return h
+#: Stands for the end of a text; no byte of UTF-8.
+END = b"\xff"
+#: A-Z folded, white space to blanks.
+_FOLD_BYTES = np.frombuffer(bytes(range(256)).lower().translate(bytes.maketrans(b"\t\n\x0b\x0c\r", b" " * 5)), np.uint8)
 
 
 class Vocabulary:
@@ -95,17 +88,17 @@ class Vocabulary:
                  end_count: int, tokens: int, distinct: int):
         """``endings`` are the classes after the end's; ``masses``, ``kinds``
         and ``once`` are tokens, words and words seen once per class (the
-        endings', then all others')."""
+        endings', then those of all others)."""
         order = sorted(range(len(words)), key=lambda i: (-counts[i], words[i]))
         self.words = [words[i] for i in order]
         self.counts = np.asarray(counts, dtype=np.int64)[order]
         self.tokens, self.distinct, self.end_count = tokens, distinct, end_count
         self.class_of_ending = {e: i + 1 for i, e in enumerate(endings)}
-        self.ending_class = np.full(1 << 16, len(endings) + 1, dtype=np.int32)  # by last byte but one, last byte
+        self.others, self.first_other = len(masses) - len(endings), len(endings) + 1
+        self.ending_class = (self.first_other + np.arange(1 << 16) % 256 % self.others).astype(np.int32)  # by last byte but one, last byte
         for e, k in self.class_of_ending.items():
             self.ending_class[int.from_bytes(e, "big")] = k
-        n_classes = len(endings) + 2
-        self.other = n_classes - 1
+        n_classes = self.first_other + self.others
         word_class = np.array([self.class_of(w.encode()) for w in self.words], dtype=np.int64)
         own = np.zeros(len(self.words), dtype=bool)
         own[:MODEL_WORDS] = True
@@ -137,13 +130,10 @@ class Vocabulary:
         self.base_end = float(np.log10((end_count + SMOOTH) / self.base_norm))
         self.within = np.where(own, 0.0, np.log10((1 - self.unseen[word_class]) * self.counts / self.rest_mass[word_class]))
         self._index: dict[bytes, int] | None = None
-        own_words = [w.encode() for w in self.words[:MODEL_WORDS]]
-        hashes = np.array([_one_hash(w) for w in own_words], dtype=np.uint64)
-        order = np.argsort(hashes)
-        self.own_hashes, self.own_slots = hashes[order], self.slots[:len(own_words)][order].astype(np.int32)
 
     def class_of(self, word: bytes) -> int:
-        return self.class_of_ending.get(word[-2:], self.other)
+        known = self.class_of_ending.get(word[-2:])
+        return self.first_other + word[-1] % self.others if known is None else known
 
     def __getstate__(self) -> dict:
         return self.__dict__ | {"_index": None, "words": "\n".join(self.words)}
@@ -152,41 +142,49 @@ class Vocabulary:
         self.__dict__.update(d)
         self.words = d["words"].split("\n") if d["words"] else []
 
-    def encode(self, text: bytes) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-        """(slots with the end, dictionary numbers of known words, words
-        beyond the dictionary)."""
+    def encode(self, texts: pa.Array) -> "Encoded":
+        """All texts of an array: each word that occurs is looked up once."""
         if self._index is None:
             self._index = {w.encode(): i for i, w in enumerate(self.words)}
-        words = text.lower().split()
+        coded = split_words(texts, _FOLD_BYTES, END, False).dictionary_encode()
+        which, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary.to_pylist()
         at = np.fromiter(map(self._index.get, words, repeat(-1)), dtype=np.int64, count=len(words))
-        slots = np.zeros(len(words) + 1, dtype=np.int32)
         known = at >= 0
-        if known.all():
-            slots[:-1] = self.slots[at]
-            return slots, at, []
-        tail = [words[i] for i in np.flatnonzero(~known)]
-        slots[:-1][known] = self.slots[at[known]]
-        slots[:-1][~known] = [self.rest[self.class_of(w)] for w in tail]
-        return slots, at[known], tail
-
-    def slots_of(self, text: bytes) -> np.ndarray:
-        """The slots of ``encode``, in whole-text operations: words with slots
-        of their own are found by 64-bit hashes, others by their endings."""
-        b = _LOWER[np.frombuffer(text, dtype=np.uint8)]
-        inside = np.concatenate([[False], ~_SPACE[b], [False]])
-        start, end = (np.flatnonzero(x) for x in (inside[1:] & ~inside[:-1], ~inside[1:] & inside[:-1]))
-        out = np.zeros(len(start) + 1, dtype=np.int32)
-        if len(start):
-            powers, inverses = _powers(len(b))
-            sums = np.concatenate([np.zeros(1, dtype=np.uint64), np.cumsum((b.astype(np.uint64) + np.uint64(1)) * powers[:len(b)], dtype=np.uint64)])
-            h = (sums[end] - sums[start]) * inverses[start]
-            last = b[end - 1].astype(np.int32) + np.where(end - start > 1, b[end - 2].astype(np.int32) << 8, 0)
-            out[:-1] = self.rest[self.ending_class[last]]
-            if len(self.own_hashes):
-                at = np.minimum(np.searchsorted(self.own_hashes, h), len(self.own_hashes) - 1)
-                own = self.own_hashes[at] == h
-                out[:-1][own] = self.own_slots[at[own]]
-        return out
+        slots = np.where(known, self.slots[at], 0).astype(np.uint16) if len(self.words) else np.zeros(len(words), np.uint16)
+        base, within = (np.where(known, x[at], 0.0) if len(self.words) else np.zeros(len(words)) for x in (self.base, self.within))
+        beyond = np.flatnonzero(~known).tolist()
+        end = next((i for i in beyond if words[i] == END), 0)
+        for i in beyond:
+            slots[i] = 0 if i == end else self.rest[self.class_of(words[i])]
+        tail = ~known
+        if len(words):
+            base[end], known[end], tail[end] = self.base_end, self.end_count > 0, False
+        stops = np.flatnonzero(which == end) + 1 if len(words) else np.zeros(0, np.int64)
+        starts = np.concatenate([[0], stops[:-1]]) if len(stops) else stops
+        total = lambda x: np.add.reduceat(x[which], starts) if len(starts) else np.zeros(0)
+        # The words beyond the dictionary, few, by text.
+        far = np.flatnonzero(tail[which])
+        cuts = np.searchsorted(far, np.concatenate([starts, stops[-1:]]))
+        far = [words[i].decode() for i in which[far].tolist()]
+        return Encoded(slots[which], starts, stops, total(known.astype(np.int64)), total(base), total(within), [far[i:j] for i, j in zip(cuts[:-1], cuts[1:])])
+
+
+class Encoded(NamedTuple):
+    """Texts in sequence: text i has ``slots[starts[i]:stops[i]]``, its end
+    last, and one entry in each of the rest."""
+    slots: np.ndarray
+    starts: np.ndarray
+    stops: np.ndarray
+    known: np.ndarray
+    base: np.ndarray
+    within: np.ndarray
+    tails: list[list[str]]
+
+    def of(self, i: int) -> np.ndarray:
+        return self.slots[self.starts[i]:self.stops[i]]
+
+
+_ONES = np.ones(4096, dtype=np.float32)
 
 
 def _log_softmax(logits: np.ndarray, rows: np.ndarray, chosen: np.ndarray, slopes: bool) -> tuple[np.ndarray, np.ndarray | None]:
@@ -194,16 +192,16 @@ def _log_softmax(logits: np.ndarray, rows: np.ndarray, chosen: np.ndarray, slope
     the derivative of their negative by the logits. Logits are log shares
     and what training adds, far below where exp overflows; if they ever were
     not, the rows' largest are taken off first. Overwrites ``logits``."""
-    ones = np.ones(logits.shape[1], dtype=np.float32)
+    ones = _ONES[:logits.shape[1]] if logits.shape[1] <= len(_ONES) else np.ones(logits.shape[1], dtype=np.float32)
     picked = logits[rows, chosen]
     e = np.exp(logits)
     total = e @ ones
-    if not (np.isfinite(total).all() and (total > 0).all()):
+    if not 0 < total.min() <= total.max() < np.inf:
         logits = logits - logits.max(axis=1, keepdims=True)
         picked = logits[rows, chosen]
         e = np.exp(logits)
         total = e @ ones
-    logp = (picked - np.log(total)).astype(np.float64)
+    logp = picked - np.log(total)
     if not slopes:
         return logp, None
     e *= (1 / total)[:, None]
@@ -277,13 +275,14 @@ class Network:
     def outputs(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray | None]:
         """Natural log probabilities of target slots from states (N, H); with
         ``grads``, adds the heads' gradients and returns that of the states."""
-        k = self.slot_class[target]
+        k = self.slot_class[target].astype(np.int16)  # sorted by radix
         # Rows in the order of their classes: a class is a slice of them.
         order = np.argsort(k, kind="stable")
         bounds = np.searchsorted(k[order], np.arange(self.n_classes + 1))
         hs, ks, ts = h[order], k[order], target[order]
         rows = np.arange(len(h))
         logp, d = _log_softmax(hs @ self.wc + self.bc, rows, ks, grads is not None)
+        logp = logp.astype(np.float64)
         dhs = None
         if grads is not None:
             grads["wc"] += hs.T @ d
@@ -322,25 +321,32 @@ class Network:
             dh = np.zeros_like(flat_states)
             dh[live] = part
         dh = dh.reshape(states.shape)
+        h0, z, r, cand, hun = (np.stack(v) for v in zip(*keep))
+        # All that doesn't wait for the way back, for the whole window at once.
+        to_cand, to_z = (1 - z) * (1 - cand * cand), (h0 - cand) * z * (1 - z)
+        to_r = hun * r * (1 - r)
         dproj = np.empty((*x.shape, 3 * n), dtype=np.float32)
         dhu = np.empty_like(dproj)
-        prev = np.empty_like(states)
         back = np.zeros_like(h)
+        any_fresh = fresh.any(axis=1)
+        ut = np.ascontiguousarray(self.u.T)
         for t in range(len(x) - 1, -1, -1):
-            h0, z, r, cand, hun = keep[t]
             d = dh[t] + back
-            dc = d * (1 - z) * (1 - cand * cand)
-            dproj[t, :, :n] = d * (h0 - cand) * z * (1 - z)
-            dproj[t, :, n:2 * n] = dc * hun * r * (1 - r)
-            dproj[t, :, 2 * n:] = dc
-            dhu[t] = dproj[t]
-            dhu[t, :, 2 * n:] *= r
-            prev[t] = h0
-            back = d * z + dhu[t] @ self.u.T
-            back[fresh[t]] = 0
+            p = dproj[t]
+            dc = np.multiply(d, to_cand[t], out=p[:, 2 * n:])
+            np.multiply(d, to_z[t], out=p[:, :n])
+            np.multiply(dc, to_r[t], out=p[:, n:2 * n])
+            q = dhu[t]
+            q[:, :2 * n] = p[:, :2 * n]
+            np.multiply(dc, r[t], out=q[:, 2 * n:])
+            back = q @ ut
+            d *= z[t]
+            back += d
+            if any_fresh[t]:
+                back[fresh[t]] = 0
         dp = dproj.reshape(-1, 3 * n)
         inputs = x.ravel()
-        g["u"] += prev.reshape(-1, n).T @ dhu.reshape(-1, 3 * n)
+        g["u"] += h0.reshape(-1, n).T @ dhu.reshape(-1, 3 * n)
         g["w"] += self.emb[inputs].T @ dp
         g["b"] += dp.sum(axis=0)
         de = dp @ self.w.T
@@ -411,7 +417,10 @@ def log10_of(net: Network, documents: list[np.ndarray], start: int) -> np.ndarra
         n, i = heapq.heappop(load)
         lanes[i].append(d)
         heapq.heappush(load, (n + len(documents[d]), i))
-    lanes.sort(key=lambda own: -sum(len(documents[d]) for d in own))
+    loads = [0] * len(lanes)
+    for n, i in load:
+        loads[i] = n
+    lanes = [lanes[i] for i in sorted(range(len(lanes)), key=lambda i: -loads[i])]
     dealt = [d for own in lanes for d in own]
     if not dealt:
         return np.zeros(0)
@@ -422,11 +431,12 @@ def log10_of(net: Network, documents: list[np.ndarray], start: int) -> np.ndarra
     fresh[np.cumsum(sizes) - sizes] = True
     x = np.concatenate([[start], y[:-1]]).astype(np.int32)
     x[fresh] = start
-    length = np.array([sum(len(documents[d]) for d in own) for own in lanes])
+    length = np.array(sorted(loads, reverse=True))
     first = np.cumsum(length) - length
     out = np.zeros(len(documents))
     h = np.zeros((len(lanes), HIDDEN), dtype=np.float32)
     held: list[tuple[np.ndarray, np.ndarray]] = []  # states and the places they predict
+    waiting = 0
 
     def flush() -> None:
         at = np.concatenate([p for _, p in held])
@@ -441,8 +451,10 @@ def log10_of(net: Network, documents: list[np.ndarray], start: int) -> np.ndarra
         states, last = net.recur(x[at], fresh[at] & inside, h[:live])
         h[:live] = last
         held.append((states[inside], at[inside]))
-        if sum(len(p) for _, p in held) >= OUTPUT_ROWS:
+        waiting += len(held[-1][1])
+        if waiting >= OUTPUT_ROWS:
             flush()
+            waiting = 0
     if held:
         flush()
     return out / np.log(10)
@@ -452,10 +464,12 @@ def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     counts: Counter = Counter()
 
     def flush() -> pa.RecordBatch:
+        counts.pop(END, None)
         return pa.record_batch([pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
     for b in batches:
-        for text in binary_column(b, "text"):
-            counts.update(text.lower().split())
+        found = split_words(b.column(b.schema.get_field_index("text")), _FOLD_BYTES, END, False).value_counts()
+        for w, n in zip(found.field("values").to_pylist(), found.field("counts").to_pylist()):
+            counts[w] += n
         if len(counts) > HELD_WORDS:
             yield flush()
             counts.clear()
@@ -472,12 +486,13 @@ def _ending() -> Column:
     return F.hex(F.substring(F.encode("word", "UTF-8"), -2, 2))
 
 
-def _ending_class(endings: list[bytes]) -> Column:
+def _ending_class(endings: list[bytes], others: int) -> Column:
     """Class of column ``word`` as ``Vocabulary.class_of`` has it."""
+    other = F.lit(len(endings) + 1) + F.pmod(F.conv(F.right(_ending(), F.lit(2)), 16, 10).cast("int"), F.lit(others))
     if not endings:
-        return F.lit(1)
+        return other
     m = F.create_map(*(F.lit(x) for i, e in enumerate(endings) for x in (e.hex().upper(), i + 1)))
-    return F.coalesce(F.try_element_at(m, _ending()), F.lit(len(endings) + 1))
+    return F.coalesce(F.try_element_at(m, _ending()), other)
 
 
 def build_vocabulary(counts: DataFrame, end_count: int) -> Vocabulary:
@@ -494,8 +509,8 @@ def build_vocabulary(counts: DataFrame, end_count: int) -> Vocabulary:
     table = frequent.select("word", "c").toArrow()
     ends = counts.groupBy(_ending().alias("e")).agg(F.sum("c").alias("c"))
     endings = [bytes.fromhex(r["e"]) for r in ends.orderBy(F.col("c").desc(), "e").limit(CLASSES - 2).collect()]
-    per = counts.groupBy(_ending_class(endings).alias("k")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("o"))
-    stats = np.zeros((3, len(endings) + 1))
+    per = counts.groupBy(_ending_class(endings, OTHERS).alias("k")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v"), F.count_if(F.col("c") == 1).alias("o"))
+    stats = np.zeros((3, len(endings) + OTHERS))
     for r in per.collect():
         stats[:, r["k"] - 1] = r["c"], r["v"], r["o"]
     return Vocabulary(table.column("word").to_pylist(), table.column("c").to_numpy(), endings, *stats,
@@ -503,23 +518,28 @@ def build_vocabulary(counts: DataFrame, end_count: int) -> Vocabulary:
 
 
 def _trainer(vocabulary: Vocabulary, flat: np.ndarray) -> Callable:
+    """Trains on each part of a partition sorted by part, apart from the others."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        net = Network(vocabulary, flat)
-        documents = (vocabulary.slots_of(t) for b in batches for t in binary_column(b, "text"))
-        tokens, logp = train_on(net, documents, net.n_slots)
-        values = np.append(net.flat.astype(np.float64) * tokens, [tokens, logp])  # the last two: tokens and their log probability
-        if tokens:
-            yield pa.record_batch([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], names=["i", "v"])
+        rows = ((g, np.frombuffer(s, "<u2")) for b in batches for g, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        for _, own in groupby(rows, key=lambda r: r[0]):
+            net = Network(vocabulary, flat)
+            tokens, logp = train_on(net, (s for _, s in own), net.n_slots)
+            values = np.append(net.flat.astype(np.float64) * tokens, [tokens, logp])  # the last two: tokens and their log probability
+            yield pa.record_batch([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(np.rint(values * GRAIN).astype(np.int64))], names=["i", "v"])
     return run
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> tuple[np.ndarray, list[float]]:
-    """(parameters, mean log10 probability of a slot in each round) from
-    ``texts`` (text, part), ``part`` being the round that takes the row."""
+def train(encoded: DataFrame, vocabulary: Vocabulary, tokens: int, rounds: int = ROUNDS) -> tuple[np.ndarray, list[float]]:
+    """(parameters, mean log10 probability of a slot in each round) from the
+    stored training rows of ``encode`` (doc_id, slots), which have ``tokens`` slots."""
     flat, seen = Network(vocabulary).flat, []
+    parts = max(1, -(-tokens // (rounds * PART_TOKENS)))
+    h = F.xxhash64("doc_id", "slots", F.lit(SEED))
+    dealt = encoded.select("slots", h.alias("h"), F.pmod(h, F.lit(rounds)).alias("part"), F.pmod(F.shiftright(h, 16), F.lit(parts)).alias("g"))
     for k in range(rounds):
-        x = texts.filter(F.col("part") == k).select("text").mapInArrow(_trainer(vocabulary, flat), "i int, v double")
-        sums = x.groupBy("i").agg(F.sum("v").alias("v")).toArrow()  # one row per parameter
+        x = dealt.filter(F.col("part") == k).select("g", "h", "slots").repartition(parts, "g").sortWithinPartitions("g", "h", "slots").select("g", "slots")
+        x = x.mapInArrow(_trainer(vocabulary, flat), "i int, v long")
+        sums = x.groupBy("i").agg(F.sum(F.col("v").cast("decimal(20,0)")).cast("double").alias("v")).toArrow()  # one row per parameter
         if not sums.num_rows:
             continue
         v = np.zeros(len(flat) + 2)
@@ -529,56 +549,67 @@ def train(texts: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> tup
     return flat, seen
 
 
-def _scorer(vocabulary: Vocabulary, flat: np.ndarray) -> Callable:
-    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("base", pa.float64()),
-                        ("model", pa.float64()), ("tail", pa.list_(pa.string()))])
+def encode(x: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Each row of (doc_id, held_out, text) as slots, with what follows from
+    counts alone: known tokens, base score, log10 within slots, and the words
+    beyond the dictionary."""
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("slots", pa.binary()), ("n_tokens", pa.int64()), ("known", pa.int64()),
+                        ("base", pa.float64()), ("within", pa.float64()), ("tail", pa.list_(pa.string()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            e = vocabulary.encode(b.column(2))
+            slots = [e.of(i).astype("<u2").tobytes() for i in range(b.num_rows)]
+            yield pa.record_batch([b.column(0), b.column(1), *(pa.array(c, f.type) for c, f in zip(
+                (slots, e.stops - e.starts, e.known, e.base, e.within, e.tails), list(schema)[2:]))], schema=schema)
+    kinds = "doc_id long, held_out boolean, slots binary, n_tokens long, known long, base double, within double, tail array<string>"
+    return x.select("doc_id", "held_out", "text").mapInArrow(run, kinds)
 
+
+def _scorer(vocabulary: Vocabulary, flat: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, net = vocabulary, Network(vocabulary, flat)
-        slots: list[np.ndarray] = []
-        rows: list[tuple] = []
+        net = Network(vocabulary, flat)
+        held: list[pa.RecordBatch] = []
         n = 0
 
-        def flush() -> pa.RecordBatch:
-            logp = log10_of(net, slots, net.n_slots)
-            ids, held, tokens, known, base, within, tails = zip(*rows)
-            cols = [ids, held, tokens, known, base, np.array(within) + logp, tails]
-            return pa.record_batch([pa.array(c, f.type) for c, f in zip(cols, schema)], schema=schema)
+        def flush() -> Iterator[pa.RecordBatch]:
+            at = held[0].schema.get_field_index("slots")
+            logp = log10_of(net, [np.frombuffer(s, "<u2") for b in held for s in b.column(at).to_pylist()], net.n_slots)
+            done = 0
+            for b in held:
+                yield pa.record_batch([pa.array(logp[done:done + b.num_rows]), *(c for i, c in enumerate(b.columns) if i != at)],
+                                      names=["model", *(f for f in b.schema.names if f != "slots")])
+                done += b.num_rows
         for b in batches:
-            names = b.schema.names
-            for doc, held, text in zip(b.column(names.index("doc_id")).to_pylist(), b.column(names.index("held_out")).to_pylist(), binary_column(b, "text")):
-                s, at, tail = v.encode(text)
-                slots.append(s)
-                rows.append((doc, held, len(s), len(at) + (v.end_count > 0), float(v.base[at].sum()) + v.base_end, float(v.within[at].sum()),
-                             [w.decode() for w in tail]))
-                n += len(s)
+            held.append(b)
+            n += b.column(b.schema.get_field_index("slots")).nbytes // 2
             if n >= SCORED_TOKENS:
-                yield flush()
-                slots, rows, n = [], [], 0
-        if rows:
-            yield flush()
+                yield from flush()
+                held, n = [], 0
+        if held:
+            yield from flush()
     return run
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = FOLDS, rounds: int = ROUNDS) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)."""
-    x = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), id_bucket(id_col, folds).alias("bucket"))
-    learn = x.filter("bucket <> 0").select("text", F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(rounds)).alias("part"))
+    x = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"), (id_bucket(id_col, folds) == 0).alias("held_out"))
+    learn = x.filter("not held_out")
     counts = stored(word_counts(learn.select("text")), "word-counts")
     v = build_vocabulary(counts, learn.count())
-    flat, _ = train(learn, v, rounds)
-    out = "doc_id long, held_out boolean, n_tokens long, known long, base double, model double, tail array<string>"
-    scored = x.select("doc_id", (F.col("bucket") == 0).alias("held_out"), "text").mapInArrow(_scorer(v, flat), out)
-    scored = stored(scored.withColumn("row", F.monotonically_increasing_id()), "lm-scores")
+    encoded = stored(encode(x, v).withColumn("row", F.monotonically_increasing_id()), "lm-slots")
+    flat, _ = train(encoded.filter("not held_out").select("doc_id", "slots"), v, v.tokens, rounds)
+    scored = encoded.select("row", "doc_id", "held_out", "n_tokens", "known", "base", "within", "slots").mapInArrow(
+        _scorer(v, flat), "model double, row long, doc_id long, held_out boolean, n_tokens long, known long, base double, within double")
     # Words beyond the dictionary: their counts by a join, their classes' rests as in Vocabulary.
-    rest = F.create_map(*(F.lit(y) for k in range(1, v.other + 1) for y in (k, F.struct(F.lit(float(v.unseen[k])).alias("u"), F.lit(float(v.rest_mass[k])).alias("m")))))
-    tail = scored.select("row", F.explode("tail").alias("word")).join(counts, "word", "left")
-    r = F.try_element_at(rest, _ending_class(list(v.class_of_ending)))
+    rest = F.create_map(*(F.lit(y) for k in range(1, len(v.rest)) for y in (k, F.struct(F.lit(float(v.unseen[k])).alias("u"), F.lit(float(v.rest_mass[k])).alias("m")))))
+    tail = encoded.select("row", F.explode("tail").alias("word")).join(counts, "word", "left")
+    r = F.try_element_at(rest, _ending_class(list(v.class_of_ending), v.others))
     inner = F.when(F.col("c").isNull(), F.log10(r["u"])).otherwise(F.log10((1 - r["u"]) * F.col("c") / r["m"]))
     tail = tail.select("row", F.col("c").isNotNull().cast("long").alias("k"), inner.alias("i"),
                        F.log10((F.coalesce("c", F.lit(0)) + SMOOTH) / v.base_norm).alias("b"))
     tail = tail.groupBy("row").agg(F.sum("k").alias("k"), F.sum("i").alias("i"), F.sum("b").alias("b"))
     zero = F.lit(0.0)
-    return scored.drop("tail").join(tail, "row", "left").select(
+    return scored.join(tail, "row", "left").select(
         "doc_id", "held_out", "n_tokens", (F.col("known") + F.coalesce("k", F.lit(0))).alias("n_known"), F.lit(v.tokens).cast("long").alias("train_tokens"),
-        (F.col("base") + F.coalesce("b", zero)).alias("base_score"), (F.col("model") + F.coalesce("i", zero)).alias("score"))
+        (F.col("base") + F.coalesce("b", zero)).alias("base_score"), (F.col("model") + F.col("within") + F.coalesce("i", zero)).alias("score"))

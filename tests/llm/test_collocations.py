@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from ledgerflow.llm import collocations as C
 
@@ -90,6 +91,14 @@ def test_small_blocks_count_alike(spark, monkeypatch):
     assert sum(n.values()) == sum(t[6] for t in {r[0]: r for r in brute(rows, 2, 1)}.values())
 
 
+def test_tokens_in_arrow_equal_tokens_of_each_text():
+    rng = random.Random(7)
+    texts = [t or "" for _, t in prose(rng, 60)] + ["", " ", ".", "A.B", "\tx  Y\r\n", "é東\u00a0z"]
+    array = pa.array(["before"] + texts, pa.string()).slice(1)
+    assert C.all_tokens(array).to_pylist() == [w for t in texts for w in (C.BREAK, *C.tokens(t.encode()))]
+    assert C.all_tokens(pa.array([], pa.string())).to_pylist() == []
+
+
 def test_score_is_exact_beyond_64_bits(spark):
     expr = "(cast({a} as decimal(16,0)) * cast({a} as decimal(16,0)) * cast(1000000 as decimal(7,0))) div (cast({l} as decimal(16,0)) * cast({r} as decimal(16,0)))"
     for a, l, r in ((3_037_000_503, 9_223_372_036, 5_000_000_007), (10 ** 15 + 7, 10 ** 15 + 9, 10 ** 16 - 1), (10 ** 16 - 1,) * 3):

@@ -3,6 +3,7 @@ import math
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,16 +85,37 @@ def test_probabilities_of_slots_sum_to_one(net):
 
 def test_words_within_a_rest_sum_to_less_than_one(net):
     v, _ = net
-    for k in range(1, v.other + 1):
+    for k in range(1, len(v.rest)):
         inside = sum(10 ** v.within[i] for i, w in enumerate(v.words) if v.class_of(w.encode()) == k and v.slots[i] == v.rest[k])
         assert inside + v.unseen[k] <= 1 + 1e-9
 
 
-def test_slots_of_whole_texts_equal_word_by_word(net):
+def test_slots_follow_words_and_endings(net):
     v, _ = net
     texts = ["", " ", "the AND of", "The\tthat\x0bband  xe\n", "straße É é and\u00a0the x", "solo unseen he d at THAT", "éà 東京 👍"] + [t or "" for t in odd_texts()]
-    for t in texts:
-        assert v.slots_of(t.encode()).tolist() == v.encode(t.encode())[0].tolist()
+    index = {w: i for i, w in enumerate(v.words)}
+    e = v.encode(pa.array(["before", *texts], pa.string()).slice(1))
+    for i, t in enumerate(texts):
+        want = [v.slots[index[w]] if w in index else v.rest[v.class_of(w.encode())] for w in words(t)]
+        at = [index[w] for w in words(t) if w in index]
+        assert e.of(i).tolist() == [*want, 0] and e.tails[i] == [w for w in words(t) if w not in index]
+        assert e.known[i] == len(at) + 1 and math.isclose(e.base[i], v.base[at].sum() + v.base_end) and math.isclose(e.within[i], v.within[at].sum(), abs_tol=1e-12)
+    assert v.encode(pa.array([], pa.string())).tails == [] and v.encode(pa.array([""])).of(0).tolist() == [0]
+
+
+def test_other_endings_share_several_classes():
+    v = gru.Vocabulary(["the", "of", "ox", "axe"], np.array([9, 8, 2, 1]), [b"he"], np.array([20, 20, 20, 20]), np.array([1, 2, 2, 1]), np.array([0, 0, 1, 0]), 4, 24, 7)
+    assert v.others == 3 and v.class_of(b"the") == 1
+    for w in (b"of", b"ox", b"axe", b"z", "\u00e9".encode()):
+        assert v.class_of(w) == 2 + w[-1] % 3 == v.ending_class[int.from_bytes(w[-2:], "big")]
+
+
+def test_scores_do_not_depend_on_partitions(spark):
+    df = spark.read.parquet(f"{SF_MID}/documents.parquet").filter("doc_id < 300")
+    one, other = ({r.doc_id: (r.base_score, r.score) for r in gru.score_documents(x).collect()} for x in (df.coalesce(1), df.repartition(4)))
+    assert one.keys() == other.keys()
+    for d in one:
+        assert np.allclose(one[d], other[d], rtol=1e-5)
 
 
 def one_by_one(n, slots, start):
