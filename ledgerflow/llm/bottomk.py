@@ -202,20 +202,31 @@ def compare_with_next(docs: DataFrame, k: int = K, shingle: int = SHINGLE, id_co
     the id column; a chunk is sorted in one task and ends in a copy of the
     next chunk's first document. Whole texts move once. Null ids come last;
     rows of one id follow each other by text; a single document is its own
-    next one.
+    next one. An id that many rows share, or lack, is cut further by the hash
+    of the text, so only copies of one row stay together.
     """
     spark = docs.sparkSession
     x = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     size = x.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
     n = min(MAX_CHUNKS, max(size // CHUNK_BYTES + 1, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     cuts = np.unique(np.array(x.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.1 / n) or [], dtype=np.int64))
+    # Ids with more text than two chunks (a missing or repeated one): at most one per chunk. Each has chunks of its own, cut by its texts' hashes.
+    per_id = x.groupBy("doc_id").agg(F.sum(F.octet_length("text")).alias("bytes")).filter(F.col("bytes") > 2 * CHUNK_BYTES).collect()
+    hot = {r["doc_id"]: int(r["bytes"] // CHUNK_BYTES + 1) for r in per_id}
+    cuts = np.unique(np.concatenate([cuts, *([i - 1, i] for i in hot if i is not None)]).astype(np.int64))
+    pieces = np.ones(len(cuts) + 2, dtype=np.int64)  # by chunk of ids, the largest ids first; the last is that without an id
+    for i, m in hot.items():
+        pieces[len(cuts) + 1 if i is None else len(cuts) - int(np.searchsorted(cuts, i, "left"))] = m
+    begin = np.cumsum(pieces) - pieces
 
     @F.pandas_udf("int")
-    def chunk_of(ids: pd.Series) -> pd.Series:
-        """Chunk 0 has the largest ids; a null id belongs to the last."""
+    def chunk_of(ids: pd.Series, hashes: pd.Series) -> pd.Series:
+        """Chunk 0 has the largest ids and, within an id, the largest hashes."""
         at = len(cuts) - np.searchsorted(cuts, ids.fillna(0).to_numpy(dtype=np.int64), "left")
-        return pd.Series(np.where(ids.isna(), len(cuts), at))
-    x = x.withColumn("_chunk", chunk_of("doc_id"))
+        at = np.where(ids.isna(), len(cuts) + 1, at)
+        down = (float(1 << 63) - hashes.to_numpy(dtype=np.float64)) / float(1 << 64)
+        return pd.Series(begin[at] + np.minimum((down * pieces[at]).astype(np.int64), pieces[at] - 1))
+    x = x.withColumn("_chunk", chunk_of("doc_id", F.xxhash64("text")))
     # The first row of a chunk, in the order below, as (id, text hash): one per chunk.
     order = F.struct(F.col("doc_id").isNotNull(), F.col("doc_id"), F.xxhash64("text"))
     firsts = {r["_chunk"]: r["f"] for r in x.groupBy("_chunk").agg(F.max(order).alias("f")).collect()}
@@ -229,6 +240,6 @@ def compare_with_next(docs: DataFrame, k: int = K, shingle: int = SHINGLE, id_co
     rows = x.select("_chunk", "doc_id", "text", F.lit(False).alias("_ghost")).unionByName(
         ghosts.select("_chunk", "doc_id", "text", F.lit(True).alias("_ghost")))
     key = [F.col("_chunk"), F.col("_ghost"), F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc()]
-    rows = rows.repartitionById(len(cuts) + 1, F.col("_chunk")).sortWithinPartitions(*key)
+    rows = rows.repartitionById(int(pieces.sum()), F.col("_chunk")).sortWithinPartitions(*key)
     return rows.mapInArrow(_editor(k, shingle), "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
                            "edited_fingerprint string, near_edited double, near_next double")

@@ -1,7 +1,8 @@
 """Sharding along a Hilbert curve over several metadata dimensions.
 
 Each dimension is quantised to ``2**bits`` cells at its own quantiles (a
-string counts as the number its first bytes spell, so cells keep its order);
+string counts as its rank among the distinct values, so cells keep its order,
+whatever beginnings the values share);
 a row's cells give its index on the Hilbert curve; rows are sorted by that
 index and cut into runs. Neighbours on the curve are close in every
 dimension at once, so a run, one file, spans a small box and a filter on any
@@ -33,7 +34,8 @@ BITS = 5
 SHARDS = 40
 #: What a row takes besides its text.
 ROW_BYTES = 16
-PREFIX_BYTES = 7
+#: Distinct values of a string dimension whose ranks are broadcast.
+FEW_VALUES = 100_000
 
 
 def hilbert_index(cells: Sequence[np.ndarray], bits: int) -> np.ndarray:
@@ -64,12 +66,15 @@ def hilbert_index(cells: Sequence[np.ndarray], bits: int) -> np.ndarray:
     return index
 
 
-def as_number(c: Column, kind: T.DataType) -> Column:
-    """An order-keeping number: a string's first bytes, big-endian."""
-    if isinstance(kind, T.StringType):
-        digits = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, PREFIX_BYTES)), 2 * PREFIX_BYTES, "0")
-        return F.conv(digits, 16, 10).cast("double")
-    return c.cast("double")
+def with_number(df: DataFrame, c: Column, kind: T.DataType, name: str) -> DataFrame:
+    """``df`` with an order-keeping number of ``c``: a string's rank among its
+    distinct values, which come from one range shuffle of these alone."""
+    if not isinstance(kind, T.StringType):
+        return df.withColumn(name, c.cast("double"))
+    x = df.withColumn("_value", c)
+    values, n = ranked(x.select("_value").filter("_value is not null").distinct(), [F.col("_value")], "hilbert-values")
+    values = values.select("_value", F.col("_rank").cast("double").alias(name))
+    return x.join(F.broadcast(values) if n <= FEW_VALUES else values, "_value", "left").drop("_value")
 
 
 def _curve(cuts: list[np.ndarray], bits: int) -> Callable:
@@ -89,7 +94,10 @@ def order_along_curve(df: DataFrame, dims: Sequence[tuple[Column, T.DataType]],
     """(df with ``_curve`` and ``_rank``, row count): all rows of ``df``
     ranked by curve index, then ``tie``."""
     columns = df.columns
-    x = df.select(*columns, *(as_number(c, kind).alias(f"_d{i}") for i, (c, kind) in enumerate(dims)))
+    x = df
+    for i, (c, kind) in enumerate(dims):
+        x = with_number(x, c, kind, f"_d{i}")
+    x = x.select(*columns, *(f"_d{i}" for i in range(len(dims))))
     names = [f"_d{i}" for i in range(len(dims))]
     cells = 1 << bits
     found = x.approxQuantile(names, [i / cells for i in range(1, cells)], 0.2 / cells)

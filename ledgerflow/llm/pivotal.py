@@ -11,16 +11,18 @@ words move from one to the other, in a direction drawn with the odds that
 leave both expectations unchanged, until one probability is 0 or 1; the other
 goes on to the next pair. The source's expected words never change; ``SPARE``
 fractional documents are left. Documents are dealt to chunks by a hash of their
-id, every chunk rounds its own, and what each leaves is combined up a tree
+rank, every chunk rounds its own, and what each leaves is combined up a tree
 that joins ``FAN`` chunks at a time. Pairs are of one size class (a power of
 two), so that short documents don't have to settle a long one. The last
 documents left in the classes of a source, a few per power of two, are
 settled together, longest first, each taking over what the ones before left,
 and the shortest by the choice whose words come nearest to what remains.
 
-Draws hash ids and a seed, and chunks follow from ids and the row count, so
-reruns agree however Spark partitions the rows. A source with a third of all
-rows is dealt to all chunks.
+Ranks come from one global order by id, tie columns, size and source, so rows without
+an id, or with the id of others, spread over all chunks like any other, and a source with a
+third of all rows does. Draws hash ranks and a seed, and chunks follow from
+ranks and the row count, so reruns over the same rows agree however Spark partitions
+them; rows that tie are alike in all that is read of them.
 
 Nulls and odd rows: a null text has no words; documents without words are
 rounded by their own draw; a null source is a source of its own, last in
@@ -38,7 +40,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import WORD, ranked, run_starts, sorted_runs, stored, text_or_empty
+from .common import WORD, ranked, run_starts, sorted_runs, stored, text_or_empty, unused
 
 # The weights of sources in code point order, repeating.
 WEIGHTS = (5, 2, 1)
@@ -151,19 +153,27 @@ def _rounder(fn: Callable, keys: list[str]) -> Callable:
 
 
 def mix(docs: DataFrame, weights: Sequence[int] = WEIGHTS, most: int = MOST, id_col: str = "doc_id", text_col: str = "text",
-        source_col: str = "source") -> DataFrame:
-    """``mix_sized`` by the words of the text column."""
-    sized = docs.withColumn("_words", word_count(text_col))
-    return mix_sized(sized, "_words", weights, most, id_col, source_col).drop("_words")
+        source_col: str = "source", copies_col: str = "_copies") -> DataFrame:
+    """All columns of ``docs``, whatever their names, and ``copies_col``, by the
+    words of the text column. Rows are numbered by writing them; the rounding
+    moves numbers only, and texts meet their copies in one join."""
+    row, copies = unused(docs, "_row", copies_col)
+    x = stored(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
+    sized = x.select(F.col(row).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("words"),
+                     F.xxhash64(text_or_empty(text_col)).alias("text"))
+    taken = mix_sized(sized, "words", weights, most, "id", "source", ["text"]).select(F.col("row").alias(row), F.col("_copies").alias(copies))
+    return x.join(taken, row).select(*docs.columns, copies)
 
 
 def mix_sized(docs: DataFrame, size_col: str, weights: Sequence[int] = WEIGHTS, most: int = MOST, id_col: str = "doc_id",
-              source_col: str = "source") -> DataFrame:
+              source_col: str = "source", tie: Sequence[str] = ()) -> DataFrame:
     """All columns of ``docs`` with _size, _source_size, _target and _copies:
-    the copies of each row that the mix takes, from 0 to ``most``. The input
-    must not have columns of these names or other internal ones (leading _)."""
+    the copies of each row that the mix takes, from 0 to ``most``. ``tie``
+    names columns that tell rows of one id apart. The input must not have
+    columns of these names or other internal ones (leading _)."""
     columns = docs.columns
     x = docs.select(*columns, F.col(size_col).alias("_size"), F.col(source_col).cast("string").alias("_source"))
+    x, _ = ranked(x, [F.col(id_col).isNull(), F.col(id_col), *map(F.col, tie), F.col("_size"), F.col("_source")], "mix-ranks")
     per_source = stored(x.groupBy(F.col("_source").alias("source")).agg(F.sum("_size").alias("source_size"), F.count(F.lit(1)).alias("n")), "source-sizes")
     rows = per_source.agg(F.sum("n")).first()[0] or 0
     targets = source_targets(per_source.select("source", "source_size"), weights, most)
@@ -171,12 +181,12 @@ def mix_sized(docs: DataFrame, size_col: str, weights: Sequence[int] = WEIGHTS,
     x = x.join(targets, x["_source"].eqNullSafe(targets["_key"])).drop("_key")
     wanted = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0))
     chunks = -(-rows // CHUNK_ROWS) or 1
-    h = F.xxhash64(F.col(id_col).isNull(), F.col(id_col), F.lit(SEED))
+    h = F.xxhash64("_rank", F.lit(SEED))
     x = x.withColumn("_wanted", F.least(wanted, F.lit(float(most)))).withColumns({
         "_h": h, "_a": F.col("_size").cast("double"), "_whole": F.floor("_wanted").cast("double"),
         "_chunk": F.pmod(h, F.lit(chunks)).cast("long"),
         "_group": F.xxhash64(F.col("_source").isNull(), F.col("_source"), F.floor(F.log2(F.greatest(F.col("_size"), F.lit(1)))), F.col("_size") == 0),  # source and size class
-    }).withColumn("_p", F.col("_wanted") - F.col("_whole")).drop("_wanted")
+    }).withColumn("_p", F.col("_wanted") - F.col("_whole")).drop("_wanted", "_rank")
     order = ["_chunk", "_group", F.col("_a").desc(), "_h"]
     done, schema = [], T.StructType([f for f in x.schema.fields])
     keep = (F.col("_p") > 0) & (F.col("_p") < 1)

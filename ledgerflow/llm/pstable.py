@@ -206,13 +206,13 @@ def near_duplicates(vectors: DataFrame, cosine: float = COSINE, id_col: str = "v
     x = stored(x.mapInArrow(_bytes_of(kind), "vec_id long, vec binary"), "vectors")
     classes = x.filter("vec IS NOT NULL").groupBy("vec").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("first"))
     # A class goes by a number of its own: null ids have no number to lend.
-    classes = stored(classes.select("vec", "n", "first", F.xxhash64("vec").alias("cls")), "vector-classes")
+    classes = stored(classes.select("vec", "n", "first").withColumn("cls", F.monotonically_increasing_id()), "vector-classes")
     places = stored(classes.select("cls", "vec").mapInArrow(_bucketer(kind), "dim int, tab int, bucket long, cls long"), "buckets")
     shared = places.groupBy("dim", "tab", "bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
     rows = places.join(shared, ["dim", "tab", "bucket"])
     # Blocks of a hot bucket meet two by two; others have one block.
     blocks = F.expr(f"cast((members + {block - 1}) div {block} as int)")
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.col("cls"), F.col("blocks")).cast("int"))
+    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.select("dim", "tab", "bucket", "cls", "block", F.least("block", "other").alias("b1"), F.greatest("block", "other").alias("b2"))
     rows = rows.join(classes.select("cls", "vec", "n"), "cls")

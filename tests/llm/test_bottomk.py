@@ -102,3 +102,23 @@ def test_estimates():
     assert abs(bk.distinct_shingles(a) / 1996 - 1) < 0.3
     empty = bk.sketch(b"")
     assert bk.resemblance(empty, empty) == 1.0 and bk.resemblance(empty, a) == 0.0
+
+
+def test_an_id_on_many_rows_is_cut_by_its_texts(spark, monkeypatch):
+    """A third of the rows share an id, a third have none: chunks stay small
+    and the order is that of one sort."""
+    monkeypatch.setattr(bk, "CHUNK_BYTES", 800)
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"w{i} " * (1 + i % 9)) for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    seen = []
+    at = type(df).repartitionById
+
+    def watch(self, n, *cols):
+        seen.extend(r["count"] for r in self.groupBy("_chunk").count().collect())
+        return at(self, n, *cols)
+    monkeypatch.setattr(type(df), "repartitionById", watch)
+    got = bk.compare_with_next(df).collect()
+    assert len(got) == 600 and max(seen) < 150 and len(seen) > 10
+    order = [(r.doc_id, r.text) for r in df.orderBy(F.col("doc_id").desc_nulls_last(), F.xxhash64("text").desc()).collect()]
+    want = sorted((str(d), len(t), hashlib.sha256((t[:len(t) - len(t) // 2] + order[(i + 1) % 600][1][:len(t) // 2]).encode()).hexdigest()) for i, (d, t) in enumerate(order))
+    assert sorted((str(r.doc_id), r.n_chars, r.edited_sha256) for r in got) == want

@@ -78,3 +78,17 @@ def test_written_shards_hold_all_rows(spark, tmp_path):
     assert back.select(*docs.columns).exceptAll(docs).count() == 0 and back.count() == docs.count()
     sizes = [r["count"] for r in back.groupBy("_shard").count().collect()]
     assert len(sizes) == 8 and max(sizes) - min(sizes) <= 1
+
+
+def test_strings_with_a_common_beginning_fill_many_cells(spark):
+    rows = [(i, f"https://www.example.org/section/{i % 20:02d}") for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, source string")
+    from pyspark.sql import functions as F
+    from pyspark.sql import types as T
+    for few in (hilbert.FEW_VALUES, 3):
+        hilbert.FEW_VALUES, before = few, hilbert.FEW_VALUES
+        x = hilbert.with_number(df, F.col("source"), T.StringType(), "_d0")
+        hilbert.FEW_VALUES = before
+        assert sorted({(r.source, r["_d0"]) for r in x.collect()}) == [(f"https://www.example.org/section/{i:02d}", float(i)) for i in range(20)]
+    got, _ = hilbert.order_along_curve(df, [(F.col("source"), T.StringType())], [F.col("id")])
+    assert len({r["_curve"] for r in got.collect()}) == 20

@@ -72,7 +72,8 @@ def test_query_meets_targets_and_reruns_agree(spark):
 
 
 def mixed(df):
-    x = pivotal.mix(df)
+    x = df.select("doc_id", "source", pivotal.word_count().alias("words"), F.xxhash64("text").alias("text"))
+    x = pivotal.mix_sized(x, "words", tie=["text"])
     return x.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
                     (F.col("_copies") * F.col("_size")).alias("taken"))
 
@@ -95,11 +96,27 @@ def test_odd_rows(spark):
 
 def test_empty_table_and_no_words(spark):
     assert pivotal.mix(empty_docs(spark)).collect() == []
+    both = odd_docs(spark).withColumn("_row", F.lit(1)).withColumn("_copies", F.lit("x"))
+    out = pivotal.mix(both, copies_col="_copies")
+    assert out.columns == [*both.columns, "_copies_"] and out.count() == both.count()
     df = spark.createDataFrame([(1, None, "a"), (2, "", "b"), (3, " ", None)], "doc_id long, text string, source string")
     rows = mixed(df).collect()
     assert len(rows) == 3 and all(r.taken == 0 and r.target == 0.0 for r in rows)
 
 
+def test_rows_without_an_id_spread_over_chunks_and_reruns_agree(spark, monkeypatch):
+    """A third of the rows have no id, a third share one."""
+    monkeypatch.setattr(pivotal, "CHUNK_ROWS", 50)
+    rng = random.Random(2)
+    rows = [(None if i % 3 == 0 else 5 if i % 3 == 1 else i, f"t{i} " * rng.randint(1, 60), f"s{i % 4}") for i in range(1500)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    chunks = pivotal.mix_sized(df.select("doc_id", "source", pivotal.word_count().alias("words")), "words")
+    check(chunks.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
+                        (F.col("_copies") * F.col("_size")).alias("taken")).collect(), rows, within=0.02)
+    one, other = (sorted((r.text, r["_copies"]) for r in pivotal.mix(df.repartition(n)).select("text", "_copies").collect()) for n in (1, 7))
+    assert one == other
+
+
 def test_targets_with_caps(spark):
     sizes = {"a": 10, "b": 1000, "c": 5, "d": 0, "e": 70, None: 3000}
     df = spark.createDataFrame([(s, n) for s, n in sizes.items()], "source string, source_size long")
