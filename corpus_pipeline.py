@@ -25,29 +25,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerflow.llm import bestfit, guesscost, lexicon, pivotal, simhash
-from ledgerflow.llm.common import prepare, stored, table
+from ledgerflow.llm.common import prepare, stored, table, unused
 from ledgerflow.llm.queries import tokenizer_path
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     model = lexicon.fit(docs, table(spark, sf_dir, "labels"))
-    return docs.withColumn("_score", lexicon.score_column(model)).filter("_score < 0.5").drop("_score")
+    (score,) = unused(docs, "_score")
+    return docs.withColumn(score, lexicon.score_column(model)).filter(F.col(score) < 0.5).drop(score)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
     # Rows get a number of their own, fixed by writing it: ids may repeat or be missing.
-    x = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    groups = simhash.near_duplicates(x, id_col="_row").select(F.col("doc_id").alias("_member"), F.col("component_id").alias("_group"))
-    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("_row"))
-    lead = x.select("doc_id", "_row").join(groups, F.col("_row") == F.col("_member")).groupBy("_group").agg(F.min(rank)["_row"].alias("_lead"))
-    return x.join(lead, x["_row"] == lead["_lead"], "left_semi").select(*docs.columns)
+    (row,) = unused(docs, "_row")
+    x = stored(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = simhash.near_duplicates(x, id_col=row).select(F.col("doc_id").alias("row"), F.col("component_id").alias("group"))
+    rank = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row"))
+    lead = x.select("doc_id", F.col(row).alias("row")).join(groups, "row").groupBy("group").agg(F.min(rank)["row"].alias("lead"))
+    return x.join(lead, x[row] == lead["lead"], "left_semi").select(*docs.columns)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    out = docs.withColumn("text", guesscost.redacted_column())
+    out = docs.withColumn("text", guesscost.redacted_column(words=guesscost.learn_words(docs)))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text")).cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
@@ -55,8 +57,9 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
-    x = pivotal.mix(docs).filter("_copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
-    return x.select(*docs.columns)
+    copies, copy = unused(docs, "_copies", "_copy")
+    x = pivotal.mix(docs, copies_col=copies).filter(F.col(copies) > 0)
+    return x.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int")))).select(*docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
