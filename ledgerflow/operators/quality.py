@@ -12,10 +12,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import keep
 from ..sources.tables import contract_violations
 
 
@@ -205,6 +206,31 @@ def dq_trend(daily: DataFrame, day: str, rate: str, lookback: int = 7, factor: f
     return j.withColumn("alert", F.coalesce(F.col(rate) > F.col("trailing_mean") * factor, F.lit(False)))
 
 
+def drift(df: DataFrame, batch: Column, buckets: dict[str, Column], limit: float = 0.1) -> DataFrame:
+    """(batch, column_name, n_rows, n_before, distance, alert): how far the
+    distribution of each bucketed column lies from that of the batch before,
+    as total variation (0 equal, 1 disjoint), an exact ratio of counts. The
+    first batch has no distance. Rows are counted per batch, column and bucket
+    in every task before they move; a NULL bucket is one of its own."""
+    cols = F.explode(F.array(*[F.struct(F.lit(n).alias("column_name"), c.cast("string").alias("bucket")) for n, c in buckets.items()]))
+    per = df.select(batch.alias("batch"), cols.alias("_x")).groupBy("batch", "_x.column_name", "_x.bucket").agg(F.count(F.lit(1)).alias("n"))
+    per = keep(per, "dq10-counts")
+    total = per.groupBy("batch", "column_name").agg(F.sum("n").alias("n_rows"))
+    # A row per batch and column: few, whatever the data.
+    order = Window.partitionBy("column_name").orderBy("batch")
+    total = total.withColumn("n_before", F.lag("n_rows").over(order)).withColumn("next", F.lead("batch").over(order))
+    after = per.join(total.select("batch", "column_name", "next"), ["batch", "column_name"]).filter("next is not null")
+    zero = F.lit(0).cast("bigint")
+    both = per.select("batch", "column_name", "bucket", F.col("n").alias("here"), zero.alias("before")).unionByName(
+        after.select(F.col("next").alias("batch"), "column_name", "bucket", zero.alias("here"), F.col("n").alias("before")))
+    both = both.groupBy("batch", "column_name", "bucket").agg(F.sum("here").alias("here"), F.sum("before").alias("before"))
+    wide = lambda c: F.col(c).cast("decimal(18,0)")
+    apart = both.join(total.drop("next"), ["batch", "column_name"]).groupBy("batch", "column_name").agg(
+        F.max("n_rows").alias("n_rows"), F.max("n_before").alias("n_before"), F.sum(F.abs(wide("here") * wide("n_before") - wide("before") * wide("n_rows"))).alias("gap"))
+    distance = F.col("gap").cast("double") / (2 * wide("n_rows") * wide("n_before")).cast("double")
+    return apart.select("batch", "column_name", "n_rows", "n_before", distance.alias("distance"), F.coalesce(distance > limit, F.lit(False)).alias("alert"))
+
+
 # --- DQ-11 -------------------------------------------------------------------
 def _violating(df: DataFrame, name: str, problem: str, expected: T.StructType) -> Column:
     """Rows a schema finding affects, as one aggregate expression."""

@@ -34,7 +34,7 @@ def register(name: str, oracle: str | None = None):
 
 def _load_modules() -> None:
     # Importing the modules fills QUERIES / ORACLE.
-    from . import q_business, q_relational, q_quality, q_dedup, q_model, q_io, q_stream  # noqa: F401
+    from . import q_business, q_relational, q_quality, q_dedup, q_model, q_io, q_stream, q_flows  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

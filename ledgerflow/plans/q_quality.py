@@ -221,6 +221,30 @@ def dq10_rule_trend(spark, sf):
                     F.coalesce(F.round("failed_rate", 6) > mean * 1.5, F.lit(False)).alias("alert"))
 
 
+@register("dq10_drift", """
+WITH c AS (
+  SELECT CAST(date_trunc('week', ts) AS DATE) AS batch, 'event_type' AS column_name, event_type AS bucket, COUNT(*) AS n FROM events GROUP BY 1, 3
+  UNION ALL
+  SELECT CAST(date_trunc('week', ts) AS DATE), 'value', CAST(CAST(floor(value / 20) AS BIGINT) AS VARCHAR), COUNT(*) FROM events GROUP BY 1, 3),
+t AS (SELECT batch, column_name, SUM(n) AS n_rows, lag(SUM(n)) OVER w AS n_before, lag(batch) OVER w AS prior
+      FROM c GROUP BY batch, column_name WINDOW w AS (PARTITION BY column_name ORDER BY batch)),
+b AS (SELECT t.batch, t.column_name, k.bucket FROM t JOIN c k ON k.column_name = t.column_name AND k.batch IN (t.batch, t.prior) GROUP BY ALL),
+g AS (
+  SELECT t.batch, t.column_name, t.n_rows, t.n_before, SUM(abs(coalesce(x.n, 0) * t.n_before - coalesce(y.n, 0) * t.n_rows)) AS gap
+  FROM t JOIN b ON b.batch = t.batch AND b.column_name = t.column_name
+  LEFT JOIN c x ON x.batch = t.batch AND x.column_name = b.column_name AND x.bucket = b.bucket
+  LEFT JOIN c y ON y.batch = t.prior AND y.column_name = b.column_name AND y.bucket = b.bucket GROUP BY ALL)
+SELECT batch, column_name, CAST(n_rows AS BIGINT) AS n_rows, CAST(n_before AS BIGINT) AS n_before,
+       CAST(gap AS DOUBLE) / CAST(2 * n_rows * n_before AS DOUBLE) AS distance,
+       coalesce(CAST(gap AS DOUBLE) / CAST(2 * n_rows * n_before AS DOUBLE) > 0.05, FALSE) AS alert
+FROM g
+""")
+def dq10_drift(spark, sf):
+    """Distribution of event types and values, each week against the one before."""
+    e = _t(spark, sf, "events")
+    return dq.drift(e, F.date_trunc("week", "ts").cast("date"), {"event_type": F.col("event_type"), "value": F.floor(F.col("value") / 20).cast("bigint")}, 0.05)
+
+
 _FEED_LIMITS = {"in_range": 0.05, "not_null": 0.0, "pattern": 0.0}
 
 

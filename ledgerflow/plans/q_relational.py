@@ -332,6 +332,17 @@ def ag7_percentiles(spark, sf):
     return r.select("o_orderpriority", F.round("p50", 4).alias("p50"), F.round("p90", 4).alias("p90"))
 
 
+@register("ag7_by_brackets", """
+SELECT l_returnflag, quantile_cont(CAST(round(l_extendedprice * 100) AS BIGINT), 0.05) AS p5, quantile_cont(CAST(round(l_extendedprice * 100) AS BIGINT), 0.5) AS p50,
+       quantile_cont(CAST(round(l_extendedprice * 100) AS BIGINT), 0.99) AS p99
+FROM lineitem GROUP BY 1
+""")
+def ag7_by_brackets(spark, sf):
+    """Exact percentiles of line prices in cents, by narrowing brackets."""
+    li = _t(spark, sf, "lineitem").select("l_returnflag", F.round(F.col("l_extendedprice") * 100).cast("bigint").alias("cents"))
+    return ag.percentiles_by_brackets(li, ["l_returnflag"], "cents", [0.05, 0.5, 0.99], ["p5", "p50", "p99"], bracket_rows=2000)
+
+
 # --- SQ (Spark SQL over the contract-checked tables) ---------------------------
 _SQ1 = """
 SELECT o_orderkey, o_totalprice FROM orders
