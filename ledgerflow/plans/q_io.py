@@ -12,7 +12,7 @@ from ..functions import scalar as sc
 from ..operators import quality as dq
 from ..session import scratch_path
 from ..sinks import writes as wr
-from ..sources.files import flatten_json, read_delimited
+from ..sources.files import flatten_json, payload_keys, read_delimited
 from ..sources.tables import load
 from .catalog import register
 
@@ -60,6 +60,28 @@ def src3_flatten_json(spark, sf):
     return flatten_json(e, "props", "k int, absent string")
 
 
+# Payloads as several senders write them, the same text in both engines.
+_PAYLOAD_SQL = """CASE WHEN event_id % 10 = 9 THEN 'k=' || CAST(event_id AS {text}) WHEN event_type = 'error' THEN '{{"k": "' || CAST(event_id AS {text}) || '"}}'
+  WHEN event_type = 'signup' THEN '{{"k": ' || CAST(event_id AS {text}) || ', "ref": "r", "tags": [1]}}' WHEN event_type = 'purchase' THEN '{{"k": ' || CAST(event_id AS {text}) || '.5, "price": 3}}'
+  WHEN event_id % 10 = 8 THEN '{{"k": null}}' ELSE props END"""
+
+
+@register("src3_payload_keys", f"""
+WITH p AS (SELECT {_PAYLOAD_SQL.format(text="VARCHAR")} AS p FROM events),
+k AS (SELECT p, unnest(CASE WHEN json_valid(p) THEN json_keys(p) ELSE [NULL] END) AS key FROM p),
+t AS (SELECT key, CASE WHEN key IS NULL THEN 'malformed' ELSE json_type(p, '$.' || key) END AS t FROM k)
+SELECT key, CASE WHEN t IN ('UBIGINT', 'BIGINT') THEN 'integer' WHEN t = 'DOUBLE' THEN 'decimal' WHEN t = 'VARCHAR' THEN 'string' ELSE lower(t) END AS kind, COUNT(*) AS n_rows,
+       CASE WHEN key IS NULL THEN 'malformed' WHEN key = 'k' THEN CASE WHEN t IN ('UBIGINT', 'BIGINT', 'NULL') THEN 'ok' ELSE 'conflict' END
+            WHEN key = 'price' THEN 'ok' ELSE 'unknown' END AS status
+FROM t GROUP BY ALL
+""")
+def src3_payload_keys(spark, sf):
+    """Keys of event payloads against a declared schema: fitting, conflicting,
+    unknown and malformed ones."""
+    e = _t(spark, sf, "events").select(F.expr(_PAYLOAD_SQL.format(text="STRING")).alias("p"))
+    return payload_keys(e, "p", "k int, price double")
+
+
 @register("snk1_partition_overwrite", """
 SELECT strftime(o_orderdate, '%Y-%m') AS ym, COUNT(*) AS n,
        CAST(SUM(CASE WHEN year(o_orderdate) = 1997 THEN 2 * CAST(o_totalprice AS DECIMAL(18,2))

@@ -14,7 +14,7 @@ from ledgerflow.operators import quality as dq
 from ledgerflow.session import scratch_path
 from ledgerflow.sinks import writes as wr
 from ledgerflow.sources import tables
-from ledgerflow.sources.files import flatten_json, read_delimited
+from ledgerflow.sources.files import flatten_json, payload_keys, read_delimited
 from ledgerflow.sources.tables import SCHEMAS, SchemaContractError, load
 from ledgerflow.streaming import streams as st
 from tests.conftest import SF_SMALL
@@ -45,6 +45,14 @@ def test_flatten_json_absent_key_and_garbage(spark):
     assert got == {1: 3, 2: None, 3: None}
 
 
+def test_payload_keys_report_unknown_and_conflicting_ones(spark):
+    rows = ['{"k": 1, "z": "a"}', '{"k": "x"}', "bad", "[1]", '{"k": 1.5, "n": null, "o": {"a": 1}}', None, "{}", '{"K": true}']
+    df = spark.createDataFrame([(r,) for r in rows], "p string")
+    got = {(r.key, r.kind): (r.n_rows, r.status) for r in payload_keys(df, "p", "k int, o struct<a:int>, n double").collect()}
+    assert got == {("k", "integer"): (1, "ok"), ("k", "string"): (1, "conflict"), ("k", "decimal"): (1, "conflict"), ("z", "string"): (1, "unknown"),
+                   ("n", "null"): (1, "ok"), ("o", "object"): (1, "ok"), ("K", "boolean"): (1, "unknown"), (None, "malformed"): (2, "malformed")}
+
+
 def test_safe_div_and_get_or(spark):
     df = spark.createDataFrame([(1.0, 0.0, '{"a": 1}'), (1.0, None, None), (6.0, 3.0, "{}")], "a double, b double, j string")
     r = df.select(sc.safe_div("a", "b").alias("q"), sc.get_or("j", "a", "9").alias("v")).collect()
