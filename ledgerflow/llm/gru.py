@@ -41,13 +41,13 @@ row; without training rows all words are unseen; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import groupby, repeat
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -65,10 +65,10 @@ SMOOTH = 0.1
 SEED = 2
 PART_TOKENS = 4_000_000
 GRAIN = 1 << 14
-#: Tokens laid out at once in training and in scoring, and distinct words a
-#: task counts before it hands them on.
-HELD_TOKENS, SCORED_TOKENS = 2_000_000, 4_000_000
-HELD_WORDS = 300_000
+#: Tokens laid out at once in training and in scoring, and counted together;
+#: words in a batch of counts.
+HELD_TOKENS, SCORED_TOKENS, COUNTED_TOKENS = 2_000_000, 4_000_000, 5_000_000
+COUNTED_ROWS = 50_000
 SCORE_LANES, SCORE_WINDOW = 1024, 16
 #: Tokens whose probabilities are computed together when scoring.
 OUTPUT_ROWS = 16_384
@@ -461,19 +461,24 @@ def log10_of(net: Network, documents: list[np.ndarray], start: int) -> np.ndarra
 
 
 def _counter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: Counter = Counter()
+    held: list[pa.Array] = []
 
-    def flush() -> pa.RecordBatch:
-        counts.pop(END, None)
-        return pa.record_batch([pa.array(list(counts), pa.binary()).cast(pa.string()), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+    def flush() -> Iterator[pa.RecordBatch]:
+        found = pa.concat_arrays(held).dictionary_encode() if held else pa.array([], pa.binary()).dictionary_encode()
+        held.clear()
+        words, n = found.dictionary, np.bincount(found.indices.to_numpy(zero_copy_only=False), minlength=len(found.dictionary))
+        for i in range(0, len(words), COUNTED_ROWS):
+            cut = words.slice(i, COUNTED_ROWS)
+            some = pc.not_equal(cut, pa.scalar(END, pa.binary()))
+            yield pa.record_batch([cut.filter(some).cast(pa.string()), pa.array(n[i:i + COUNTED_ROWS]).filter(some)], names=["word", "n"])
+    tokens = 0
     for b in batches:
-        found = split_words(b.column(b.schema.get_field_index("text")), _FOLD_BYTES, END, False).value_counts()
-        for w, n in zip(found.field("values").to_pylist(), found.field("counts").to_pylist()):
-            counts[w] += n
-        if len(counts) > HELD_WORDS:
-            yield flush()
-            counts.clear()
-    yield flush()
+        held.append(split_words(b.column(b.schema.get_field_index("text")), _FOLD_BYTES, END, False))
+        tokens += len(held[-1])
+        if tokens >= COUNTED_TOKENS:
+            yield from flush()
+            tokens = 0
+    yield from flush()
 
 
 def word_counts(texts: DataFrame) -> DataFrame:
@@ -537,7 +542,7 @@ def train(encoded: DataFrame, vocabulary: Vocabulary, tokens: int, rounds: int =
     h = F.xxhash64("doc_id", "slots", F.lit(SEED))
     dealt = encoded.select("slots", h.alias("h"), F.pmod(h, F.lit(rounds)).alias("part"), F.pmod(F.shiftright(h, 16), F.lit(parts)).alias("g"))
     for k in range(rounds):
-        x = dealt.filter(F.col("part") == k).select("g", "h", "slots").repartition(parts, "g").sortWithinPartitions("g", "h", "slots").select("g", "slots")
+        x = dealt.filter(F.col("part") == k).select("g", "h", "slots").repartitionById(parts, F.col("g").cast("int")).sortWithinPartitions("g", "h", "slots").select("g", "slots")
         x = x.mapInArrow(_trainer(vocabulary, flat), "i int, v long")
         sums = x.groupBy("i").agg(F.sum(F.col("v").cast("decimal(20,0)")).cast("double").alias("v")).toArrow()  # one row per parameter
         if not sums.num_rows:
@@ -559,9 +564,10 @@ def encode(x: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             e = vocabulary.encode(b.column(2))
-            slots = [e.of(i).astype("<u2").tobytes() for i in range(b.num_rows)]
-            yield pa.record_batch([b.column(0), b.column(1), *(pa.array(c, f.type) for c, f in zip(
-                (slots, e.stops - e.starts, e.known, e.base, e.within, e.tails), list(schema)[2:]))], schema=schema)
+            at = np.append(e.starts, e.stops[-1:]).astype(np.int32) * 2 if b.num_rows else np.zeros(1, np.int32)
+            slots = pa.Array.from_buffers(pa.binary(), b.num_rows, [None, pa.py_buffer(at), pa.py_buffer(e.slots.astype("<u2"))])
+            yield pa.record_batch([b.column(0), b.column(1), slots, *(pa.array(c, f.type) for c, f in zip(
+                (e.stops - e.starts, e.known, e.base, e.within, e.tails), list(schema)[3:]))], schema=schema)
     kinds = "doc_id long, held_out boolean, slots binary, n_tokens long, known long, base double, within double, tail array<string>"
     return x.select("doc_id", "held_out", "text").mapInArrow(run, kinds)
 
