@@ -1,10 +1,5 @@
-"""Joins and grain (JN-1..8) plus the size-checked broadcast every other
-module uses.
-
-Broadcasting is only done behind a row-count check; above the limit the
-frame is returned unchanged and Spark plans a shuffle join, with AQE free to
-switch to a broadcast or split skewed partitions at run time.
-"""
+"""Joins and grain (JN-1..8). No side is broadcast by hint: Spark chooses by
+size, AQE at run time."""
 
 from __future__ import annotations
 
@@ -13,19 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A side is broadcast only below this many rows (configurable per call).
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only after proving it holds at most ``max_rows`` rows.
-
-    The proof is ``limit(max_rows + 1).count()``: it stops reading as soon as
-    the bound is exceeded, so the check itself is bounded work.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def _keys(on) -> list[str]:
     return [on] if isinstance(on, str) else list(on)
