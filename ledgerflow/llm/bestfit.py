@@ -4,14 +4,15 @@ Documents become pieces of at most ``capacity`` tokens; pieces are packed
 into sequences of at most ``capacity`` tokens, in as few as best-fit
 decreasing needs.
 
-Method. Pieces are range-sorted by length: all pieces of one length form an
+Method. All pieces of one length form an
 interval of ranks (the rank of a piece among its length is found on the
-executors from per-partition counts). Gaps, the open sequences, are kept
+executors from per-partition counts). The matching itself is a loop on the
+driver over the histogram of lengths, not a distributed sweep. Gaps, the open sequences, are kept
 sorted by room left, as runs of sequences with equal room. A round takes the
-longest length not yet placed and sweeps the gaps upward from its successor,
+longest length not yet placed and goes through the gaps upward from its successor,
 the smallest room that holds it: the k-th piece goes to the k-th sequence of
 the run (conflicts are settled by rank, in bulk), the run's room is updated
-and moves down the order, and the sweep repeats until the length is placed
+and moves down the order, and so on until the length is placed
 or no gap is left, when new sequences open. Pieces of one length and gaps of
 equal room are interchangeable, so a round moves whole rank intervals: its
 state has at most ``capacity`` lengths and three runs a length, whatever

@@ -29,6 +29,8 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import keep
+
 FD = tuple[frozenset, str]
 
 #: Rows of the first sample, at most, and rows that one refuted left side adds.
@@ -150,6 +152,30 @@ def discover(df: DataFrame, columns: Sequence[str] | None = None, max_left: int
                 rows += _evidence(df, x, a, columns, EVIDENCE_GROUPS)
 
 
+# --- inclusion: which columns refer to which ----------------------------------
+def inclusions(tables: dict[str, tuple[DataFrame, Sequence[str]]]) -> DataFrame:
+    """(column, refers_to, n_values, n_target): all pairs of different columns
+    whose values, NULL aside, are all found in the other (candidates for foreign
+    keys of an unknown database). Pass columns that may be compared; values
+    are compared as text.
+
+    Each value is shuffled once per column that has it. Values that occur in the same set of columns
+    are then counted together, so pairs are formed from sets of columns, of
+    which there are few, never from values (the test of Bauckmann et al., ICDE
+    2007, as two aggregates)."""
+    names = [f"{t}.{c}" for t, (_, cols) in tables.items() for c in cols]
+    parts = [df.select(F.lit(names.index(f"{t}.{c}")).alias("at"), F.col(c).cast("string").alias("v")).filter("v is not null").distinct()
+             for t, (df, cols) in tables.items() for c in cols]
+    sets = reduce(DataFrame.unionByName, parts).groupBy("v").agg(F.array_sort(F.collect_set("at")).alias("s"))  # one entry per column
+    sets = keep(sets.groupBy("s").agg(F.count(F.lit(1)).alias("n")), "inclusion-sets")
+    each = sets.select("s", "n", F.explode("s").alias("a"))
+    size = each.groupBy("a").agg(F.sum("n").alias("n"))
+    shared = each.select("n", "a", F.explode("s").alias("b")).filter("a <> b").groupBy("a", "b").agg(F.sum("n").alias("shared"))
+    x = shared.join(size, "a").filter("shared = n").join(size.toDF("b", "m"), "b")
+    name = F.array(*[F.lit(n) for n in names])
+    return x.select(F.get(name, F.col("a")).alias("column"), F.get(name, F.col("b")).alias("refers_to"), F.col("n").alias("n_values"), F.col("m").alias("n_target"))
+
+
 # --- cover and synthesis: sets of column names only -----------------------------
 def closure(columns: Iterable[str], fds: Iterable[FD]) -> frozenset:
     """All columns that ``columns`` decide."""

@@ -136,6 +136,21 @@ def nf3_synthesize(spark, sf):
     return out
 
 
+_KEY_COLUMNS = {"region": ["r_regionkey"], "nation": ["n_nationkey", "n_regionkey"], "customer": ["c_custkey", "c_nationkey"], "supplier": ["s_suppkey", "s_nationkey"],
+                "part": ["p_partkey"], "orders": ["o_orderkey", "o_custkey"], "lineitem": ["l_orderkey", "l_partkey", "l_suppkey"],
+                "documents": ["doc_id"], "labels": ["doc_id"]}
+_ALL_KEYS = [(t, c) for t, cols in _KEY_COLUMNS.items() for c in cols]
+
+
+@register("dq6_inclusions", "\nUNION ALL\n".join(
+    f"SELECT '{t}.{c}' AS \"column\", '{u}.{d}' AS refers_to, (SELECT COUNT(DISTINCT {c}) FROM {t}) AS n_values, (SELECT COUNT(DISTINCT {d}) FROM {u}) AS n_target "
+    f"WHERE NOT EXISTS (SELECT {c} FROM {t} WHERE {c} IS NOT NULL EXCEPT SELECT {d} FROM {u})"
+    for t, c in _ALL_KEYS for u, d in _ALL_KEYS if (t, c) != (u, d)))
+def dq6_inclusions(spark, sf):
+    """Which key columns refer to which, found from the values of all tables."""
+    return fd.inclusions({t: (_t(spark, sf, t), cols) for t, cols in _KEY_COLUMNS.items()})
+
+
 _KEY_SETS = [["l_orderkey"], ["l_orderkey", "l_linenumber"], ["l_orderkey", "l_linenumber", "l_partkey"],
              ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]]
 

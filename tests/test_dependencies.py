@@ -95,3 +95,16 @@ def test_null_and_repeated_keys_refuse_the_proof(spark):
     assert [tuple(r) for r in nf.lossless_by_keys(nf.decompose(ok, {"line": ["line", "cust"], "cust": ["cust", "name"]}), order).collect()] == [("cust", 2, 0, 0)]
     twice = wide.withColumn("cust", F.lit(10))
     assert [tuple(r) for r in nf.lossless_by_keys(nf.decompose(twice, {"line": ["line", "cust"], "cust": ["cust", "name"]}), order).collect()] == [("cust", 3, 1, 0)]
+
+
+def test_inclusions_match_brute_force(spark):
+    rnd = random.Random(4)
+    values = {"a.x": [rnd.randrange(50) for _ in range(300)], "a.y": [rnd.randrange(20) for _ in range(300)], "b.k": list(range(50)) * 2, "b.m": [None] * 100,
+              "c.z": [str(rnd.randrange(60)) for _ in range(40)], "c.w": [None, "3"] * 20}
+    frame = lambda t, kind: spark.createDataFrame(list(zip(*(v for n, v in values.items() if n[0] == t))), ", ".join(f"{n[2]} {kind}" for n in values if n[0] == t))
+    got = {(r.column, r.refers_to): (r.n_values, r.n_target) for r in fd.inclusions(
+        {"a": (frame("a", "int"), ["x", "y"]), "b": (frame("b", "bigint"), ["k", "m"]), "c": (frame("c", "string"), ["z", "w"])}).collect()}
+    sets = {n: {str(x) for x in v if x is not None} for n, v in values.items()}
+    # A column without values refers to nothing.
+    assert got == {(p, q): (len(sets[p]), len(sets[q])) for p in sets for q in sets if p != q and sets[p] and sets[p] <= sets[q]}
+    assert ("a.y", "b.k") in got and ("c.w", "a.x") in got
