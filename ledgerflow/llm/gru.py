@@ -67,7 +67,7 @@ PART_TOKENS = 4_000_000
 GRAIN = 1 << 14
 #: Tokens laid out at once in training and in scoring, and counted together;
 #: words in a batch of counts.
-HELD_TOKENS, SCORED_TOKENS, COUNTED_TOKENS = 2_000_000, 4_000_000, 5_000_000
+HELD_TOKENS, SCORED_TOKENS, COUNTED_TOKENS = 2_000_000, 8_000_000, 2_000_000
 COUNTED_ROWS = 50_000
 SCORE_LANES, SCORE_WINDOW = 1024, 16
 #: Tokens whose probabilities are computed together when scoring.
@@ -429,7 +429,8 @@ def log10_of(net: Network, documents: list[np.ndarray], start: int) -> np.ndarra
     doc = np.repeat(np.array(dealt, dtype=np.int32), sizes)
     fresh = np.zeros(len(y), dtype=bool)
     fresh[np.cumsum(sizes) - sizes] = True
-    x = np.concatenate([[start], y[:-1]]).astype(np.int32)
+    x = np.empty(len(y), np.int32)
+    x[1:] = y[:-1]
     x[fresh] = start
     length = np.array(sorted(loads, reverse=True))
     first = np.cumsum(length) - length
