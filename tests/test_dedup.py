@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import dedup
@@ -118,6 +119,33 @@ def test_finer_cuts_match_brute_force_at_every_group_size(spark):
         assert got == want
 
 
+def test_keys_leave_a_task_in_bounded_batches():
+    # One Arrow batch of 300 texts, some 600 probes each.
+    texts = _templated(300)
+    probes = dedup._Cut(3, 0.25, True).probes
+    batch = pa.record_batch([pa.array(range(300), pa.int64()), pa.array(texts)], names=["id", "t"])
+    got = list(dedup._key_batches([batch], probes, "sid", at_once=2000))
+    each = [len(probes(t)[0]) for t in texts]
+    assert max(b.num_rows for b in got) < 2000 + max(each) < sum(each) / 10
+    ids = [x for b in got for x in b.column(3).to_pylist()]
+    assert ids == [x for x, n in enumerate(each) for _ in range(n)]
+
+
+def test_probes_that_no_index_has_are_dropped_before_the_shuffle(spark):
+    cut = dedup._Cut(3, 0.25, False)
+    rng = random.Random(4)
+    texts = ["".join(rng.choice("abcdefghij") for _ in range(60)) for _ in range(400)]
+    texts += [t[:30] + "z" + t[31:] for t in texts[:20]]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    index = dedup._keys(df, cut.index, "rid").localCheckpoint()
+    every = dedup._keys(df, cut.probes, "sid")
+    some = dedup._keys(df, cut.probes, "sid", dedup._Filter(index))
+    on = ["l", "i", "h"]
+    found = [sorted(tuple(r) for r in index.join(p, on).select("rid", "sid", "i").collect()) for p in (every, some)]
+    assert found[0] == found[1] and len(found[0]) > len(texts) * 4
+    assert some.count() < 1.5 * every.join(index.select(on).distinct(), on, "left_semi").count() < every.count() / 3
+
+
 def test_components_match_union_find(spark):
     rnd = random.Random(5)
     nodes = list(range(400))
