@@ -30,9 +30,25 @@ def check_fd(df: DataFrame, x: Sequence[str], y: Sequence[str]) -> DataFrame:
 
 
 # --- NF-3 --------------------------------------------------------------------
-def decompose(wide: DataFrame, spec: dict[str, Sequence[str]]) -> dict[str, DataFrame]:
-    """Project ``wide`` onto each table's columns (distinct rows)."""
-    return {name: wide.select(*cols).distinct() for name, cols in spec.items()}
+#: Distinct rows that a task holds, about, however many there are in all.
+ROWS_AT_ONCE = 250_000
+
+
+def decompose(wide: DataFrame, spec: dict[str, Sequence[str]], keys: dict[str, Sequence[str]] | None = None) -> dict[str, DataFrame]:
+    """Project ``wide``, a written table, onto each table's columns (distinct
+    rows). A table of many distinct rows is dealt over tasks in proportion to
+    these, by its columns or by its key, if known: left to itself, Spark deals it over the
+    cores by its small shuffled bytes, and a task's hash map grows with the
+    input. Other tables are combined before they move."""
+    keys = keys or {}
+    n = wide.agg(*[F.approx_count_distinct(F.xxhash64(*cols)).alias(f"n{i}") for i, cols in enumerate(spec.values())]).first()
+    out = {}
+    for i, (name, cols) in enumerate(spec.items()):
+        x, tasks = wide.select(*cols), -(-n[f"n{i}"] // ROWS_AT_ONCE)
+        if tasks > wide.sparkSession.sparkContext.defaultParallelism:
+            x = x.repartition(tasks, *keys.get(name, cols))
+        out[name] = x.distinct()
+    return out
 
 
 def lossless_check(wide: DataFrame, parts: dict[str, DataFrame], join_order: Sequence[tuple[str, Sequence[str]]],
@@ -69,6 +85,14 @@ def lossless_by_keys(parts: dict[str, DataFrame], join_order: Sequence[tuple[str
     return out
 
 
+def key_counts(part: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(n_rows, repeated_keys) of one part's distinct rows: all rows, and
+    those beyond the first of their key; none if the key is all columns."""
+    per_key = part.select(F.lit(1).alias("_n")) if set(key) == set(part.columns) else part.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    return per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"),
+                       F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("repeated_keys"))
+
+
 # --- NF-4 --------------------------------------------------------------------
 def candidate_keys(df: DataFrame, sets: Sequence[Sequence[str]]) -> DataFrame:
     """(key_set, n_distinct, n_rows, is_key) for each column set: one pruned

@@ -81,11 +81,15 @@ def nf3_decompose(spark, sf):
     return proof.select("part", "n_rows").unionByName(line).unionByName(w).unionByName(lost)
 
 
+#: Rows to a file of the wide table, so that no scan task sorts or hashes many millions.
+WIDE_FILE_ROWS = 50_000
+
+
 def _wide(spark, sf):
     """Lines with their order and customer, written once; every part then
     scans only its own columns."""
     li, o, c = _t(spark, sf, "lineitem"), _t(spark, sf, "orders"), _t(spark, sf, "customer")
-    return keep(li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey).select(*_WIDE_COLS), "nf3-wide")
+    return keep(li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey).select(*_WIDE_COLS), "nf3-wide", WIDE_FILE_ROWS)
 
 
 _WIDE_SQL = f"""SELECT {', '.join(_WIDE_COLS)} FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"""
@@ -126,11 +130,11 @@ def nf3_synthesize(spark, sf):
     """The line, order and customer tables found from the wide rows alone:
     dependencies discovered, covered, synthesised, and each part's key proven."""
     wide = _wide(spark, sf)
-    parts = fd.synthesize(_WIDE_COLS, fd.discover(wide, _WIDE_COLS))
+    found = fd.synthesize(_WIDE_COLS, fd.discover(wide, _WIDE_COLS))
+    parts = nf.decompose(wide, {i: cols for i, (_, cols) in enumerate(found)}, {i: key for i, (key, _) in enumerate(found)})
     out = None
-    for key, cols in parts:
-        per_key = wide.select(*cols).distinct().groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-        one = per_key.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("n_rows"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("repeated_keys"))
+    for i, (key, cols) in enumerate(found):
+        one = nf.key_counts(parts[i], key)
         one = one.select(F.lit(",".join(key)).alias("key"), F.lit(",".join(cols)).alias("columns"), "n_rows", "repeated_keys")
         out = one if out is None else out.unionByName(one)
     return out

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerflow.operators import dependencies as fd
 from ledgerflow.operators import model as nf
+from ledgerflow.session import keep
 
 
 def brute(rows, columns, max_left):
@@ -97,6 +98,25 @@ def test_null_and_repeated_keys_refuse_the_proof(spark):
     assert [tuple(r) for r in nf.lossless_by_keys(nf.decompose(twice, {"line": ["line", "cust"], "cust": ["cust", "name"]}), order).collect()] == [("cust", 3, 1, 0)]
 
 
+def test_parts_of_many_rows_are_dealt_over_tasks_in_proportion(spark):
+    wide = spark.createDataFrame([(i, i % 7, None if i % 7 == 3 else "n%d" % (i % 7)) for i in range(3000)] * 2, "line int, cust int, name string").localCheckpoint()
+    most, nf.ROWS_AT_ONCE = nf.ROWS_AT_ONCE, 100
+    try:
+        parts = nf.decompose(wide, {"line": ["line", "cust"], "cust": ["cust", "name"]}, {"line": ["line"]})
+    finally:
+        nf.ROWS_AT_ONCE = most
+    held = parts["line"].groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(held) > 20 and max(r["count"] for r in held) < 250
+    assert [tuple(nf.key_counts(parts["line"], k).first()) for k in (["line"], ["line", "cust"], ["cust"])] == [(3000, 0), (3000, 0), (3000, 2993)]
+    assert tuple(nf.key_counts(parts["cust"], ["cust"]).first()) == (7, 0)
+    assert tuple(nf.key_counts(parts["cust"].limit(0), ["cust"]).first()) == (0, 0)
+
+
+def test_kept_rows_are_written_in_bounded_files(spark):
+    kept = keep(spark.range(0, 1000, 1, 2), "few-to-a-file", 100)
+    assert len(kept.inputFiles()) >= 10 and kept.count() == 1000
+
+
 def test_inclusions_match_brute_force(spark):
     rnd = random.Random(4)
     values = {"a.x": [rnd.randrange(50) for _ in range(300)], "a.y": [rnd.randrange(20) for _ in range(300)], "b.k": list(range(50)) * 2, "b.m": [None] * 100,
