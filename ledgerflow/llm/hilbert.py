@@ -34,6 +34,8 @@ BITS = 5
 SHARDS = 40
 #: What a row takes besides its text.
 ROW_BYTES = 16
+#: Distinct values of a string dimension that are looked up without a join.
+LISTED_VALUES = 200
 #: Distinct values of a string dimension whose ranks are broadcast.
 FEW_VALUES = 100_000
 
@@ -68,9 +70,17 @@ def hilbert_index(cells: Sequence[np.ndarray], bits: int) -> np.ndarray:
 
 def with_number(df: DataFrame, c: Column, kind: T.DataType, name: str) -> DataFrame:
     """``df`` with an order-keeping number of ``c``: a string's rank among its
-    distinct values, which come from one range shuffle of these alone."""
+    distinct values, which come from one range shuffle of these alone. The
+    rank of a few is its place in a list: joins would leave a broadcast table
+    per dimension in every executor, each time the rows are read."""
     if not isinstance(kind, T.StringType):
         return df.withColumn(name, c.cast("double"))
+    few = min(LISTED_VALUES, FEW_VALUES)
+    some = [r[0] for r in df.select(c).distinct().limit(few + 2).collect()]  # few + 2 values at most
+    if len(some) <= few:
+        listed = [F.lit(v) for v in sorted((v for v in some if v is not None), key=lambda v: v.encode())]
+        place = F.array_position(F.array(*listed), c) - 1 if listed else F.lit(None)
+        return df.withColumn(name, place.cast("double"))
     x = df.withColumn("_value", c)
     values, n = ranked(x.select("_value").filter("_value is not null").distinct(), [F.col("_value")], "hilbert-values")
     values = values.select("_value", F.col("_rank").cast("double").alias(name))

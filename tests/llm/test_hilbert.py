@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import __spark_entry__ as E
 from ledgerflow.llm import hilbert
@@ -92,3 +93,22 @@ def test_strings_with_a_common_beginning_fill_many_cells(spark):
         assert sorted({(r.source, r["_d0"]) for r in x.collect()}) == [(f"https://www.example.org/section/{i:02d}", float(i)) for i in range(20)]
     got, _ = hilbert.order_along_curve(df, [(F.col("source"), T.StringType())], [F.col("id")])
     assert len({r["_curve"] for r in got.collect()}) == 20
+
+
+def test_ranks_of_few_strings_need_no_join(spark):
+    values = ["b", None, "", "é", "a\x00", "a", "z'\\", "a", "\U0001f600"]
+    df = spark.createDataFrame(list(enumerate(values)), "id long, source string")
+    order = sorted({v for v in values if v is not None}, key=str.encode)
+    want = {i: None if v is None else float(order.index(v)) for i, v in enumerate(values)}
+    for listed, few, join in ((200, 100_000, None), (3, 100_000, "BroadcastHashJoin"), (3, 3, "Join")):
+        before = hilbert.LISTED_VALUES, hilbert.FEW_VALUES
+        hilbert.LISTED_VALUES, hilbert.FEW_VALUES = listed, few
+        try:
+            x = hilbert.with_number(df, F.col("source"), T.StringType(), "_d0")
+        finally:
+            hilbert.LISTED_VALUES, hilbert.FEW_VALUES = before
+        assert {r.id: r._d0 for r in x.collect()} == want
+        plan = x._jdf.queryExecution().toString()
+        assert join in plan if join else "Join" not in plan
+    nothing = hilbert.with_number(df.filter("id = 1"), F.col("source"), T.StringType(), "_d0")
+    assert [r._d0 for r in nothing.collect()] == [None]
