@@ -4,19 +4,20 @@ Texts are lower-cased (A-Z), split into pieces at ``[.,;:!?\\x0A-\\x0D]`` and
 these into words at blanks and tabs. Everything is counted per language.
 
 Level by level. A scan counts the words. A phrase of m+1 words is a candidate
-only if its first m (and, where all tries are at hand, its last m) words are
-one with ``min_count`` occurrences: while a scan walks the phrases of m words
-through the texts, each task notes the longer ones it sees, with a count that
-stops at ``min_count``; added up, these say whether the total can reach it.
-The next scan counts the candidates exactly.
-
-Counting. Candidates are dealt by hash into shards of about ``SHARD``
-phrases, so a trie has a bounded size whatever the input; ``AT_ONCE`` tries
-are broadcast together and every such group is one scan of the texts. A trie
-is a double array over the base-``DIGIT`` digits of the shard's own word
-numbers. A task turns a block of text into word numbers and moves the states
-of all positions together, one word after another; the states that accept are
-bin-counted, and the counts of tasks and shards added.
+only if its first m and its last m words are phrases with ``min_count``
+occurrences: a scan walks the phrases of m words through the texts, and where
+they begin at two positions in a row, the longer phrase is counted. The counts
+of tasks added up are exact, as a phrase that reaches ``min_count`` has only
+parts that do, so none of its occurrences is passed over. There is one scan a
+level, however many phrases the level has.
+
+Counting. Phrases are dealt by a hash of their first word into shards of about
+``SHARD`` phrases; ``AT_ONCE`` tries are a group, broadcast and held by a task
+together. A trie is a double array over the base-``DIGIT`` digits of the
+shard's own word numbers. A task turns ``HELD`` blocks of text into word numbers,
+walks one group after another through them, and moves the states of all
+positions that begin with a first word of the trie together, one word after
+another: a position takes part in one trie, however many there are.
 
 Score of a candidate, of a occurrences: a cut after its first k words whose
 parts occur l and r times gives floor(1000000*a*a / (l*r)), in exact decimal
@@ -31,7 +32,7 @@ frequent phrase, then to the first in UTF-8 byte order.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
 from itertools import repeat
 from typing import NamedTuple
@@ -44,9 +45,11 @@ from pyspark.sql import functions as F
 
 from .common import ranked, split_words, stored, text_or_empty
 
-#: Phrases in a trie, about; tries broadcast together.
+#: Phrases in a trie, about; tries held together.
 SHARD = 200_000
 AT_ONCE = 5
+#: Blocks of text that a task walks one group of tries through.
+HELD = 4
 #: Word positions that a task handles together; rows in a batch that it hands on.
 BLOCK = 1_000_000
 OUT_ROWS = 50_000
@@ -231,7 +234,8 @@ def tries(level: DataFrame, count: int, shard: int, name: str) -> DataFrame:
             (trie.base, np.int32), (trie.check, np.int32), (trie.ends, np.int32), (trie.nums, np.int64))),
             pa.array([trie.words], pa.binary())]
         return pa.table(cols, names=["shard", "base", "check", "ends", "nums", "words"])
-    x = level.select("lang", "phrase", "num", F.pmod(F.xxhash64("lang", "phrase"), F.lit(shards)).cast("int").alias("shard"))
+    first = F.substring_index("phrase", " ", 1)
+    x = level.select("lang", "phrase", "num", F.pmod(F.xxhash64("lang", first), F.lit(shards)).cast("int").alias("shard"))
     return stored(x.groupBy("shard").applyInArrow(build, "shard int, base binary, check binary, ends binary, nums binary, words binary"), name)
 
 
@@ -241,10 +245,10 @@ def read_trie(r) -> Trie:
 
 
 class _Walker:
-    """The tries of one scan, in a task: one dictionary for the words of all."""
+    """A group of tries, in a task: one dictionary for the words of all."""
 
     def __init__(self, tries: Sequence[Trie]):
-        self.tries, self.number, self.local, self.digits = tries, {}, [], []
+        self.tries, self.number, self.local, self.digits, self.nums = tries, {}, [], [], []
         lists = [t.word_list() for t in tries]
         for words in lists:
             for w in words:
@@ -254,90 +258,95 @@ class _Walker:
             local[[self.number[w] for w in words]] = np.arange(1, len(words) + 1)
             self.local.append(local)
             self.digits.append(t.digits(len(words)))
-        self.seen = [np.zeros(len(t.base), np.int32) for t in tries]  # occurrences by accepting state, in this task
-        self.starts = np.cumsum([0, *(len(t.base) for t in tries)])
+            nums = np.full(len(t.base), -1, np.int64)  # of the accepting states
+            nums[t.ends] = t.nums
+            self.nums.append(nums)
 
-    def walk(self, block: Block, m: int) -> np.ndarray:
-        """The accepting state, over all tries, of the phrase of m words that
-        begins at each position; -1 for none. Counts them."""
+    def walk(self, block: Block, m: int, out: np.ndarray) -> None:
+        """Writes to ``out`` the number of the phrase of m words that begins
+        at each position, if these tries have it."""
         known = np.fromiter(map(self.number.get, block.words.to_pylist(), repeat(0)), np.int32, len(block.words))
         lang = self.number.get(b"\xfe" + block.lang.encode(), 0)
-        state = np.full(len(block.codes) + 1, -1, np.int64)
-        for k, (t, local, digits) in enumerate(zip(self.tries, self.local, self.digits)):
+        for t, local, digits, nums in zip(self.tries, self.local, self.digits, self.nums):
             _, start = t.step(np.array([ROOT]), local[[lang]], digits)
             if not len(start):
                 continue
             mine = local[known]
-            at = np.flatnonzero(mine[block.codes])
-            s = np.full(len(at), start[0], np.int32)
-            for j in range(m):
+            after = np.full(len(mine), -1, np.int32)  # the state after each word of the block, as a first one
+            live, s = t.step(np.full(len(mine), start[0], np.int32), mine, digits)
+            after[live] = s
+            at = np.flatnonzero((after >= 0)[block.codes])
+            s = after[block.codes[at]]
+            for j in range(1, m):
                 # No position runs over the end: the last code is a break.
                 live, s = t.step(s, mine[block.codes[at + j]], digits)
                 at = at[live]
-            n = np.bincount(s)
-            self.seen[k][:len(n)] += n.astype(np.int32)
-            state[at] = s + self.starts[k]
-        return state
-
-    def num(self, states: np.ndarray) -> np.ndarray:
-        """What the phrases of accepting states, over all tries, are known as."""
-        out = np.empty(len(states), np.int64)
-        which = np.searchsorted(self.starts, states, side="right") - 1
-        for k, t in enumerate(self.tries):
-            mine = np.flatnonzero(which == k)
-            out[mine] = t.nums[np.searchsorted(t.ends, states[mine] - self.starts[k])]
-        return out
-
-
-def scan(texts: DataFrame, tries: DataFrame, m: int, longer: bool, all_tries: bool, min_count: int) -> DataFrame:
-    """Walk phrases of m words through all texts, by a few stored tries. Rows (num, next, word, n):
-    without next and word, a phrase of the tries and its occurrences; with
-    them a candidate of m+1 words, its first m being phrase num and its last m
-    phrase next or, where not all tries are at hand, its last word ``word``;
-    of its count each task's block adds at most ``min_count``."""
-    # AT_ONCE tries of a bounded size; the driver lets go of them once they are written for the tasks.
-    sent = texts.sparkSession.sparkContext.broadcast([read_trie(r) for r in tries.toLocalIterator()])
-    names = ["num", "next", "word", "n"]
+            out[at] = nums[s]
+
+
+def held_blocks(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[list[Block]]:
+    held: list[Block] = []
+    for block in blocks(batches):
+        held.append(block)
+        if sum(len(b.codes) for b in held) >= n * BLOCK:
+            yield held
+            held = []
+    if held:
+        yield held
+
+
+def scan(texts: DataFrame, groups: Iterable[DataFrame], m: int, count: int, min_count: int) -> DataFrame:
+    """Walk the ``count`` phrases of m words, numbered from 0 in groups of
+    stored tries, through all texts: (num, next, f) of every phrase of m+1
+    words with ``min_count`` occurrences, its first m words being phrase num
+    and its last m phrase next."""
+    # The driver lets go of a group once it is written for the tasks.
+    sent = [texts.sparkSession.sparkContext.broadcast([read_trie(r) for r in g.toLocalIterator()]) for g in groups]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = _Walker(sent.value)
-        for block in blocks(batches):
-            state = own.walk(block, m)
-            if not longer:
-                continue
-            at = np.flatnonzero(state >= 0)
-            after = state[at + 1] if all_tries else block.codes[at + m]
-            ok = after >= 0 if all_tries else after > 0
-            at, after = at[ok], after[ok]
-            wide = int(own.starts[-1]) if all_tries else len(block.words)
-            found, n = np.unique(state[at] * wide + after, return_counts=True)
-            for i in range(0, len(n), OUT_ROWS):
-                pair, many = found[i:i + OUT_ROWS], n[i:i + OUT_ROWS]
-                last = [pa.array(own.num(pair % wide)), pa.nulls(len(pair), pa.string())] if all_tries else \
-                    [pa.nulls(len(pair), pa.int64()), block.words.take(pa.array(pair % wide)).cast(pa.string())]
-                yield pa.record_batch([pa.array(own.num(pair // wide)), *last, pa.array(np.minimum(many, min_count), pa.int64())], names=names)
-        for t, counts in zip(own.tries, own.seen):
-            n = counts[t.ends]
+        only = _Walker(sent[0].value) if len(sent) == 1 else None
+        for held in held_blocks(batches, 1 if only else HELD):
+            nums = [np.full(len(b.codes) + 1, -1, np.int64) for b in held]
+            for group in sent:
+                own = only or _Walker(group.value)
+                for block, out in zip(held, nums):
+                    own.walk(block, m, out)
+                own = None
+                if not only:
+                    vars(group).pop("_value", None)  # else the worker keeps every group it has read
+            pairs = []
+            while nums:
+                num = nums.pop()
+                at = np.flatnonzero((num[:-1] >= 0) & (num[1:] >= 0))
+                pairs.append(num[at] * count + num[at + 1])
+            found, n = np.unique(np.concatenate(pairs), return_counts=True)
             for i in range(0, len(n), OUT_ROWS):
-                hit = i + np.flatnonzero(n[i:i + OUT_ROWS])
-                yield pa.record_batch([pa.array(t.nums[hit]), pa.nulls(len(hit), pa.int64()), pa.nulls(len(hit), pa.string()),
-                                       pa.array(n[hit], pa.int64())], names=names)
-    found = texts.mapInArrow(run, "num long, next long, word string, n long")
-    if all_tries:  # numbers alone are the cheaper key
-        found = found.groupBy("num", "next").agg(F.sum("n").alias("n")).withColumn("word", F.lit(None).cast("string"))
-    else:
-        found = found.groupBy("num", "next", "word").agg(F.sum("n").alias("n"))
-    out = stored(found.filter((F.col("n") >= min_count) | F.col("next").isNull() & F.col("word").isNull()), "phrases-seen")
-    sent.destroy()
+                yield pa.record_batch([pa.array(found[i:i + OUT_ROWS]), pa.array(n[i:i + OUT_ROWS], pa.int64())], names=["pair", "n"])
+    found = texts.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count)
+    out = stored(found.select(F.expr(f"pair div {count}L").alias("num"), F.expr(f"pair % {count}L").alias("next"), "f"), "phrases-seen")
+    for group in sent:
+        group.destroy()
     return out
 
 
+def numbered(level: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """(level with ``num``, its rows): numbers from 0 on, without gaps."""
+    x = stored(level.withColumn("_at", F.monotonically_increasing_id()), name)
+    part = F.shiftright("_at", 33)
+    before, count = [], 0
+    for r in sorted(x.groupBy(part.alias("part")).count().collect()):  # a row per partition
+        before.append((r["part"], count))
+        count += r["count"]
+    offsets = F.broadcast(level.sparkSession.createDataFrame(before, "_part long, _before long"))
+    num = F.col("_before") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))
+    return x.withColumn("_part", part).join(offsets, "_part").withColumn("num", num).drop("_at", "_part", "_before"), count
+
+
 def _longer(level: DataFrame, seen: DataFrame) -> DataFrame:
-    """(lang, phrase) of the candidates that a scan of ``level`` has found."""
-    c = seen.filter("next is not null or word is not null").select("num", "next", "word")
+    """(lang, phrase, f) of what a scan of ``level`` has found."""
     last = level.select(F.col("num").alias("next"), F.element_at(F.split("phrase", " ", -1), -1).alias("last"))
-    c = c.join(level.select("num", "lang", "phrase"), "num").join(last, "next", "left")
-    return c.select("lang", F.concat_ws(" ", "phrase", F.coalesce("word", "last")).alias("phrase"))
+    c = seen.join(level.select("num", "lang", "phrase"), "num").join(last, "next")
+    return c.select("lang", F.concat_ws(" ", "phrase", "last").alias("phrase"), "f")
 
 
 def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, shard: int = SHARD, at_once: int = AT_ONCE,
@@ -349,22 +358,16 @@ def frequent_phrases(docs: DataFrame, max_words: int = 3, min_count: int = 10, s
     totals = words.filter("word is null").select("lang", "n")
     level = words.filter("word is not null").select("lang", F.col("word").alias("phrase"), F.col("n").alias("f"))
     found = [level.withColumn("m", F.lit(1))]
-    for m in range(1, max_words + 1):
-        level = stored(level.withColumn("num", F.monotonically_increasing_id()), f"level{m}")
-        count = level.count()
-        if not count or m == 1 and max_words == 1:
+    for m in range(1, max_words):
+        level, count = numbered(level, f"level{m}")
+        if not count:
             break
+        found[-1] = level.select("lang", "phrase", "f", F.lit(m).alias("m"))
         packed = tries(level, count, shard, f"tries{m}")
         shards = sorted(r["shard"] for r in packed.select("shard").collect())  # one number per shard
-        seen = []
-        for i in range(0, len(shards), at_once):
-            group = packed.filter(F.col("shard").isin(shards[i:i + at_once]))
-            seen.append(scan(texts, group, m, m < max_words, len(shards) <= at_once, min_count))
-        seen = reduce(DataFrame.unionByName, seen)
-        if m > 1:
-            exact = seen.filter("next is null and word is null").select("num", F.col("n").alias("f")).filter(F.col("f") >= min_count)
-            found.append(level.select("lang", "phrase", "num").join(exact, "num").select("lang", "phrase", "f", F.lit(m).alias("m")))
-        level = _longer(level, seen)
+        groups = [packed.filter(F.col("shard").isin(shards[i:i + at_once])) for i in range(0, len(shards), at_once)]
+        level = _longer(level, scan(texts, groups, m, count, min_count))
+        found.append(level.withColumn("m", F.lit(m + 1)))
     return stored(reduce(DataFrame.unionByName, found), "phrases"), totals
 
 

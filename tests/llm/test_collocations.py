@@ -109,3 +109,20 @@ def test_odd_and_empty_tables(spark):
     rows = [(r["lang"], r["text"]) for r in odd_docs(spark, extra=False).collect()]
     assert as_rows(C.collocations(odd_docs(spark))) == brute(rows)
     assert C.collocations(empty_docs(spark)).collect() == []
+
+
+def test_one_scan_a_level_however_many_tries(spark, monkeypatch):
+    rows = prose(random.Random(8), 150)
+    scans = []
+    monkeypatch.setattr(C, "scan", lambda *a, scan=C.scan, **b: scans.append(a) or scan(*a, **b))
+    monkeypatch.setattr(C, "BLOCK", 500)
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(3)
+    assert as_rows(C.collocations(df, shard=20, at_once=1)) == brute(rows)
+    assert len(scans) == 2  # phrases of one word, and of two
+
+
+def test_a_position_takes_part_in_one_trie(spark):
+    rows = [("en", f"w{i} {x}") for i in range(40) for x in "xyz"]
+    level = spark.createDataFrame(rows, "lang string, phrase string").withColumn("num", C.F.monotonically_increasing_id())
+    begins = [{w for w in C.read_trie(t).word_list() if w.startswith(b"w")} for t in C.tries(level, 120, 15, "t").collect()]
+    assert len(begins) > 1 and sum(map(len, begins)) == len(set().union(*begins)) == 40
