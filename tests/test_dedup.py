@@ -4,6 +4,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from ledgerflow.operators import dedup
+from ledgerflow.session import shuffles_freed
 from tests import brute
 
 
@@ -131,6 +132,53 @@ def test_keys_leave_a_task_in_bounded_batches():
     assert ids == [x for x, n in enumerate(each) for _ in range(n)]
 
 
+def test_sketches_never_ask_for_more_edits_than_were_made(spark):
+    rng = random.Random(5)
+    alphabet = "abcdefghij klmnop\u00e9\u6771\U0001f600"
+    rows = []
+    for _ in range(300):
+        a = "".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 400)))
+        b, edits = list(a), rng.randrange(0, 13)
+        for _ in range(edits):
+            at = rng.randrange(len(b) + 1)
+            b[at:at + rng.randrange(2)] = [rng.choice(alphabet)] * rng.randrange(2)
+        rows.append((edits, *dedup._sketch(a).tolist(), *dedup._sketch("".join(b)).tolist()))
+    apart = dedup._counts_apart(F.col("c0"), F.col("d0")) + dedup._counts_apart(F.col("c1"), F.col("d1"))
+    got = spark.createDataFrame(rows, "edits int, c0 long, c1 long, d0 long, d1 long").select("*", apart.alias("apart")).collect()
+    nibbles = lambda x: [x >> s & 15 for s in range(0, 64, 4)]
+    for r in got:
+        assert r.apart == sum(min((x - y) % 16, (y - x) % 16) for c, d in ((r.c0, r.d0), (r.c1, r.d1)) for x, y in zip(nibbles(c), nibbles(d)))
+        assert r.apart <= 2 * r.edits
+
+
+def test_texts_that_share_a_passage_alone_are_no_candidates(spark):
+    # Eight texts to a passage, so that its segments stay below HOT_SEGMENT; a near copy of every eighth.
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    texts = []
+    for _ in range(20):
+        passage = text(200)
+        group = [(b := text(300))[:(cut := rng.randrange(100, 103))] + passage + b[cut:] for _ in range(7)]
+        texts += [*group, group[0][:50] + "#" + group[0][51:]]
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, t string").select("id", "t", F.length("t").alias("len"))
+    cand = {tuple(sorted((r.rid, r.sid))) for r in dedup._candidates(df, 12, dedup.EDIT_SHARE).collect()}
+    assert cand == {(i, i + 7) for i in range(0, 160, 8)}
+
+
+def test_rounds_of_verifications_find_the_same_and_leave_no_shuffle_files(spark):
+    texts = [("x" * i + "0123456789" * 6)[:60] + c for c in "abc" for i in range(6)] + _random_strings(13, 60, max_len=40)
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, t string").select("id", "t", F.length("t").alias("len"))
+    pairs = spark.createDataFrame([(i, j, min(len(texts[i]), len(texts[j]))) for i in range(40) for j in range(i + 1, 40) if texts[i] and texts[j]], "a bigint, b bigint, l int")
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles
+    before = files().size()
+    with shuffles_freed(spark):
+        found = [dedup._verified(pairs, df, 3, 0.25, round_chars=n) for n in (1 << 20, 1)]
+    assert files().size() <= before + 4
+    one, many = ({tuple(r) for r in f.collect()} for f in found)
+    want = _want({i: t for i, t in enumerate(texts[:40])}, brute.lev_pairs, 3, 0.25)
+    assert one == many == {(a, b, d) for (a, b), d in want.items() if texts[a] != texts[b]} | {r for r in one if r[2] == 0}
+
+
 def test_probes_that_no_index_has_are_dropped_before_the_shuffle(spark):
     cut = dedup._Cut(3, 0.25, False)
     rng = random.Random(4)
