@@ -205,6 +205,16 @@ def test_components_match_union_find(spark):
     assert got == brute.components(nodes, edges)
 
 
+def test_components_leave_no_shuffle_files(spark):
+    e = spark.createDataFrame([(i, i + 1) for i in range(0, 60)] + [(0, 70)], "u long, v long")
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles
+    before = files().size()
+    labels = dedup.components(e)
+    # What the counts of a round shuffle, an index and a data file for a task, and no round's edges.
+    assert files().size() <= before + 40
+    assert {r.cluster for r in labels.collect()} == {0}
+
+
 def test_exact_dups_and_survivor(spark):
     df = spark.createDataFrame([(1, "A  b"), (2, "a b"), (3, "c"), (4, " a\tb "), (5, "d")], "id bigint, t string")
     got = {r.id: (r.canonical_id, r.n_copies) for r in dedup.exact_dups(df, "id", dedup.normalize_ws("t")).collect()}
